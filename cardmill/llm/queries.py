@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import op10_multiprobe_ann
+from .packing import op3_vector_packing
 from .quality import op9_quality_rules
+from .warc import op6_warc_index_merge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_vector_packing": op3_vector_packing,
+    "op6_warc_index_merge": op6_warc_index_merge,
     "op9_quality_rules": op9_quality_rules,
+    "op10_multiprobe_ann": op10_multiprobe_ann,
 }
 
 #: DuckDB SQL where SQL can express the query at a bearable cost.
