@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .ann import op10_multiprobe_ann
+from .ngram_join import op8_ngram_jaccard_join
 from .packing import op3_vector_packing
 from .quality import op9_quality_rules
+from .substring import op2_substring_dedup
+from .suffix_tree import op1_suffix_tree_scores
 from .warc import op6_warc_index_merge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_tree_scores": op1_suffix_tree_scores,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_vector_packing": op3_vector_packing,
     "op6_warc_index_merge": op6_warc_index_merge,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_multiprobe_ann": op10_multiprobe_ann,
 }
