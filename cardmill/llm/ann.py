@@ -26,7 +26,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import arrow_limits, documents, written
@@ -186,38 +186,73 @@ def best_of(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k:
     return q_ids[r[keep]], ids[c[keep]], score[keep]
 
 
+def merged(q: np.ndarray, v: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best k distinct candidates of each query."""
+    order = np.lexsort((v, -s, q))
+    q, v, s = q[order], v[order], s[order]
+    # equal pairs have equal scores and so stand together
+    new = np.ones(len(q), bool)
+    new[1:] = (q[1:] != q[:-1]) | (v[1:] != v[:-1]) | (s[1:] != s[:-1])
+    q, v, s = q[new], v[new], s[new]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[keep], v[keep], s[keep]
+
+
+class _Best:
+    """The best k so far of each query; what comes is merged in when there is much of it."""
+
+    def __init__(self, k: int):
+        self.k, self.held, self.size = k, [], 0
+        self.best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+    def add(self, found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        self.held.append(found)
+        self.size += len(found[0])
+        if self.size > 500_000:
+            self.done()
+
+    def done(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self.best = merged(*(np.concatenate([self.best[i], *(h[i] for h in self.held)]) for i in range(3)), self.k)
+        self.held, self.size = [], 0
+        return self.best
+
+
 def _products(k: int):
-    """Products of joined blocks, with the best k so far of each query of the task."""
-
-    def merged(q: np.ndarray, v: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        order = np.lexsort((v, -s, q))
-        q, v, s = q[order], v[order], s[order]
-        # one row for each pair: equal pairs have equal scores and so stand together
-        new = np.ones(len(q), bool)
-        new[1:] = (q[1:] != q[:-1]) | (v[1:] != v[:-1]) | (s[1:] != s[:-1])
-        q, v, s = q[new], v[new], s[new]
-        keep = np.arange(len(q)) - np.searchsorted(q, q) < k
-        return q[keep], v[keep], s[keep]
+    """Products of joined blocks: of each query of the task one row with its best candidates."""
+
+    def rows(best: _Best) -> Iterator[pa.RecordBatch]:
+        q, v, s = best.done()
+        first = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1]))) if len(q) else np.zeros(0, int)
+        offs = (np.append(first, len(q)) * 8).astype(np.int32)
+        lists = [pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offs), pa.py_buffer(np.ascontiguousarray(x))]) for x in (v, s)]
+        yield pa.RecordBatch.from_arrays([pa.array(q[first]), *lists], ["query_id", "ids", "scores"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        best = none
+        best = _Best(k)
         for b in batches:
             cols = [column(b, n).to_pylist() for n in ("dim", "q_ids", "q_vecs", "ids", "vecs")]
             for dim, qi, qv, vi, vv in zip(*cols, strict=True):
-                q = np.frombuffer(qv).reshape(-1, dim)
-                x = np.frombuffer(vv).reshape(-1, dim)
-                held.append(best_of(np.frombuffer(qi, np.int64), q, np.frombuffer(vi, np.int64), x, k))
-                size += len(held[-1][0])
-                if size > 500_000:
-                    best = merged(*(np.concatenate([best[i], *(h[i] for h in held)]) for i in range(3)))
-                    held, size = [], 0
-                    if len(best[0]) > 500_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(a) for a in best], ["query_id", "vec_id", "score"])
-                        best = none
-        best = merged(*(np.concatenate([best[i], *(h[i] for h in held)]) for i in range(3)))
-        yield pa.RecordBatch.from_arrays([pa.array(a) for a in best], ["query_id", "vec_id", "score"])
+                best.add(best_of(np.frombuffer(qi, np.int64), np.frombuffer(qv).reshape(-1, dim), np.frombuffer(vi, np.int64), np.frombuffer(vv).reshape(-1, dim), k))
+            if len(best.best[0]) > 500_000:
+                yield from rows(best)
+                best = _Best(k)
+        yield from rows(best)
+
+    return run
+
+
+def _ranked(k: int):
+    """Merges the rows of each query and ranks its candidates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = _Best(k)
+        for b in batches:
+            ids, scores = column(b, "ids").to_pylist(), column(b, "scores").to_pylist()
+            n = np.array([len(x) // 8 for x in ids], np.int64)
+            best.add((np.repeat(column(b, "query_id").to_numpy(), n), np.frombuffer(b"".join(ids), np.int64), np.frombuffer(b"".join(scores))))
+        q, v, s = best.done()
+        rank = np.arange(len(q)) - np.searchsorted(q, q) + 1
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(rank.astype(np.int32)), pa.array(v), pa.array(s)], ["query_id", "rank", "vec_id", "score"])
 
     return run
 
@@ -233,10 +268,8 @@ def search(queries: DataFrame, base: DataFrame, index: Index = Index(), id_col:
 
     def found(q: DataFrame, x: DataFrame) -> DataFrame:
         both = q.select("key", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs")).join(x.select("key", "dim", "ids", "vecs"), "key")
-        out = both.drop("key").mapInArrow(_products(index.k), "query_id long, vec_id long, score double")
-        out = out.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= index.k).select("query_id", "rank", "vec_id", "score")
+        out = both.drop("key").mapInArrow(_products(index.k), "query_id long, ids binary, scores binary")
+        return out.repartition("query_id").mapInArrow(_ranked(index.k), "query_id long, rank int, vec_id long, score double")
 
     near = written(found(q, x), "ann")
     # Queries that found fewer than k: against all blocks of their length
