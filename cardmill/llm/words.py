@@ -79,6 +79,13 @@ def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES)
         at = to
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte spans."""
+    p, q = _powers(_BASE, len(data))
+    sums = np.concatenate((np.zeros(1, U), np.cumsum(_BYTE[data] * p[: len(data)], dtype=U)))
+    return mix((sums[ends] - sums[starts]) * q[starts] + (ends - starts).astype(U))
+
+
 class Words:
     """Words of the texts of one chunk. first[d] is the first word of text d; first[-1] their number."""
 
