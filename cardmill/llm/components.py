@@ -34,7 +34,8 @@ def local_components(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges (a, b); returns (node, label) with the least node of each component as label, for all nodes of edges."""
-    both = written(edges.filter("a != b").select("a", "b").unionByName(edges.filter("a != b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    ends = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")
+    both = written(edges.filter("a != b").select(ends).select("e.a", "e.b").distinct(), "edges")
     label = written(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
     while True:
         fall = both.join(label.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("low"))

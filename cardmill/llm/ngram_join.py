@@ -5,12 +5,13 @@ sizes give. Texts of equal sets are one row of the matrix (its node). Then:
 
 1. Column blocks. Sizes are dealt to classes. A pair at the threshold whose smaller set is in class c
    differs in d(c) n-grams at most, so if n-grams are hashed into more than d(c) column blocks, the two rows
-   agree in some whole block. Each row emits a signature of each of its blocks, under its own class and
-   under the class below where a smaller partner may lie there. Rows with too few filled blocks to be
-   sure of agreeing in a filled one are dealt again under other seeds, and at last emit the
-   prefix of their n-grams, so no pair is lost.
-2. Row blocks. Rows that share signatures, directly or through others, form clusters (connected
-   components of star edges; no pairs within a group are written). A cluster of more than `rows`
+   agree in some whole block. That holds as well when the commonest columns (at most `common`, which
+   popular passages have) are left out of both rows; it is then no longer enough to share a passage. Each row emits a
+   signature of each of its filled blocks, under its own class and under the class below where a smaller partner may lie
+   there. Rows with too few filled blocks to be sure of agreeing in a filled one are dealt again with all their
+   columns, under other seeds, and at last emit the prefix of their n-grams, so no pair is lost.
+2. Row blocks. Rows that share signatures, directly or through others, and whose sizes allow a link form clusters (connected
+   components of chains by size; no pairs within a group are written). A cluster of more than `rows`
    rows or `entries` entries is dealt into blocks, and each two blocks meet in one task.
 3. Product. A task multiplies the incidence of its rows, posting list by posting list, accumulating the
    overlaps of one row with all others at a time, and drops those below the size-derived
@@ -44,6 +45,9 @@ class Join:
     words: int = 4
     percent: int = 85  # of the union that the overlap must reach
     growth: float = 1.6  # of size classes
+    spare: float = 0.25  # blocks beyond the least number
+    common: int = 1 << 21
+    least_common: int = 3  # texts of one task that make a column a candidate
     seeds: int = 6
     rows: int = 3000
     entries: int = 2_000_000
@@ -85,27 +89,46 @@ class Classes:
         self.up = np.array(up)
         larger = self.up * 100 // join.percent
         self.differ = (self.up + larger) * (100 - join.percent) // (100 + join.percent)
-        self.blocks = np.where(self.differ > 0, self.differ + 1 + -(-6 * (self.differ + 1) // 100), 1)
+        self.blocks = np.where(self.differ > 0, self.differ + 1 + np.ceil(join.spare * (self.differ + 1)).astype(int), 1)
 
 
-def signatures(sets: Sets, join: Join) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, node) of every column block that may decide a pair."""
+class Common:
+    """The commonest columns, with a table that answers most questions for them without a search."""
+
+    def __init__(self, h: np.ndarray):
+        self.h = np.sort(h)
+        self.may = np.zeros(1 << 24, bool)
+        self.may[(self.h >> U(40)).astype(np.int64)] = True
+
+    def rare(self, h: np.ndarray) -> np.ndarray:
+        out = np.ones(len(h), bool)
+        ask = np.flatnonzero(self.may[(h >> U(40)).astype(np.int64)])
+        if len(ask):
+            at = np.minimum(np.searchsorted(self.h, h[ask]), len(self.h) - 1)
+            out[ask[self.h[at] == h[ask]]] = False
+        return out
+
+
+def signatures(sets: Sets, join: Join, common: Common | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, node, size) of every column block that may decide a pair."""
     if not len(sets.h):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     classes = Classes(join, int(sets.n.max()))
     own = np.searchsorted(classes.up, np.maximum(sets.n, 1))
     _, rep = np.unique(sets.node, return_index=True)
     rep = rep[sets.n[rep] > 0]
     least = -(-sets.n * join.percent // 100)  # of a smaller partner
     out: list[tuple[np.ndarray, np.ndarray]] = []
+    rare = common.rare(sets.h) if common else np.ones(len(sets.h), bool)
     down = 0
     while len(rep):
         c = own[rep] - down
         ok = (c >= 0) & ((down == 0) | (classes.up[np.maximum(c, 0)] >= least[rep]))
         rep, c = rep[ok], c[ok]
-        out += _dealt(sets, rep, c, classes, join)
+        out += _dealt(sets, rep, c, classes, join, rare)
         down += 1
-    return np.concatenate([s for s, _ in out]), np.concatenate([n for _, n in out])
+    rows = np.concatenate([r for _, r in out])
+    return np.concatenate([s for s, _ in out]), sets.node[rows], sets.n[rows]
 
 
 def _entries(sets: Sets, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,12 +139,16 @@ def _entries(sets: Sets, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(n.sum()) - first[at] + sets.first[rows][at], at
 
 
-def _dealt(sets: Sets, rows: np.ndarray, cls: np.ndarray, classes: Classes, join: Join) -> list:
+def _dealt(sets: Sets, rows: np.ndarray, cls: np.ndarray, classes: Classes, join: Join, rare: np.ndarray) -> list:
+    """(signatures, rows): the first deal leaves common columns out, later ones are for rows that it can't decide."""
     out = []
-    for seed in range(join.seeds):
+    for seed in range(-1, join.seeds):
         if not len(rows):
             return out
         pos, at = _entries(sets, rows)
+        if seed < 0:
+            own = rare[pos]
+            pos, at = pos[own], at[own]
         blocks = classes.blocks[cls]
         off = np.cumsum(blocks) - blocks
         salt = U((seed * 2654435761 + 97) & 0xFFFFFFFF)
@@ -133,7 +160,7 @@ def _dealt(sets: Sets, rows: np.ndarray, cls: np.ndarray, classes: Classes, join
         row = row[filled]
         number = (filled - off[row]).astype(U)
         tag = mix(number * U(0x9E3779B97F4A7C15) + cls[row].astype(U) * U(1315423911) + salt)
-        out.append((signed(mix(sums[filled] ^ tag)), sets.node[rows[row]]))
+        out.append((signed(mix(sums[filled] ^ tag)), rows[row]))
         sure = np.bincount(row, minlength=len(rows)) > classes.differ[cls]
         rows, cls = rows[~sure], cls[~sure]
     if len(rows):  # the prefix: as many of the first n-grams as can be missing, and one
@@ -142,10 +169,45 @@ def _dealt(sets: Sets, rows: np.ndarray, cls: np.ndarray, classes: Classes, join
         prefix = n - -(-n * join.percent // 100) + 1
         inside = pos - sets.first[rows][at] < prefix[at]
         tag = mix(cls[at[inside]].astype(U) + U(0x51ED270B))
-        out.append((signed(mix(sets.h[pos[inside]] ^ tag)), sets.node[rows[at[inside]]]))
+        out.append((signed(mix(sets.h[pos[inside]] ^ tag)), rows[at[inside]]))
     return out
 
 
+def _common_columns(join: Join):
+    """Columns that several texts of a task hold: what is common in the whole is so in some task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            k, n = np.unique(np.concatenate(held), return_counts=True)
+            top = n >= join.least_common
+            return pa.RecordBatch.from_arrays([pa.array(signed(k[top])), pa.array(n[top])], ["h", "n"])
+
+        for b in batches:
+            for c in chunks(b):
+                s = Sets(column(c, "text"), join.words)
+                _, rep = np.unique(s.node, return_index=True)
+                own = np.zeros(len(s.n), bool)
+                own[rep] = True  # copies count once
+                held.append(s.h[own[s.doc]])
+                size += len(held[-1])
+                if size > 6_000_000:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
+
+    return run
+
+
+def common_columns(text: DataFrame, join: Join) -> Common:
+    """The commonest columns; `common` values of eight bytes at most reach the driver."""
+    found = text.select("text").mapInArrow(_common_columns(join), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    rows = found.orderBy(F.desc("n"), "h").limit(join.common).select("h").toArrow()
+    return Common(rows.column("h").to_numpy().view(np.uint64))
+
+
 def _set_rows(join: Join):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -157,44 +219,51 @@ def _set_rows(join: Join):
     return run
 
 
-def _signature_rows(join: Join):
+def _signature_rows(join: Join, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for c in chunks(b):
-                sig, node = signatures(Sets(column(c, "text"), join.words), join)
-                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node)], ["sig", "node"])
+                sig, node, n = signatures(Sets(column(c, "text"), join.words), join, common.value)
+                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node), pa.array(n.astype(np.int32))], ["sig", "node", "n"])
 
     return run
 
 
-def _star_edges(batches: Iterator[pa.RecordBatch], chunk: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def _chains(percent: int, chunk: int = 2_000_000):
     """Edges that connect the nodes of each signature of a task, as one star per local component.
 
-    Rows come in bounded chunks; one node stands for each signature seen before.
+    Nodes of a signature are chained by size where two neighbours' sizes allow a link: where they
+    don't, no pair across them does. Rows come in bounded chunks; of those seen before, a chain's nodes stand
+    as far as a size is new.
     """
-    seen_sig, seen_node = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def edges(sig: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
-        nonlocal seen_sig, seen_node
-        sig, node = np.concatenate((seen_sig, sig)), np.concatenate((seen_node, node))
-        order = np.lexsort((node, sig))
-        sig, node = sig[order], node[order]
-        first = np.ones(len(sig), bool)
-        first[1:] = sig[1:] != sig[:-1]
-        head = node[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
-        seen_sig, seen_node = sig[first], node[first]
-        a, b = local_components(node[head != node], head[head != node])
-        return pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
-
-    held, size = [], 0
-    for b in batches:
-        held.append((column(b, "sig").to_numpy(), column(b, "node").to_numpy()))
-        size += b.num_rows
-        if size >= chunk:
-            yield edges(*(np.concatenate([h[i] for h in held]) for i in range(2)))
-            held, size = [], 0
-    if held:
-        yield edges(*(np.concatenate([h[i] for h in held]) for i in range(2)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+
+        def edges(held: list) -> pa.RecordBatch:
+            nonlocal seen
+            sig, node, n = (np.concatenate([seen[i], *(h[i] for h in held)]) for i in range(3))
+            order = np.lexsort((node, n, sig))
+            sig, node, n = sig[order], node[order], n[order]
+            same = sig[1:] == sig[:-1]
+            link = same & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64)) & (node[1:] != node[:-1])
+            new = np.ones(len(sig), bool)
+            new[1:] = ~same | (n[1:] != n[:-1])
+            seen = [sig[new], node[new], n[new]]
+            a, b = local_components(node[1:][link], node[:-1][link])
+            return pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
+
+        held, size = [], 0
+        for b in batches:
+            held.append([column(b, c).to_numpy() for c in ("sig", "node", "n")])
+            size += b.num_rows
+            if size >= chunk:
+                yield edges(held)
+                held, size = [], 0
+        if held:
+            yield edges(held)
+
+    return run
 
 
 def links(h: np.ndarray, doc: np.ndarray, n: np.ndarray, percent: int, apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -276,8 +345,9 @@ def jaccard_classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
     arrow_limits(spark)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = written(text.mapInArrow(_set_rows(join), "doc_id long, n_shingles long, node long"), "sets")
-    sigs = text.select("text").mapInArrow(_signature_rows(join), "sig long, node long")
-    edges = sigs.repartition("sig").mapInArrow(_star_edges, "a long, b long")
+    common = spark.sparkContext.broadcast(common_columns(text, join))
+    sigs = text.select("text").mapInArrow(_signature_rows(join, common), "sig long, node long, n int")
+    edges = sigs.repartition("sig").mapInArrow(_chains(join.percent), "a long, b long")
     cluster = connected_components(edges)
 
     # one text of each node, dealt to blocks of its cluster
