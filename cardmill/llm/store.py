@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -26,7 +27,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete a table of written() that nothing reads any more, and let Spark drop what finished queries have shuffled."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -36,9 +48,3 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
 def arrow_limits(spark: SparkSession, mb: int = 8) -> None:
     """Bound what one Arrow batch holds, so that long texts don't fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a table of ours once nothing reads it any more."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

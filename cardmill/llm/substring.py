@@ -22,7 +22,6 @@ rows equal in both are repeats of each other like any). Texts under `window` wor
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import arrow_limits, documents, written
+from .store import arrow_limits, documents, dropped, written
 from .words import Words, chunks, column, signed
 
 SINGLE, KNOWN, REPEATED = 1, 2, 3  # a stretch to look into; one that stands for its equals; one found twice
@@ -113,16 +112,17 @@ def repeated_spans(docs: DataFrame, r: Repeats = Repeats()) -> tuple[DataFrame,
     arrow_limits(spark)
     docs = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
     found = written(docs.select("rid", "text").mapInArrow(_anchors(r), _ANCHORS), "anchors")
-    stretch = found.groupBy("anchor", "stretch").agg(F.count("*").alias("same"), F.min(F.struct("rid", "at")).alias("one"))
-    seed = stretch.groupBy("anchor").agg(F.sum("same").alias("all"), F.count("*").alias("kinds")).filter("all > 1")
-    stretch = stretch.join(seed, "anchor")
-    own = found.join(stretch, ["anchor", "stretch"])
-    known = (F.col("kinds") > 1) & (F.struct("rid", "at") == F.col("one"))
-    kinds = F.when(F.col("same") == 1, F.array(F.lit(SINGLE))).when(known, F.array(F.lit(KNOWN), F.lit(REPEATED))).otherwise(F.array(F.lit(REPEATED)))
-    spans = own.select("rid", "at", "n", F.explode(kinds).alias("kind")).groupBy("rid").agg(F.collect_list(F.struct("at", "n", "kind")).alias("spans"))
+    # only occurrences of anchors that are found twice go on
+    twice = found.groupBy("anchor").agg(F.count("*").alias("all")).filter("all > 1").select("anchor")
+    own = written(found.join(twice, "anchor").withColumn("place", F.xxhash64("rid", "at")), "seeds")
+    dropped(found)
+    stretch = own.groupBy("anchor", "stretch").agg(F.count("*").alias("same"), F.min("place").alias("one"))
+    kinds = stretch.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    known = (F.col("kinds") > 1) & (F.col("place") == F.col("one"))
+    what = F.when(F.col("same") == 1, F.array(F.lit(SINGLE))).when(known, F.array(F.lit(KNOWN), F.lit(REPEATED))).otherwise(F.array(F.lit(REPEATED)))
+    spans = own.join(stretch.join(kinds, "anchor"), ["anchor", "stretch"]).select("rid", "at", "n", F.explode(what).alias("kind")).groupBy("rid").agg(F.collect_list(F.struct("at", "n", "kind")).alias("spans"))
     joined = written(docs.join(spans, "rid", "left"), "spans")
-    gc.collect()
-    spark._jvm.System.gc()  # lets Spark drop the shuffled texts of the finished query
+    dropped(own)
 
     look = F.exists("spans", lambda x: x["kind"] != REPEATED)
     plain = joined.filter(F.col("spans").isNull() | ~look)
