@@ -10,22 +10,29 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin, urlparse
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-@F.pandas_udf("string")
-def html_unescape(s: pd.Series) -> pd.Series:
-    return s.map(html.unescape, na_action="ignore")
+def html_unescape(c: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(html.unescape, na_action="ignore")
 
+    return run(c)
 
-@F.pandas_udf("string")
-def normalized(s: pd.Series) -> pd.Series:
+
+def normalized(c: Column) -> Column:
     """NFKC, soft hyphens dropped, white space to single blanks, casefolded; null is ''."""
 
-    def one(x: object) -> str:
+    def one(x: str | None) -> str:
         return " ".join(unicodedata.normalize("NFKC", x or "").replace("\u00ad", "").split()).casefold()
 
-    return s.map(one)
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(one)
+
+    return run(c)
 
 
 #: Opens a document's bytes: gives for each page (html, width, height, gray samples), or raises.
