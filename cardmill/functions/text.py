@@ -15,6 +15,11 @@ _SPACE = r"[\s\x1c-\x1f]"
 _REG_LETTERS = "A-Za-zА-Яа-яІіЇїЄє"
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, also where body uses it inside of lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c: Column) -> Column:
     """without Unicode white space at both ends."""
     return F.regexp_replace(c, rf"(?U)^{_SPACE}+|{_SPACE}+\z", "")
@@ -90,7 +95,7 @@ def url_with(base: str, params: dict[str, Column]) -> Column:
 
 def last_path_part(url: Column) -> Column:
     """the last part of a URL's path."""
-    return basename(F.rtrim(F.lit("/"), F.coalesce(F.parse_url(url, F.lit("PATH")), F.lit(""))))
+    return basename(F.rtrim(F.coalesce(F.parse_url(url, F.lit("PATH")), F.lit("")), F.lit("/")))
 
 
 def page_count(total: Column, size: Column) -> Column:

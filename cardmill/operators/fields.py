@@ -132,7 +132,9 @@ def pattern(label: str, block: bool) -> str:
 
 def field(text: Column, label: str, block: bool = LINE) -> Column:
     """The value of the first occurrence of a label, '' without one."""
-    return F.regexp_replace(strip(F.regexp_extract(text, pattern(label, block), 1)), r"\n{3,}", "\n\n")
+    value = F.regexp_replace(strip(F.regexp_extract(text, pattern(label, block), 1)), r"\n{3,}", "\n\n")
+    # a plain search for the label's first word spares most texts the pattern
+    return F.when(F.contains(text, F.lit(label.split()[0])), value).otherwise("")
 
 
 def first_of(*values: Column) -> Column:

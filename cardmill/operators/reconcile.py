@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import count_mismatch, is_doc_id, server_500
+from ..functions.text import count_mismatch, is_doc_id, server_500, strip
 
 # The wording of a count mismatch in the logs.
 ANNOUNCED, LISTED = "сайт объявил", "собрано уникальных doc_id"
@@ -34,7 +34,7 @@ def only_in(flags: DataFrame, inside: list[str], outside: list[str]) -> DataFram
 
 def error_log(lines: DataFrame) -> DataFrame:
     """Lines (year, line_no, value) of a log to its fields; short lines go."""
-    parts = F.transform(F.split("value", r"\|"), F.trim)
+    parts = F.transform(F.split("value", r"\|"), lambda x: strip(x))
     p = lines.withColumn("p", parts).filter(F.size("p") >= 6)
     names = ["timestamp", "day", "status", "registration", "doc_id", "reason", "url"]
     return p.select("year", "line_no", *(F.coalesce(F.try_element_at("p", F.lit(i + 1)), F.lit("")).alias(n) for i, n in enumerate(names)), (F.size("p") >= 7).alias("complete"))

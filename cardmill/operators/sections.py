@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.text import lstrip, strip
+from ..functions.text import let, lstrip, strip
 
 #: The section numerals in order.
 NUMERALS = "I II III IV V VI VII VIII IX X".split()
@@ -26,7 +26,6 @@ def headers(text: Column) -> Column:
     """
     plain = F.translate(text, _MARK + _OPEN + _CLOSE, "")
     marked = F.regexp_replace(plain, _HEADER, f"{_MARK}$2{_OPEN}$1{_CLOSE}")
-    chunks = F.split(marked, _MARK)
     ranks = F.array(*map(F.lit, NUMERALS))
 
     def one(chunk: Column) -> Column:
@@ -37,7 +36,7 @@ def headers(text: Column) -> Column:
             F.substring_index(rest, _CLOSE, -1).alias("body"),
         )
 
-    return F.transform(F.slice(chunks, F.lit(2), F.greatest(F.size(chunks) - 1, F.lit(0))), one)
+    return let(F.split(marked, _MARK), lambda c: F.transform(F.slice(c, F.lit(2), F.greatest(F.size(c) - 1, F.lit(0))), one))
 
 
 def longest_rising(ranks: Column) -> Column:
@@ -48,28 +47,36 @@ def longest_rising(ranks: Column) -> Column:
     start = F.expr("CAST(array() AS array<struct<v:int, len:int, prev:int>>)")
 
     def grow(acc: Column, v: Column) -> Column:
-        longest = F.aggregate(acc, F.lit(0), lambda m, x: F.when((x["v"] < v) & (x["len"] > m), x["len"]).otherwise(m))
-        prev = F.array_position(F.transform(acc, lambda x: (x["v"] < v) & (x["len"] == longest)), True).cast("int")
-        return F.concat(acc, F.array(F.struct(v.alias("v"), (longest + 1).alias("len"), F.when(longest > 0, prev).otherwise(0).alias("prev"))))
+        before = F.aggregate(acc, F.lit(0), lambda m, x: F.when((x["v"] < v) & (x["len"] > m), x["len"]).otherwise(m))
 
-    runs = F.aggregate(F.coalesce(ranks, F.expr("CAST(array() AS array<int>)")), start, grow)
-    last = F.array_max(F.transform(runs, lambda x, i: F.struct(x["len"].alias("len"), (i + 1).alias("at"))))["at"]
-    state = F.struct(F.coalesce(last, F.lit(0)).alias("at"), F.expr("CAST(array() AS array<int>)").alias("chain"))
+        def grown(longest: Column) -> Column:
+            prev = F.array_position(F.transform(acc, lambda x: (x["v"] < v) & (x["len"] == longest)), True).cast("int")
+            return F.concat(acc, F.array(F.struct(v.alias("v"), (longest + 1).alias("len"), F.when(longest > 0, prev).otherwise(0).alias("prev"))))
 
-    def back(s: Column, _: Column) -> Column:
-        here = F.try_element_at(runs, F.greatest(s["at"], F.lit(1)))
-        return F.when(s["at"] > 0, F.struct(F.coalesce(here["prev"], F.lit(0)).alias("at"), F.concat(F.array(s["at"]), s["chain"]).alias("chain"))).otherwise(s)
+        return let(before, grown)
 
-    return F.aggregate(runs, state, back, lambda s: s["chain"])
+    def traced(runs: Column) -> Column:
+        last = F.array_max(F.transform(runs, lambda x, i: F.struct(x["len"].alias("len"), (i + 1).alias("at"))))["at"]
+        state = F.struct(F.coalesce(last, F.lit(0)).alias("at"), F.expr("CAST(array() AS array<int>)").alias("chain"))
+
+        def back(s: Column, _: Column) -> Column:
+            prev = F.try_element_at(runs, F.greatest(s["at"], F.lit(1)))["prev"]
+            return F.when(s["at"] > 0, F.struct(F.coalesce(prev, F.lit(0)).alias("at"), F.concat(F.array(s["at"]), s["chain"]).alias("chain"))).otherwise(s)
+
+        return F.aggregate(runs, state, back, lambda s: s["chain"])
+
+    return let(F.aggregate(F.coalesce(ranks, F.expr("CAST(array() AS array<int>)")), start, grow), traced)
 
 
 def section_body(body: Column) -> Column:
     """Without the title line (a first line without a colon); a single line without a colon is no body."""
-    b = strip(body)
-    line = F.substring_index(b, "\n", 1)
-    titled = ~F.contains(line, F.lit(":"))
-    rest = F.when(F.contains(b, F.lit("\n")), lstrip(F.substr(b, F.length(line) + 2))).otherwise("")
-    return F.when(titled, rest).otherwise(b)
+
+    def untitled(b: Column) -> Column:
+        line = F.substring_index(b, "\n", 1)
+        rest = F.when(F.contains(b, F.lit("\n")), lstrip(F.substr(b, F.length(line) + 2))).otherwise("")
+        return F.when(F.contains(line, F.lit(":")), b).otherwise(rest)
+
+    return let(strip(body), untitled)
 
 
 def split_sections(text: Column) -> Column:
@@ -77,16 +84,18 @@ def split_sections(text: Column) -> Column:
 
     A dropped header is part of the kept section before it; what stands before the first kept header is part of none.
     """
-    found = headers(F.coalesce(text, F.lit("")))
-    chain = longest_rising(F.transform(found, lambda h: h["rank"]))
+    numerals = F.array(*map(F.lit, NUMERALS))
+
+    def entries(found: Column, chain: Column) -> Column:
+        def entry(at: Column, i: Column) -> Column:
+            to = F.coalesce(F.try_element_at(chain, (i + 2).cast("int")), F.size(found) + 1)
+            parts = F.transform(F.slice(found, at, to - at), lambda h, k: F.when(k == 0, h["body"]).otherwise(F.concat(h["header"], h["body"])))
+            return F.struct(F.element_at(numerals, F.element_at(found, at)["rank"]).alias("key"), section_body(F.array_join(parts, "")).alias("value"))
 
-    def entry(at: Column, i: Column) -> Column:
-        to = F.coalesce(F.try_element_at(chain, (i + 2).cast("int")), F.size(found) + 1)
-        parts = F.transform(F.slice(found, at, to - at), lambda h, k: F.when(k == 0, h["body"]).otherwise(F.concat(h["header"], h["body"])))
-        return F.struct(F.element_at(F.array(*map(F.lit, NUMERALS)), F.element_at(found, at)["rank"]).alias("key"), section_body(F.array_join(parts, "")).alias("value"))
+        return F.map_from_entries(F.transform(chain, entry))
 
-    filled = F.map_from_entries(F.transform(chain, entry))
-    return F.transform_values(F.map_from_arrays(F.array(*map(F.lit, NUMERALS)), F.array(*map(F.lit, [""] * 10))), lambda k, v: F.coalesce(F.try_element_at(filled, k), v))
+    filled = let(headers(F.coalesce(text, F.lit(""))), lambda found: let(longest_rising(F.transform(found, lambda h: h["rank"])), lambda chain: entries(found, chain)))
+    return let(filled, lambda m: F.map_from_arrays(numerals, F.transform(numerals, lambda k: F.coalesce(F.try_element_at(m, k), F.lit("")))))
 
 
 def section_count(sections: Column) -> Column:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import queries_sets, queries_text
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES = queries_text.QUERIES | queries_sets.QUERIES
+ORACLES = queries_text.ORACLES | queries_sets.ORACLES

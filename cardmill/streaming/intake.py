@@ -22,8 +22,8 @@ TERMINAL = ("ok", "skip", "notpdf", "server500")
 def calendar(years: DataFrame) -> DataFrame:
     """all days of each year."""
     y = F.col("year").cast("string")
-    day = F.explode(days(F.concat(y, F.lit("-01-01")), F.concat(y, F.lit("-12-31"))))
-    return years.select("year", F.date_format(day, "yyyy-MM-dd").alias("day"))
+    all_days = years.select("year", F.explode(days(F.concat(y, F.lit("-01-01")), F.concat(y, F.lit("-12-31")))).alias("day"))
+    return all_days.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 def unfinished(years: DataFrame, state: DataFrame) -> DataFrame:
