@@ -46,7 +46,7 @@ class Join:
     percent: int = 85  # of the union that the overlap must reach
     growth: float = 1.6  # of size classes
     spare: float = 0.25  # blocks beyond the least number
-    common: int = 1 << 21
+    common: int = 1 << 19
     least_common: int = 3  # texts of one task that make a column a candidate
     seeds: int = 6
     rows: int = 3000
@@ -97,12 +97,12 @@ class Common:
 
     def __init__(self, h: np.ndarray):
         self.h = np.sort(h)
-        self.may = np.zeros(1 << 24, bool)
-        self.may[(self.h >> U(40)).astype(np.int64)] = True
+        self.may = np.zeros(1 << 22, bool)
+        self.may[(self.h >> U(42)).astype(np.int64)] = True
 
     def rare(self, h: np.ndarray) -> np.ndarray:
         out = np.ones(len(h), bool)
-        ask = np.flatnonzero(self.may[(h >> U(40)).astype(np.int64)])
+        ask = np.flatnonzero(self.may[(h >> U(42)).astype(np.int64)])
         if len(ask):
             at = np.minimum(np.searchsorted(self.h, h[ask]), len(self.h) - 1)
             out[ask[self.h[at] == h[ask]]] = False
@@ -192,7 +192,7 @@ def _common_columns(join: Join):
                 own[rep] = True  # copies count once
                 held.append(s.h[own[s.doc]])
                 size += len(held[-1])
-                if size > 6_000_000:
+                if size > 2_000_000:
                     yield out()
                     held, size = [], 0
         if held:
@@ -229,8 +229,9 @@ def _signature_rows(join: Join, common):
     return run
 
 
-def _chains(percent: int, chunk: int = 2_000_000):
-    """Edges that connect the nodes of each signature of a task, as one star per local component.
+def _chains(percent: int, chunk: int = 1_000_000, together: int = 16):
+    """Edges that connect the nodes of each signature of a task, as one star per local component; packed, with the group of
+    `together` tasks in which they are to be merged.
 
     Nodes of a signature are chained by size where two neighbours' sizes allow a link: where they
     don't, no pair across them does. Rows come in bounded chunks; of those seen before, a chain's nodes stand
@@ -238,6 +239,8 @@ def _chains(percent: int, chunk: int = 2_000_000):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         seen = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
 
         def edges(held: list) -> pa.RecordBatch:
@@ -251,7 +254,8 @@ def _chains(percent: int, chunk: int = 2_000_000):
             new[1:] = ~same | (n[1:] != n[:-1])
             seen = [sig[new], node[new], n[new]]
             a, b = local_components(node[1:][link], node[:-1][link])
-            return pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
+            group = TaskContext.get().partitionId() // together
+            return pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), *(pa.array([x[a != b].tobytes()], pa.binary()) for x in (a, b))], ["part", "a", "b"])
 
         held, size = [], 0
         for b in batches:
@@ -266,6 +270,17 @@ def _chains(percent: int, chunk: int = 2_000_000):
     return run
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed edges of several tasks as one star per component of them."""
+    a = b = np.zeros(0, np.int64)
+    for batch in batches:
+        for x, y in zip(column(batch, "a").to_pylist(), column(batch, "b").to_pylist(), strict=True):
+            a, b = local_components(np.concatenate((a, np.frombuffer(x, np.int64))), np.concatenate((b, np.frombuffer(y, np.int64))))
+            a, b = a[a != b], b[a != b]
+    for i in range(0, len(a), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(a[i : i + 100_000]), pa.array(b[i : i + 100_000])], ["a", "b"])
+
+
 def links(h: np.ndarray, doc: np.ndarray, n: np.ndarray, percent: int, apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs of rows of one incidence block: entries (doc, h), row sizes n.
 
@@ -347,7 +362,8 @@ def jaccard_classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
     sets = written(text.mapInArrow(_set_rows(join), "doc_id long, n_shingles long, node long"), "sets")
     common = spark.sparkContext.broadcast(common_columns(text, join))
     sigs = text.select("text").mapInArrow(_signature_rows(join, common), "sig long, node long, n int")
-    edges = sigs.repartition("sig").mapInArrow(_chains(join.percent), "a long, b long")
+    packed = sigs.repartition("sig").mapInArrow(_chains(join.percent), "part int, a binary, b binary")
+    edges = packed.repartition("part").mapInArrow(_merged, "a long, b long")
     cluster = connected_components(edges)
 
     # one text of each node, dealt to blocks of its cluster
@@ -375,7 +391,7 @@ def one_of_each(docs: DataFrame, join: Join = Join(words=5, percent=80)) -> Data
     found = written(jaccard_classes(docs, join), "classes")
     ident = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
     keep = found.groupBy(F.coalesce(F.col("component_id"), F.lit(NO_ID)).alias("id")).agg(F.count("*").alias("copies"))
-    rows = docs.withColumn("_id", ident).join(keep.select(F.col("id").alias("_id")), "_id", "left_semi").drop("_id")
+    rows = docs.withColumn("__id", ident).join(keep.select(F.col("id").alias("__id")), "__id", "left_semi").drop("__id")
     twice = found.groupBy("doc_id", "node").count().filter("count > 1")
     return rows if twice.isEmpty() else rows.dropDuplicates(["doc_id", "text"])
 

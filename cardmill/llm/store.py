@@ -45,6 +45,6 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def arrow_limits(spark: SparkSession, mb: int = 8) -> None:
+def arrow_limits(spark: SparkSession, mb: int = 4) -> None:
     """Bound what one Arrow batch holds, so that long texts don't fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))

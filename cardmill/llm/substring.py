@@ -91,7 +91,7 @@ def _windows(r: Repeats):
         for b in batches:
             for c in chunks(b):
                 w = Words(column(c, "text"))
-                row, (at, n, kind) = _lists(column(c, "spans"))
+                row, (at, n, kind) = _lists(column(c, "__spans"))
                 look = kind != REPEATED
                 row, at, n, kind = row[look], at[look], n[look], kind[look]
                 k = np.repeat(np.arange(len(n)), n)
@@ -106,12 +106,12 @@ def _windows(r: Repeats):
 
 
 def repeated_spans(docs: DataFrame, r: Repeats = Repeats()) -> tuple[DataFrame, DataFrame]:
-    """docs with spans of repeated windows, array<struct<at, n, kind>> in column `spans`, in two parts:
+    """docs with spans of repeated windows, array<struct<at, n, kind>> in column `__spans`, in two parts:
     rows that needed no extension and the others. Word positions count from 0."""
     spark = docs.sparkSession
     arrow_limits(spark)
-    docs = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
-    found = written(docs.select("rid", "text").mapInArrow(_anchors(r), _ANCHORS), "anchors")
+    docs = docs.withColumn("__rid", F.xxhash64("doc_id", "text"))
+    found = written(docs.select(F.col("__rid").alias("rid"), "text").mapInArrow(_anchors(r), _ANCHORS), "anchors")
     # only occurrences of anchors that are found twice go on
     twice = found.groupBy("anchor").agg(F.count("*").alias("all")).filter("all > 1").select("anchor")
     own = written(found.join(twice, "anchor").withColumn("place", F.xxhash64("rid", "at")), "seeds")
@@ -120,18 +120,18 @@ def repeated_spans(docs: DataFrame, r: Repeats = Repeats()) -> tuple[DataFrame,
     kinds = stretch.groupBy("anchor").agg(F.count("*").alias("kinds"))
     known = (F.col("kinds") > 1) & (F.col("place") == F.col("one"))
     what = F.when(F.col("same") == 1, F.array(F.lit(SINGLE))).when(known, F.array(F.lit(KNOWN), F.lit(REPEATED))).otherwise(F.array(F.lit(REPEATED)))
-    spans = own.join(stretch.join(kinds, "anchor"), ["anchor", "stretch"]).select("rid", "at", "n", F.explode(what).alias("kind")).groupBy("rid").agg(F.collect_list(F.struct("at", "n", "kind")).alias("spans"))
-    joined = written(docs.join(spans, "rid", "left"), "spans")
+    spans = own.join(stretch.join(kinds, "anchor"), ["anchor", "stretch"]).select("rid", "at", "n", F.explode(what).alias("kind")).groupBy(F.col("rid").alias("__rid")).agg(F.collect_list(F.struct("at", "n", "kind")).alias("__spans"))
+    joined = written(docs.join(spans, "__rid", "left"), "spans")
     dropped(own)
 
-    look = F.exists("spans", lambda x: x["kind"] != REPEATED)
-    plain = joined.filter(F.col("spans").isNull() | ~look)
+    look = F.exists("__spans", lambda x: x["kind"] != REPEATED)
+    plain = joined.filter(F.col("__spans").isNull() | ~look)
     open_ = joined.filter(look)
-    w = written(open_.select("rid", "text", "spans").mapInArrow(_windows(r), "w0 long, w1 long, rid long, pos int, kind int"), "windows")
+    w = written(open_.select(F.col("__rid").alias("rid"), "text", "__spans").mapInArrow(_windows(r), "w0 long, w1 long, rid long, pos int, kind int"), "windows")
     twice = w.groupBy("w0", "w1").agg(F.sum("kind").alias("weight")).filter("weight > 1")
-    hit = w.filter(F.col("kind") == SINGLE).join(twice, ["w0", "w1"]).groupBy("rid").agg(F.collect_list(F.struct(F.col("pos").alias("at"), F.lit(1).alias("n"), F.lit(REPEATED).alias("kind"))).alias("more"))
-    closed = open_.join(hit, "rid", "left").withColumn("spans", F.concat(F.filter("spans", lambda x: x["kind"] == REPEATED), F.coalesce("more", F.expr("array()").cast("array<struct<at:int,n:int,kind:int>>")))).drop("more")
-    return plain.drop("rid"), closed.drop("rid")
+    hit = w.filter(F.col("kind") == SINGLE).join(twice, ["w0", "w1"]).groupBy(F.col("rid").alias("__rid")).agg(F.collect_list(F.struct(F.col("pos").alias("at"), F.lit(1).alias("n"), F.lit(REPEATED).alias("kind"))).alias("__more"))
+    closed = open_.join(hit, "__rid", "left").withColumn("__spans", F.concat(F.filter("__spans", lambda x: x["kind"] == REPEATED), F.coalesce("__more", F.expr("array()").cast("array<struct<at:int,n:int,kind:int>>")))).drop("__more")
+    return plain.drop("__rid"), closed.drop("__rid")
 
 
 def removed_words(w: Words, spans: pa.Array, window: int) -> np.ndarray:
@@ -151,7 +151,7 @@ def _finish(r: Repeats, make):
         for b in batches:
             for c in chunks(b):
                 w = Words(column(c, "text"))
-                gone = removed_words(w, column(c, "spans"), r.window)
+                gone = removed_words(w, column(c, "__spans"), r.window)
                 kept, n_gone = [], np.zeros(w.rows, np.int64)
                 data = w.data.tobytes()
                 for d in range(w.rows):
@@ -192,7 +192,7 @@ def repeats(docs: DataFrame, r: Repeats = Repeats()) -> DataFrame:
         for b in batches:
             for c in chunks(b):
                 w = Words(column(c, "text"))
-                gone = removed_words(w, column(c, "spans"), r.window)
+                gone = removed_words(w, column(c, "__spans"), r.window)
                 cut = np.zeros(len(gone) + 1, bool)
                 cut[w.first] = True
                 first = np.flatnonzero(gone & (~np.concatenate(([False], gone[:-1])) | cut[:-1])) if len(gone) else np.zeros(0, int)
@@ -202,7 +202,7 @@ def repeats(docs: DataFrame, r: Repeats = Repeats()) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([column(c, "doc_id").cast(pa.int64()).take(pa.array(doc)), pa.array(first - w.first[doc]), pa.array(last - first + 1), pa.array(words, pa.string())], ["doc_id", "first_word", "n_words", "words"])
 
     plain, closed = repeated_spans(docs, r)
-    return plain.unionByName(closed).select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, first_word long, n_words long, words string")
+    return plain.unionByName(closed).select("doc_id", "text", "__spans").mapInArrow(run, "doc_id long, first_word long, n_words long, words string")
 
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:

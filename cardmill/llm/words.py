@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240229))
