@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import cyrillic, latin, strip
+from .text import cyrillic, latin, let, strip
 
 #: The text fields that get a language each, in the order of the table.
 TEXT_FIELDS = """
@@ -34,20 +34,18 @@ def field_language(text: Column, short: Callable[[Column], Column] | None = None
     mixed (the reference asks a statistical detector there, which this engine leaves pluggable).
     """
     text = F.coalesce(text, F.lit(""))
-    cyr, lat = cyrillic(text), latin(text)
-    share = cyr / (cyr + lat)
-    asked = F.lit("mixed")
-    if short:
-        found = short(text)
-        asked = F.when(found.isNull(), "unknown").when(found.isin("uk", "en"), found).otherwise("mixed")
-    return (
-        F.when(strip(text) == "", "empty")
-        .when(cyr + lat < 3, "unknown")
-        .when(share >= 0.85, "uk")
-        .when(share <= 0.15, "en")
-        .when(cyr + lat >= 40, "mixed")
-        .otherwise(asked)
-    )
+
+    def decided(n: Column) -> Column:
+        letters, share = n["cyr"] + n["lat"], n["cyr"] / (n["cyr"] + n["lat"])
+        asked = F.lit("mixed")
+        if short:
+            found = n["short"]
+            asked = F.when(found.isNull(), "unknown").when(found.isin("uk", "en"), found).otherwise("mixed")
+        return F.when(letters < 3, "unknown").when(share >= 0.85, "uk").when(share <= 0.15, "en").when(letters >= 40, "mixed").otherwise(asked)
+
+    asks = [short(text).alias("short")] if short else []
+    counted = let(F.struct(cyrillic(text).alias("cyr"), latin(text).alias("lat"), *asks), decided)
+    return F.when(strip(text) == "", "empty").otherwise(counted)
 
 
 def row_language(fields: list[Column], short=None) -> Column:

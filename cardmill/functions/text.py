@@ -127,7 +127,7 @@ def cyrillic(text: Column) -> Column:
 
 def latin(text: Column) -> Column:
     """how many ASCII letters."""
-    return F.length(F.regexp_replace(text, "[^A-Za-z]", ""))
+    return F.length(F.regexp_replace(text, "[^A-Za-z]+", ""))
 
 
 def server_500(reason: Column) -> Column:
