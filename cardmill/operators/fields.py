@@ -245,6 +245,8 @@ def with_data_fields(df: DataFrame, sections: str = "sections", strict_names: bo
     """df with the 73 columns in place of its map of sections. Each section is taken out of the map once."""
     from .sections import NUMERALS
 
+    # Over a hundred patterns make a method that the JVM would never compile; below this size Spark splits them instead.
+    df.sparkSession.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     names = {n: f"_section_{n}" for n in NUMERALS}
     own = df.withColumns({c: F.col(sections)[n] for n, c in names.items()})
     return own.withColumns(data_fields({n: F.col(c) for n, c in names.items()}, strict_names)).drop(sections, *names.values())
