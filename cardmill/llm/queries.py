@@ -10,6 +10,7 @@ from .ann import op10_multiprobe_ann
 from .lattice import op7_piece_sampling
 from .licenses import op5_license_scan
 from .ngram_join import op8_ngram_jaccard_join
+from .oracles import ORACLES
 from .packing import op3_vector_packing
 from .quality import op9_quality_rules
 from .substring import op2_substring_dedup
@@ -17,6 +18,8 @@ from .suffix_tree import op1_suffix_tree_scores
 from .toxicity import op4_weak_supervision_toxicity
 from .warc import op6_warc_index_merge
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_tree_scores": op1_suffix_tree_scores,
     "op2_substring_dedup": op2_substring_dedup,
@@ -29,6 +32,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_multiprobe_ann": op10_multiprobe_ann,
 }
-
-#: DuckDB SQL where SQL can express the query at a bearable cost.
-ORACLES: dict[str, str] = {}

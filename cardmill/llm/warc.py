@@ -203,4 +203,5 @@ def merge_index(runs: DataFrame) -> DataFrame:
 def op6_warc_index_merge(spark, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     write_archives(documents(spark, sf_dir, "pages"), path)
-    return merge_index(written(read_index(spark, path), "warc-runs"))
+    index = merge_index(written(read_index(spark, path), "warc-runs"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
