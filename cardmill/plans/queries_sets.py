@@ -16,7 +16,7 @@ from ..operators import variants as W
 from ..sources import sinks as K
 from ..streaming import intake as T
 from .build import delivery_checks
-from .queries_text import MEMBER, member_name, s, table
+from .queries_text import MEMBER, _card, member_name, s, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -451,6 +451,73 @@ def table_statistics(spark, sf_dir):
     return V.table_statistics(d.select(F.col("source").alias("year"), F.md5("text").alias("doc_id"), F.when(F.col("lang") == "en", "warning").when(F.col("lang") == "fr", "failed").otherwise("ok").alias("extraction_status")))
 
 
+_CARDS = """(SELECT 2022 AS year, md5(o_custkey::VARCHAR) AS doc_id, '2022/2022U' || o_orderkey || '_' || md5(o_custkey::VARCHAR) || '.pdf' AS member, o_orderkey AS k, o_orderkey % 5 = 0 AS bad,
+  5 * length(o_orderkey::VARCHAR) + 3 * length(o_orderpriority) + 3 * length(o_orderstatus) + length((o_orderkey * 3)::VARCHAR) AS chars FROM orders)"""
+
+
+@query(f"""SELECT doc_id, coalesce(max_by(member, (chars, member)) FILTER (NOT bad), min(member)) AS source_member, count(*)::BIGINT AS variants, coalesce(max_by(k::VARCHAR, (chars, member)) FILTER (NOT bad), '') AS registration_number,
+  CASE WHEN bool_and(bad) THEN 'failed' ELSE 'warning' END AS extraction_status, coalesce(string_agg(member || ': damaged', ' | ' ORDER BY member) FILTER (bad), '') AS extraction_error,
+  CASE WHEN bool_and(bad) THEN 'pdf_parse_failed' ELSE 'missing_critical_fields;few_nonempty_sections;registration_number_mismatch' || CASE WHEN bool_or(bad) THEN ';other_variant_parse_failed' ELSE '' END END AS quality_warnings,
+  CASE WHEN bool_and(bad) THEN 'unknown' ELSE 'uk' END AS kind FROM {_CARDS} GROUP BY doc_id""")
+def card_records(spark, sf_dir):
+    """Whole cards, one record for each document; every fifth copy can't be read."""
+    o = _card(table(spark, sf_dir, "orders"))
+    bad = F.col("o_orderkey") % 5 == 0
+    ident = F.md5(s("o_custkey"))
+    v = o.select(F.lit(2022).alias("year"), ident.alias("doc_id"), F.concat(F.lit("2022/2022U"), s("o_orderkey"), F.lit("_"), ident, F.lit(".pdf")).alias("member"), F.when(~bad, F.col("text")).alias("text"), F.when(bad, "damaged").alias("error"))
+    r = W.best_records(v)
+    kind = F.when(F.col("extraction_status") == "failed", F.col("language")).otherwise(F.lit("uk"))
+    return r.select("doc_id", "source_member", F.col("pdf_variant_count").cast("long").alias("variants"), "registration_number", "extraction_status", "extraction_error", "quality_warnings", kind.alias("kind"))
+
+
+@query("""SELECT doc_id, n::BIGINT AS variant_count, readable::BIGINT AS readable_count, selected AS selected_member, CASE WHEN selected = tab THEN 'yes' ELSE 'no' END AS matches, CASE WHEN readable = n AND nt = 1 THEN 'yes' ELSE 'no' END AS normalized_text_equal
+  FROM (SELECT md5(o_custkey::VARCHAR) AS doc_id, count(*) AS n, count(*) FILTER (o_orderkey % 3 <> 0) AS readable, coalesce(max_by('m' || o_orderkey, (o_orderkey % 4, o_orderkey % 2 = 0, o_orderkey, 'm' || o_orderkey)) FILTER (o_orderkey % 3 <> 0), '') AS selected,
+    count(DISTINCT o_orderstatus) AS nt, coalesce(max('m' || o_orderkey) FILTER (o_orderkey % 2 = 0), '') AS tab FROM orders GROUP BY 1 HAVING count(*) > 1)""")
+def duplicate_audit(spark, sf_dir):
+    """The audit's choice beside the table's."""
+    k = F.col("o_orderkey")
+    ident, member = F.md5(s("o_custkey")), F.concat(F.lit("m"), s("o_orderkey"))
+    empty = [F.lit("").alias(c) for c in ("source_file", "sha256", "registration_filename", "render_sha256", "error", "registration_internal", "state_registration", "title_uk", "title_en")]
+    o = table(spark, sf_dir, "orders")
+    v = o.select(F.lit(2022).alias("year"), ident.alias("doc_id"), member.alias("member"), *empty, k.alias("bytes"), (k % 3 != 0).alias("readable"), F.lit(2).alias("pages"), (2 - k % 2).cast("int").alias("opened_pages"), F.lit(1).alias("text_chars"), F.col("o_orderstatus").alias("text_sha256"), F.struct((k % 4).alias("q")).alias("quality"))
+    chosen = o.filter("o_orderkey % 2 = 0").groupBy(ident.alias("doc_id")).agg(F.max(member).alias("source_member"))
+    g = D.audit_groups(v, chosen)
+    return g.select("doc_id", F.col("variant_count").cast("long").alias("variant_count"), F.col("readable_count").cast("long").alias("readable_count"), "selected_member", F.col("table_selection_matches_audit").alias("matches"), "normalized_text_equal")
+
+
+@query("SELECT 2022 AS year, count(*) AS physical, 0::BIGINT AS unparsed, count(DISTINCT md5(left(text, 40))) AS doc_ids FROM documents")
+def inventory(spark, sf_dir):
+    """S9."""
+    return C.inventory(_refs(spark, sf_dir))
+
+
+@query("SELECT 2022 AS year, strftime(d, '%Y-%m-%d') AS day, string_agg(DISTINCT id, ';' ORDER BY id) AS ids FROM (SELECT DATE '2022-03-01' + (doc_id % 28)::INTEGER AS d, md5(text) AS id FROM documents) GROUP BY 2")
+def ids_by_date(spark, sf_dir):
+    """S16."""
+    from ..sources.files import ids_by_date as by_date
+
+    names = table(spark, sf_dir, "documents").select(F.lit(2022).alias("year"), member_name().alias("name"))
+    return by_date(names).select("year", "day", F.array_join("doc_ids", ";").alias("ids"))
+
+
+@query("SELECT c_custkey::VARCHAR AS doc_id FROM customer WHERE c_custkey % 3 = 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 2 = 0)")
+def patch_entries(spark, sf_dir):
+    """K14, J12."""
+    c = table(spark, sf_dir, "customer").select(F.lit(2022).alias("year"), s("c_custkey").alias("doc_id"), "c_custkey")
+    held = table(spark, sf_dir, "orders").filter("o_custkey % 2 = 0").select(F.lit(2022).alias("year"), s("o_custkey").alias("doc_id"))
+    return K.patch_entries(c.select("year", "doc_id"), c.filter("c_custkey % 3 = 0").select("year", "doc_id"), held).select("doc_id")
+
+
+@query("SELECT y::INTEGER AS year, n AS listed, n % 2 = 0 AND y % 3 <> 0 AS whole FROM (SELECT year(o_orderdate) AS y, count(*) AS n FROM orders GROUP BY 1)")
+def annual_check(spark, sf_dir):
+    """T9, A21."""
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"))
+    n = o.groupBy("year").agg(F.count("*").alias("n"))
+    days = n.select("year", F.col("n").alias("listed"), F.lit(True).alias("complete"))
+    totals = n.select("year", (F.col("n") + F.col("n") % 2).alias("annual_total"))
+    return T.annual_check(days, totals, n.filter("year % 3 = 0").select("year")).select("year", "listed", "whole")
+
+
 @query()
 def stream_dedup(spark, sf_dir):
     """Events as a file stream, each id once, exactly once into Parquet. A demonstration of this engine."""

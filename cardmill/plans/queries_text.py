@@ -29,6 +29,11 @@ def query(sql: str | None = None):
     return add
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small file is one task's; rows that cost milliseconds each are dealt out before they grow to texts."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -116,7 +121,7 @@ def normalized_text(spark, sf_dir):
 def _card(o: DataFrame) -> DataFrame:
     """A card of sections I, II, VI and X from an order."""
     k = s("o_orderkey")
-    return o.withColumn("text", F.concat(
+    return spread(o).withColumn("text", F.concat(
         F.lit("front matter\n\n I. Загальні відомості\nДержавний обліковий номер: "), k, F.lit("\nДата реєстрації: "), F.date_format("o_orderdate", "yyyy-MM-dd"),
         F.lit("\n  II. Етап роботи\nНомер етапу: "), s(F.col("o_orderkey") % 7), F.lit("\nНазва етапу:\n"), F.col("o_orderpriority"), F.lit("\nпродовження "), k,
         F.lit("\nПочаток етапу: "), F.col("o_orderstatus"), F.lit("\nI. Ініціал у списку\n"), F.lit("VI. Фінансування\nПідстава для проведення ДіР: "), F.col("o_orderpriority"),
@@ -203,7 +208,7 @@ def languages(spark, sf_dir):
     """Cyrillic of varying length before text of varying length."""
     n = F.col("doc_id")
     text = F.when(n % 11 == 0, " \n\t").otherwise(F.concat(F.repeat(F.lit("ж"), (n * 37 % 2000).cast("int")), F.substring("text", F.lit(1), (n % 50 * 20).cast("int"))))
-    return table(spark, sf_dir, "documents").withColumn("t", text).select("doc_id", field_language(F.col("t")).alias("language"), row_language([F.col("t"), F.lit(None).cast("string")]).alias("row_language"))
+    return spread(table(spark, sf_dir, "documents")).withColumn("t", text).select("doc_id", field_language(F.col("t")).alias("language"), row_language([F.col("t"), F.lit(None).cast("string")]).alias("row_language"))
 
 
 @query("""SELECT event_id, json_type(try_cast(props AS JSON)) = 'ARRAY' AS object_is_list, true AS list_is_list, false AS text_is_list FROM events""")
