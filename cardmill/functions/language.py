@@ -45,7 +45,7 @@ def field_language(text: Column, short: Callable[[Column], Column] | None = None
 
     asks = [short(text).alias("short")] if short else []
     counted = let(F.struct(cyrillic(text).alias("cyr"), latin(text).alias("lat"), *asks), decided)
-    return F.when(strip(text) == "", "empty").otherwise(counted)
+    return F.when(text == "", "empty").when(strip(text) == "", "empty").otherwise(counted)
 
 
 def row_language(fields: list[Column], short=None) -> Column:
