@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components, local_components
 from .store import arrow_limits, documents, written
-from .words import U, Words, chunks, column, mix, signed
+from .words import U, Words, chunks, column, mix, release, signed
 
 NO_ID = -(1 << 63)
 
@@ -266,6 +266,7 @@ def _chains(percent: int, chunk: int = 1_000_000, together: int = 16):
                 held, size = [], 0
         if held:
             yield edges(held)
+        release()
 
     return run
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .store import arrow_limits, documents
-from .words import column
+from .words import column, release
 
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 
@@ -190,6 +190,7 @@ def pack_documents(docs: DataFrame, encode: Callable[[str], np.ndarray] | None =
                 pieces += packer.add((doc_id, len(ids)), ids)
             if pieces:
                 yield out(pieces)
+            release()
         if pieces := list(packer.finish()):
             yield out(pieces)
 

@@ -8,6 +8,8 @@ with two independent bases where 128 bits are asked for.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,6 +69,15 @@ def _bytes_of(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offs - offs[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on between tasks, and its peak would stay with it."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it, others don't
+        if trim:
+            trim(0)
+
+
 def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about limit bytes of text each; a longer text stands alone."""
     if batch.num_rows == 0:
@@ -77,6 +88,7 @@ def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES)
         to = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+    release()
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
