@@ -22,10 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import arrow_limits, documents
+from .store import arrow_limits, documents, written
 from .words import U, Words, chunks, column, mix, per_row
 
 # Character classes of bytes: lower and upper case letters, digits, space, line break,
@@ -189,17 +189,11 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str, tuple[np.nd
     At most 1 / lang_share languages of `common` words each reach the driver.
     """
     arrow_limits(docs.sparkSession)
-    found = (
-        docs.select("text", "lang")
-        .mapInArrow(_heavy_words, "lang string, word long, n long")
-        .groupBy("lang", "word")
-        .agg(F.sum("n").alias("n"))
-    )
-    from pyspark.sql import Window
-
+    heavy = docs.select("text", "lang").mapInArrow(_heavy_words, "lang string, word long, n long")
+    found = written(heavy.groupBy("lang", "word").agg(F.sum("n").alias("n")), "heavy-words")
     total = found.filter("word = 0").select("lang", F.col("n").alias("total"))
-    share = total.agg(F.sum("total").alias("all"))
-    large = total.crossJoin(F.broadcast(share)).filter(F.col("total") >= F.col("all") * rules.lang_share)  # one row
+    all_words = total.agg(F.sum("total")).first()[0] or 0
+    large = total.filter(F.col("total") >= all_words * rules.lang_share)  # 1 / lang_share rows at most
     top = (
         found.filter("word != 0")
         .join(F.broadcast(large.select("lang")), "lang")
