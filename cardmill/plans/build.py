@@ -45,7 +45,7 @@ def consolidate(refs: DataFrame) -> dict[str, DataFrame]:
 
 def delivery_checks(account: DataFrame, duplicates: DataFrame) -> DataFrame:
     """One row of equalities and the collection rate, from the totals of both audits."""
-    one = account.crossJoin(F.broadcast(duplicates))  # a row on each side
+    one = account.withColumn("_one", F.lit(1)).join(duplicates.withColumn("_one", F.lit(1)), "_one")  # a row on each side
     t = {
         "site": F.col("site_publications"), "current": F.col("pdf_doc_ids_in_current_site_year"), "no_pdf": F.col("known_no_pdf_doc_ids"), "http_500": F.col("known_http_500_doc_ids"),
         "gap": F.col("known_listing_gap_without_doc_id"), "outside": F.col("archive_pdf_doc_ids_outside_current_site_year"), "unique": F.col("archive_unique_pdf_doc_ids"), "physical": F.col("archive_pdf_entries"),
