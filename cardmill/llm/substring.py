@@ -114,15 +114,19 @@ def repeated_spans(docs: DataFrame, r: Repeats = Repeats()) -> tuple[DataFrame,
     found = written(docs.select(F.col("__rid").alias("rid"), "text").mapInArrow(_anchors(r), _ANCHORS), "anchors")
     # only occurrences of anchors that are found twice go on
     twice = found.groupBy("anchor").agg(F.count("*").alias("all")).filter("all > 1").select("anchor")
-    own = written(found.join(twice, "anchor").withColumn("place", F.xxhash64("rid", "at")), "seeds")
+    seeds = written(found.join(twice, "anchor"), "seeds")
     dropped(found)
+    own = seeds.withColumn("place", F.xxhash64("rid", "at"))
     stretch = own.groupBy("anchor", "stretch").agg(F.count("*").alias("same"), F.min("place").alias("one"))
     kinds = stretch.groupBy("anchor").agg(F.count("*").alias("kinds"))
     known = (F.col("kinds") > 1) & (F.col("place") == F.col("one"))
     what = F.when(F.col("same") == 1, F.array(F.lit(SINGLE))).when(known, F.array(F.lit(KNOWN), F.lit(REPEATED))).otherwise(F.array(F.lit(REPEATED)))
     spans = own.join(stretch.join(kinds, "anchor"), ["anchor", "stretch"]).select("rid", "at", "n", F.explode(what).alias("kind")).groupBy(F.col("rid").alias("__rid")).agg(F.collect_list(F.struct("at", "n", "kind")).alias("__spans"))
-    joined = written(docs.join(spans, "__rid", "left"), "spans")
-    dropped(own)
+    # what the seeds have shuffled goes before the texts move
+    listed = written(spans, "span-lists")
+    dropped(seeds)
+    joined = written(docs.join(listed, "__rid", "left"), "spans")
+    dropped(listed)
 
     look = F.exists("__spans", lambda x: x["kind"] != REPEATED)
     plain = joined.filter(F.col("__spans").isNull() | ~look)
