@@ -1,25 +1,25 @@
 """Language-model scoring by a probabilistic suffix tree.
 
-Alphabet. Words that are at least `symbol_share` of the training tokens are symbols of their own, and so
-is the end of a text; all other words share the symbol of their spelling class. There are
-1 / symbol_share + 7 symbols at most, at every corpus size.
+Alphabet. Every word of the training texts is a symbol of its own, and so is the end of a text; a word that no training text
+has is one of six symbols by its spelling. The alphabet grows with the corpus.
 
-Tree. A state is a context of up to three symbols. It is a candidate where it is at least `context_share` of the
-tokens; its next-symbol counts are kept where they are at least `pair_share` of them (both limits
-are shares, so the tree's size is bounded at every corpus size: `depth / pair_share` counts). It is retained where
-its next symbols diverge from those of its parent: the log-likelihood gain of its counts must
-exceed half the logarithm of the token number for each of them. Parents of retained states are retained.
+Tree. A state is a context of up to three symbols. Contexts and next-symbol counts are candidates from `context_count` and
+`pair_count` occurrences on, which are absolute, and exact: each distinct sequence of three symbols and the next one is counted once
+over all texts, and the shorter ones are sums of these. A state is retained where its next symbols diverge from those of its parent:
+the log-likelihood gain of its counts must exceed half the logarithm of the token number for each of them. Parents of retained states
+are retained. Nothing else bounds the tree.
 
 Smoothing. Counts are discounted by a constant and the state's rest goes to its parent's distribution. A text starts
-behind an end. The root has add-half counts. A word of a class has its discounted share of the class; what
-the discounts free is the probability of an unseen word of that class. So the probabilities of all
-words, unseen ones and the end sum to 1 in each state, and a token is scored in the longest
+behind an end; what lies before that is one more symbol, whose contexts say no more than their parents and so are never retained.
+At the root each word is discounted; what that frees, and half a count, is the probability of an unseen word of its spelling. So the
+probabilities of all words, unseen ones and the end sum to 1 in each state, and a token is scored in the longest
 suffix state of what precedes it.
 
-Passes. (1) Words of large share: segments of texts send what is large in them, which cannot miss any.
-(2) Pairs of large share, likewise, then counted exactly. (3) All other words meet their own counts: a
-segment sends each of its rare words once, with the texts that hold it, and gets back sums for each text. No rare word can be
-hot. (4) Scores, with the tree broadcast (its size is checked against the bound).
+Passes. (1) Segments of texts send their distinct sequences with their counts in training texts (held-out ones are sent with 0), and
+each level of counts is written. (2) States are judged level by level. (3) Each distinct sequence gets its probability from that of
+its suffix, level by level. (4) Segments send their distinct sequences with the texts that hold them; these meet the
+probabilities, and sums come back for each text. Tree, words and scores are tables joined by hashes of 64 bits; none is
+collected or broadcast by demand. A sequence comes once from each segment, so none can be hot.
 
 Nulls: a null text is empty and has its end alone; a null doc_id counts as the text "" in the hold-out rule. Rows
 are told apart by their place in the scan, so repeated rows are scored each. Empty tables give an empty result; with no training text
@@ -33,24 +33,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import arrow_limits, documents, written
-from .words import Words, chunks, column, per_row, release, signed
+from .store import arrow_limits, documents, dropped, written
+from .words import U, Words, chunks, column, mix, release, signed
 
 CLASSES = 6
+_END, _BEFORE = U(0xA24BAED4963EE407), U(0x9FB21C651E98DF25)
 
 
 @dataclass(frozen=True)
 class Tree:
-    symbol_share: float = 2e-5
-    context_share: float = 8e-5
-    pair_share: float = 4e-6
+    context_count: int = 2
+    pair_count: int = 2
     depth: int = 3
     discount: float = 0.5  # of state counts
-    word_discount: float = 0.75  # of words in their class
-    segment: int = 2_000_000  # tokens counted together
+    word_discount: float = 0.75  # of words at the root
+    segment: int = 500_000  # tokens counted together
 
 
 def spelling(w: Words) -> np.ndarray:
@@ -62,41 +62,37 @@ def spelling(w: Words) -> np.ndarray:
 
 
 class Symbols:
-    """Symbols of the tokens of a chunk."""
-
-    def __init__(self, w: Words, frequent: np.ndarray):
-        self.size, self.end = len(frequent) + CLASSES + 1, len(frequent) + CLASSES
-        h = w.hashes()
-        at = np.minimum(np.searchsorted(frequent, h), max(len(frequent) - 1, 0))
-        own = frequent[at] == h if len(frequent) else np.zeros(len(h), bool)
-        self.rare = ~own
-        self.word = np.where(own, at, len(frequent) + spelling(w))
+    """Symbols of the tokens of a chunk, their classes (CLASSES for ends) and texts."""
+
+    def __init__(self, w: Words):
         self.offs = w.first + np.arange(w.rows + 1)
-        self.sym = np.full(len(h) + w.rows, self.end, np.int64)
-        self.place = np.arange(len(h)) + w.doc()
-        self.sym[self.place] = self.word
-
-    def contexts(self, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each depth from 1: codes of the contexts of all tokens, and whether they are that long."""
-        start = np.zeros(len(self.sym), bool)
-        start[self.offs[:-1]] = True
-        code, before, ok, scale = np.zeros(len(self.sym), np.int64), self.sym, np.ones(len(self.sym), bool), 1
+        self.row = np.repeat(np.arange(w.rows), np.diff(self.offs))
+        place = np.arange(len(w.starts)) + w.doc()
+        self.sym = np.full(len(self.row), _END)
+        self.sym[place] = w.hashes()
+        self.cls = np.full(len(self.row), CLASSES, np.int8)
+        self.cls[place] = spelling(w)
+
+    def contexts(self, depth: int) -> Iterator[np.ndarray]:
+        """For each depth from 1: hashes of the contexts of all tokens; each continues that of its parent."""
+        pos = np.arange(len(self.sym)) - self.offs[self.row]
+        code, before = np.zeros(len(self.sym), U), self.sym
         for d in range(depth):
-            before = np.concatenate(([0], before[:-1]))
-            ok = np.concatenate(([False], ok[:-1]))
-            before[start] = self.end if d == 0 else 0
-            ok[start] = d == 0
-            code = code + before * scale
-            scale *= self.size
-            yield code, ok
+            before = np.concatenate((before[:1], before[:-1]))
+            code = mix(code * U(0x9E3779B97F4A7C15) + np.where(pos > d, before, np.where(pos == d, _END, _BEFORE)))
+            yield code
+
+
+def _contexts(depth: int) -> list[str]:
+    return [f"c{d}" for d in range(1, depth + 1)]
 
 
-def _segments(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[Words]]:
+def _segments(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[tuple[pa.RecordBatch, Symbols]]]:
     held, n = [], 0
     for b in batches:
         for c in chunks(b):
-            held.append(Words(column(c, "text"), lower=True))
-            n += int(held[-1].n.sum()) + held[-1].rows
+            held.append((c, Symbols(Words(column(c, "text"), lower=True))))
+            n += len(held[-1][1].sym)
             if n >= size:
                 yield held
                 held, n = [], 0
@@ -104,270 +100,210 @@ def _segments(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[Wor
         yield held
 
 
-def _large_words(t: Tree):
+def _sequences(t: Tree):
+    """Distinct contexts of full depth with the next symbol, of each segment, and their counts in training texts."""
+    names = [*_contexts(t.depth), "sym", "cls", "n"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for seg in _segments(batches, t.segment):
-            h, n = np.unique(np.concatenate([w.hashes() for w in seg]), return_counts=True)
-            tokens = int(n.sum()) + sum(w.rows for w in seg)
-            top = n >= t.symbol_share * tokens
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(signed(h[top]), 0)), pa.array(np.append(n[top], 0).astype(np.int64)), pa.array(np.append(np.zeros(int(top.sum()), np.int64), tokens))], ["word", "n", "tokens"])
+            ctx = [np.concatenate(x) for x in zip(*(list(s.contexts(t.depth)) for _, s in seg), strict=True)]
+            sym, cls = (np.concatenate([getattr(s, x) for _, s in seg]) for x in ("sym", "cls"))
+            learn = np.concatenate([np.array(column(c, "learn"))[s.row] for c, s in seg])
+            _, first, at = np.unique(mix(ctx[-1] * U(0x9E3779B97F4A7C15) + sym), return_index=True, return_inverse=True)
+            n = np.bincount(at, learn).astype(np.int64)
+            out = pa.RecordBatch.from_arrays([*(pa.array(signed(c[first])) for c in ctx), pa.array(signed(sym[first])), pa.array(cls[first]), pa.array(n)], names)
+            for a in range(0, out.num_rows, 20_000):
+                yield out.slice(a, 20_000)
 
     return run
 
 
-def _pairs(frequent: np.ndarray, t: Tree, wanted: list[np.ndarray] | None):
-    """(depth, pair code, count); depth 0 counts symbols. wanted: the pairs to count, else those large in their segment."""
-
-    def out(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        d = np.concatenate([np.full(len(c), d, np.int32) for d, c, _ in rows])
-        return pa.RecordBatch.from_arrays([pa.array(d), pa.array(np.concatenate([c for _, c, _ in rows]).astype(np.int64)), pa.array(np.concatenate([n for _, _, n in rows]).astype(np.int64))], ["depth", "code", "n"])
+class Counts:
+    """Counts of all texts in `texts` (text, learn), and the retained states, as written tables.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = [np.zeros(len(x), np.int64) for x in wanted] if wanted else []
-        for seg in _segments(batches, t.segment if wanted is None else t.segment // 10):
-            codes: list[list[np.ndarray]] = [[] for _ in range(t.depth + 1)]
-            for w in seg:
-                s = Symbols(w, frequent)
-                codes[0].append(s.sym)
-                for d, (code, ok) in enumerate(s.contexts(t.depth), 1):
-                    codes[d].append((code * s.size + s.sym)[ok])
-            rows = []
-            for d, parts in enumerate(codes):
-                c = np.concatenate(parts)
-                if wanted is None:
-                    c, n = np.unique(c, return_counts=True)
-                    top = (n >= t.pair_share * sum(map(len, codes[0]))) | (d == 0)
-                    rows.append((d, c[top], n[top]))
-                elif len(wanted[d]):
-                    at = np.minimum(np.searchsorted(wanted[d], c), len(wanted[d]) - 1)
-                    sums[d] += np.bincount(at[wanted[d][at] == c], minlength=len(wanted[d]))
-            if rows:
-                yield out(rows)
-        if wanted:
-            yield out([(d, wanted[d][n > 0], n[n > 0]) for d, n in enumerate(sums)])
+    levels[d]: (c1 .. cd, sym, cls, n), a row for each distinct sequence; n is 0 where only held-out texts have it.
+    states[d]: (cd, up, total, rest) of the retained contexts; up is the parent, rest the share that goes to it.
+    """
 
-    return run
+    def __init__(self, texts: DataFrame, t: Tree):
+        self.t, self.tables = t, []
+        ctx = _contexts(t.depth)
+        schema = ", ".join([*(f"{c} long" for c in ctx), "sym long, cls byte, n long"])
+        level = texts.select("text", "learn").mapInArrow(_sequences(t), schema)
+        self.levels: list[DataFrame] = []
+        for d in range(t.depth, -1, -1):
+            level = self._keep(level.groupBy(*ctx[:d], "sym").agg(F.max("cls").alias("cls"), F.sum("n").alias("n")), f"level{d}")
+            self.levels.insert(0, level)
+        types = {r.cls: r for r in self.levels[0].groupBy("cls").agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("int")).alias("types")).collect()}  # a row for each class
+        self.tokens = sum(r.n for r in types.values())
+        self.types = sum(r.types for r in types.values())
+        self.unseen = [t.word_discount * (types[r].types if r in types else 0) + 0.5 for r in range(CLASSES)]
+        self.mass = self.tokens + 0.5 * (CLASSES + 1)
+        self.states = self._retained()
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(written(df, name))
+        return self.tables[-1]
+
+    def drop(self) -> None:
+        for x in self.tables:
+            dropped(x)
+
+    def _retained(self) -> list[DataFrame | None]:
+        t, n = self.t, F.col("n")
+        penalty = 0.5 * float(np.log(max(self.tokens, 2)))
+        below = self.levels[0].filter(n >= t.pair_count).select("sym", (n / F.lit(max(self.tokens, 1))).alias("q"))
+        all_, own = [None], [None]
+        for d in range(1, t.depth + 1):
+            c, up = f"c{d}", f"c{d - 1}" if d > 1 else None
+            pair = n >= t.pair_count
+            total = self.levels[d].filter(n > 0).groupBy(c).agg(
+                F.first(up or F.lit(0).cast("long")).alias("up"), F.sum("n").alias("total"), F.sum(F.when(pair, n).otherwise(0)).alias("paired"), F.sum(pair.cast("int")).alias("kinds")
+            )
+            total = self._keep(total.filter((F.col("total") >= t.context_count) & (F.col("kinds") > 0)), f"totals{d}")
+            plain = self.levels[d].filter(pair).join(total.select(c, "total"), c).select(c, *([up] if up else []), "sym", "n", (n / F.col("total")).alias("p"))
+            plain = self._keep(plain, f"pairs{d}")
+            gain = plain.join(below, [*([up] if up else []), "sym"]).groupBy(c).agg(F.sum(n * F.log(F.col("p") / F.col("q"))).alias("gain"))
+            own.append(self._keep(total.join(gain, c).filter(F.col("gain") > penalty * F.col("kinds")).select(c), f"diverging{d}"))
+            all_.append(total.select(c, "up", "total", (1 - (F.col("paired") - t.discount * F.col("kinds")) / F.col("total")).alias("rest")))
+            below = plain.select(c, "sym", F.col("p").alias("q"))
+        states: list[DataFrame | None] = [None] * (t.depth + 1)
+        for d in range(t.depth, 0, -1):
+            keep = own[d] if d == t.depth else own[d].union(states[d + 1].select("up")).distinct()
+            states[d] = self._keep(all_[d].join(keep, f"c{d}", "left_semi"), f"states{d}")
+        return states
+
+    def root(self) -> Column:
+        """Probability of a row of levels[0] without context."""
+        n, cls = F.col("n"), F.col("cls")
+        unseen = F.element_at(F.array(*map(F.lit, self.unseen), F.lit(0.5)), cls.cast("int") + 1)
+        return F.when(cls == CLASSES, n + 0.5).when(n > 0, n - self.t.word_discount).otherwise(unseen) / F.lit(self.mass)
+
+    def scores(self) -> DataFrame:
+        """(context of full depth, sym, p, seen) of each distinct sequence: its probability in its longest state, and how often its symbol was seen."""
+        t = self.t
+        out = self.levels[0].select("sym", self.root().alias("p"), F.col("n").alias("seen"))
+        for d in range(1, t.depth + 1):
+            c, keys = f"c{d}", [*([f"c{d - 1}"] if d > 1 else []), "sym"]
+            rows = self.levels[d].select(c, *keys, "n").join(self.states[d].select(c, "total", "rest"), c, "left").join(out, keys)
+            own = F.when(F.col("n") >= t.pair_count, (F.col("n") - t.discount) / F.col("total")).otherwise(0.0)
+            p = F.when(F.col("total").isNull(), F.col("p")).otherwise(own + F.col("rest") * F.col("p"))
+            out = rows.select(c, "sym", p.alias("p"), "seen")
+        return out
 
 
 class Model:
-    """The tree: for each depth its states with the logarithm of what goes to the parent, and its pairs with their log probabilities."""
-
-    def __init__(self, t: Tree, frequent: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], tokens: int):
-        self.t, self.frequent, self.tokens = t, frequent, tokens
-        self.size = a = len(frequent) + CLASSES + 1
-        self.count = np.zeros(a, np.int64)
-        self.count[pairs[0][0]] = pairs[0][1]
-        self.root = np.log10((self.count + 0.5) / (tokens + 0.5 * a))
+    """The tree on the driver, to look at small ones: symbols are numbered, those of unseen words last."""
+
+    def __init__(self, counts: Counts):
+        t = self.t = counts.t
+        root = counts.levels[0].filter("n > 0").select("sym", counts.root().alias("p")).toArrow()
+        sym, p = (root.column(x).to_numpy() for x in ("sym", "p"))
+        order = np.argsort(sym)
+        self.symbols, self.size = sym[order], len(sym) + CLASSES
+        self.root = np.append(p[order], np.array(counts.unseen) / counts.mass)
         self.states: list[np.ndarray] = []
-        self.rest: list[np.ndarray] = []
-        self.codes: list[np.ndarray] = []
-        self.logp: list[np.ndarray] = []
-        levels = []
+        self.up, self.rest, self.pairs = [], [], []
         for d in range(1, t.depth + 1):
-            code, n = pairs[d]
-            # A context's count is that of its last symbol behind the others.
-            of, count = (np.arange(a), self.count) if d == 1 else (pairs[d - 1][0], pairs[d - 1][1])
-            ctx, sym = code // a, code % a
-            if not len(of):
-                levels.append((np.zeros(0, np.int64),) * 4)
-                continue
-            at = np.minimum(np.searchsorted(of, ctx), len(of) - 1)
-            ok = (of[at] == ctx) & (count[at] >= t.context_share * tokens)
-            levels.append((ctx[ok], sym[ok], n[ok], count[at[ok]]))
-        keep = self._retained(levels)
-        for d, (ctx, sym, n, total) in enumerate(levels, 1):
-            mine = np.isin(ctx, keep[d - 1])
-            ctx, sym, n, total = ctx[mine], sym[mine], n[mine], total[mine]
-            p = np.maximum(n - t.discount, 0) / np.maximum(total, 1)
-            states, at = np.unique(ctx, return_inverse=True)
-            rest = 1 - np.bincount(at, p, minlength=len(states))
-            with np.errstate(divide="ignore"):
-                below = 10.0 ** self._log(d - 1, ctx % a ** (d - 1), sym) if len(ctx) else np.zeros(0)
-                full = np.log10(p + rest[at] * below)
-                order = np.argsort(ctx * a + sym)
-                self.states.append(states)
-                self.rest.append(np.log10(np.maximum(rest, 1e-12)))
-                self.codes.append((ctx * a + sym)[order])
-                self.logp.append(full[order])
-        most = t.depth / t.pair_share + a
-        assert sum(map(len, self.codes)) <= most, "the tree is larger than its bound"
-
-    def _retained(self, levels: list) -> list[np.ndarray]:
-        t, a = self.t, self.size
-        penalty = 0.5 * np.log(max(self.tokens, 2))
-        keep = []
-        probs = [(np.arange(a), 10.0**self.root)]
-        for d, (ctx, sym, n, total) in enumerate(levels, 1):
-            if not len(ctx):
-                keep.append(np.zeros(0, np.int64))
-                probs.append((np.zeros(0, np.int64), np.zeros(0)))
-                continue
-            p = n / total
-            # the parent's plain estimate, its own parent's where it has none
-            q = np.full(len(ctx), np.nan)
-            for up in range(d - 1, -1, -1):
-                code, value = probs[up]
-                own = (ctx % a**up) * a + sym if up else sym
-                if len(code):
-                    at = np.minimum(np.searchsorted(code, own), len(code) - 1)
-                    hit = (code[at] == own) & np.isnan(q)
-                    q[hit] = value[at[hit]]
-            states, at = np.unique(ctx, return_inverse=True)
-            gain = np.bincount(at, n * np.log(np.maximum(p, 1e-300) / np.maximum(q, 1e-300)), minlength=len(states))
-            keep.append(states[gain > penalty * np.bincount(at, minlength=len(states))])
-            order = np.argsort(ctx * a + sym)
-            probs.append(((ctx * a + sym)[order], p[order]))
-        for d in range(len(keep) - 1, 0, -1):
-            keep[d - 1] = np.union1d(keep[d - 1], keep[d] % a**d)
-        return keep
-
-    def _log(self, d: int, ctx: np.ndarray, sym: np.ndarray, ok: np.ndarray | None = None) -> np.ndarray:
-        """log10 P(sym | longest suffix state of ctx of depth d at most)."""
-        out = np.zeros(len(sym))
-        todo = np.arange(len(sym))
-        for k in range(d, 0, -1):
-            states, codes = self.states[k - 1], self.codes[k - 1]
-            if not len(states):
-                continue
-            c, s = ctx[todo] % self.size**k, sym[todo]
-            at = np.minimum(np.searchsorted(states, c), len(states) - 1)
-            there = states[at] == c
-            if ok is not None:
-                there &= ok[k - 1][todo]
-            pair = c * self.size + s
-            hit = np.minimum(np.searchsorted(codes, pair), len(codes) - 1)
-            known = there & (codes[hit] == pair)
-            out[todo[known]] += self.logp[k - 1][hit[known]]
-            down = there & ~known
-            out[todo[down]] += self.rest[k - 1][at[down]]
-            todo = todo[~known]
-        out[todo] += self.root[sym[todo]]
-        return out
-
-    def score(self, s: Symbols) -> np.ndarray:
-        """Of each token of a chunk: the log10 probability of its symbol."""
-        codes = list(s.contexts(self.t.depth))
-        return self._log(self.t.depth, codes[-1][0], s.sym, [ok for _, ok in codes])
-
-
-def _collected(df: DataFrame, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    table = df.toArrow()
-    d, code, n = (table.column(x).to_numpy() for x in ("depth", "code", "n"))
-    out = []
-    for k in range(depth + 1):
-        c, m = code[d == k], n[d == k]
-        order = np.argsort(c)
-        out.append((c[order], m[order]))
-    return out
+            c = f"c{d}"
+            rows = counts.states[d].select(c, "up", "rest").orderBy(c).toArrow()
+            self.states.append(rows.column(c).to_numpy())
+            self.up.append(rows.column("up").to_numpy())
+            self.rest.append(rows.column("rest").to_numpy())
+            pair = counts.levels[d].filter(F.col("n") >= t.pair_count).join(counts.states[d], c)
+            self.pairs.append({(r[0], r[1]): r[2] for r in pair.select(c, "sym", (F.col("n") - t.discount) / F.col("total")).collect()})
+
+    def _log(self, d: int, ctx: np.ndarray, sym: np.ndarray, ok=None) -> np.ndarray:
+        """log10 P(sym | state ctx of depth d)."""
+        return np.log10(self._p(d, ctx, sym))
+
+    def _p(self, d: int, ctx: np.ndarray, sym: np.ndarray) -> np.ndarray:
+        if d == 0:
+            return self.root[sym]
+        at = np.searchsorted(self.states[d - 1], ctx)
+        assert (self.states[d - 1][at] == ctx).all(), "not a state"
+        names = [int(self.symbols[s]) if s < len(self.symbols) else None for s in sym]
+        own = np.array([self.pairs[d - 1].get((int(c), s), 0.0) for c, s in zip(ctx, names, strict=True)])
+        return own + self.rest[d - 1][at] * self._p(d - 1, self.up[d - 1][at], sym)
 
 
 def train(texts: DataFrame, t: Tree = Tree()) -> Model:
-    """The tree of column `text`."""
+    """The tree of column `text`, on the driver."""
     arrow_limits(texts.sparkSession)
-    texts = texts.select("text")
-    large = written(texts.mapInArrow(_large_words(t), "word long, n long, tokens long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens")), "large-words")
-    tokens = large.agg(F.sum("tokens")).first()[0] or 0
-    rows = large.filter((F.col("n") >= t.symbol_share * tokens) & (F.col("n") > 0)).select("word").toArrow()
-    frequent = np.sort(rows.column("word").to_numpy().view(np.uint64))
-    top = texts.mapInArrow(_pairs(frequent, t, None), "depth int, code long, n long").groupBy("depth", "code").agg(F.sum("n").alias("n"))
-    chosen = _collected(top.filter((F.col("n") >= t.pair_share * tokens) | (F.col("depth") == 0)), t.depth)
-    wanted = texts.sparkSession.sparkContext.broadcast([c for c, _ in chosen])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _pairs(frequent, t, wanted.value)(batches)
-
-    pairs = _collected(texts.mapInArrow(count, "depth int, code long, n long").groupBy("depth", "code").agg(F.sum("n").alias("n")), t.depth)
-    return Model(t, frequent, pairs, tokens)
+    counts = Counts(texts.select("text", F.lit(True).alias("learn")), t)
+    model = Model(counts)
+    counts.drop()
+    return model
 
 
 _SHIFT = 33  # of the partition in monotonically_increasing_id
 _ENTRY = np.dtype([("row", "<u4"), ("n", "<u4")])
+_SUM = np.dtype([("row", "<u4"), ("n", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 
 
-def _rare_words(frequent: np.ndarray, t: Tree):
-    """Each rare word of a segment once: word, class, count in training texts, part, and (row, count) of the texts that hold it."""
+def _holders(t: Tree):
+    """Each distinct sequence of a segment once: context, symbol, part, and (row, count) of the texts that hold it."""
+    last = f"c{t.depth}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        size = 0
-        for b in batches:
-            for c in chunks(b):
-                w = Words(column(c, "text"), lower=True)
-                s = Symbols(w, frequent)
-                place, learn = column(c, "place").to_numpy(), np.array(column(c, "learn"))
-                doc = w.doc()[s.rare]
-                held.append((w.hashes()[s.rare], (s.word[s.rare] - len(frequent)).astype(np.int8), place[doc], learn[doc]))
-                size += len(doc)
-                if size >= t.segment:
-                    yield from batch(held)
-                    held, size = [], 0
-        if size:
-            yield from batch(held)
-
-    def batch(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        h, cls, place, learn = (np.concatenate([x[i] for x in held]) for i in range(4))
-        order = np.argsort(h, kind="stable")  # places stay in order
-        h, cls, place, learn = h[order], cls[order], place[order], learn[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (place[1:] != place[:-1])
-        entry = np.flatnonzero(new)
-        n = np.diff(np.append(entry, len(h)))
-        he = h[entry]
-        word = np.ones(len(entry), bool)
-        word[1:] = he[1:] != he[:-1]
-        first = np.flatnonzero(word)
-        payload = np.empty(len(entry), _ENTRY)
-        payload["row"], payload["n"] = place[entry] & ((1 << _SHIFT) - 1), n
-        offs = (np.append(first, len(entry)) * _ENTRY.itemsize).astype(np.int32)
-        docs = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offs), pa.py_buffer(payload)])
-        learned = np.add.reduceat(learn[entry] * n, first)
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(signed(he[first])), pa.array(cls[entry[first]]), pa.array(learned.astype(np.int64)), pa.array((place[entry[first]] >> _SHIFT).astype(np.int32)), docs],
-            ["word", "cls", "n", "part", "docs"],
-        )
-        for a in range(0, out.num_rows, 20_000):
-            yield out.slice(a, 20_000)
+        for seg in _segments(batches, t.segment):
+            ctx = np.concatenate([list(s.contexts(t.depth))[-1] for _, s in seg])
+            sym = np.concatenate([s.sym for _, s in seg])
+            place = np.concatenate([column(c, "place").to_numpy()[s.row] for c, s in seg])
+            h = mix(ctx * U(0x9E3779B97F4A7C15) + sym)
+            order = np.argsort(h, kind="stable")  # places stay in order
+            h, place = h[order], place[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (place[1:] != place[:-1])
+            entry = np.flatnonzero(new)
+            he = h[entry]
+            begins = np.ones(len(entry), bool)
+            begins[1:] = he[1:] != he[:-1]
+            first = np.flatnonzero(begins)
+            payload = np.empty(len(entry), _ENTRY)
+            payload["row"], payload["n"] = place[entry] & ((1 << _SHIFT) - 1), np.diff(np.append(entry, len(h)))
+            offs = (np.append(first, len(entry)) * _ENTRY.itemsize).astype(np.int32)
+            docs = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offs), pa.py_buffer(payload)])
+            one = order[entry[first]]
+            out = pa.RecordBatch.from_arrays([pa.array(signed(ctx[one])), pa.array(signed(sym[one])), pa.array((place[entry[first]] >> _SHIFT).astype(np.int32)), docs], [last, "sym", "part", "docs"])
+            for a in range(0, out.num_rows, 20_000):
+                yield out.slice(a, 20_000)
 
     return run
 
 
-def _meet(t: Tree):
-    """Rare words of a task meet their counts: for each part of the texts one row of their sums; part -1 has the known words of each class."""
+def _meet(most: int = 1_000_000):
+    """Sums of sequences with their probabilities: for each part of the texts, rows of sums."""
+
+    def summed(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        place, n, seen, p = (np.concatenate([x[i] for x in held]) for i in range(4))
+        places, to = np.unique(place, return_inverse=True)
+        out = np.zeros(len(places), _SUM)
+        out["row"] = places & ((1 << _SHIFT) - 1)
+        for name, x in (("n", n), ("known", n * (seen > 0)), ("base", n * np.log10(seen + 1.0)), ("score", n * np.log10(p))):
+            out[name] = np.bincount(to, x)
+        cut = np.concatenate(([0], np.flatnonzero(np.diff(places >> _SHIFT)) + 1, [len(places)]))
+        rows = [(int(places[a] >> _SHIFT), out[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["part", "sums"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: list[tuple] = []
+        held, size = [], 0
         for b in batches:
             docs = column(b, "docs").cast(pa.large_binary())
+            if not len(docs):
+                continue
             offs = np.frombuffer(docs.buffers()[1], np.int64)[docs.offset : docs.offset + len(docs) + 1]
-            data = np.frombuffer(docs.buffers()[2], np.uint8)[offs[0] : offs[-1]] if len(docs) else np.zeros(0, np.uint8)
-            cols.append((column(b, "word").to_numpy(), column(b, "cls").to_numpy(), column(b, "n").to_numpy(), column(b, "part").to_numpy(), np.diff(offs) // _ENTRY.itemsize, data.tobytes()))
-        if not cols:
-            return
-        word, cls, n, part, entries = (np.concatenate([c[i] for c in cols]) for i in range(5))
-        payload = np.frombuffer(b"".join(c[5] for c in cols), _ENTRY)
-        _, first, at = np.unique(word, return_index=True, return_inverse=True)
-        count = np.bincount(at, n)  # exact below 2**53
-        types = np.bincount(cls[first][count > 0], minlength=CLASSES)
-        row = np.repeat(np.arange(len(word)), entries)
-        c, k = count[at[row]], payload["n"].astype(float)
-        place = (part[row].astype(np.int64) << _SHIFT) | payload["row"]
-        places, to = np.unique(place, return_inverse=True)
-        known = c > 0
-        sums = [
-            np.bincount(to, np.where(known, k * np.log10(c + 1), 0)),
-            np.bincount(to, np.where(known, k * np.log10(np.maximum(c - t.word_discount, 0.1)), 0)),
-            np.bincount(to, k * known),
-            *(np.bincount(to, k * (~known & (cls[row] == r))) for r in range(CLASSES)),
-        ]
-        cut = np.concatenate(([0], np.flatnonzero(np.diff(places >> _SHIFT)) + 1, [len(places)]))
-        rows = [(int(places[x] >> _SHIFT), (places[x:y] & ((1 << _SHIFT) - 1)).tobytes(), np.stack([s[x:y] for s in sums]).tobytes()) for x, y in zip(cut[:-1], cut[1:], strict=True) if y > x]
-        known_types = np.zeros((len(sums), CLASSES))
-        known_types[2] = types
-        rows.append((-1, np.arange(CLASSES).tobytes(), known_types.tobytes()))
-        del cols, payload, row, place
+            payload = np.frombuffer(np.frombuffer(docs.buffers()[2], np.uint8)[offs[0] : offs[-1]].tobytes(), _ENTRY)
+            row = np.repeat(np.arange(len(docs)), np.diff(offs) // _ENTRY.itemsize)
+            part, seen, p = (column(b, x).to_numpy()[row] for x in ("part", "seen", "p"))
+            held.append(((part.astype(np.int64) << _SHIFT) | payload["row"], payload["n"].astype(np.int64), seen, p))
+            size += len(row)
+            if size >= most:
+                yield from summed(held)
+                held, size = [], 0
+        if held:
+            yield from summed(held)
         release()
-        for r in rows:
-            yield pa.RecordBatch.from_arrays([pa.array([r[0]], pa.int32()), pa.array([r[1]], pa.binary()), pa.array([r[2]], pa.binary())], ["part", "rows", "sums"])
 
     return run
 
@@ -375,46 +311,21 @@ def _meet(t: Tree):
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds up what the tasks of _meet say of each text; the texts of one part come together."""
     parts: dict[int, np.ndarray] = {}
-    n = 3 + CLASSES
+    names = _SUM.names[1:]
     for b in batches:
-        for part, rows, sums in zip(*(column(b, c).to_pylist() for c in ("part", "rows", "sums")), strict=True):
-            at = np.frombuffer(rows, np.int64)
-            held = parts.get(part, np.zeros((n, 0)))
-            if held.shape[1] <= at.max():
-                held = np.concatenate((held, np.zeros((n, int(at.max()) + 1 - held.shape[1]))), 1)
-            held[:, at] += np.frombuffer(sums).reshape(n, -1)
+        for part, sums in zip(column(b, "part").to_pylist(), column(b, "sums").to_pylist(), strict=True):
+            x = np.frombuffer(sums, _SUM)
+            held = parts.get(part, np.zeros((len(names), 0)))
+            if held.shape[1] <= x["row"].max():
+                held = np.concatenate((held, np.zeros((len(names), int(x["row"].max()) + 1 - held.shape[1]))), 1)
+            for i, name in enumerate(names):
+                held[i, x["row"]] += x[name]
             parts[part] = held
     for part, held in parts.items():
-        place = np.arange(held.shape[1]) + (part << _SHIFT) if part >= 0 else -1 - np.arange(held.shape[1])
+        place = np.arange(held.shape[1]) + (part << _SHIFT)
         for a in range(0, len(place), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(place[a : a + 50_000]), *(pa.array(x[a : a + 50_000]) for x in held)], ["place", "s1", "s2", "known", *(f"u{r}" for r in range(CLASSES))])
-
-
-def _tree_scores(model):
-    """Sums over the tokens of each text that the tree alone decides."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
-        f = len(m.frequent)
-        own = np.log10(m.count + 1.0)
-        share = np.where(m.count > 0, np.log10(np.maximum(m.count, 1)), 0)
-        for b in batches:
-            for c in chunks(b):
-                w = Words(column(c, "text"), lower=True)
-                s = Symbols(w, m.frequent)
-                p = m.score(s)
-                rare = (s.sym >= f) & (s.sym < s.end)
-                p = p - np.where(rare, share[s.sym], 0)
-                base = np.where(rare, 0, own[s.sym])
-                sums = [np.concatenate(([0], np.cumsum(x))) for x in (base, p)]
-                base, p = (x[s.offs[1:]] - x[s.offs[:-1]] for x in sums)
-                known = per_row(~rare & (m.count[s.sym] > 0), s.offs)
-                yield pa.RecordBatch.from_arrays(
-                    [column(c, "place"), column(c, "doc_id").cast(pa.int64()), column(c, "learn"), pa.array(np.diff(s.offs)), pa.array(known), pa.array(base), pa.array(p)],
-                    ["place", "doc_id", "learn", "n_tokens", "n_own", "base_own", "p_own"],
-                )
-
-    return run
+            n, known, base, score = (x[a : a + 50_000] for x in held)
+            yield pa.RecordBatch.from_arrays([pa.array(place[a : a + 50_000]), pa.array(n.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], ["place", "n_tokens", "n_known", "base", "score"])
 
 
 def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
@@ -423,30 +334,18 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
     docs must keep its partitions from scan to scan, as files and written tables do.
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
     """
-    spark = docs.sparkSession
-    arrow_limits(spark)
+    arrow_limits(docs.sparkSession)
     rows = docs.select("doc_id", "text", learn.alias("learn")).withColumn("place", F.monotonically_increasing_id())
-    model = train(docs.filter(learn), t)
-    m = spark.sparkContext.broadcast(model)
-    sums = ", ".join(["s1 double", "s2 double", "known double", *(f"u{r} double" for r in range(CLASSES))])
-    rare = rows.select("place", "learn", "text").mapInArrow(_rare_words(model.frequent, t), "word long, cls byte, n long, part int, docs binary")
-    met = rare.repartition("word").mapInArrow(_meet(t), "part int, rows binary, sums binary")
-    met = met.repartition("part").mapInArrow(_summed, f"place long, {sums}")
-    met = written(met, "met")
-    types = np.zeros(CLASSES)
-    for r in met.filter("place < 0").select("place", "known").collect():  # one row for each class
-        types[-1 - r.place] = r.known
-    n, v = model.tokens, int(types.sum()) + int((model.count[: len(model.frequent)] > 0).sum()) + int(model.count[-1] > 0)
-    own = rows.mapInArrow(_tree_scores(m), "place long, doc_id long, learn boolean, n_tokens long, n_own long, base_own double, p_own double")
-    both = own.join(met.filter("place >= 0"), "place", "left").na.fill(0, ["s1", "s2", "known", *(f"u{r}" for r in range(CLASSES))])
-    # A class without any word in training gives all of its mass to unseen words.
-    unseen = [float(np.log10(t.word_discount * x)) if x else 0.0 for x in types]
-    score = F.col("p_own") + F.col("s2")
-    for r, u in enumerate(unseen):
-        score = score + F.col(f"u{r}") * F.lit(u)
-    return both.select(
-        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", (F.col("n_own") + F.col("known")).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base_own") + F.col("s1") - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"), score.alias("score"),
+    counts = Counts(rows, t)
+    key = F.xxhash64(f"c{t.depth}", "sym").alias("key")
+    holders = rows.select("place", "text").mapInArrow(_holders(t), f"c{t.depth} long, sym long, part int, docs binary").select(key, "part", "docs")
+    met = holders.join(counts.scores().select(key, "p", "seen"), "key").select("part", "docs", "p", "seen").mapInArrow(_meet(), "part int, sums binary")
+    met = written(met.repartition("part").mapInArrow(_summed, "place long, n_tokens long, n_known long, base double, score double"), "met")
+    counts.drop()
+    n, v = counts.tokens, counts.types
+    return rows.select("place", "doc_id", "learn").join(met, "place").select(
+        F.col("doc_id").cast("long").alias("doc_id"), (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"), "score",
     )
 
 

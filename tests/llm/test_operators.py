@@ -72,6 +72,16 @@ def test_context_is_used(spark, tmp_path):
     assert got.s > 0.55 * got.b
 
 
+def test_rare_contexts_are_states(spark, tmp_path):
+    r = random.Random(4)
+    vocabulary = words(8, 200)
+    rows = [(i, " ".join(r.choices(vocabulary, k=500) + ["zig", "zag"] * (i % 40 == 0))) for i in range(2, 250)]
+    path = str(tmp_path / "d")
+    spark.createDataFrame([(0, "zig zag"), (1, "zag zig"), *rows], "doc_id long, text string").coalesce(1).write.parquet(path)
+    got = {x.doc_id: x.score for x in suffix_tree.score_documents(spark.read.parquet(path), F.col("doc_id") > 1).filter("held_out").collect()}
+    assert got[0] - got[1] > 2  # zig is seen 6 times in 124000 tokens
+
+
 # 2. substring deduplication
 
 
