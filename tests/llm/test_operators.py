@@ -82,6 +82,26 @@ def test_rare_contexts_are_states(spark, tmp_path):
     assert got[0] - got[1] > 2  # zig is seen 6 times in 124000 tokens
 
 
+def test_scores_do_not_depend_on_segments(spark, tmp_path):
+    r = random.Random(5)
+    phrases = [" ".join(words(100 + i, 3)) for i in range(400)]
+    weights = [k**-1.5 for k in range(1, 401)]
+    follow = [r.sample(range(400), 400) for _ in range(400)]
+
+    def text() -> str:
+        out, at = [], r.randrange(400)
+        for rank in r.choices(range(400), weights, k=700):
+            out.append(phrases[at])
+            at = follow[at][rank]
+        return " ".join(out)
+
+    path = str(tmp_path / "d")
+    spark.createDataFrame([(i, text()) for i in range(500)], "doc_id long, text string").coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    one, other = ({x.doc_id: x.score for x in suffix_tree.score_documents(docs, learn(), suffix_tree.Tree(segment=n)).collect()} for n in (500_000, 100_000))
+    assert one.keys() == other.keys() and all(abs(one[i] - other[i]) < 1e-6 * abs(one[i]) for i in one)
+
+
 # 2. substring deduplication
 
 
