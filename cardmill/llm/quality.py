@@ -4,8 +4,10 @@ Two histograms are taken of each text: its bytes' and code points' character cla
 and which of a language's commonest words its words are (all others in one bin). Each is
 compared by Jensen-Shannon distance (base 2, 0 to 1) with the references of every
 language, and the smallest sum of both weighs. References are counted from all texts:
-for each value of `lang` that at least `lang_share` of the words have (so there are
-1 / lang_share languages at most), its `common` commonest words and both histograms.
+for each value of `lang` with at least `lang_words` words, whatever its share, its `common`
+commonest words and both histograms. A text is compared with each of them, so a reference of about
+1 KB for each language reaches all tasks. A text whose own language has no reference isn't
+rejected for its distances; one without a language is judged by all references.
 
 Texts under `min_words` words have too little mass for a histogram to mean anything:
 the guards keep them unless a counted rule rejects them.
@@ -44,7 +46,7 @@ _CLASS[0xE0:0xF5] = 8
 _CLASS[0x80:0xC0] = 255  # later bytes of a code point
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True  # fixed values of the contract
-_SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, char_js double, word_js double"
+_SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, char_js double, word_js double, judged boolean"
 
 
 @dataclass(frozen=True)
@@ -54,7 +56,7 @@ class Rules:
     window: int = 5
     min_words: int = 60
     common: int = 40
-    lang_share: float = 0.01
+    lang_words: int = 1000
     max_char_js: float = 0.28
     max_word_js: float = 0.5
     max_sum_js: float = 0.6
@@ -153,6 +155,7 @@ def _heavy_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _pairs(common: dict[str, np.ndarray]):
     """The histogram sums of each language, of all texts."""
     langs = sorted(common)
+    place = {x: i for i, x in enumerate(langs)}
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chars = np.zeros((len(langs), CLASSES))
@@ -163,7 +166,8 @@ def _pairs(common: dict[str, np.ndarray]):
                 # classes want the case that lower-casing takes
                 by_row = _char_histogram(Words(column(c, "text")))
                 given = column(c, "lang").to_pylist()
-                for i, lang in enumerate(langs):
+                for lang in {x for x in given if x in place}:
+                    i = place[lang]
                     rows = np.array([x == lang for x in given])
                     chars[i] += by_row[rows].sum(0)
                     own = h[np.repeat(rows, w.n)]
@@ -186,17 +190,16 @@ def _bin(h: np.ndarray, common: np.ndarray) -> np.ndarray:
 def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each language: its common words' hashes, its histogram of characters and of words.
 
-    At most 1 / lang_share languages of `common` words each reach the driver.
+    `common` words and two histograms of each language with `lang_words` words reach the driver.
     """
     arrow_limits(docs.sparkSession)
     heavy = docs.select("text", "lang").mapInArrow(_heavy_words, "lang string, word long, n long")
     found = written(heavy.groupBy("lang", "word").agg(F.sum("n").alias("n")), "heavy-words")
     total = found.filter("word = 0").select("lang", F.col("n").alias("total"))
-    all_words = total.agg(F.sum("total")).first()[0] or 0
-    large = total.filter(F.col("total") >= all_words * rules.lang_share)  # 1 / lang_share rows at most
+    large = total.filter(F.col("total") >= rules.lang_words)
     top = (
         found.filter("word != 0")
-        .join(F.broadcast(large.select("lang")), "lang")
+        .join(large.select("lang"), "lang")
         .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word")))
         .filter(F.col("r") <= rules.common)
     )
@@ -243,9 +246,10 @@ def _score(refs: dict, rules: Rules):
                     best[nearer] = np.stack((a + b, a, b), 1)[nearer]
                 best[~np.isfinite(best)] = 0
                 n = counts(raw, rules.window)
+                judged = [x is None or x in refs for x in column(c, "lang").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [column(c, "doc_id").cast(pa.int64()), *(pa.array(n[k].astype(np.int64)) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(best[:, 1]), pa.array(best[:, 2])],
-                    ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_js", "word_js"],
+                    [column(c, "doc_id").cast(pa.int64()), *(pa.array(n[k].astype(np.int64)) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(best[:, 1]), pa.array(best[:, 2]), pa.array(judged, pa.bool_())],
+                    ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_js", "word_js", "judged"],
                 )
 
     return run
@@ -254,13 +258,13 @@ def _score(refs: dict, rules: Rules):
 def with_verdict(df: DataFrame, rules: Rules) -> DataFrame:
     failed = (F.col("n_words") < rules.least_words) | (100 * F.col("n_repeat_words") > rules.most_repeat_percent * F.col("n_words"))
     far = (F.col("char_js") > rules.max_char_js) | (F.col("word_js") > rules.max_word_js) | (F.col("char_js") + F.col("word_js") > rules.max_sum_js)
-    return df.withColumn("base_failed", failed).withColumn("kept", ~failed & ((F.col("n_words") < rules.min_words) | ~far))
+    return df.withColumn("base_failed", failed).withColumn("kept", ~failed & (~F.col("judged") | (F.col("n_words") < rules.min_words) | ~far)).drop("judged")
 
 
 def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row per row of docs: doc_id, the counts, both distances, base_failed and kept."""
     refs = references(docs, rules)
-    return with_verdict(docs.select("doc_id", "text").mapInArrow(_score(refs, rules), _SCHEMA), rules)
+    return with_verdict(docs.select("doc_id", "text", "lang").mapInArrow(_score(refs, rules), _SCHEMA), rules)
 
 
 def keep_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -274,11 +278,11 @@ def keep_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in chunks(batch):
-                (s,) = score([c.select(["doc_id", "text"])])
-                n, r, a, b = (s.column(i).to_numpy() for i in (1, 5, 6, 7))
+                (s,) = score([c.select(["doc_id", "text", "lang"])])
+                n, r, a, b, judged = (s.column(i).to_numpy(zero_copy_only=False) for i in (1, 5, 6, 7, 8))
                 failed = (n < rules.least_words) | (100 * r > rules.most_repeat_percent * n)
                 far = (a > rules.max_char_js) | (b > rules.max_word_js) | (a + b > rules.max_sum_js)
-                yield c.filter(pa.array(~failed & ((n < rules.min_words) | ~far)))
+                yield c.filter(pa.array(~failed & (~judged | (n < rules.min_words) | ~far)))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -446,6 +446,22 @@ def test_quality_verdict(spark):
     assert r.good > 0.99 and r.junk < 0.3
 
 
+def test_small_languages_are_kept(spark, tmp_path):
+    r = random.Random(9)
+    cyrillic = ["".join(r.choice("абвгдежзийклмн") for _ in range(r.randint(2, 8))) for _ in range(80)]
+    prose = lambda v, n: " ".join(r.choices(v, range(len(v), 0, -1), k=n)) + "."
+    rows = [(i, prose(words(10, 80), 300), "en") for i in range(700)]
+    rows += [(i, prose(cyrillic, 100), "ru") for i in range(1000, 1020)]  # 1 % of the words would be 2100
+    rows += [(2000, prose(cyrillic[::-1], 100), "uk"), (2001, prose(cyrillic, 100), "en"), (2002, "{} = 7; " * 80, "en")]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(path)
+    df = spark.read.parquet(path)
+    assert set(quality.references(df)) == {"en", "ru"}
+    kept = {x.doc_id for x in quality.quality_rules(df).filter("kept").collect()}
+    assert {*range(1000, 1020), 2000, 2001} <= kept and 2002 not in kept
+    assert {x.doc_id for x in quality.keep_documents(df).collect()} == kept
+
+
 # 10. nearest neighbours
 
 
