@@ -172,13 +172,24 @@ def _blocks(index: Index, norms: dict[int, float], queries: bool, id_col: str, v
 
 
 def best_of(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best candidates of each query, scored pair by pair; ties to the smaller id."""
+    """The k best distinct candidates of each query, scored pair by pair; ties to the smaller id."""
+    repeated = len(np.unique(ids)) < len(ids)
+    if repeated:
+        order = np.argsort(ids, kind="stable")
+        ids, x = ids[order], x[order]
     s = q @ x.T
     s[q_ids[:, None] == ids[None, :]] = -np.inf
-    cut = np.partition(s, max(s.shape[1] - k, 0), axis=1)[:, max(s.shape[1] - k, 0)]
+    best = np.maximum.reduceat(s, np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))), axis=1) if repeated else s
+    cut = np.partition(best, max(best.shape[1] - k, 0), axis=1)[:, max(best.shape[1] - k, 0)]
     near = (s >= (cut - 1e-9 * np.maximum(1, np.abs(cut)))[:, None]) & np.isfinite(s)
     r, c = np.nonzero(near)
     score = (q[r] * x[c]).sum(1)
+    if repeated:
+        order = np.lexsort((-score, ids[c], r))
+        r, c, score = r[order], c[order], score[order]
+        new = np.ones(len(r), bool)
+        new[1:] = (r[1:] != r[:-1]) | (ids[c[1:]] != ids[c[:-1]])
+        r, c, score = r[new], c[new], score[new]
     order = np.lexsort((ids[c], -score, r))
     r, c, score = r[order], c[order], score[order]
     rank = np.arange(len(r)) - np.searchsorted(r, r)
@@ -187,13 +198,14 @@ def best_of(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k:
 
 
 def merged(q: np.ndarray, v: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The best k distinct candidates of each query."""
-    order = np.lexsort((v, -s, q))
+    """The best k distinct candidates of each query, each with its best score."""
+    order = np.lexsort((-s, v, q))
     q, v, s = q[order], v[order], s[order]
-    # equal pairs have equal scores and so stand together
     new = np.ones(len(q), bool)
-    new[1:] = (q[1:] != q[:-1]) | (v[1:] != v[:-1]) | (s[1:] != s[:-1])
+    new[1:] = (q[1:] != q[:-1]) | (v[1:] != v[:-1])
     q, v, s = q[new], v[new], s[new]
+    order = np.lexsort((v, -s, q))
+    q, v, s = q[order], v[order], s[order]
     keep = np.arange(len(q)) - np.searchsorted(q, q) < k
     return q[keep], v[keep], s[keep]
 

@@ -503,6 +503,27 @@ def test_recall_on_embeddings(spark):
     assert np.mean([len(got[q] & {i for _, i in w}) / len(w) for q, w in want.items()]) >= 0.9
 
 
+def test_nearest_of_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+    base = [(i % 100, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(200)]
+    base = base * 2 + [(50, [9.0 + k / 1000] * 8) for k in range(500)]  # copies, other vectors of an id, and one id with most rows
+    best = collections.defaultdict(lambda: -math.inf)
+    for q, x in base:
+        if q % 20 == 0:
+            for i, y in base:
+                if i != q:
+                    best[q, i] = max(best[q, i], float(np.dot(x, y)))
+    df = spark.createDataFrame(base, "vec_id long, embedding array<float>").repartition(3)
+    index = ann.Index(k=100)  # of 99 candidates, so each query is compared with all blocks
+    got = collections.defaultdict(list)
+    for r in ann.search(df.filter("vec_id % 20 = 0"), df, index).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    for q in (0, 20, 40, 60, 80):
+        want = sorted((-s, i) for (a, i), s in best.items() if a == q)
+        assert [i for _, i, _ in sorted(got[q])] == [i for _, i in want]
+        assert np.allclose([s for _, _, s in sorted(got[q])], [-s for s, _ in want], rtol=1e-5)
+
+
 # the pipeline
 
 
