@@ -30,14 +30,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, local_components
 from .store import arrow_limits, documents, written
 from .words import U, Words, chunks, column, mix, release, signed
 
-NO_ID = -(1 << 63)
 
 
 @dataclass(frozen=True)
@@ -214,7 +213,7 @@ def _set_rows(join: Join):
             for c in chunks(b):
                 s = Sets(column(c, "text"), join.words)
                 node = pa.array(s.node, mask=s.n == 0)
-                yield pa.RecordBatch.from_arrays([column(c, "doc_id").cast(pa.int64()), pa.array(s.n.astype(np.int64)), node], ["doc_id", "n_shingles", "node"])
+                yield pa.RecordBatch.from_arrays([column(c, "doc_id").cast(pa.int64()), column(c, "row"), pa.array(s.n.astype(np.int64)), node], ["doc_id", "row", "n_shingles", "node"])
 
     return run
 
@@ -355,12 +354,17 @@ def _products(join: Join):
     return run
 
 
-def jaccard_classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id (see above), node (null without words)."""
+def _row_key() -> Column:
+    """A key of its own for each row, with or without an id; only rows equal in doc_id and text share one."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+
+
+def _classes(docs: DataFrame, join: Join) -> DataFrame:
+    """One row per row of docs: doc_id, row (its key), n_shingles, node and class (null without words)."""
     spark = docs.sparkSession
     arrow_limits(spark)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = written(text.mapInArrow(_set_rows(join), "doc_id long, n_shingles long, node long"), "sets")
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row"), "text")
+    sets = written(text.mapInArrow(_set_rows(join), "doc_id long, row long, n_shingles long, node long"), "sets")
     common = spark.sparkContext.broadcast(common_columns(text, join))
     sigs = text.select("text").mapInArrow(_signature_rows(join, common), "sig long, node long, n int")
     packed = sigs.repartition("sig").mapInArrow(_chains(join.percent), "part int, a binary, b binary")
@@ -368,18 +372,23 @@ def jaccard_classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
     cluster = connected_components(edges)
 
     # one text of each node, dealt to blocks of its cluster
-    node = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("id"), F.max("n_shingles").alias("n"))
+    node = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"), F.max("n_shingles").alias("n"))
     node = node.join(cluster, "node").withColumnRenamed("label", "cluster")
     size = node.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / join.rows, F.sum("n") / join.entries)).cast("int").alias("blocks"))
     node = node.join(size, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, "block").alias("one"), F.greatest(i, "block").alias("two")))
-    node = node.select("id", "cluster", F.col("block").alias("side"), F.explode(meet).alias("m")).select("id", "cluster", "side", "m.one", "m.two")
-    rows = text.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).select("id", "text").join(node, "id")
+    node = node.select("row", "cluster", F.col("block").alias("side"), F.explode(meet).alias("m")).select("row", "cluster", "side", "m.one", "m.two")
+    rows = text.select("row", "text").join(node, "row")
     rows = rows.select("cluster", "one", "two", "side", "text").repartition("cluster", "one", "two").sortWithinPartitions("cluster", "one", "two")
     found = written(rows.mapInArrow(_products(join), "a long, b long"), "links")
     label = connected_components(found)
 
-    out = sets.join(label, "node", "left").withColumn("class", F.coalesce("label", "node"))
+    return sets.join(label, "node", "left").select("doc_id", "row", "n_shingles", "node", F.coalesce("label", "node").alias("class"))
+
+
+def jaccard_classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id (see above), node (null without words)."""
+    out = _classes(docs, join)
     least = out.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
     return out.join(least, "class", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "node")
 
@@ -387,13 +396,14 @@ def jaccard_classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
 def one_of_each(docs: DataFrame, join: Join = Join(words=5, percent=80)) -> DataFrame:
     """The rows of docs without near duplicates: of each class, the row of the smallest doc_id.
 
-    A null doc_id stands before all others. Of rows equal in doc_id and text one stays.
+    A null doc_id stands behind all others. Of rows equal in doc_id and text one stays; texts without words are
+    classes of their own otherwise.
     """
-    found = written(jaccard_classes(docs, join), "classes")
-    ident = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
-    keep = found.groupBy(F.coalesce(F.col("component_id"), F.lit(NO_ID)).alias("id")).agg(F.count("*").alias("copies"))
-    rows = docs.withColumn("__id", ident).join(keep.select(F.col("id").alias("__id")), "__id", "left_semi").drop("__id")
-    twice = found.groupBy("doc_id", "node").count().filter("count > 1")
+    found = written(_classes(docs, join), "classes")
+    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("__row")
+    keep = found.groupBy("class", F.when(F.col("class").isNull(), F.col("row")).alias("alone")).agg(one)
+    rows = docs.withColumn("__row", _row_key()).join(keep.select("__row"), "__row", "left_semi").drop("__row")
+    twice = found.groupBy("row").count().filter("count > 1")
     return rows if twice.isEmpty() else rows.dropDuplicates(["doc_id", "text"])
 
 

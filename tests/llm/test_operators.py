@@ -400,6 +400,18 @@ def test_one_of_each(spark, hard):
     assert kept.schema == hard.schema and ids.count(1) == 1 and 2 not in ids and 3 not in ids and {4, 5, 6, 10, 12, 13} <= set(ids)
 
 
+def test_one_of_each_without_ids(spark, tmp_path):
+    base, other = words(21, 300), words(22, 300)
+    near = lambda x, i: " ".join([*x[:i], f"new{i}", *x[i + 1 :]])
+    rows = [(None, near(base, i)) for i in range(10, 20)] + [(None, near(other, i)) for i in range(10, 20)]
+    rows += [(5, near(other, 30)), (None, ""), (None, ""), (6, ""), (7, " ".join(words(23, 50))), (7, near(other, 40))]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    kept = pairs(ngram_join.one_of_each(spark.read.parquet(path)))
+    assert sorted(str(i) for i, _ in kept) == ["5", "6", "7", "None", "None"]
+    assert sorted(t for i, t in kept if i is None)[0] == "" and (7, " ".join(words(23, 50))) in kept
+
+
 def test_components(spark):
     r = random.Random(6)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)]
