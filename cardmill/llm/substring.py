@@ -121,7 +121,9 @@ def repeated_spans(docs: DataFrame, r: Repeats = Repeats()) -> tuple[DataFrame,
     kinds = stretch.groupBy("anchor").agg(F.count("*").alias("kinds"))
     known = (F.col("kinds") > 1) & (F.col("place") == F.col("one"))
     what = F.when(F.col("same") == 1, F.array(F.lit(SINGLE))).when(known, F.array(F.lit(KNOWN), F.lit(REPEATED))).otherwise(F.array(F.lit(REPEATED)))
-    spans = own.join(stretch.join(kinds, "anchor"), ["anchor", "stretch"]).select("rid", "at", "n", F.explode(what).alias("kind")).groupBy(F.col("rid").alias("__rid")).agg(F.collect_list(F.struct("at", "n", "kind")).alias("__spans"))
+    spans = own.join(stretch.join(kinds, "anchor"), ["anchor", "stretch"]).select("rid", "at", "n", F.explode(what).alias("kind"))
+    # rows equal in doc_id and text share a rid, and each of them gets the whole list: a span is in it once
+    spans = spans.groupBy(F.col("rid").alias("__rid")).agg(F.collect_set(F.struct("at", "n", "kind")).alias("__spans"))
     # what the seeds have shuffled goes before the texts move
     listed = written(spans, "span-lists")
     dropped(seeds)

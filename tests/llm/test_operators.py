@@ -136,6 +136,17 @@ def test_substring_dedup(spark, small, hard, empty):
     assert [(r.first_word, r.n_words) for r in runs] == [(50, 60)]
 
 
+def test_spans_of_repeated_rows(spark, tmp_path):
+    path = str(tmp_path / "d")
+    rows = [(1, " ".join(words(11, 300)))] * 30 + [(2, " ".join(words(11, 300)[50:200] + words(12, 100)))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    df = spark.read.parquet(path)
+    spans = [r["__spans"] for part in substring.repeated_spans(df) for r in part.collect()]
+    assert len(spans) == 31 and all(len(x) == len(set(x)) for x in spans)
+    got = sorted((str(r.doc_id), hashlib.sha256(b" ".join(split(r.text, False))).hexdigest()) for r in substring.deduplicated(df).collect())
+    assert got == sorted((i, h) for i, _, _, h in plain_removed(pairs(df)))
+
+
 def test_op2_query(spark, small):
     from cardmill.llm.queries import QUERIES
 
