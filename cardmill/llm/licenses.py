@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 
 from .store import arrow_limits, documents
 from .toxicity import trimmed
-from .words import _SEQ, U, Words, _powers, chunks, column, mix
+from .words import Sequences, U, Words, chunks, column, mix
 
 #: Short notices and characteristic passages of public licenses.
 TEMPLATES = {
@@ -76,10 +76,8 @@ class Shingles:
         h = w.span_hash(starts[keep], ends[keep]) if keep.any() else np.zeros(0, U)
         self.doc = w.doc()[keep]
         self.first = np.searchsorted(self.doc, np.arange(w.rows + 1))
-        p, q = _powers(_SEQ[0], len(h))
-        sums = np.concatenate((np.zeros(1, U), np.cumsum(h * p[: len(h)], dtype=U)))
         at = np.arange(max(len(h) - k + 1, 0))
-        self.h = mix((sums[at + k] - sums[at]) * q[at])
+        self.h = Sequences(h).hashes(at, at + k)
         self.inside = self.doc[at] == self.doc[at + k - 1] if len(at) else np.zeros(0, bool)
         self.n = np.diff(self.first)
         self.own = self.word - w.first[self.doc]  # the number of the word in its text

@@ -38,7 +38,6 @@ from .store import arrow_limits, documents, written
 from .words import U, Words, chunks, column, mix, release, signed
 
 
-
 @dataclass(frozen=True)
 class Join:
     words: int = 4
@@ -58,11 +57,10 @@ class Sets:
     def __init__(self, arr: pa.Array, words: int):
         w = Words(arr, lower=True)
         at, doc = w.windows(words)
-        sums = w.prefix_sums()
-        h = w.seq_hash(at, at + words, sums=sums)
+        h = w.seq_hash(at, at + words)
         short = np.flatnonzero((w.n > 0) & (w.n < words))
         if len(short):
-            h = np.concatenate((h, w.seq_hash(w.first[short], w.first[short + 1], sums=sums)))
+            h = np.concatenate((h, w.seq_hash(w.first[short], w.first[short + 1])))
             doc = np.concatenate((doc, short))
         order = np.argsort(h, kind="stable")
         small = np.uint16 if w.rows < 65536 else np.int64

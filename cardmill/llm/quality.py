@@ -96,8 +96,13 @@ def counts(w: Words, window: int = 5) -> dict[str, np.ndarray]:
     ends = np.sort(ends)
     worded = np.searchsorted(w.starts, ends) > np.searchsorted(w.starts, starts)
     starts, ends, rows = starts[worded], ends[worded], rows[worded]
-    key = np.unique(np.stack((rows.astype(U), w.span_hash(starts, ends)), 1), axis=0)[:, 0] if len(rows) else np.zeros(0, U)
-    dup_lines = np.bincount(rows, minlength=w.rows) - np.bincount(key.astype(np.int64), minlength=w.rows)
+    dup_lines = np.zeros(w.rows, np.int64)
+    many = np.bincount(rows, minlength=w.rows)[rows] > 1
+    seen: set[tuple[int, bytes]] = set()  # lines are compared by their bytes
+    for r, a, b in zip(rows[many].tolist(), starts[many].tolist(), ends[many].tolist(), strict=True):
+        line = (r, data[a:b].tobytes())
+        dup_lines[r] += line in seen
+        seen.add(line)
     # windows of words found twice or more in one text
     at, doc = w.windows(window)
     h = w.seq_hash(at, at + window)

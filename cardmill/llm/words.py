@@ -1,9 +1,9 @@
 """Words, word hashes and hashes of word sequences of whole Arrow batches, in numpy.
 
-A word is a run of bytes other than 0x20 and 0x09 to 0x0D of the UTF-8 text. Every
-hash is a polynomial modulo 2**64 over random values, so the hash of any span is a
-difference of two prefix sums; a final mix spreads its bits. Sequence hashes come
-with two independent bases where 128 bits are asked for.
+A word is a run of bytes other than 0x20 and 0x09 to 0x0D of the UTF-8 text. Its hash chains a mixing bijection
+over its eight-byte lanes, so it isn't linear in anything; spans of more than `LONG` bytes are hashed by XXH3. A sequence of
+words is hashed by doubling: the hash of 2**(j+1) words mixes those of its two halves, and any length is covered by its
+first and its last 2**j words. There are two independent chains, `which` 0 and 1, where 128 bits are asked for.
 """
 
 from __future__ import annotations
@@ -14,19 +14,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 CHUNK_BYTES = 1 << 19
+LONG = 64
 
 U = np.uint64
-_RNG = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
-_BASE = U(0x9E3779B97F4A7C15)
-_SEQ = (U(0xD1342543DE82EF95), U(0xC2B2AE3D27D4EB4F))
+_SEED = (0x2545F4914F6CDD1D, 0x8CB92BA72F3D8DD7)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_LANE = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k bytes of a lane
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -38,20 +37,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i up to n."""
-    held = _POWERS.get(int(base))
-    if held is None or len(held[0]) <= n:
-        m = max(n + 1, CHUNK_BYTES + 1)
-        out = []
-        for b in (int(base), pow(int(base), -1, 1 << 64)):
-            p = np.full(m, U(b))
-            p[0] = U(1)
-            out.append(np.multiply.accumulate(p))
-        held = _POWERS[int(base)] = (out[0], out[1])
-    return held
-
-
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
@@ -91,11 +76,50 @@ def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES)
     release()
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
     """Hashes of byte spans."""
-    p, q = _powers(_BASE, len(data))
-    sums = np.concatenate((np.zeros(1, U), np.cumsum(_BYTE[data] * p[: len(data)], dtype=U)))
-    return mix((sums[ends] - sums[starts]) * q[starts] + (ends - starts).astype(U))
+    n = (ends - starts).astype(np.int64)
+    h = mix(U(_SEED[which]) + n.astype(U) * U(0x9FB21C651E98DF25))
+    if not len(n):
+        return h
+    lanes = np.ndarray(len(data) + 1, "<u8", np.concatenate((data, np.zeros(8, np.uint8))), strides=(1,))  # at every byte
+    live = np.flatnonzero((n > 0) & (n <= LONG))
+    at = 0
+    while len(live):
+        left = n[live] - at
+        h[live] = mix(h[live] ^ (lanes[starts[live] + at] & _LANE[np.minimum(left, 8)])) + U(at + 1)
+        live, at = live[left > 8], at + 8
+    if (n > LONG).any():
+        view = memoryview(np.ascontiguousarray(data))
+        for i in np.flatnonzero(n > LONG).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(view[starts[i] : ends[i]], _SEED[which])
+    return h
+
+
+class Sequences:
+    """Hashes of spans of a row of values."""
+
+    def __init__(self, h: np.ndarray):
+        self.levels = [h]
+
+    def _level(self, j: int) -> np.ndarray:
+        while len(self.levels) <= j:
+            x, s = self.levels[-1], 1 << (len(self.levels) - 1)
+            self.levels.append(mix(x[: max(len(x) - s, 0)] * U(0x9E3779B97F4A7C15) + x[s:]))
+        return self.levels[j]
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of [start, end); equal for equal sequences only, but for chance."""
+        n = (ends - starts).astype(np.int64)
+        out = n.astype(U) * U(0xD1342543DE82EF95)
+        if not len(n):
+            return out
+        power = np.frexp(np.maximum(n, 1))[1] - 1
+        for j in np.unique(power[n > 0]).tolist():
+            x = self._level(j)
+            own = slice(None) if (n > 0).all() and (power == j).all() else np.flatnonzero((n > 0) & (power == j))
+            out[own] = mix(out[own] + mix(x[starts[own]] * U(0xC2B2AE3D27D4EB4F) + x[ends[own] - (1 << j)]))
+        return out
 
 
 class Words:
@@ -119,8 +143,7 @@ class Words:
             self.ends = np.flatnonzero(word & (~after | cut[1:])) + 1
         self.first = np.searchsorted(self.starts, self.offs)
         self.n = np.diff(self.first)
-        self._sums = None
-        self._hash = None
+        self._sequences: dict[int, Sequences] = {}
 
     def doc(self) -> np.ndarray:
         """The text of each word."""
@@ -128,27 +151,19 @@ class Words:
 
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hashes of byte spans."""
-        n = len(self.data)
-        p, q = _powers(_BASE, n)
-        if self._sums is None:
-            self._sums = np.concatenate((np.zeros(1, U), np.cumsum(_BYTE[self.data] * p[:n], dtype=U)))
-        return mix((self._sums[ends] - self._sums[starts]) * q[starts] + (ends - starts).astype(U))
-
-    def hashes(self) -> np.ndarray:
-        if self._hash is None:
-            self._hash = self.span_hash(self.starts, self.ends)
-        return self._hash
-
-    def prefix_sums(self, which: int = 0) -> np.ndarray:
-        h = self.hashes()
-        p, _ = _powers(_SEQ[which], len(h))
-        return np.concatenate((np.zeros(1, U), np.cumsum(h * p[: len(h)], dtype=U)))
-
-    def seq_hash(self, starts: np.ndarray, ends: np.ndarray, which: int = 0, sums: np.ndarray | None = None) -> np.ndarray:
+        return span_hashes(self.data, starts, ends)
+
+    def hashes(self, which: int = 0) -> np.ndarray:
+        return self.sequences(which).levels[0]
+
+    def sequences(self, which: int = 0) -> Sequences:
+        if which not in self._sequences:
+            self._sequences[which] = Sequences(span_hashes(self.data, self.starts, self.ends, which))
+        return self._sequences[which]
+
+    def seq_hash(self, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
         """Hashes of word sequences [start, end)."""
-        sums = self.prefix_sums(which) if sums is None else sums
-        _, q = _powers(_SEQ[which], len(sums))
-        return mix((sums[ends] - sums[starts]) * q[starts] + (ends - starts).astype(U) * U(0x9FB21C651E98DF25))
+        return self.sequences(which).hashes(starts, ends)
 
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """First words of all windows of k words inside one text, and their texts."""
