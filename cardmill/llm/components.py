@@ -3,7 +3,7 @@
 Labels start at the least neighbour and fall along edges, each round also jumping to the label of
 the label, so chains halve. Minima are pre-aggregated where rows lie, so a node with very many
 neighbours costs one row per task; joins leave skewed sides to AQE. Each round is written to
-the shared folder; the loop ends when no label changes.
+the shared folder and replaces the one before; the loop ends when no label changes.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import dropped, written
 
 
 def local_components(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -42,6 +42,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         fallen = label.join(fall, "node").select("node", F.col("label").alias("old"), F.least("label", "low").alias("label"))
         up = label.select(F.col("node").alias("label"), F.col("label").alias("up"))
         after = written(fallen.join(up, "label", "left").select("node", "old", F.least("label", "up").alias("label")), "labels")
+        dropped(label)
+        done = after.filter("label != old").isEmpty()
         label = after.select("node", "label")
-        if after.filter("label != old").isEmpty():
+        label.written_path = after.written_path
+        if done:
+            dropped(both)
             return label

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ONE = threading.Lock()
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (tests), one of our own."""
+    """The folder of spark.checkpoint.dir; where that is unset and Spark is local (tests), one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='cardmill-')}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        found = f"file:///tmp/cardmill-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
@@ -22,23 +27,40 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the shuffle files of the jobs inside when they are done, rather than when the driver's garbage is collected.
+
+    Shuffles are numbered one after the other; where any other job runs on the context at either end, nothing is removed.
+    """
+    jsc = spark.sparkContext._jsc
+    busy = lambda: len(spark.sparkContext.statusTracker().getActiveJobsIds())
+    with _ONE:
+        alone, first = not busy(), jsc.sc().newShuffleId()
+        yield
+        cleaner = jsc.sc().cleaner()
+        if alone and not busy() and cleaner.isDefined():
+            for i in range(first, jsc.sc().newShuffleId()):
+                cleaner.get().doCleanupShuffle(i, False)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a written Parquet table; a lost executor costs no more than a read."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_removed(spark):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_path = path
     return out
 
 
-def dropped(table: DataFrame) -> None:
-    """Delete a table of written() that nothing reads any more, and let Spark drop what finished queries have shuffled."""
-    spark = table.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark._jvm.System.gc()
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables of written() that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -48,3 +70,15 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
 def arrow_limits(spark: SparkSession, mb: int = 4) -> None:
     """Bound what one Arrow batch holds, so that long texts don't fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names that df doesn't have, whatever the case of its own."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

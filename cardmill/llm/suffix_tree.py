@@ -3,44 +3,50 @@
 Alphabet. Every word of the training texts is a symbol of its own, and so is the end of a text; a word that no training text
 has is one of six symbols by its spelling. The alphabet grows with the corpus.
 
-Tree. A state is a context of up to three symbols. Contexts and next-symbol counts are candidates from `context_count` and
-`pair_count` occurrences on, which are absolute, and exact: each distinct sequence of three symbols and the next one is counted once
-over all texts, and the shorter ones are sums of these. A state is retained where its next symbols diverge from those of its parent:
-the log-likelihood gain of its counts must exceed half the logarithm of the token number for each of them. Parents of retained states
-are retained. Nothing else bounds the tree.
-
-Smoothing. Counts are discounted by a constant and the state's rest goes to its parent's distribution. A text starts
-behind an end; what lies before that is one more symbol, whose contexts say no more than their parents and so are never retained.
-At the root each word is discounted; what that frees, and half a count, is the probability of an unseen word of its spelling. So the
-probabilities of all words, unseen ones and the end sum to 1 in each state, and a token is scored in the longest
-suffix state of what precedes it.
-
-Passes. (1) Segments of texts send their distinct sequences with their counts in training texts (held-out ones are sent with 0), and
-each level of counts is written. (2) States are judged level by level. (3) Each distinct sequence gets its probability from that of
-its suffix, level by level. (4) Segments send their distinct sequences with the texts that hold them; these meet the
-probabilities, and sums come back for each text. Tree, words and scores are tables joined by hashes of 64 bits; none is
-collected or broadcast by demand. A sequence comes once from each segment, so none can be hot.
-
-Nulls: a null text is empty and has its end alone; a null doc_id counts as the text "" in the hold-out rule. Rows
-are told apart by their place in the scan, so repeated rows are scored each. Empty tables give an empty result; with no training text
-every token is unseen. Extra columns don't matter.
+Tree. A state is a context of up to `depth` symbols. Contexts and next-symbol counts are candidates from `context_count` and
+`pair_count` occurrences on, which are absolute, and all counts are exact. A state is retained where its next symbols diverge from
+those of the context one symbol shorter: the log-likelihood gain of its counts must exceed half the logarithm of the token number for
+each of them. Nothing else bounds the tree, so it grows with the corpus.
+
+Smoothing. Counts are discounted by a constant, and the state's rest goes to the distribution of the next shorter state.
+A text starts behind an end; contexts don't reach further back. At the root each word is discounted; what that
+frees, and half a count, is the probability of an unseen word of its spelling. So the probabilities of all words, unseen ones
+and the end sum to 1 in each state, and a token is scored in the longest suffix state of what precedes it.
+
+Passes. Texts are packed once into segments of about `segment` tokens: numbers of words, words by hash, no strings. For each length of
+sequence a segment asks for the training counts of its distinct sequences (sorted hashes, so eight bytes or less of shuffle each), and
+the tasks that own a range of the hashes add up and answer each segment in the order of its question. A sequence is asked
+for only if it can occur twice by what the shorter ones say. Then each segment asks for its contexts, adding what the
+sequences it was given to own (each has one owner) say of their divergence; the answer is the retained states. With all answers a
+segment scores its texts where they lie. Nothing is collected, broadcast or kept by one task for the whole: a question comes once
+from each segment, so no word or context is hot, and a task's memory is a segment or `part` questions. Question files go after each
+pass; what stays is the segments and the answers, some bits for each token.
+
+Hashes. Words are told apart by 128 bits, which the base counts rest on; sequences by 64 bits: among m distinct sequences a false
+meeting has the probability m * m / 2**65 and changes one count.
+
+Nulls: a null text is empty and has its end alone; a null doc_id counts as the text "" in the hold-out rule and stays null.
+Repeated rows are scored each. Empty tables give an empty result; with no training text every token is unseen. Extra columns don't
+matter. A text of any length lies in one segment.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import arrow_limits, documents, dropped, written
-from .words import U, Words, chunks, column, mix, release, signed
+from .words import U, Words, chunks, column, mix, release
 
 CLASSES = 6
 _END, _BEFORE = U(0xA24BAED4963EE407), U(0x9FB21C651E98DF25)
+_STEP = U(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -50,7 +56,8 @@ class Tree:
     depth: int = 3
     discount: float = 0.5  # of state counts
     word_discount: float = 0.75  # of words at the root
-    segment: int = 500_000  # tokens counted together
+    segment: int = 1 << 19  # tokens
+    part: int = 1 << 21  # questions that one task answers together, about
 
 
 def spelling(w: Words) -> np.ndarray:
@@ -61,292 +68,312 @@ def spelling(w: Words) -> np.ndarray:
     return (high[w.ends] > high[w.starts]) * 3 + mark
 
 
-class Symbols:
-    """Symbols of the tokens of a chunk, their classes (CLASSES for ends) and texts."""
+def pack(a: np.ndarray) -> bytes:
+    """64-bit values as compressed byte planes: small or sorted values take few bytes."""
+    if not len(a):
+        return b""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(a).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
 
-    def __init__(self, w: Words):
-        self.offs = w.first + np.arange(w.rows + 1)
-        self.row = np.repeat(np.arange(w.rows), np.diff(self.offs))
-        place = np.arange(len(w.starts)) + w.doc()
-        self.sym = np.full(len(self.row), _END)
-        self.sym[place] = w.hashes()
-        self.cls = np.full(len(self.row), CLASSES, np.int8)
-        self.cls[place] = spelling(w)
 
-    def contexts(self, depth: int) -> Iterator[np.ndarray]:
-        """For each depth from 1: hashes of the contexts of all tokens; each continues that of its parent."""
-        pos = np.arange(len(self.sym)) - self.offs[self.row]
-        code, before = np.zeros(len(self.sym), U), self.sym
-        for d in range(depth):
-            before = np.concatenate((before[:1], before[:-1]))
-            code = mix(code * U(0x9E3779B97F4A7C15) + np.where(pos > d, before, np.where(pos == d, _END, _BEFORE)))
-            yield code
+def unpack(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, U)
+    n = int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], 8 * n, "zstd")
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view(U).ravel()
 
 
-def _contexts(depth: int) -> list[str]:
-    return [f"c{d}" for d in range(1, depth + 1)]
+def _bundle(*arrays: np.ndarray) -> bytes:
+    parts = [pack(a.astype(U)) for a in arrays]
+    return np.array([len(p) for p in parts], "<i8").tobytes() + b"".join(parts)
 
 
-def _segments(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[tuple[pa.RecordBatch, Symbols]]]:
-    held, n = [], 0
-    for b in batches:
-        for c in chunks(b):
-            held.append((c, Symbols(Words(column(c, "text"), lower=True))))
-            n += len(held[-1][1].sym)
-            if n >= size:
-                yield held
-                held, n = [], 0
-    if held:
-        yield held
+def _unbundle(data: bytes, n: int) -> list[np.ndarray]:
+    ends = np.cumsum(np.concatenate(([8 * n], np.frombuffer(data[: 8 * n], "<i8"))))
+    return [unpack(data[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def distinct(h: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first place of each distinct pair in the order of the pairs, number of the pair at each place)."""
+    _, first, at = np.unique(h, return_index=True, return_inverse=True)
+    if (h2[first][at] != h2).any():  # two words of one hash
+        _, first, at = np.unique(np.stack((h, h2), 1), axis=0, return_index=True, return_inverse=True)
+    return first, at.ravel()
+
+
+_FIELDS = 8
 
 
-def _sequences(t: Tree):
-    """Distinct contexts of full depth with the next symbol, of each segment, and their counts in training texts."""
-    names = [*_contexts(t.depth), "sym", "cls", "n"]
+def _segments(t: Tree):
+    """(seg, bundle) of all texts: see Segment for the fields."""
+
+    def bundle(held: list[tuple]) -> bytes:
+        h, h2, cls, n, learn, ids, has = (np.concatenate(x) for x in zip(*held, strict=True))
+        first, at = distinct(h, h2)
+        return _bundle(h[first], h2[first], cls[first], at, n, learn, ids.view(U), has)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for seg in _segments(batches, t.segment):
-            ctx = [np.concatenate(x) for x in zip(*(list(s.contexts(t.depth)) for _, s in seg), strict=True)]
-            sym, cls = (np.concatenate([getattr(s, x) for _, s in seg]) for x in ("sym", "cls"))
-            learn = np.concatenate([np.array(column(c, "learn"))[s.row] for c, s in seg])
-            _, first, at = np.unique(mix(ctx[-1] * U(0x9E3779B97F4A7C15) + sym), return_index=True, return_inverse=True)
-            n = np.bincount(at, learn).astype(np.int64)
-            out = pa.RecordBatch.from_arrays([*(pa.array(signed(c[first])) for c in ctx), pa.array(signed(sym[first])), pa.array(cls[first]), pa.array(n)], names)
-            for a in range(0, out.num_rows, 20_000):
-                yield out.slice(a, 20_000)
+        from pyspark import TaskContext
+
+        seg, held, size = TaskContext.get().partitionId() << 33, [], 0
+        row = lambda: pa.RecordBatch.from_arrays([pa.array([seg], pa.int64()), pa.array([bundle(held)], pa.binary())], ["seg", "a"])
+        for b in batches:
+            for c in chunks(b):
+                w = Words(column(c, "text"), lower=True)
+                offs = w.first + np.arange(w.rows + 1)
+                place = np.arange(len(w.starts)) + w.doc()
+                h, h2, cls = np.full(offs[-1], _END), np.full(offs[-1], _END), np.full(offs[-1], CLASSES, U)
+                h[place], h2[place], cls[place] = w.hashes(0), w.hashes(1), spelling(w)
+                ids = column(c, "doc_id")
+                held.append((h, h2, cls, np.diff(offs).astype(U), np.array(column(c, "learn")).astype(U), ids.fill_null(0).to_numpy(zero_copy_only=False), np.array(ids.is_valid()).astype(U)))
+                size += len(h)
+                if size >= t.segment:
+                    yield row()
+                    seg, held, size = seg + 1, [], 0
+        if held:
+            yield row()
+        release()
 
     return run
 
 
-class Counts:
-    """Counts of all texts in `texts` (text, learn), and the retained states, as written tables.
+class Segment:
+    """Some texts as numbers of words, and what is known of their sequences.
 
-    levels[d]: (c1 .. cd, sym, cls, n), a row for each distinct sequence; n is 0 where only held-out texts have it.
-    states[d]: (cd, up, total, rest) of the retained contexts; up is the parent, rest the share that goes to it.
+    n[d]: training count of each token behind its context of d symbols (0 where under both limits); total[d]: of that context.
     """
 
-    def __init__(self, texts: DataFrame, t: Tree):
-        self.t, self.tables = t, []
-        ctx = _contexts(t.depth)
-        schema = ", ".join([*(f"{c} long" for c in ctx), "sym long, cls byte, n long"])
-        level = texts.select("text", "learn").mapInArrow(_sequences(t), schema)
-        self.levels: list[DataFrame] = []
-        for d in range(t.depth, -1, -1):
-            level = self._keep(level.groupBy(*ctx[:d], "sym").agg(F.max("cls").alias("cls"), F.sum("n").alias("n")), f"level{d}")
-            self.levels.insert(0, level)
-        types = {r.cls: r for r in self.levels[0].groupBy("cls").agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("int")).alias("types")).collect()}  # a row for each class
-        self.tokens = sum(r.n for r in types.values())
-        self.types = sum(r.types for r in types.values())
-        self.unseen = [t.word_discount * (types[r].types if r in types else 0) + 0.5 for r in range(CLASSES)]
-        self.mass = self.tokens + 0.5 * (CLASSES + 1)
-        self.states = self._retained()
-
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        self.tables.append(written(df, name))
-        return self.tables[-1]
-
-    def drop(self) -> None:
-        for x in self.tables:
-            dropped(x)
-
-    def _retained(self) -> list[DataFrame | None]:
-        t, n = self.t, F.col("n")
-        penalty = 0.5 * float(np.log(max(self.tokens, 2)))
-        below = self.levels[0].filter(n >= t.pair_count).select("sym", (n / F.lit(max(self.tokens, 1))).alias("q"))
-        all_, own = [None], [None]
-        for d in range(1, t.depth + 1):
-            c, up = f"c{d}", f"c{d - 1}" if d > 1 else None
-            pair = n >= t.pair_count
-            total = self.levels[d].filter(n > 0).groupBy(c).agg(
-                F.first(up or F.lit(0).cast("long")).alias("up"), F.sum("n").alias("total"), F.sum(F.when(pair, n).otherwise(0)).alias("paired"), F.sum(pair.cast("int")).alias("kinds")
-            )
-            total = self._keep(total.filter((F.col("total") >= t.context_count) & (F.col("kinds") > 0)), f"totals{d}")
-            plain = self.levels[d].filter(pair).join(total.select(c, "total"), c).select(c, *([up] if up else []), "sym", "n", (n / F.col("total")).alias("p"))
-            plain = self._keep(plain, f"pairs{d}")
-            gain = plain.join(below, [*([up] if up else []), "sym"]).groupBy(c).agg(F.sum(n * F.log(F.col("p") / F.col("q"))).alias("gain"))
-            own.append(self._keep(total.join(gain, c).filter(F.col("gain") > penalty * F.col("kinds")).select(c), f"diverging{d}"))
-            all_.append(total.select(c, "up", "total", (1 - (F.col("paired") - t.discount * F.col("kinds")) / F.col("total")).alias("rest")))
-            below = plain.select(c, "sym", F.col("p").alias("q"))
-        states: list[DataFrame | None] = [None] * (t.depth + 1)
-        for d in range(t.depth, 0, -1):
-            keep = own[d] if d == t.depth else own[d].union(states[d + 1].select("up")).distinct()
-            states[d] = self._keep(all_[d].join(keep, f"c{d}", "left_semi"), f"states{d}")
-        return states
-
-    def root(self) -> Column:
-        """Probability of a row of levels[0] without context."""
-        n, cls = F.col("n"), F.col("cls")
-        unseen = F.element_at(F.array(*map(F.lit, self.unseen), F.lit(0.5)), cls.cast("int") + 1)
-        return F.when(cls == CLASSES, n + 0.5).when(n > 0, n - self.t.word_discount).otherwise(unseen) / F.lit(self.mass)
-
-    def scores(self) -> DataFrame:
-        """(context of full depth, sym, p, seen) of each distinct sequence: its probability in its longest state, and how often its symbol was seen."""
-        t = self.t
-        out = self.levels[0].select("sym", self.root().alias("p"), F.col("n").alias("seen"))
-        for d in range(1, t.depth + 1):
-            c, keys = f"c{d}", [*([f"c{d - 1}"] if d > 1 else []), "sym"]
-            rows = self.levels[d].select(c, *keys, "n").join(self.states[d].select(c, "total", "rest"), c, "left").join(out, keys)
-            own = F.when(F.col("n") >= t.pair_count, (F.col("n") - t.discount) / F.col("total")).otherwise(0.0)
-            p = F.when(F.col("total").isNull(), F.col("p")).otherwise(own + F.col("rest") * F.col("p"))
-            out = rows.select(c, "sym", p.alias("p"), "seen")
-        return out
-
-
-class Model:
-    """The tree on the driver, to look at small ones: symbols are numbered, those of unseen words last."""
-
-    def __init__(self, counts: Counts):
-        t = self.t = counts.t
-        root = counts.levels[0].filter("n > 0").select("sym", counts.root().alias("p")).toArrow()
-        sym, p = (root.column(x).to_numpy() for x in ("sym", "p"))
-        order = np.argsort(sym)
-        self.symbols, self.size = sym[order], len(sym) + CLASSES
-        self.root = np.append(p[order], np.array(counts.unseen) / counts.mass)
-        self.states: list[np.ndarray] = []
-        self.up, self.rest, self.pairs = [], [], []
-        for d in range(1, t.depth + 1):
-            c = f"c{d}"
-            rows = counts.states[d].select(c, "up", "rest").orderBy(c).toArrow()
-            self.states.append(rows.column(c).to_numpy())
-            self.up.append(rows.column("up").to_numpy())
-            self.rest.append(rows.column("rest").to_numpy())
-            pair = counts.levels[d].filter(F.col("n") >= t.pair_count).join(counts.states[d], c)
-            self.pairs.append({(r[0], r[1]): r[2] for r in pair.select(c, "sym", (F.col("n") - t.discount) / F.col("total")).collect()})
-
-    def _log(self, d: int, ctx: np.ndarray, sym: np.ndarray, ok=None) -> np.ndarray:
-        """log10 P(sym | state ctx of depth d)."""
-        return np.log10(self._p(d, ctx, sym))
-
-    def _p(self, d: int, ctx: np.ndarray, sym: np.ndarray) -> np.ndarray:
+    def __init__(self, t: Tree, data: bytes):
+        self.t = t
+        self.h, self.h2, self.cls, tok, n, self.learns, ids, self.has = _unbundle(data, _FIELDS)
+        self.tok, self.ids = tok.astype(np.int64), ids.view(np.int64)
+        self.offs = np.concatenate(([0], np.cumsum(n.astype(np.int64))))
+        self.row = np.repeat(np.arange(len(n)), n.astype(np.int64))
+        self.pos = np.arange(len(tok)) - self.offs[self.row]
+        self.learn = self.learns[self.row].astype(bool)
+        self.sym = self.h[self.tok]
+        self.code = [np.zeros(len(tok), U)]
+        before = self.sym
+        for d in range(t.depth):
+            before = np.concatenate((before[:1], before[:-1]))
+            self.code.append(mix(self.code[-1] * _STEP + np.where(self.pos > d, before, np.where(self.pos == d, _END, _BEFORE))))
+        self.n: list[np.ndarray] = []
+        self.total: list[np.ndarray] = []
+        self.owned: list[np.ndarray] = []  # a token of each distinct sequence over both limits that this segment owns
+
+    def sequences(self) -> tuple[np.ndarray, ...]:
+        """The next question: (tokens asked for, distinct keys, a place of each, number of the key of each token)."""
+        d, t = len(self.n), self.t
         if d == 0:
-            return self.root[sym]
-        at = np.searchsorted(self.states[d - 1], ctx)
-        assert (self.states[d - 1][at] == ctx).all(), "not a state"
-        names = [int(self.symbols[s]) if s < len(self.symbols) else None for s in sym]
-        own = np.array([self.pairs[d - 1].get((int(c), s), 0.0) for c, s in zip(ctx, names, strict=True)])
-        return own + self.rest[d - 1][at] * self._p(d - 1, self.up[d - 1][at], sym)
+            return np.arange(len(self.tok)), self.h, np.zeros(0, int), self.tok
+        if len(self.total) < d + 1:
+            before = np.concatenate((self.n[-1][:1] * 0, self.n[-1][:-1]))  # a context is the sequence that the token before ends
+            ends = self.n[0][self.offs[1:] - 1]
+            self.total.append(np.where(self.pos > 0, before, ends[self.row] if d == 1 else 0))
+        least = min(t.context_count, t.pair_count)
+        ask = np.flatnonzero((self.n[-1] >= least) & (self.total[d] >= least))
+        keys, first, at = np.unique(mix(self.code[d][ask] * _STEP + self.sym[ask]), return_index=True, return_inverse=True)
+        return ask, keys, first, at
+
+    def learn_counts(self, asked: tuple[np.ndarray, ...]) -> np.ndarray:
+        ask, keys, _, at = asked
+        return np.bincount(at, self.learn[ask], len(keys)).astype(U)
+
+    def answered(self, asked: tuple[np.ndarray, ...], value: np.ndarray) -> None:
+        ask, _, first, at = asked
+        n = (value >> U(1)).astype(np.int64)
+        if not self.n:
+            self.n.append(n[self.tok])
+            self.total.append(np.zeros(0, np.int64))
+            return
+        out = np.zeros(len(self.tok), np.int64)
+        out[ask] = n[at]
+        self.n.append(out)
+        own = ask[first[((value & U(1)) > 0) & (n >= self.t.pair_count)]]
+        self.owned.append(own[self.total[len(self.owned) + 1][own] >= self.t.context_count])
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """(distinct contexts of all lengths, for each length the tokens and the numbers of their contexts)."""
+        ask = [np.flatnonzero(self.total[d] >= self.t.context_count) for d in range(1, self.t.depth + 1)]
+        keys, at = np.unique(np.concatenate([self.code[d][a] for d, a in enumerate(ask, 1)]), return_inverse=True)
+        return keys, list(zip(ask, np.split(at, np.cumsum([len(a) for a in ask])[:-1]), strict=True))
+
+    def divergence(self, keys: np.ndarray, tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the owned sequences say of each context: their number, their counts and their gain."""
+        kinds, paired, gain = (np.zeros(len(keys)) for _ in range(3))
+        for d, own in enumerate(self.owned, 1):
+            n, above = self.n[d][own], self.n[d - 1][own] / (tokens if d == 1 else self.total[d - 1][own])
+            at = np.searchsorted(keys, self.code[d][own])
+            kinds += np.bincount(at, minlength=len(keys))
+            paired += np.bincount(at, n, len(keys))
+            gain += np.bincount(at, n * np.log(n / self.total[d][own] / above), len(keys))
+        return kinds.astype(U), paired.astype(U), gain
+
+    def probabilities(self, roots: Callable, where: list[tuple[np.ndarray, np.ndarray]], kinds: np.ndarray, paired: np.ndarray) -> np.ndarray:
+        t, p = self.t, roots(self.cls[self.tok].astype(np.int64), self.n[0])
+        for d, (ask, at) in enumerate(where, 1):
+            state = kinds[at] > 0
+            ask, at = ask[state], at[state]
+            n, total = self.n[d][ask], self.total[d][ask]
+            rest = 1 - (paired[at].astype(float) - t.discount * kinds[at]) / total
+            p[ask] = np.where(n >= t.pair_count, (n - t.discount) / total, 0.0) + rest * p[ask]
+        return p
+
+
+_ROW = "seg long, level int, part int, a binary, b binary, n long, types long"
+_ROW_SCHEMA = pa.schema([("seg", pa.int64()), ("level", pa.int32()), ("part", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64()), ("types", pa.int64())])
+_ASK = "part int, seg long, keys binary, x binary, y binary, z binary"
+_ASK_SCHEMA = pa.schema([("part", pa.int32()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("keys", "x", "y", "z"))])
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(rows), 500):
+        yield pa.RecordBatch.from_arrays([pa.array(c, s) for c, s in zip(zip(*rows[i : i + 500], strict=True), schema.types, strict=True)], schema=schema)
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], key: str, names: list[str]) -> Iterator[tuple[int, list[tuple]]]:
+    """Rows of each value of key, which come together."""
+    now, held = None, []
+    for b in batches:
+        for k, *row in zip(*(column(b, c).to_pylist() for c in (key, *names)), strict=True):
+            if k != now:
+                if held:
+                    yield now, held
+                now, held = k, []
+            held.append(tuple(row))
+    if held:
+        yield now, held
 
 
-def train(texts: DataFrame, t: Tree = Tree()) -> Model:
-    """The tree of column `text`, on the driver."""
-    arrow_limits(texts.sparkSession)
-    counts = Counts(texts.select("text", F.lit(True).alias("learn")), t)
-    model = Model(counts)
-    counts.drop()
-    return model
+def _read(t: Tree, batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[tuple[int, Segment, list[np.ndarray]]]:
+    """Each segment with the answers to the first questions, and both columns of that about its contexts."""
+    for seg, rows in _grouped(batches, "seg", ["level", "a", "b"]):
+        out: dict[int, list] = {}
+        for level, a, b in rows[1:]:
+            out.setdefault(level, []).append((unpack(a), unpack(b or b"")))
+        segment = Segment(t, rows[0][1])
+        both = [[np.concatenate(x) for x in zip(*out[i], strict=True)] if i in out else [np.zeros(0, U)] * 2 for i in range(t.depth + 2)]
+        for level in range(min(levels, t.depth + 1)):
+            segment.answered(segment.sequences(), both[level][0])
+        yield seg, segment, both[-1]
 
 
-_SHIFT = 33  # of the partition in monotonically_increasing_id
-_ENTRY = np.dtype([("row", "<u4"), ("n", "<u4")])
-_SUM = np.dtype([("row", "<u4"), ("n", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
+def _questions(t: Tree, level: int, parts: int, tokens: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for seg, s, _ in _read(t, batches, level):
+            if level <= t.depth:
+                asked = s.sequences()
+                keys, fields = asked[1], [s.learn_counts(asked)]
+                if level == 0:
+                    fields += [s.h2, s.cls]
+            else:
+                keys = s.contexts()[0]
+                kinds, paired, gain = s.divergence(keys, tokens)
+                fields = [kinds, paired, gain]
+            part = ((keys >> U(32)) * U(parts)) >> U(32)
+            cut = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])) if len(part) else np.zeros(1, int)
+            rows = []
+            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                rows.append((int(part[a]), seg, pack(keys[a:b]), *(pack(f[a:b]) for f in fields), *[None] * (3 - len(fields))))
+            yield from _batch(rows, _ASK_SCHEMA)
+        release()
 
+    return run
 
-def _holders(t: Tree):
-    """Each distinct sequence of a segment once: context, symbol, part, and (row, count) of the texts that hold it."""
-    last = f"c{t.depth}"
 
+def _answers(t: Tree, level: int, tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for seg in _segments(batches, t.segment):
-            ctx = np.concatenate([list(s.contexts(t.depth))[-1] for _, s in seg])
-            sym = np.concatenate([s.sym for _, s in seg])
-            place = np.concatenate([column(c, "place").to_numpy()[s.row] for c, s in seg])
-            h = mix(ctx * U(0x9E3779B97F4A7C15) + sym)
-            order = np.argsort(h, kind="stable")  # places stay in order
-            h, place = h[order], place[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (place[1:] != place[:-1])
-            entry = np.flatnonzero(new)
-            he = h[entry]
-            begins = np.ones(len(entry), bool)
-            begins[1:] = he[1:] != he[:-1]
-            first = np.flatnonzero(begins)
-            payload = np.empty(len(entry), _ENTRY)
-            payload["row"], payload["n"] = place[entry] & ((1 << _SHIFT) - 1), np.diff(np.append(entry, len(h)))
-            offs = (np.append(first, len(entry)) * _ENTRY.itemsize).astype(np.int32)
-            docs = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offs), pa.py_buffer(payload)])
-            one = order[entry[first]]
-            out = pa.RecordBatch.from_arrays([pa.array(signed(ctx[one])), pa.array(signed(sym[one])), pa.array((place[entry[first]] >> _SHIFT).astype(np.int32)), docs], [last, "sym", "part", "docs"])
-            for a in range(0, out.num_rows, 20_000):
-                yield out.slice(a, 20_000)
+        penalty = 0.5 * float(np.log(max(tokens, 2)))
+        for part, rows in _grouped(batches, "part", ["seg", "keys", "x", "y", "z"]):
+            fields = [[unpack(r[i] or b"") for r in rows] for i in range(1, 5)]
+            ends = np.cumsum([0, *(len(k) for k in fields[0])])
+            keys, x, y, z = (np.concatenate(f) for f in fields)
+            order = np.lexsort((y, keys)) if level == 0 else np.argsort(keys, kind="stable")
+            new = np.ones(len(keys), bool)
+            new[1:] = keys[order][1:] != keys[order][:-1]
+            if level == 0:
+                new[1:] |= y[order][1:] != y[order][:-1]
+            first, group = np.flatnonzero(new), np.cumsum(new) - 1
+            total = np.add.reduceat(x[order], first)
+            a, b = np.empty(len(keys), U), None
+            out = []
+            if level <= t.depth:
+                a[order] = (total[group] << U(1)) | new.astype(U)  # the first to ask owns it
+            else:
+                paired, gain = np.add.reduceat(y[order], first), np.add.reduceat(z.view(float)[order], first)
+                kept = (total > 0) & (gain > penalty * total)
+                b = np.empty(len(keys), U)
+                a[order], b[order] = np.where(kept, total, 0)[group], np.where(kept, paired, 0)[group]
+            if level == 0:
+                cls = z[order][first].astype(np.int64)
+                n, types = np.bincount(cls, total, CLASSES + 1), np.bincount(cls, total > 0, CLASSES + 1)
+                out += [(-1, c, part, None, None, int(n[c]), int(types[c])) for c in range(CLASSES + 1)]
+            for i, r in enumerate(rows):
+                own = slice(ends[i], ends[i + 1])
+                out.append((r[0], level, part, pack(a[own]), None if b is None else pack(b[own]), None, None))
+            yield from _batch(out, _ROW_SCHEMA)
+        release()
 
     return run
 
 
-def _meet(most: int = 1_000_000):
-    """Sums of sequences with their probabilities: for each part of the texts, rows of sums."""
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
 
-    def summed(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        place, n, seen, p = (np.concatenate([x[i] for x in held]) for i in range(4))
-        places, to = np.unique(place, return_inverse=True)
-        out = np.zeros(len(places), _SUM)
-        out["row"] = places & ((1 << _SHIFT) - 1)
-        for name, x in (("n", n), ("known", n * (seen > 0)), ("base", n * np.log10(seen + 1.0)), ("score", n * np.log10(p))):
-            out[name] = np.bincount(to, x)
-        cut = np.concatenate(([0], np.flatnonzero(np.diff(places >> _SHIFT)) + 1, [len(places)]))
-        rows = [(int(places[a] >> _SHIFT), out[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["part", "sums"])
+def _scored(t: Tree, tokens: int, types: np.ndarray):
+    """types: how many words of each spelling training has, and 1 for the end."""
+    unseen = np.append(t.word_discount * types[:CLASSES] + 0.5, 0.5)
+    mass, words = tokens + 0.5 * (CLASSES + 1), int(types.sum())
+
+    def roots(cls: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.where(cls == CLASSES, n + 0.5, np.where(n > 0, n - t.word_discount, unseen[cls])) / mass
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for b in batches:
-            docs = column(b, "docs").cast(pa.large_binary())
-            if not len(docs):
-                continue
-            offs = np.frombuffer(docs.buffers()[1], np.int64)[docs.offset : docs.offset + len(docs) + 1]
-            payload = np.frombuffer(np.frombuffer(docs.buffers()[2], np.uint8)[offs[0] : offs[-1]].tobytes(), _ENTRY)
-            row = np.repeat(np.arange(len(docs)), np.diff(offs) // _ENTRY.itemsize)
-            part, seen, p = (column(b, x).to_numpy()[row] for x in ("part", "seen", "p"))
-            held.append(((part.astype(np.int64) << _SHIFT) | payload["row"], payload["n"].astype(np.int64), seen, p))
-            size += len(row)
-            if size >= most:
-                yield from summed(held)
-                held, size = [], 0
-        if held:
-            yield from summed(held)
+        for _, s, answers in _read(t, batches, t.depth + 2):
+            _, where = s.contexts()
+            p = s.probabilities(roots, where, *answers)
+            by_row = lambda x: np.bincount(s.row, x, len(s.ids))
+            n = np.diff(s.offs)
+            base = by_row(np.log10(s.n[0] + 1.0)) - n * np.log10(tokens + words + 1)
+            cols = [pa.array(s.ids, mask=s.has == 0), pa.array(s.learns == 0), pa.array(n), pa.array(by_row(s.n[0] > 0).astype(np.int64)), pa.array(np.full(len(n), tokens)), pa.array(base), pa.array(by_row(np.log10(p)))]
+            out = pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in _SCORES.split(", ")])
+            for a in range(0, out.num_rows, 50_000):
+                yield out.slice(a, 50_000)
         release()
 
     return run
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds up what the tasks of _meet say of each text; the texts of one part come together."""
-    parts: dict[int, np.ndarray] = {}
-    names = _SUM.names[1:]
-    for b in batches:
-        for part, sums in zip(column(b, "part").to_pylist(), column(b, "sums").to_pylist(), strict=True):
-            x = np.frombuffer(sums, _SUM)
-            held = parts.get(part, np.zeros((len(names), 0)))
-            if held.shape[1] <= x["row"].max():
-                held = np.concatenate((held, np.zeros((len(names), int(x["row"].max()) + 1 - held.shape[1]))), 1)
-            for i, name in enumerate(names):
-                held[i, x["row"]] += x[name]
-            parts[part] = held
-    for part, held in parts.items():
-        place = np.arange(held.shape[1]) + (part << _SHIFT)
-        for a in range(0, len(place), 50_000):
-            n, known, base, score = (x[a : a + 50_000] for x in held)
-            yield pa.RecordBatch.from_arrays([pa.array(place[a : a + 50_000]), pa.array(n.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], ["place", "n_tokens", "n_known", "base", "score"])
-
-
 def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
     """Score every row of docs by a tree of the rows where the column learn is true.
 
-    docs must keep its partitions from scan to scan, as files and written tables do.
-    Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, as a written table.
     """
-    arrow_limits(docs.sparkSession)
-    rows = docs.select("doc_id", "text", learn.alias("learn")).withColumn("place", F.monotonically_increasing_id())
-    counts = Counts(rows, t)
-    key = F.xxhash64(f"c{t.depth}", "sym").alias("key")
-    holders = rows.select("place", "text").mapInArrow(_holders(t), f"c{t.depth} long, sym long, part int, docs binary").select(key, "part", "docs")
-    met = holders.join(counts.scores().select(key, "p", "seen"), "key").select("part", "docs", "p", "seen").mapInArrow(_meet(), "part int, sums binary")
-    met = written(met.repartition("part").mapInArrow(_summed, "place long, n_tokens long, n_known long, base double, score double"), "met")
-    counts.drop()
-    n, v = counts.tokens, counts.types
-    return rows.select("place", "doc_id", "learn").join(met, "place").select(
-        F.col("doc_id").cast("long").alias("doc_id"), (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"), "score",
-    )
+    spark = docs.sparkSession
+    arrow_limits(spark)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(learn, F.lit(False)).alias("learn"))
+    none = F.lit(None)
+    segs = rows.mapInArrow(_segments(t), "seg long, a binary").select("seg", F.lit(-1).alias("level"), F.lit(0).alias("part"), "a", none.cast("binary").alias("b"), none.cast("long").alias("n"), none.cast("long").alias("types"))
+    segs = written(segs, "segments")
+    count, least = segs.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, count * t.segment // t.part)
+    tasks = lambda n: max(least, min(2 * n, 20_000 + n // 8))
+    answers: list[DataFrame] = []
+
+    def known() -> DataFrame:
+        return reduce(DataFrame.unionByName, (a.filter("seg >= 0") for a in answers), segs).repartition(tasks(count), "seg").sortWithinPartitions("seg", "level", "part")
+
+    tokens, types = 0, np.zeros(CLASSES + 1, np.int64)
+    for level in range(t.depth + 2):
+        asked = known().mapInArrow(_questions(t, level, parts, tokens), _ASK)
+        answers.append(written(asked.repartition(tasks(parts), "part").sortWithinPartitions("part", "seg").mapInArrow(_answers(t, level, tokens), _ROW), f"answers{level}"))
+        if level == 0:
+            for r in answers[0].filter("seg < 0").groupBy("level").agg(F.sum("n").alias("n"), F.sum("types").alias("types")).collect():  # a row for each spelling
+                tokens, types[r.level] = tokens + r.n, r.types
+    out = written(known().mapInArrow(_scored(t, tokens, types), _SCORES), "scores")
+    dropped(segs, *answers)
+    return out
 
 
 def op1_suffix_tree_scores(spark, sf_dir: str) -> DataFrame:

@@ -53,14 +53,98 @@ def test_suffix_tree_scores(spark, small, hard, empty):
     assert suffix_tree.score_documents(hard, F.lit(False)).filter("n_known > 0 OR train_tokens > 0").count() == 0
 
 
-def test_states_are_distributions(spark, small):
-    m = suffix_tree.train(spark.read.parquet(f"{small}/documents.parquet"))
-    assert sum(map(len, m.states)) > 0
-    a = m.size
-    for d, states in enumerate(m.states, 1):
-        for s in states[:: max(1, len(states) // 5)]:
-            p = 10.0 ** m._log(d, np.full(a, s), np.arange(a), [np.ones(a, bool)] * 3)
-            assert p.min() > 0 and abs(p.sum() - 1) < 1e-9
+class PlainTree:
+    """The tree of some texts by counting, a context after the other."""
+
+    def __init__(self, texts, t):
+        self.t, self.words = t, [[*split(x), b" "] for x in texts]
+        seqs = [[b" ", *w] for w in self.words]
+        self.n = [collections.Counter() for _ in range(t.depth + 1)]
+        for w in seqs:
+            for i in range(1, len(w)):
+                for d in range(t.depth + 1):
+                    if d <= i:
+                        self.n[d][tuple(w[i - d : i + 1])] += 1
+        self.total, self.next = collections.Counter(), collections.defaultdict(list)
+        for d in range(t.depth + 1):
+            for s, n in self.n[d].items():
+                self.total[s[:-1]] += n
+                if n >= t.pair_count:
+                    self.next[s[:-1]].append((s[-1], n))
+        self.tokens, self.types = self.total[()], collections.Counter(self.spelling(w) for (w,) in self.n[0])
+        self.states = {c for c in self.next if c and self.total[c] >= t.context_count and self.gain(c) > 0.5 * math.log(max(self.tokens, 2)) * len(self.next[c])}
+
+    @staticmethod
+    def spelling(w):
+        if w == b" ":
+            return 6
+        last = w[-1]
+        return 3 * any(x >= 128 for x in w) + (1 if last == 46 else 2 if 33 <= last <= 64 and not 48 <= last <= 57 else 0)
+
+    def gain(self, c):
+        above = lambda s: self.n[len(c) - 1][(*c[1:], s)] / self.total[c[1:]]
+        return sum(n * math.log(n / self.total[c] / above(s)) for s, n in self.next[c])
+
+    def p(self, context, s):
+        """P(s) behind context, where a symbol not in training stands for its spelling."""
+        n = self.n[0][(s,)]
+        unseen = self.t.word_discount * self.types[self.spelling(s)] + 0.5
+        p = (n + 0.5 if s == b" " else n - self.t.word_discount if n else unseen) / (self.tokens + 3.5)
+        for d in range(1, len(context) + 1):
+            c = tuple(context[-d:])
+            if c in self.states:
+                own = dict(self.next[c])
+                rest = 1 - sum(x - self.t.discount for x in own.values()) / self.total[c]
+                p = max(own.get(s, 0) - self.t.discount, 0) / self.total[c] + rest * p
+        return p
+
+    def score(self, text):
+        w = [b" ", *split(text), b" "]
+        return sum(math.log10(self.p(w[max(0, i - self.t.depth) : i], w[i])) for i in range(1, len(w)))
+
+
+def test_scores_are_those_of_a_plain_tree(spark, small, hard):
+    for df, t in ((spark.read.parquet(f"{small}/documents.parquet"), suffix_tree.Tree(segment=3000, part=500)), (hard, suffix_tree.Tree(depth=2, context_count=3)), (hard, suffix_tree.Tree(pair_count=3, segment=500))):
+        rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+        plain = PlainTree([x for i, x in rows if zlib.crc32(b"" if i is None else str(i).encode()) % 7 != 2], t)
+        assert plain.states
+        got = sorted((str(r.doc_id), round(r.score, 6)) for r in suffix_tree.score_documents(df, learn(), t).collect())
+        want = sorted((str(i), round(plain.score(x), 6)) for i, x in rows)
+        assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-9)
+        unseen = [b"\xff" * (k > 2) + (b"zq", b"zq.", b"zq!")[k % 3] for k in range(6)]
+        for c in sorted(plain.states, key=repr)[:: max(1, len(plain.states) // 4)]:
+            assert abs(sum(plain.p(c, s) for s in [w for (w,) in plain.n[0]] + unseen) - 1) < 1e-9
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    x = "a"
+    for _ in range(n):
+        x += x.translate(str.maketrans("ab", "ba"))
+    return x, x.translate(str.maketrans("ab", "ba"))
+
+
+def thue_morse_rows() -> list[tuple]:
+    """Texts whose words, lines and windows a polynomial hash modulo 2**64 can't tell apart."""
+    x, y = thue_morse(10)
+    fill = words(40, 34)
+    return [(1, f"{x} one two three four"), (2, f"{y} one two three four"), (3, " ".join([*fill, x])), (4, " ".join([*fill, y])), (5, f"{x} b\n{y} b\n{x} b\nc"), (6, " ".join(x)), (7, " ".join(y)), (8, f"{x} a b c d {y} a b c d")]
+
+
+def test_words_that_linear_hashes_confuse(spark, tmp_path):
+    rows = thue_morse_rows()
+    path = str(tmp_path / "d")
+    spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string").write.parquet(path)
+    df = spark.read.parquet(path)
+    check_scores(df, suffix_tree.score_documents(df, learn()))
+    one = suffix_tree.score_documents(df, F.col("doc_id") == 1).filter("doc_id = 2").first()
+    assert (one.n_tokens, one.n_known) == (6, 5)
+    got = sorted((str(r.doc_id), hashlib.sha256(b" ".join(split(r.text, False))).hexdigest()) for r in substring.deduplicated(df).collect())
+    assert got == sorted((i, h) for i, _, _, h in plain_removed(rows))
+    for k in (2, 4):
+        got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in ngram_join.jaccard_classes(df, ngram_join.Join(words=k)).collect())
+        assert got == plain_classes(rows, k, 85)
+    got = sorted((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in quality.quality_rules(df).collect())
+    assert got == sorted((str(i), *plain_counts(t)) for i, t in rows)
 
 
 def test_context_is_used(spark, tmp_path):
