@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import arrow_limits, documents, dropped, written
+from .store import arrow_limits, bucketed, documents, dropped, dropped_buckets, written
 from .words import U, Words, chunks, column, mix, release
 
 CLASSES = 6
@@ -69,19 +69,25 @@ def spelling(w: Words) -> np.ndarray:
 
 
 def pack(a: np.ndarray) -> bytes:
-    """64-bit values as compressed byte planes: small or sorted values take few bytes."""
+    """Unsigned values as compressed byte planes: small or sorted values take few bytes."""
     if not len(a):
         return b""
-    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes()
-    return len(a).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+    size = 1 << max(0, (int(a.max()).bit_length() - 1) // 8).bit_length()
+    a = a.astype(f"<u{size}", copy=False)
+    planes = a.tobytes() if size == 1 else np.ascontiguousarray(a.view(np.uint8).reshape(-1, size).T)
+    return bytes([size]) + len(a).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
 
 
 def unpack(data: bytes) -> np.ndarray:
     if not data:
         return np.zeros(0, U)
-    n = int.from_bytes(data[:8], "little")
-    planes = pa.decompress(data[8:], 8 * n, "zstd")
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view(U).ravel()
+    size, n = data[0], int.from_bytes(data[1:9], "little")
+    planes = np.frombuffer(pa.decompress(memoryview(data)[9:], size * n, "zstd"), np.uint8)
+    out = np.zeros(n, U)
+    cells = out.view(np.uint8).reshape(n, 8)
+    for i in range(size):
+        cells[:, i] = planes[i * n : (i + 1) * n]
+    return out
 
 
 def _bundle(*arrays: np.ndarray) -> bytes:
@@ -94,30 +100,44 @@ def _unbundle(data: bytes, n: int) -> list[np.ndarray]:
     return [unpack(data[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def distinct(h: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first place of each distinct pair in the order of the pairs, number of the pair at each place)."""
-    _, first, at = np.unique(h, return_index=True, return_inverse=True)
-    if (h2[first][at] != h2).any():  # two words of one hash
-        _, first, at = np.unique(np.stack((h, h2), 1), axis=0, return_index=True, return_inverse=True)
-    return first, at.ravel()
+def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a place of each distinct value in their order, number of the value at each place)."""
+    order = np.argsort(h)
+    x = h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = x[1:] != x[:-1]
+    at = np.empty(len(h), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return order[new], at
+
+
+def distinct_words(h: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """distinct() of both."""
+    one, at = distinct(h)
+    if (h2[one][at] != h2).any():  # two words of one hash
+        _, one, at = np.unique(np.stack((h, h2), 1), axis=0, return_index=True, return_inverse=True)
+    return one, at.ravel()
 
 
 _FIELDS = 8
 
 
 def _segments(t: Tree):
-    """(seg, bundle) of all texts: see Segment for the fields."""
+    """(seg, bundle, 32 more bits of its words' hashes) of all texts: see Segment for the fields."""
 
-    def bundle(held: list[tuple]) -> bytes:
+    def bundles(held: list[tuple]) -> tuple[bytes, bytes]:
         h, h2, cls, n, learn, ids, has = (np.concatenate(x) for x in zip(*held, strict=True))
-        first, at = distinct(h, h2)
-        return _bundle(h[first], h2[first], cls[first], at, n, learn, ids.view(U), has)
+        one, at = distinct_words(h, h2)
+        often = np.argsort(-np.bincount(at, minlength=len(one)), kind="stable")  # frequent words have small numbers
+        rank = np.empty(len(one), np.int64)
+        rank[often] = np.arange(len(one))
+        return _bundle(h[one], cls[one], often, rank[at], n, learn, ids.view(U), has), pack(h2[one] >> U(32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         seg, held, size = TaskContext.get().partitionId() << 33, [], 0
-        row = lambda: pa.RecordBatch.from_arrays([pa.array([seg], pa.int64()), pa.array([bundle(held)], pa.binary())], ["seg", "a"])
+        row = lambda: pa.RecordBatch.from_arrays([pa.array([seg], pa.int64()), *(pa.array([x], pa.binary()) for x in bundles(held))], ["seg", "texts", "more"])
         for b in batches:
             for c in chunks(b):
                 w = Words(column(c, "text"), lower=True)
@@ -146,8 +166,8 @@ class Segment:
 
     def __init__(self, t: Tree, data: bytes):
         self.t = t
-        self.h, self.h2, self.cls, tok, n, self.learns, ids, self.has = _unbundle(data, _FIELDS)
-        self.tok, self.ids = tok.astype(np.int64), ids.view(np.int64)
+        self.h, self.cls, often, tok, n, self.learns, ids, self.has = _unbundle(data, _FIELDS)
+        self.tok, self.ids = often.view(np.int64)[tok.view(np.int64)], ids.view(np.int64)
         self.offs = np.concatenate(([0], np.cumsum(n.astype(np.int64))))
         self.row = np.repeat(np.arange(len(n)), n.astype(np.int64))
         self.pos = np.arange(len(tok)) - self.offs[self.row]
@@ -160,10 +180,12 @@ class Segment:
             self.code.append(mix(self.code[-1] * _STEP + np.where(self.pos > d, before, np.where(self.pos == d, _END, _BEFORE))))
         self.n: list[np.ndarray] = []
         self.total: list[np.ndarray] = []
+        self.number = [self.tok]  # of the sequence that ends with each token; -1 where not asked for
+        self.one: list[np.ndarray] = [self.h]  # a token of each distinct sequence; the words themselves at first
         self.owned: list[np.ndarray] = []  # a token of each distinct sequence over both limits that this segment owns
 
     def sequences(self) -> tuple[np.ndarray, ...]:
-        """The next question: (tokens asked for, distinct keys, a place of each, number of the key of each token)."""
+        """The next question: (tokens asked for, distinct keys, a token of each, number of the key of each token)."""
         d, t = len(self.n), self.t
         if d == 0:
             return np.arange(len(self.tok)), self.h, np.zeros(0, int), self.tok
@@ -173,15 +195,16 @@ class Segment:
             self.total.append(np.where(self.pos > 0, before, ends[self.row] if d == 1 else 0))
         least = min(t.context_count, t.pair_count)
         ask = np.flatnonzero((self.n[-1] >= least) & (self.total[d] >= least))
-        keys, first, at = np.unique(mix(self.code[d][ask] * _STEP + self.sym[ask]), return_index=True, return_inverse=True)
-        return ask, keys, first, at
+        keys = mix(self.code[d][ask] * _STEP + self.sym[ask])
+        one, at = distinct(keys)
+        return ask, keys[one], ask[one], at
 
     def learn_counts(self, asked: tuple[np.ndarray, ...]) -> np.ndarray:
         ask, keys, _, at = asked
         return np.bincount(at, self.learn[ask], len(keys)).astype(U)
 
     def answered(self, asked: tuple[np.ndarray, ...], value: np.ndarray) -> None:
-        ask, _, first, at = asked
+        ask, _, one, at = asked
         n = (value >> U(1)).astype(np.int64)
         if not self.n:
             self.n.append(n[self.tok])
@@ -190,37 +213,77 @@ class Segment:
         out = np.zeros(len(self.tok), np.int64)
         out[ask] = n[at]
         self.n.append(out)
-        own = ask[first[((value & U(1)) > 0) & (n >= self.t.pair_count)]]
+        self.one.append(one)
+        self.number.append(np.full(len(self.tok), -1))
+        self.number[-1][ask] = at
+        own = one[((value & U(1)) > 0) & (n >= self.t.pair_count)]
         self.owned.append(own[self.total[len(self.owned) + 1][own] >= self.t.context_count])
 
-    def contexts(self) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        """(distinct contexts of all lengths, for each length the tokens and the numbers of their contexts)."""
-        ask = [np.flatnonzero(self.total[d] >= self.t.context_count) for d in range(1, self.t.depth + 1)]
-        keys, at = np.unique(np.concatenate([self.code[d][a] for d, a in enumerate(ask, 1)]), return_inverse=True)
-        return keys, list(zip(ask, np.split(at, np.cumsum([len(a) for a in ask])[:-1]), strict=True))
-
-    def divergence(self, keys: np.ndarray, tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What the owned sequences say of each context: their number, their counts and their gain."""
-        kinds, paired, gain = (np.zeros(len(keys)) for _ in range(3))
-        for d, own in enumerate(self.owned, 1):
-            n, above = self.n[d][own], self.n[d - 1][own] / (tokens if d == 1 else self.total[d - 1][own])
-            at = np.searchsorted(keys, self.code[d][own])
-            kinds += np.bincount(at, minlength=len(keys))
-            paired += np.bincount(at, n, len(keys))
-            gain += np.bincount(at, n * np.log(n / self.total[d][own] / above), len(keys))
-        return kinds.astype(U), paired.astype(U), gain
-
-    def probabilities(self, roots: Callable, where: list[tuple[np.ndarray, np.ndarray]], kinds: np.ndarray, paired: np.ndarray) -> np.ndarray:
+    def context_numbers(self, d: int, tokens: np.ndarray) -> np.ndarray:
+        """Of the contexts of d symbols of some tokens: that of the sequence that the token before ends, or of the end."""
+        return np.where(self.pos[tokens] > 0, self.number[d - 1][tokens - 1], self.tok[-1])
+
+    def contexts(self) -> list[tuple[np.ndarray, ...]]:
+        """For each length of contexts: (tokens, number of the context of each, hashes, totals, which are open).
+
+        Open are those that may have pairs which this segment hasn't seen; the others need no question.
+        """
+        out = []
+        for d in range(1, self.t.depth + 1):
+            ask = np.flatnonzero(self.total[d] >= self.t.context_count)
+            at = self.context_numbers(d, ask)
+            place, total = np.zeros(len(self.one[d - 1]), np.int64), np.zeros(len(self.one[d - 1]), np.int64)
+            place[at], total[at] = ask, self.total[d][ask]
+            one = self.one[d][self.total[d][self.one[d]] >= self.t.context_count]
+            seen = np.bincount(self.context_numbers(d, one), self.n[d][one], len(total))
+            out.append((ask, at, self.code[d][place], total, total - seen >= max(self.t.pair_count, 1)))
+        return out
+
+    def divergence(self, d: int, tokens: int, pairs: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What some sequences (a token of each) say of their contexts of d symbols: how many they are, their counts and their gain."""
+        size, at = len(self.one[d - 1]), self.context_numbers(d, pairs)
+        n, above = self.n[d][pairs], self.n[d - 1][pairs] / (tokens if d == 1 else self.total[d - 1][pairs])
+        gain = np.bincount(at, n * np.log(n / self.total[d][pairs] / above), size)
+        return np.bincount(at, minlength=size), np.bincount(at, n, size).astype(np.int64), gain
+
+    def open_contexts(self, tokens: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The question of contexts: those to ask for, and others of which this segment owns sequences, in the order of their
+        hashes; with what the owned sequences say."""
+        contexts = self.contexts()
+        keys, open_ = (np.concatenate([x[i] for x in contexts]) for i in (2, 4))
+        kinds, paired, gain = (np.concatenate(c) for c in zip(*(self.divergence(d, tokens, own) for d, own in enumerate(self.owned, 1)), strict=True))
+        send = np.flatnonzero(open_ | (kinds > 0))
+        send = send[np.argsort(keys[send])]
+        return keys[send], [kinds[send].astype(U) << U(1) | open_[send].astype(U), paired[send].astype(U), gain[send].astype("<f4").view("<u4").astype(U)]
+
+    def probabilities(self, roots: Callable, tokens: int, kinds: np.ndarray, paired: np.ndarray) -> np.ndarray:
+        """Of each token; kinds and paired answer the open contexts in the order of their hashes."""
         t, p = self.t, roots(self.cls[self.tok].astype(np.int64), self.n[0])
-        for d, (ask, at) in enumerate(where, 1):
-            state = kinds[at] > 0
+        contexts = self.contexts()
+        keys, open_ = (np.concatenate([x[i] for x in contexts]) for i in (2, 4))
+        order = np.flatnonzero(open_)
+        order = order[np.argsort(keys[order])]
+        answered = np.zeros((2, len(keys)), np.int64)
+        answered[:, order] = kinds, paired
+        ends = np.cumsum([0, *(len(x[2]) for x in contexts)])
+        for d, (ask, at, _, total, own) in enumerate(contexts, 1):
+            one = self.one[d]
+            one = one[(self.n[d][one] >= t.pair_count) & (self.total[d][one] >= t.context_count)]
+            k, c, gain = self.divergence(d, tokens, one)
+            kept = gain > penalty(tokens) * k
+            k, c = (np.where(own, a[ends[d - 1] : ends[d]], np.where(kept, x, 0)) for a, x in zip(answered, (k, c), strict=True))
+            state = k[at] > 0
             ask, at = ask[state], at[state]
-            n, total = self.n[d][ask], self.total[d][ask]
-            rest = 1 - (paired[at].astype(float) - t.discount * kinds[at]) / total
-            p[ask] = np.where(n >= t.pair_count, (n - t.discount) / total, 0.0) + rest * p[ask]
+            n = self.n[d][ask]
+            rest = 1 - (c[at] - t.discount * k[at]) / total[at]
+            p[ask] = np.where(n >= t.pair_count, (n - t.discount) / total[at], 0.0) + rest * p[ask]
         return p
 
 
+def penalty(tokens: int) -> float:
+    return 0.5 * float(np.log(max(tokens, 2)))
+
+
 _ROW = "seg long, level int, part int, a binary, b binary, n long, types long"
 _ROW_SCHEMA = pa.schema([("seg", pa.int64()), ("level", pa.int32()), ("part", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64()), ("types", pa.int64())])
 _ASK = "part int, seg long, keys binary, x binary, y binary, z binary"
@@ -246,31 +309,34 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: str, names: list[str]) -> I
         yield now, held
 
 
-def _read(t: Tree, batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[tuple[int, Segment, list[np.ndarray]]]:
-    """Each segment with the answers to the first questions, and both columns of that about its contexts."""
-    for seg, rows in _grouped(batches, "seg", ["level", "a", "b"]):
-        out: dict[int, list] = {}
-        for level, a, b in rows[1:]:
-            out.setdefault(level, []).append((unpack(a), unpack(b or b"")))
-        segment = Segment(t, rows[0][1])
-        both = [[np.concatenate(x) for x in zip(*out[i], strict=True)] if i in out else [np.zeros(0, U)] * 2 for i in range(t.depth + 2)]
-        for level in range(min(levels, t.depth + 1)):
-            segment.answered(segment.sequences(), both[level][0])
-        yield seg, segment, both[-1]
+def _read(t: Tree, batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[tuple[int, Segment, list[np.ndarray], np.ndarray]]:
+    """Each segment with the answers to the first questions, both columns of that about its contexts, and the rest of its words' hashes."""
+    for batch in batches:
+        for seg, texts, more, answers in zip(*(column(batch, c).to_pylist() for c in ("seg", "texts", "more", "answers")), strict=True):
+            yield seg, *_informed(t, texts, answers or [], levels), unpack(more or b"")
+
+
+def _informed(t: Tree, texts: bytes, answers: list[dict], levels: int) -> tuple[Segment, list[np.ndarray]]:
+    out: dict[int, list] = {}
+    for x in sorted(answers, key=lambda x: (x["level"], x["part"])):
+        out.setdefault(x["level"], []).append((unpack(x["a"]), unpack(x["b"] or b"")))
+    segment = Segment(t, texts)
+    both = [[np.concatenate(x) for x in zip(*out[i], strict=True)] if i in out else [np.zeros(0, U)] * 2 for i in range(t.depth + 2)]
+    for level in range(min(levels, t.depth + 1)):
+        segment.answered(segment.sequences(), both[level][0])
+    return segment, both[-1]
 
 
 def _questions(t: Tree, level: int, parts: int, tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for seg, s, _ in _read(t, batches, level):
+        for seg, s, _, more in _read(t, batches, level):
             if level <= t.depth:
                 asked = s.sequences()
                 keys, fields = asked[1], [s.learn_counts(asked)]
                 if level == 0:
-                    fields += [s.h2, s.cls]
+                    fields += [more, s.cls]
             else:
-                keys = s.contexts()[0]
-                kinds, paired, gain = s.divergence(keys, tokens)
-                fields = [kinds, paired, gain]
+                keys, fields = s.open_contexts(tokens)
             part = ((keys >> U(32)) * U(parts)) >> U(32)
             cut = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])) if len(part) else np.zeros(1, int)
             rows = []
@@ -284,34 +350,33 @@ def _questions(t: Tree, level: int, parts: int, tokens: int):
 
 def _answers(t: Tree, level: int, tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        penalty = 0.5 * float(np.log(max(tokens, 2)))
         for part, rows in _grouped(batches, "part", ["seg", "keys", "x", "y", "z"]):
             fields = [[unpack(r[i] or b"") for r in rows] for i in range(1, 5)]
             ends = np.cumsum([0, *(len(k) for k in fields[0])])
             keys, x, y, z = (np.concatenate(f) for f in fields)
-            order = np.lexsort((y, keys)) if level == 0 else np.argsort(keys, kind="stable")
+            order = np.lexsort((y, keys)) if level == 0 else np.argsort(keys)
             new = np.ones(len(keys), bool)
             new[1:] = keys[order][1:] != keys[order][:-1]
             if level == 0:
                 new[1:] |= y[order][1:] != y[order][:-1]
             first, group = np.flatnonzero(new), np.cumsum(new) - 1
-            total = np.add.reduceat(x[order], first)
-            a, b = np.empty(len(keys), U), None
-            out = []
+            out, a, b, asked = [], np.empty(len(keys), U), None, np.ones(len(keys), bool)
             if level <= t.depth:
-                a[order] = (total[group] << U(1)) | new.astype(U)  # the first to ask owns it
+                total = np.add.reduceat(x[order], first)
+                a[order] = (total[group] << U(1)) | new.astype(U)  # one of those that ask owns it
             else:
-                paired, gain = np.add.reduceat(y[order], first), np.add.reduceat(z.view(float)[order], first)
-                kept = (total > 0) & (gain > penalty * total)
-                b = np.empty(len(keys), U)
-                a[order], b[order] = np.where(kept, total, 0)[group], np.where(kept, paired, 0)[group]
+                asked, b = (x & U(1)) > 0, np.empty(len(keys), U)
+                kinds, paired = np.add.reduceat((x >> U(1))[order], first), np.add.reduceat(y[order], first)
+                gain = np.add.reduceat(z.astype("<u4").view("<f4").astype(float)[order], first)
+                kept = gain > penalty(tokens) * kinds  # without pairs neither is over the other
+                a[order], b[order] = np.where(kept, kinds, 0)[group], np.where(kept, paired, 0)[group]
             if level == 0:
                 cls = z[order][first].astype(np.int64)
                 n, types = np.bincount(cls, total, CLASSES + 1), np.bincount(cls, total > 0, CLASSES + 1)
                 out += [(-1, c, part, None, None, int(n[c]), int(types[c])) for c in range(CLASSES + 1)]
             for i, r in enumerate(rows):
                 own = slice(ends[i], ends[i + 1])
-                out.append((r[0], level, part, pack(a[own]), None if b is None else pack(b[own]), None, None))
+                out.append((r[0], level, part, *(None if v is None else pack(v[own][asked[own]]) for v in (a, b)), None, None))
             yield from _batch(out, _ROW_SCHEMA)
         release()
 
@@ -330,9 +395,8 @@ def _scored(t: Tree, tokens: int, types: np.ndarray):
         return np.where(cls == CLASSES, n + 0.5, np.where(n > 0, n - t.word_discount, unseen[cls])) / mass
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, s, answers in _read(t, batches, t.depth + 2):
-            _, where = s.contexts()
-            p = s.probabilities(roots, where, *answers)
+        for _, s, answers, _ in _read(t, batches, t.depth + 2):
+            p = s.probabilities(roots, tokens, *(x.view(np.int64) for x in answers))
             by_row = lambda x: np.bincount(s.row, x, len(s.ids))
             n = np.diff(s.offs)
             base = by_row(np.log10(s.n[0] + 1.0)) - n * np.log10(tokens + words + 1)
@@ -353,16 +417,20 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
     spark = docs.sparkSession
     arrow_limits(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(learn, F.lit(False)).alias("learn"))
-    none = F.lit(None)
-    segs = rows.mapInArrow(_segments(t), "seg long, a binary").select("seg", F.lit(-1).alias("level"), F.lit(0).alias("part"), "a", none.cast("binary").alias("b"), none.cast("long").alias("n"), none.cast("long").alias("types"))
-    segs = written(segs, "segments")
-    count, least = segs.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count, least = size // (6 * t.segment) + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))  # about six bytes a token
     parts = max(least, count * t.segment // t.part)
     tasks = lambda n: max(least, min(2 * n, 20_000 + n // 8))
+    # The segments lie in buckets, so that answers come to them and they needn't move again.
+    segs = bucketed(rows.mapInArrow(_segments(t), "seg long, texts binary, more binary"), "segments", "seg", tasks(count))
     answers: list[DataFrame] = []
 
     def known() -> DataFrame:
-        return reduce(DataFrame.unionByName, (a.filter("seg >= 0") for a in answers), segs).repartition(tasks(count), "seg").sortWithinPartitions("seg", "level", "part")
+        if not answers:
+            return segs.withColumn("answers", F.lit(None).cast("array<struct<level:int,part:int,a:binary,b:binary>>"))
+        got = reduce(DataFrame.unionByName, (a.filter("seg >= 0") for a in answers))
+        got = got.groupBy("seg").agg(F.collect_list(F.struct("level", "part", "a", "b")).alias("answers"))
+        return segs.withColumn("more", F.lit(None).cast("binary")).hint("merge").join(got, "seg", "left")  # the other bits tell words apart once
 
     tokens, types = 0, np.zeros(CLASSES + 1, np.int64)
     for level in range(t.depth + 2):
@@ -372,7 +440,8 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
             for r in answers[0].filter("seg < 0").groupBy("level").agg(F.sum("n").alias("n"), F.sum("types").alias("types")).collect():  # a row for each spelling
                 tokens, types[r.level] = tokens + r.n, r.types
     out = written(known().mapInArrow(_scored(t, tokens, types), _SCORES), "scores")
-    dropped(segs, *answers)
+    dropped(*answers)
+    dropped_buckets(segs)
     return out
 
 
