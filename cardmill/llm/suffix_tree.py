@@ -13,17 +13,18 @@ A text starts behind an end; contexts don't reach further back. At the root each
 frees, and half a count, is the probability of an unseen word of its spelling. So the probabilities of all words, unseen ones
 and the end sum to 1 in each state, and a token is scored in the longest suffix state of what precedes it.
 
-Passes. Texts are packed once into segments of about `segment` tokens: numbers of words, words by hash, no strings. For each length of
-sequence a segment asks for the training counts of its distinct sequences (sorted hashes, so eight bytes or less of shuffle each), and
+Passes. Texts are packed once into segments of about `segment` tokens: numbers of words, words by hash, no strings. For one
+symbol, for two, and for the longer sequences a segment asks for the training counts of its distinct ones (sorted hashes, so eight bytes of shuffle or less each), and
 the tasks that own a range of the hashes add up and answer each segment in the order of its question. A sequence is asked
 for only if it can occur twice by what the shorter ones say. Then each segment asks for its contexts, adding what the
-sequences it was given to own (each has one owner) say of their divergence; the answer is the retained states. With all answers a
+sequences it was given to own (each has one owner) say of their divergence; the answer is the retained states. It doesn't ask where it has
+seen all repeated sequences of a context itself. With all answers a
 segment scores its texts where they lie. Nothing is collected, broadcast or kept by one task for the whole: a question comes once
 from each segment, so no word or context is hot, and a task's memory is a segment or `part` questions. Question files go after each
 pass; what stays is the segments and the answers, some bits for each token.
 
-Hashes. Words are told apart by 128 bits, which the base counts rest on; sequences by 64 bits: among m distinct sequences a false
-meeting has the probability m * m / 2**65 and changes one count.
+Hashes. Words are told apart by 80 bits, which the base counts rest on: among m distinct words two meet with a probability of
+m * m / 2**81. Sequences are told apart by 64 bits; a false meeting changes one count of the tree.
 
 Nulls: a null text is empty and has its end alone; a null doc_id counts as the text "" in the hold-out rule and stays null.
 Repeated rows are scored each. Empty tables give an empty result; with no training text every token is unseen. Extra columns don't
@@ -47,6 +48,7 @@ from .words import U, Words, chunks, column, mix, release
 CLASSES = 6
 _END, _BEFORE = U(0xA24BAED4963EE407), U(0x9FB21C651E98DF25)
 _STEP = U(0x9E3779B97F4A7C15)
+_SURE = 1e30
 
 
 @dataclass(frozen=True)
@@ -123,7 +125,7 @@ _FIELDS = 8
 
 
 def _segments(t: Tree):
-    """(seg, bundle, 32 more bits of its words' hashes) of all texts: see Segment for the fields."""
+    """(seg, bundle, 16 more bits of its words' hashes) of all texts: see Segment for the fields."""
 
     def bundles(held: list[tuple]) -> tuple[bytes, bytes]:
         h, h2, cls, n, learn, ids, has = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -131,7 +133,7 @@ def _segments(t: Tree):
         often = np.argsort(-np.bincount(at, minlength=len(one)), kind="stable")  # frequent words have small numbers
         rank = np.empty(len(one), np.int64)
         rank[often] = np.arange(len(one))
-        return _bundle(h[one], cls[one], often, rank[at], n, learn, ids.view(U), has), pack(h2[one] >> U(32))
+        return _bundle(h[one], cls[one], often, rank[at], n, learn, ids.view(U), has), pack(h2[one] >> U(48))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -173,28 +175,34 @@ class Segment:
         self.pos = np.arange(len(tok)) - self.offs[self.row]
         self.learn = self.learns[self.row].astype(bool)
         self.sym = self.h[self.tok]
-        self.code = [np.zeros(len(tok), U)]
-        before = self.sym
-        for d in range(t.depth):
-            before = np.concatenate((before[:1], before[:-1]))
-            self.code.append(mix(self.code[-1] * _STEP + np.where(self.pos > d, before, np.where(self.pos == d, _END, _BEFORE))))
+        # each text behind an end, and what lies before that
+        place = np.arange(len(tok)) + (self.row + 1) * t.depth
+        line = np.full(len(tok) + len(n) * t.depth, _BEFORE)
+        line[place] = self.sym
+        line[self.offs[:-1] + np.arange(1, len(n) + 1) * t.depth - 1] = _END
+        self.code, code = [np.zeros(0, U)], np.zeros(len(line), U)
+        for d in range(1, t.depth + 1):
+            code[d:] = mix(code[d:] * _STEP + line[:-d])
+            self.code.append(code[place])
         self.n: list[np.ndarray] = []
-        self.total: list[np.ndarray] = []
+        self.total = [np.zeros(0, np.int64)]
         self.number = [self.tok]  # of the sequence that ends with each token; -1 where not asked for
         self.one: list[np.ndarray] = [self.h]  # a token of each distinct sequence; the words themselves at first
         self.owned: list[np.ndarray] = []  # a token of each distinct sequence over both limits that this segment owns
 
-    def sequences(self) -> tuple[np.ndarray, ...]:
-        """The next question: (tokens asked for, distinct keys, a token of each, number of the key of each token)."""
-        d, t = len(self.n), self.t
+    def sequences(self, d: int) -> tuple[np.ndarray, ...]:
+        """The question of a length: (tokens asked for, distinct keys, a token of each, number of the key of each token)."""
         if d == 0:
-            return np.arange(len(self.tok)), self.h, np.zeros(0, int), self.tok
-        if len(self.total) < d + 1:
-            before = np.concatenate((self.n[-1][:1] * 0, self.n[-1][:-1]))  # a context is the sequence that the token before ends
-            ends = self.n[0][self.offs[1:] - 1]
-            self.total.append(np.where(self.pos > 0, before, ends[self.row] if d == 1 else 0))
-        least = min(t.context_count, t.pair_count)
-        ask = np.flatnonzero((self.n[-1] >= least) & (self.total[d] >= least))
+            return np.arange(len(self.tok)), self.h, self.h, self.tok
+        least = min(self.t.context_count, self.t.pair_count)
+        if d == 1:
+            may = (self.n[0] >= least) & (self.total[1] >= least)
+        else:  # every two successive symbols of it must be found that often
+            two = self.n[1] >= least
+            may = two & (self.pos >= d - 1)
+            for k in range(1, d):
+                may[k:] &= two[:-k]
+        ask = np.flatnonzero(may)
         keys = mix(self.code[d][ask] * _STEP + self.sym[ask])
         one, at = distinct(keys)
         return ask, keys[one], ask[one], at
@@ -205,19 +213,18 @@ class Segment:
 
     def answered(self, asked: tuple[np.ndarray, ...], value: np.ndarray) -> None:
         ask, _, one, at = asked
-        n = (value >> U(1)).astype(np.int64)
-        if not self.n:
-            self.n.append(n[self.tok])
-            self.total.append(np.zeros(0, np.int64))
-            return
-        out = np.zeros(len(self.tok), np.int64)
-        out[ask] = n[at]
-        self.n.append(out)
-        self.one.append(one)
-        self.number.append(np.full(len(self.tok), -1))
-        self.number[-1][ask] = at
-        own = one[((value & U(1)) > 0) & (n >= self.t.pair_count)]
-        self.owned.append(own[self.total[len(self.owned) + 1][own] >= self.t.context_count])
+        d, n = len(self.n), (value >> U(1)).astype(np.int64)
+        self.n.append(np.zeros(len(self.tok), np.int64))
+        self.n[d][ask] = n[at]
+        # a context is the sequence that the token before ends
+        self.total.append(np.concatenate(([0], self.n[d][:-1])))
+        self.total[-1][self.offs[:-1]] = 0 if d else self.n[0][-1]
+        if d:
+            self.one.append(one)
+            self.number.append(np.full(len(self.tok), -1))
+            self.number[-1][ask] = at
+            own = one[((value & U(1)) > 0) & (n >= self.t.pair_count)]
+            self.owned.append(own[self.total[d][own] >= self.t.context_count])
 
     def context_numbers(self, d: int, tokens: np.ndarray) -> np.ndarray:
         """Of the contexts of d symbols of some tokens: that of the sequence that the token before ends, or of the end."""
@@ -250,8 +257,13 @@ class Segment:
         """The question of contexts: those to ask for, and others of which this segment owns sequences, in the order of their
         hashes; with what the owned sequences say."""
         contexts = self.contexts()
-        keys, open_ = (np.concatenate([x[i] for x in contexts]) for i in (2, 4))
+        keys, total, open_ = (np.concatenate([x[i] for x in contexts]) for i in (2, 3, 4))
         kinds, paired, gain = (np.concatenate(c) for c in zip(*(self.divergence(d, tokens, own) for d, own in enumerate(self.owned, 1)), strict=True))
+        # whose sequences are all owned here is judged here: it is sent as a state beyond doubt, or not at all
+        whole = (kinds > 0) & (total - paired < self.t.pair_count)
+        state = gain > penalty(tokens) * kinds
+        kinds[whole & ~state] = paired[whole & ~state] = 0
+        gain[whole] = np.where(state[whole], _SURE, 0)
         send = np.flatnonzero(open_ | (kinds > 0))
         send = send[np.argsort(keys[send])]
         return keys[send], [kinds[send].astype(U) << U(1) | open_[send].astype(U), paired[send].astype(U), gain[send].astype("<f4").view("<u4").astype(U)]
@@ -286,8 +298,8 @@ def penalty(tokens: int) -> float:
 
 _ROW = "seg long, level int, part int, a binary, b binary, n long, types long"
 _ROW_SCHEMA = pa.schema([("seg", pa.int64()), ("level", pa.int32()), ("part", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64()), ("types", pa.int64())])
-_ASK = "part int, seg long, keys binary, x binary, y binary, z binary"
-_ASK_SCHEMA = pa.schema([("part", pa.int32()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("keys", "x", "y", "z"))])
+_ASK = "part int, level int, seg long, keys binary, x binary, y binary, z binary"
+_ASK_SCHEMA = pa.schema([("part", pa.int32()), ("level", pa.int32()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("keys", "x", "y", "z"))])
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -295,18 +307,18 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, s) for c, s in zip(zip(*rows[i : i + 500], strict=True), schema.types, strict=True)], schema=schema)
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], key: str, names: list[str]) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows of each value of key, which come together."""
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[tuple]]]:
+    """Questions of each part and level, which come together."""
     now, held = None, []
     for b in batches:
-        for k, *row in zip(*(column(b, c).to_pylist() for c in (key, *names)), strict=True):
-            if k != now:
+        for part, level, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if (part, level) != now:
                 if held:
-                    yield now, held
-                now, held = k, []
+                    yield *now, held
+                now, held = (part, level), []
             held.append(tuple(row))
     if held:
-        yield now, held
+        yield *now, held
 
 
 def _read(t: Tree, batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[tuple[int, Segment, list[np.ndarray], np.ndarray]]:
@@ -323,34 +335,37 @@ def _informed(t: Tree, texts: bytes, answers: list[dict], levels: int) -> tuple[
     segment = Segment(t, texts)
     both = [[np.concatenate(x) for x in zip(*out[i], strict=True)] if i in out else [np.zeros(0, U)] * 2 for i in range(t.depth + 2)]
     for level in range(min(levels, t.depth + 1)):
-        segment.answered(segment.sequences(), both[level][0])
+        segment.answered(segment.sequences(level), both[level][0])
     return segment, both[-1]
 
 
-def _questions(t: Tree, level: int, parts: int, tokens: int):
+def _questions(t: Tree, levels: list[int], parts: int, tokens: int):
+    """Of lengths of sequences, and beyond the last of them of the contexts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for seg, s, _, more in _read(t, batches, level):
-            if level <= t.depth:
-                asked = s.sequences()
-                keys, fields = asked[1], [s.learn_counts(asked)]
-                if level == 0:
-                    fields += [more, s.cls]
-            else:
-                keys, fields = s.open_contexts(tokens)
-            part = ((keys >> U(32)) * U(parts)) >> U(32)
-            cut = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])) if len(part) else np.zeros(1, int)
-            rows = []
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                rows.append((int(part[a]), seg, pack(keys[a:b]), *(pack(f[a:b]) for f in fields), *[None] * (3 - len(fields))))
-            yield from _batch(rows, _ASK_SCHEMA)
+        for seg, s, _, more in _read(t, batches, levels[0]):
+            for level in levels:
+                if level <= t.depth:
+                    asked = s.sequences(level)
+                    keys, fields = asked[1], [s.learn_counts(asked)]
+                    if level == 0:
+                        fields += [more, s.cls]
+                else:
+                    keys, fields = s.open_contexts(tokens)
+                part = ((keys >> U(32)) * U(parts)) >> U(32)
+                cut = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])) if len(part) else np.zeros(1, int)
+                rows = []
+                for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                    rows.append((int(part[a]), level, seg, pack(keys[a:b]), *(pack(f[a:b]) for f in fields), *[None] * (3 - len(fields))))
+                yield from _batch(rows, _ASK_SCHEMA)
         release()
 
     return run
 
 
-def _answers(t: Tree, level: int, tokens: int):
+def _answers(t: Tree, tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, rows in _grouped(batches, "part", ["seg", "keys", "x", "y", "z"]):
+        for part, level, rows in _grouped(batches):
             fields = [[unpack(r[i] or b"") for r in rows] for i in range(1, 5)]
             ends = np.cumsum([0, *(len(k) for k in fields[0])])
             keys, x, y, z = (np.concatenate(f) for f in fields)
@@ -420,7 +435,7 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count, least = size // (6 * t.segment) + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))  # about six bytes a token
     parts = max(least, count * t.segment // t.part)
-    tasks = lambda n: max(least, min(2 * n, 20_000 + n // 8))
+    tasks = lambda n: max(least, min(n, 20_000 + n // 8))
     # The segments lie in buckets, so that answers come to them and they needn't move again.
     segs = bucketed(rows.mapInArrow(_segments(t), "seg long, texts binary, more binary"), "segments", "seg", tasks(count))
     answers: list[DataFrame] = []
@@ -433,10 +448,11 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
         return segs.withColumn("more", F.lit(None).cast("binary")).hint("merge").join(got, "seg", "left")  # the other bits tell words apart once
 
     tokens, types = 0, np.zeros(CLASSES + 1, np.int64)
-    for level in range(t.depth + 2):
-        asked = known().mapInArrow(_questions(t, level, parts, tokens), _ASK)
-        answers.append(written(asked.repartition(tasks(parts), "part").sortWithinPartitions("part", "seg").mapInArrow(_answers(t, level, tokens), _ROW), f"answers{level}"))
-        if level == 0:
+    for levels in [[0], [1], list(range(2, t.depth + 1)), [t.depth + 1]]:
+        if levels and levels[0] <= t.depth + 1:
+            asked = known().mapInArrow(_questions(t, levels, parts, tokens), _ASK)
+            answers.append(written(asked.repartition(tasks(parts), "part").sortWithinPartitions("part", "level", "seg").mapInArrow(_answers(t, tokens), _ROW), f"answers{levels[0]}"))
+        if levels == [0]:
             for r in answers[0].filter("seg < 0").groupBy("level").agg(F.sum("n").alias("n"), F.sum("types").alias("types")).collect():  # a row for each spelling
                 tokens, types[r.level] = tokens + r.n, r.types
     out = written(known().mapInArrow(_scored(t, tokens, types), _SCORES), "scores")
