@@ -121,25 +121,25 @@ def distinct_words(h: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return one, at.ravel()
 
 
-_FIELDS = 8
 
 
 def _segments(t: Tree):
-    """(seg, bundle, 16 more bits of its words' hashes) of all texts: see Segment for the fields."""
+    """(seg, words, texts: see Segment for both, more: 16 more bits of the words' hashes and their training counts) of all texts."""
 
-    def bundles(held: list[tuple]) -> tuple[bytes, bytes]:
+    def bundles(held: list[tuple]) -> tuple[bytes, ...]:
         h, h2, cls, n, learn, ids, has = (np.concatenate(x) for x in zip(*held, strict=True))
         one, at = distinct_words(h, h2)
         often = np.argsort(-np.bincount(at, minlength=len(one)), kind="stable")  # frequent words have small numbers
         rank = np.empty(len(one), np.int64)
         rank[often] = np.arange(len(one))
-        return _bundle(h[one], cls[one], often, rank[at], n, learn, ids.view(U), has), pack(h2[one] >> U(48))
+        counts = np.bincount(at, np.repeat(learn, n.astype(np.int64)), len(one))
+        return _bundle(h[one], cls[one], often), _bundle(rank[at], n, learn, ids.view(U), has), _bundle(h2[one] >> U(48), counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         seg, held, size = TaskContext.get().partitionId() << 33, [], 0
-        row = lambda: pa.RecordBatch.from_arrays([pa.array([seg], pa.int64()), *(pa.array([x], pa.binary()) for x in bundles(held))], ["seg", "texts", "more"])
+        row = lambda: pa.RecordBatch.from_arrays([pa.array([seg], pa.int64()), *(pa.array([x], pa.binary()) for x in bundles(held))], ["seg", "words", "texts", "more"])
         for b in batches:
             for c in chunks(b):
                 w = Words(column(c, "text"), lower=True)
@@ -166,9 +166,10 @@ class Segment:
     n[d]: training count of each token behind its context of d symbols (0 where under both limits); total[d]: of that context.
     """
 
-    def __init__(self, t: Tree, data: bytes):
+    def __init__(self, t: Tree, words: bytes, texts: bytes):
         self.t = t
-        self.h, self.cls, often, tok, n, self.learns, ids, self.has = _unbundle(data, _FIELDS)
+        self.h, self.cls, often = _unbundle(words, 3)
+        tok, n, self.learns, ids, self.has = _unbundle(texts, 5)
         self.tok, self.ids = often.view(np.int64)[tok.view(np.int64)], ids.view(np.int64)
         self.offs = np.concatenate(([0], np.cumsum(n.astype(np.int64))))
         self.row = np.repeat(np.arange(len(n)), n.astype(np.int64))
@@ -186,14 +187,14 @@ class Segment:
             self.code.append(code[place])
         self.n: list[np.ndarray] = []
         self.total = [np.zeros(0, np.int64)]
-        self.number = [self.tok]  # of the sequence that ends with each token; -1 where not asked for
+        self.behind = [np.zeros(0, np.int64)]  # number of the context of each token, which is the sequence that the token before ends
         self.one: list[np.ndarray] = [self.h]  # a token of each distinct sequence; the words themselves at first
         self.owned: list[np.ndarray] = []  # a token of each distinct sequence over both limits that this segment owns
 
     def sequences(self, d: int) -> tuple[np.ndarray, ...]:
         """The question of a length: (tokens asked for, distinct keys, a token of each, number of the key of each token)."""
         if d == 0:
-            return np.arange(len(self.tok)), self.h, self.h, self.tok
+            return np.zeros(0, int), self.h, self.h, self.tok
         least = min(self.t.context_count, self.t.pair_count)
         if d == 1:
             may = (self.n[0] >= least) & (self.total[1] >= least)
@@ -214,22 +215,24 @@ class Segment:
     def answered(self, asked: tuple[np.ndarray, ...], value: np.ndarray) -> None:
         ask, _, one, at = asked
         d, n = len(self.n), (value >> U(1)).astype(np.int64)
-        self.n.append(np.zeros(len(self.tok), np.int64))
-        self.n[d][ask] = n[at]
-        # a context is the sequence that the token before ends
-        self.total.append(np.concatenate(([0], self.n[d][:-1])))
-        self.total[-1][self.offs[:-1]] = 0 if d else self.n[0][-1]
+        if d:
+            self.n.append(np.zeros(len(self.tok), np.int64))
+            self.n[d][ask] = n[at]
+        else:
+            self.words, self.n = n, [n[at]]
+        number = self.tok
+        if d:
+            number = np.full(len(self.tok), -1)
+            number[ask] = at
+        first = self.offs[:-1]
+        for held, x, end in ((self.total, self.n[d], 0 if d else self.n[0][-1]), (self.behind, number, -1 if d else self.tok[-1])):
+            held.append(np.empty(len(x), np.int64))
+            held[-1][1:], held[-1][first] = x[:-1], end
         if d:
             self.one.append(one)
-            self.number.append(np.full(len(self.tok), -1))
-            self.number[-1][ask] = at
             own = one[((value & U(1)) > 0) & (n >= self.t.pair_count)]
             self.owned.append(own[self.total[d][own] >= self.t.context_count])
 
-    def context_numbers(self, d: int, tokens: np.ndarray) -> np.ndarray:
-        """Of the contexts of d symbols of some tokens: that of the sequence that the token before ends, or of the end."""
-        return np.where(self.pos[tokens] > 0, self.number[d - 1][tokens - 1], self.tok[-1])
-
     def contexts(self) -> list[tuple[np.ndarray, ...]]:
         """For each length of contexts: (tokens, number of the context of each, hashes, totals, which are open).
 
@@ -238,17 +241,17 @@ class Segment:
         out = []
         for d in range(1, self.t.depth + 1):
             ask = np.flatnonzero(self.total[d] >= self.t.context_count)
-            at = self.context_numbers(d, ask)
+            at = self.behind[d][ask]
             place, total = np.zeros(len(self.one[d - 1]), np.int64), np.zeros(len(self.one[d - 1]), np.int64)
             place[at], total[at] = ask, self.total[d][ask]
             one = self.one[d][self.total[d][self.one[d]] >= self.t.context_count]
-            seen = np.bincount(self.context_numbers(d, one), self.n[d][one], len(total))
+            seen = np.bincount(self.behind[d][one], self.n[d][one], len(total))
             out.append((ask, at, self.code[d][place], total, total - seen >= max(self.t.pair_count, 1)))
         return out
 
     def divergence(self, d: int, tokens: int, pairs: np.ndarray) -> tuple[np.ndarray, ...]:
         """What some sequences (a token of each) say of their contexts of d symbols: how many they are, their counts and their gain."""
-        size, at = len(self.one[d - 1]), self.context_numbers(d, pairs)
+        size, at = len(self.one[d - 1]), self.behind[d][pairs]
         n, above = self.n[d][pairs], self.n[d - 1][pairs] / (tokens if d == 1 else self.total[d - 1][pairs])
         gain = np.bincount(at, n * np.log(n / self.total[d][pairs] / above), size)
         return np.bincount(at, minlength=size), np.bincount(at, n, size).astype(np.int64), gain
@@ -270,7 +273,7 @@ class Segment:
 
     def probabilities(self, roots: Callable, tokens: int, kinds: np.ndarray, paired: np.ndarray) -> np.ndarray:
         """Of each token; kinds and paired answer the open contexts in the order of their hashes."""
-        t, p = self.t, roots(self.cls[self.tok].astype(np.int64), self.n[0])
+        t, p = self.t, roots(self.cls.astype(np.int64), self.words)[self.tok]
         contexts = self.contexts()
         keys, open_ = (np.concatenate([x[i] for x in contexts]) for i in (2, 4))
         order = np.flatnonzero(open_)
@@ -321,43 +324,55 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list
         yield *now, held
 
 
-def _read(t: Tree, batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[tuple[int, Segment, list[np.ndarray], np.ndarray]]:
-    """Each segment with the answers to the first questions, both columns of that about its contexts, and the rest of its words' hashes."""
+def _read(t: Tree, batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[tuple[int, Segment, list[np.ndarray]]]:
+    """Each segment with the answers to the first questions, and both columns of that about its contexts."""
     for batch in batches:
-        for seg, texts, more, answers in zip(*(column(batch, c).to_pylist() for c in ("seg", "texts", "more", "answers")), strict=True):
-            yield seg, *_informed(t, texts, answers or [], levels), unpack(more or b"")
+        for seg, words, texts, answers in zip(*(column(batch, c).to_pylist() for c in ("seg", "words", "texts", "answers")), strict=True):
+            yield seg, *_informed(Segment(t, words, texts), answers or [], levels)
 
 
-def _informed(t: Tree, texts: bytes, answers: list[dict], levels: int) -> tuple[Segment, list[np.ndarray]]:
+def _informed(segment: Segment, answers: list[dict], levels: int) -> tuple[Segment, list[np.ndarray]]:
     out: dict[int, list] = {}
     for x in sorted(answers, key=lambda x: (x["level"], x["part"])):
         out.setdefault(x["level"], []).append((unpack(x["a"]), unpack(x["b"] or b"")))
-    segment = Segment(t, texts)
+    t = segment.t
     both = [[np.concatenate(x) for x in zip(*out[i], strict=True)] if i in out else [np.zeros(0, U)] * 2 for i in range(t.depth + 2)]
     for level in range(min(levels, t.depth + 1)):
         segment.answered(segment.sequences(level), both[level][0])
     return segment, both[-1]
 
 
+def _asked(level: int, seg: int, parts: int, keys: np.ndarray, *fields: np.ndarray) -> Iterator[pa.RecordBatch]:
+    part, rows = ((keys >> U(32)) * U(parts)) >> U(32), []
+    cut = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])) if len(part) else np.zeros(1, int)
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        rows.append((int(part[a]), level, seg, pack(keys[a:b]), *(pack(f[a:b]) for f in fields), *[None] * (3 - len(fields))))
+    yield from _batch(rows, _ASK_SCHEMA)
+
+
+def _word_questions(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for seg, words, more in zip(*(column(batch, c).to_pylist() for c in ("seg", "words", "more")), strict=True):
+                h, cls, _ = _unbundle(words, 3)
+                h2, counts = _unbundle(more, 2)
+                yield from _asked(0, seg, parts, h, counts, h2, cls)
+
+    return run
+
+
 def _questions(t: Tree, levels: list[int], parts: int, tokens: int):
     """Of lengths of sequences, and beyond the last of them of the contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for seg, s, _, more in _read(t, batches, levels[0]):
+        for seg, s, _ in _read(t, batches, levels[0]):
             for level in levels:
                 if level <= t.depth:
                     asked = s.sequences(level)
-                    keys, fields = asked[1], [s.learn_counts(asked)]
-                    if level == 0:
-                        fields += [more, s.cls]
+                    yield from _asked(level, seg, parts, asked[1], s.learn_counts(asked))
                 else:
                     keys, fields = s.open_contexts(tokens)
-                part = ((keys >> U(32)) * U(parts)) >> U(32)
-                cut = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])) if len(part) else np.zeros(1, int)
-                rows = []
-                for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                    rows.append((int(part[a]), level, seg, pack(keys[a:b]), *(pack(f[a:b]) for f in fields), *[None] * (3 - len(fields))))
-                yield from _batch(rows, _ASK_SCHEMA)
+                    yield from _asked(level, seg, parts, keys, *fields)
         release()
 
     return run
@@ -410,11 +425,11 @@ def _scored(t: Tree, tokens: int, types: np.ndarray):
         return np.where(cls == CLASSES, n + 0.5, np.where(n > 0, n - t.word_discount, unseen[cls])) / mass
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, s, answers, _ in _read(t, batches, t.depth + 2):
+        for _, s, answers in _read(t, batches, t.depth + 2):
             p = s.probabilities(roots, tokens, *(x.view(np.int64) for x in answers))
             by_row = lambda x: np.bincount(s.row, x, len(s.ids))
             n = np.diff(s.offs)
-            base = by_row(np.log10(s.n[0] + 1.0)) - n * np.log10(tokens + words + 1)
+            base = by_row(np.log10(s.words + 1.0)[s.tok]) - n * np.log10(tokens + words + 1)
             cols = [pa.array(s.ids, mask=s.has == 0), pa.array(s.learns == 0), pa.array(n), pa.array(by_row(s.n[0] > 0).astype(np.int64)), pa.array(np.full(len(n), tokens)), pa.array(base), pa.array(by_row(np.log10(p)))]
             out = pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in _SCORES.split(", ")])
             for a in range(0, out.num_rows, 50_000):
@@ -437,20 +452,18 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
     parts = max(least, count * t.segment // t.part)
     tasks = lambda n: max(least, min(n, 20_000 + n // 8))
     # The segments lie in buckets, so that answers come to them and they needn't move again.
-    segs = bucketed(rows.mapInArrow(_segments(t), "seg long, texts binary, more binary"), "segments", "seg", tasks(count))
+    segs = bucketed(rows.mapInArrow(_segments(t), "seg long, words binary, texts binary, more binary"), "segments", "seg", tasks(count))
     answers: list[DataFrame] = []
 
     def known() -> DataFrame:
-        if not answers:
-            return segs.withColumn("answers", F.lit(None).cast("array<struct<level:int,part:int,a:binary,b:binary>>"))
         got = reduce(DataFrame.unionByName, (a.filter("seg >= 0") for a in answers))
         got = got.groupBy("seg").agg(F.collect_list(F.struct("level", "part", "a", "b")).alias("answers"))
-        return segs.withColumn("more", F.lit(None).cast("binary")).hint("merge").join(got, "seg", "left")  # the other bits tell words apart once
+        return segs.drop("more").hint("merge").join(got, "seg", "left")
 
     tokens, types = 0, np.zeros(CLASSES + 1, np.int64)
     for levels in [[0], [1], list(range(2, t.depth + 1)), [t.depth + 1]]:
         if levels and levels[0] <= t.depth + 1:
-            asked = known().mapInArrow(_questions(t, levels, parts, tokens), _ASK)
+            asked = known().mapInArrow(_questions(t, levels, parts, tokens), _ASK) if answers else segs.select("seg", "words", "more").mapInArrow(_word_questions(parts), _ASK)
             answers.append(written(asked.repartition(tasks(parts), "part").sortWithinPartitions("part", "level", "seg").mapInArrow(_answers(t, tokens), _ROW), f"answers{levels[0]}"))
         if levels == [0]:
             for r in answers[0].filter("seg < 0").groupBy("level").agg(F.sum("n").alias("n"), F.sum("types").alias("types")).collect():  # a row for each spelling
