@@ -19,8 +19,9 @@ sizes give. Texts of equal sets are one row of the matrix (its node). Then:
 
 Nulls: a null text is empty; an empty set links with nothing. A null doc_id takes part and stays null.
 Repeated rows share a class. component_id is the smallest doc_id of a class (its own where a text is
-empty). An empty table gives an empty result. Extra columns don't matter. N-grams are
-64-bit hashes: with 10^10 different n-grams, one in 10^9 pairs of texts may share a false one.
+empty). An empty table gives an empty result. Extra columns don't matter. N-grams and
+whole sets are 64-bit hashes that no regular text can make meet: with 10^10 different n-grams, one in 10^9 pairs of texts may share a
+false one, and among m different sets two are taken for one with a probability of m * m / 2**65.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, local_components
-from .store import arrow_limits, documents, written
+from .store import arrow_limits, documents, dropped, free_names, looked_up, written
 from .words import U, Words, chunks, column, mix, release, signed
 
 
@@ -230,32 +231,28 @@ def _chains(percent: int, chunk: int = 1_000_000, together: int = 16):
     """Edges that connect the nodes of each signature of a task, as one star per local component; packed, with the group of
     `together` tasks in which they are to be merged.
 
-    Nodes of a signature are chained by size where two neighbours' sizes allow a link: where they
-    don't, no pair across them does. Rows come in bounded chunks; of those seen before, a chain's nodes stand
-    as far as a size is new.
+    Rows come in the order of signature, size and node. Nodes of a signature are chained by size where two neighbours' sizes
+    allow a link: where they don't, no pair across them does. A chunk hands on its last row, so a task holds a chunk.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        seen = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        last = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
 
         def edges(held: list) -> pa.RecordBatch:
-            nonlocal seen
-            sig, node, n = (np.concatenate([seen[i], *(h[i] for h in held)]) for i in range(3))
-            order = np.lexsort((node, n, sig))
-            sig, node, n = sig[order], node[order], n[order]
-            same = sig[1:] == sig[:-1]
-            link = same & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64)) & (node[1:] != node[:-1])
-            new = np.ones(len(sig), bool)
-            new[1:] = ~same | (n[1:] != n[:-1])
-            seen = [sig[new], node[new], n[new]]
+            nonlocal last
+            sig, node, n = (np.concatenate([last[i], *(h[i] for h in held)]) for i in range(3))
+            link = (sig[1:] == sig[:-1]) & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64)) & (node[1:] != node[:-1])
+            last = [x[-1:].copy() for x in (sig, node, n)]
             a, b = local_components(node[1:][link], node[:-1][link])
             group = TaskContext.get().partitionId() // together
             return pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), *(pa.array([x[a != b].tobytes()], pa.binary()) for x in (a, b))], ["part", "a", "b"])
 
         held, size = [], 0
         for b in batches:
+            if not b.num_rows:
+                continue
             held.append([column(b, c).to_numpy() for c in ("sig", "node", "n")])
             size += b.num_rows
             if size >= chunk:
@@ -357,15 +354,15 @@ def _row_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
 
 
-def _classes(docs: DataFrame, join: Join) -> DataFrame:
-    """One row per row of docs: doc_id, row (its key), n_shingles, node and class (null without words)."""
+def _classes(docs: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row (its key), n_shingles, node (null without words)) of each row of docs, and (node, class) of nodes that have links."""
     spark = docs.sparkSession
     arrow_limits(spark)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row"), "text")
     sets = written(text.mapInArrow(_set_rows(join), "doc_id long, row long, n_shingles long, node long"), "sets")
     common = spark.sparkContext.broadcast(common_columns(text, join))
     sigs = text.select("text").mapInArrow(_signature_rows(join, common), "sig long, node long, n int")
-    packed = sigs.repartition("sig").mapInArrow(_chains(join.percent), "part int, a binary, b binary")
+    packed = sigs.repartition("sig").sortWithinPartitions("sig", "n", "node").mapInArrow(_chains(join.percent), "part int, a binary, b binary")
     edges = packed.repartition("part").mapInArrow(_merged, "a long, b long")
     cluster = connected_components(edges)
 
@@ -380,28 +377,40 @@ def _classes(docs: DataFrame, join: Join) -> DataFrame:
     rows = rows.select("cluster", "one", "two", "side", "text").repartition("cluster", "one", "two").sortWithinPartitions("cluster", "one", "two")
     found = written(rows.mapInArrow(_products(join), "a long, b long"), "links")
     label = connected_components(found)
+    dropped(found)
+    return sets, label.withColumnRenamed("label", "class")
 
-    return sets.join(label, "node", "left").select("doc_id", "row", "n_shingles", "node", F.coalesce("label", "node").alias("class"))
+
+def _nodes(sets: DataFrame, classes: DataFrame, *least) -> DataFrame:
+    """A row for each node: node, class, copies and the given minima over its rows; a node without links is its own class."""
+    node = sets.filter("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"), *least)
+    return node.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
 
 
 def jaccard_classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (see above), node (null without words)."""
-    out = _classes(docs, join)
-    least = out.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
-    return out.join(least, "class", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "node")
+    sets, classes = _classes(docs, join)
+    node = written(_nodes(sets, classes, F.min("doc_id").alias("least")), "nodes")
+    least = written(node.groupBy("class").agg(F.min("least").alias("component_id"), F.count("*").alias("nodes")), "least")
+    node = written(looked_up(node.select("node", "class", "copies"), least, ["class"], "nodes").select("node", "component_id", "copies"), "components")
+    dropped(least)
+    out = looked_up(sets.filter("node IS NOT NULL"), node, ["node"], "copies").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node")
+    return out.unionByName(sets.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "node"))
 
 
 def one_of_each(docs: DataFrame, join: Join = Join(words=5, percent=80)) -> DataFrame:
     """The rows of docs without near duplicates: of each class, the row of the smallest doc_id.
 
     A null doc_id stands behind all others. Of rows equal in doc_id and text one stays; texts without words are
-    classes of their own otherwise.
+    classes of their own otherwise. All columns stay, whatever their names.
     """
-    found = written(_classes(docs, join), "classes")
-    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("__row")
-    keep = found.groupBy("class", F.when(F.col("class").isNull(), F.col("row")).alias("alone")).agg(one)
-    rows = docs.withColumn("__row", _row_key()).join(keep.select("__row"), "__row", "left_semi").drop("__row")
-    twice = found.groupBy("row").count().filter("count > 1")
+    sets, classes = _classes(docs, join)
+    (key,) = free_names(docs, "__row")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    kept = _nodes(sets, classes, F.min(order).alias("least")).groupBy("class").agg(F.min("least")["row"].alias(key)).select(key)
+    kept = written(kept.unionByName(sets.filter("node IS NULL").select(F.col("row").alias(key)).distinct()), "kept")
+    rows = docs.withColumn(key, _row_key()).join(kept, key, "left_semi").drop(key)
+    twice = sets.groupBy("row").count().filter("count > 1")
     return rows if twice.isEmpty() else rows.dropDuplicates(["doc_id", "text"])
 
 

@@ -52,6 +52,15 @@ def _encoding(path: str):
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": 50256})
 
 
+@lru_cache(maxsize=1)
+def _slow():
+    """The same vocabulary by tokenizers, which has no such limit."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def byte_bpe(path: str | None = None, end_id: int = 1) -> Callable[[str], np.ndarray]:
     """A function from texts to ids with the end id, loaded where it runs."""
 
@@ -59,7 +68,11 @@ def byte_bpe(path: str | None = None, end_id: int = 1) -> Callable[[str], np.nda
         import public_tokenizers
 
         e = _encoding(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
-        return np.append(np.array(e.encode(text, allowed_special="all"), np.uint32), np.uint32(end_id))
+        try:
+            ids = e.encode(text, allowed_special="all")
+        except ValueError:  # its pattern's stack is full, as on very long runs of white space
+            ids = _slow().encode(text, add_special_tokens=False).ids
+        return np.append(np.array(ids, np.uint32), np.uint32(end_id))
 
     return encode
 

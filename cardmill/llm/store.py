@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ONE = threading.Lock()
 
@@ -80,6 +81,21 @@ def dropped(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_HEAVY = 1 << 14
+
+
+def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """The inner join of rows with a written table that has one row for each value of keys; weight tells how many rows have it.
+
+    Values that a share of 1/2**14 of the rows have, of which there are 2**14 at most, are broadcast, so their rows stay where
+    they lie; all others are joined by their hash.
+    """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    heavy = F.col(weight) >= max(total / _HEAVY, 64)
+    few, many = F.broadcast(table.filter(heavy)), table.filter(~heavy)
+    return rows.join(few, keys).unionByName(rows.join(few.select(*keys), keys, "left_anti").join(many, keys))
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -14,10 +14,11 @@ windows go.
    paired, so a passage of m texts costs m rows.
 3. Maximal repeats: windows found twice merge into the longest runs of repeated words.
 
-Anchors and windows are compared by 128 bits of independent hashes.
+Anchors and windows are compared by 128 bits of independent hashes. Anchors, stretches and windows that very many places have are
+joined by broadcast (`store.looked_up`), so no task meets all of them.
 
 Nulls: a null text has no words; doc_id may be null or repeated (rows are told apart by doc_id and text, and
-rows equal in both are repeats of each other like any). Texts under `window` words stay as they are. An empty table gives an empty result; other columns are untouched.
+rows equal in both are repeats of each other like any). Texts under `window` words stay as they are. An empty table gives an empty result; other columns are untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import arrow_limits, documents, dropped, written
+from .store import arrow_limits, documents, dropped, free_names, looked_up, written
 from .words import Words, chunks, column, signed
 
 SINGLE, KNOWN, REPEATED = 1, 2, 3  # a stretch to look into; one that stands for its equals; one found twice
@@ -91,7 +92,7 @@ def _windows(r: Repeats):
         for b in batches:
             for c in chunks(b):
                 w = Words(column(c, "text"))
-                row, (at, n, kind) = _lists(column(c, "__spans"))
+                row, (at, n, kind) = _lists(column(c, "spans"))
                 look = kind != REPEATED
                 row, at, n, kind = row[look], at[look], n[look], kind[look]
                 k = np.repeat(np.arange(len(n)), n)
@@ -106,38 +107,44 @@ def _windows(r: Repeats):
 
 
 def repeated_spans(docs: DataFrame, r: Repeats = Repeats()) -> tuple[DataFrame, DataFrame]:
-    """docs with spans of repeated windows, array<struct<at, n, kind>> in column `__spans`, in two parts:
+    """docs with spans of repeated windows, array<struct<at, n, kind>> in a last column whose name docs doesn't have, in two parts:
     rows that needed no extension and the others. Word positions count from 0."""
     spark = docs.sparkSession
     arrow_limits(spark)
-    docs = docs.withColumn("__rid", F.xxhash64("doc_id", "text"))
-    found = written(docs.select(F.col("__rid").alias("rid"), "text").mapInArrow(_anchors(r), _ANCHORS), "anchors")
+    rid, spans_, more_ = free_names(docs, "__rid", "__spans", "__more")
+    names = docs.columns
+    docs = docs.withColumn(rid, F.xxhash64(F.col("doc_id").cast("long"), "text"))
+    found = written(docs.select(F.col(rid).alias("rid"), "text").mapInArrow(_anchors(r), _ANCHORS), "anchors")
     # only occurrences of anchors that are found twice go on
-    twice = found.groupBy("anchor").agg(F.count("*").alias("all")).filter("all > 1").select("anchor")
-    seeds = written(found.join(twice, "anchor"), "seeds")
-    dropped(found)
-    own = seeds.withColumn("place", F.xxhash64("rid", "at"))
-    stretch = own.groupBy("anchor", "stretch").agg(F.count("*").alias("same"), F.min("place").alias("one"))
-    kinds = stretch.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    twice = written(found.groupBy("anchor").agg(F.count("*").alias("all")).filter("all > 1"), "anchors-twice")
+    own = written(looked_up(found, twice, ["anchor"], "all").drop("all").withColumn("place", F.xxhash64("rid", "at")), "seeds")
+    dropped(found, twice)
+    stretch = written(own.groupBy("anchor", "stretch").agg(F.count("*").alias("same"), F.min("place").alias("one")), "stretches")
+    kinds = written(stretch.groupBy("anchor").agg(F.count("*").alias("kinds")), "kinds")
+    both = written(looked_up(stretch, kinds, ["anchor"], "kinds"), "kinds-of-stretches")
     known = (F.col("kinds") > 1) & (F.col("place") == F.col("one"))
     what = F.when(F.col("same") == 1, F.array(F.lit(SINGLE))).when(known, F.array(F.lit(KNOWN), F.lit(REPEATED))).otherwise(F.array(F.lit(REPEATED)))
-    spans = own.join(stretch.join(kinds, "anchor"), ["anchor", "stretch"]).select("rid", "at", "n", F.explode(what).alias("kind"))
+    spans = looked_up(own, both, ["anchor", "stretch"], "same").select("rid", "at", "n", F.explode(what).alias("kind"))
     # rows equal in doc_id and text share a rid, and each of them gets the whole list: a span is in it once
-    spans = spans.groupBy(F.col("rid").alias("__rid")).agg(F.collect_set(F.struct("at", "n", "kind")).alias("__spans"))
+    spans = spans.groupBy(F.col("rid").alias(rid)).agg(F.collect_set(F.struct("at", "n", "kind")).alias(spans_))
     # what the seeds have shuffled goes before the texts move
     listed = written(spans, "span-lists")
-    dropped(seeds)
-    joined = written(docs.join(listed, "__rid", "left"), "spans")
+    dropped(own, stretch, kinds, both)
+    joined = written(docs.join(listed, rid, "left").select(*names, rid, spans_), "spans")
     dropped(listed)
 
-    look = F.exists("__spans", lambda x: x["kind"] != REPEATED)
-    plain = joined.filter(F.col("__spans").isNull() | ~look)
+    look = F.exists(spans_, lambda x: x["kind"] != REPEATED)
+    plain = joined.filter(F.col(spans_).isNull() | ~look)
     open_ = joined.filter(look)
-    w = written(open_.select(F.col("__rid").alias("rid"), "text", "__spans").mapInArrow(_windows(r), "w0 long, w1 long, rid long, pos int, kind int"), "windows")
-    twice = w.groupBy("w0", "w1").agg(F.sum("kind").alias("weight")).filter("weight > 1")
-    hit = w.filter(F.col("kind") == SINGLE).join(twice, ["w0", "w1"]).groupBy(F.col("rid").alias("__rid")).agg(F.collect_list(F.struct(F.col("pos").alias("at"), F.lit(1).alias("n"), F.lit(REPEATED).alias("kind"))).alias("__more"))
-    closed = open_.join(hit, "__rid", "left").withColumn("__spans", F.concat(F.filter("__spans", lambda x: x["kind"] == REPEATED), F.coalesce("__more", F.expr("array()").cast("array<struct<at:int,n:int,kind:int>>")))).drop("__more")
-    return plain.drop("__rid"), closed.drop("__rid")
+    w = written(open_.select(F.col(rid).alias("rid"), "text", F.col(spans_).alias("spans")).mapInArrow(_windows(r), "w0 long, w1 long, rid long, pos int, kind int"), "windows")
+    found = written(w.groupBy("w0", "w1").agg(F.sum("kind").alias("weight"), F.sum(F.when(F.col("kind") == SINGLE, 1).otherwise(0)).alias("rows")).filter("weight > 1"), "windows-twice")
+    hit = looked_up(w.filter(F.col("kind") == SINGLE), found, ["w0", "w1"], "rows")
+    hit = hit.groupBy(F.col("rid").alias(rid)).agg(F.collect_list(F.struct(F.col("pos").alias("at"), F.lit(1).alias("n"), F.lit(REPEATED).alias("kind"))).alias(more_))
+    hit = written(hit, "hits")
+    dropped(w, found)
+    none = F.expr("array()").cast("array<struct<at:int,n:int,kind:int>>")
+    closed = open_.join(hit, rid, "left").withColumn(spans_, F.concat(F.filter(spans_, lambda x: x["kind"] == REPEATED), F.coalesce(more_, none)))
+    return plain.drop(rid), closed.select(*names, spans_)
 
 
 def removed_words(w: Words, spans: pa.Array, window: int) -> np.ndarray:
@@ -157,7 +164,7 @@ def _finish(r: Repeats, make):
         for b in batches:
             for c in chunks(b):
                 w = Words(column(c, "text"))
-                gone = removed_words(w, column(c, "__spans"), r.window)
+                gone = removed_words(w, c.column(c.num_columns - 1), r.window)
                 kept, n_gone = [], np.zeros(w.rows, np.int64)
                 data = w.data.tobytes()
                 for d in range(w.rows):
@@ -178,8 +185,8 @@ def deduplicated(docs: DataFrame, r: Repeats = Repeats()) -> DataFrame:
     def make(c: pa.RecordBatch, w: Words, gone: np.ndarray, kept: list[bytes]) -> pa.RecordBatch:
         text = column(c, "text").to_pylist()
         cols = []
-        for n in names:
-            col = column(c, n)
+        for i, n in enumerate(names):
+            col = c.column(i)
             if n == "text":
                 col = pa.array([k.decode() if g else t for t, k, g in zip(text, kept, gone.tolist(), strict=True)], col.type)
             elif n == "n_chars":
@@ -198,7 +205,7 @@ def repeats(docs: DataFrame, r: Repeats = Repeats()) -> DataFrame:
         for b in batches:
             for c in chunks(b):
                 w = Words(column(c, "text"))
-                gone = removed_words(w, column(c, "__spans"), r.window)
+                gone = removed_words(w, c.column(c.num_columns - 1), r.window)
                 cut = np.zeros(len(gone) + 1, bool)
                 cut[w.first] = True
                 first = np.flatnonzero(gone & (~np.concatenate(([False], gone[:-1])) | cut[:-1])) if len(gone) else np.zeros(0, int)
@@ -207,8 +214,8 @@ def repeats(docs: DataFrame, r: Repeats = Repeats()) -> DataFrame:
                 words = [b" ".join(w.word(i) for i in range(x, y + 1)).decode() for x, y in zip(first.tolist(), last.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([column(c, "doc_id").cast(pa.int64()).take(pa.array(doc)), pa.array(first - w.first[doc]), pa.array(last - first + 1), pa.array(words, pa.string())], ["doc_id", "first_word", "n_words", "words"])
 
-    plain, closed = repeated_spans(docs, r)
-    return plain.unionByName(closed).select("doc_id", "text", "__spans").mapInArrow(run, "doc_id long, first_word long, n_words long, words string")
+    plain, closed = repeated_spans(docs.select("doc_id", "text"), r)
+    return plain.unionByName(closed).mapInArrow(run, "doc_id long, first_word long, n_words long, words string")
 
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -225,12 +225,40 @@ def test_spans_of_repeated_rows(spark, tmp_path):
     rows = [(1, " ".join(words(11, 300)))] * 30 + [(2, " ".join(words(11, 300)[50:200] + words(12, 100)))]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
     df = spark.read.parquet(path)
-    spans = [r["__spans"] for part in substring.repeated_spans(df) for r in part.collect()]
+    spans = [r[-1] for part in substring.repeated_spans(df) for r in part.collect()]
     assert len(spans) == 31 and all(len(x) == len(set(x)) for x in spans)
     got = sorted((str(r.doc_id), hashlib.sha256(b" ".join(split(r.text, False))).hexdigest()) for r in substring.deduplicated(df).collect())
     assert got == sorted((i, h) for i, _, _, h in plain_removed(pairs(df)))
 
 
+def test_columns_with_inner_names(spark, hard, tmp_path):
+    inner = ["__rid", "__spans", "__more", "__row", "__id", "spans", "node", "class", "component_id", "a", "words", "texts", "seg"]
+    path = str(tmp_path / "d")
+    hard.select("doc_id", "text", "lang", *(F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in inner)).write.parquet(path)
+    df = spark.read.parquet(path)
+    for f in (substring.deduplicated, ngram_join.one_of_each, quality.keep_documents):
+        out = f(df)
+        assert out.schema == df.schema
+        for r in out.collect():
+            assert all(r[c] == (None if r.doc_id is None else f"{c}{r.doc_id}") for c in inner)
+    assert sorted(pairs(substring.deduplicated(df)), key=repr) == sorted(pairs(substring.deduplicated(hard)), key=repr)
+    assert sorted(pairs(ngram_join.one_of_each(df)), key=repr) == sorted(pairs(ngram_join.one_of_each(hard)), key=repr)
+    check_scores(df, suffix_tree.score_documents(df, learn()))
+
+
+def test_many_places_of_one_key(spark, tmp_path):
+    """Keys that very many rows have take another way than the others."""
+    passage = words(60, 50)
+    rows = [(i, " ".join(words(5000 + i, 20) + passage + words(9000 + i, 20))) for i in range(400)] + [(1000 + i, " ".join(words(61, 45))) for i in range(300)]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    df = spark.read.parquet(path)
+    got = sorted((str(r.doc_id), hashlib.sha256(b" ".join(split(r.text, False))).hexdigest()) for r in substring.deduplicated(df).collect())
+    assert got == sorted((i, h) for i, _, _, h in plain_removed(rows))
+    classes = collections.Counter(r.component_id for r in ngram_join.jaccard_classes(df).collect())
+    assert classes[1000] == 300 and len(classes) == 401
+
+
 def test_op2_query(spark, small):
     from cardmill.llm.queries import QUERIES
 
@@ -282,6 +310,17 @@ def test_ids_are_the_tokenizers():
         assert encode(text).tolist() == [*t.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_long_white_space(spark):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    t, encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.byte_bpe()
+    rows = [(i, c * 1_000_000 + "x") for i, c in enumerate(" \n")] + [(2, "plain text")]
+    for _, text in rows:
+        assert encode(text).tolist() == [*t.encode(text, add_special_tokens=False).ids, 1]
+    check_packed(rows, packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect(), encode)
+
+
 def test_all_limits_hold():
     r = random.Random(1)
     p = packing.Packer(packing.Limits(tokens=64, segments=4, loss=40, pending=10), 0)
