@@ -649,6 +649,25 @@ def test_recall_on_embeddings(spark):
     assert np.mean([len(got[q] & {i for _, i in w}) / len(w) for q, w in want.items()]) >= 0.9
 
 
+def test_probes(spark):
+    order = ann.probe_order(8, 200)
+    assert order.shape == (200, 16) and len({tuple(x) for x in order.tolist()}) == 200 and not order[0].any()
+    assert not (order[:, :8] & order[:, :7:-1]).any()  # never both ways along one projection
+    rng = np.random.default_rng(2)
+    centre = rng.normal(size=(100, 64))
+    groups = np.repeat(centre, 30, 0) + 0.35 * rng.normal(size=(3000, 64))  # with neighbours to find, a small share is enough
+    given = np.array([r.embedding for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()], float)
+    for x, most in ((given, 0.9), (groups / np.sqrt((groups * groups).sum(1))[:, None], 0.3)):
+        s = x[::20] @ x.T
+        s[np.arange(len(s)), np.arange(0, len(x), 20)] = -9
+        top = np.argsort(-s, 1)[:, :20]
+        index = ann.Index(hashes=ann.hashes_for(len(x)))
+        n = ann.fitted_probes(index, {64: float(np.sqrt((x * x).sum(1)).max())}, [(q, v) for q in range(0, 50) for v in top[q].tolist()], dict(enumerate(x[::20].tolist())), dict(enumerate(x.tolist())))
+        share, work = ann.visited(x[::20], x, ann.Index(hashes=index.hashes, probes=n))
+        print(f"{n} probes visit {share:.3f}, products {work:.3f} of all, 20th neighbour at {np.median(np.sort(s, 1)[:, -20]):.2f}")
+        assert share < most
+
+
 def test_nearest_of_repeated_ids(spark):
     rng = np.random.default_rng(5)
     base = [(i % 100, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(200)]
