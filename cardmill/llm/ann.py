@@ -123,7 +123,8 @@ _BLOCK = "key long, dim int, n int, ids binary, vecs binary"
 
 def _sent(x: np.ndarray) -> bytes:
     """Single precision where that loses nothing."""
-    single = x.astype(np.float32)
+    with np.errstate(over="ignore"):
+        single = x.astype(np.float32)
     return np.ascontiguousarray(single if (single == x).all() else x).tobytes()
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import arrow_limits, documents, written
+from .store import arrow_limits, documents, dropped, written
 from .words import U, Words, chunks, column, mix, per_row
 
 # Character classes of bytes: lower and upper case letters, digits, space, line break,
@@ -56,6 +56,7 @@ class Rules:
     window: int = 5
     min_words: int = 60
     common: int = 40
+    share: int = 5000  # a common word holds 1/share of its language's words at least
     lang_words: int = 1000
     max_char_js: float = 0.28
     max_word_js: float = 0.5
@@ -133,28 +134,48 @@ def _word_keys(arr: pa.Array) -> tuple[Words, np.ndarray]:
     return w, w.hashes()
 
 
-def _heavy_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, word hash, count) of a task's words, and of its own sum at hash 0; only words with a local share of 1/5000.
+def _heavy_words(share: int, size: int = 1_000_000):
+    """(lang, word hash, count, of) of words that hold 1/share of a language's words in a segment of `size` words, where `of` is
+    the language's number of words there; and that number alone, with a null word.
 
-    A word of larger share in the whole has it in some task, so the candidates are complete;
-    their exact counts come from the second pass.
+    What holds such a share of the whole holds it in some segment, so the candidates are complete.
     """
-    held: dict = {}
-    for batch in batches:
-        for c in chunks(batch):
-            w, h = _word_keys(column(c, "text"))
-            langs = column(c, "lang").to_pylist()
-            for lang in {x for x in langs if x is not None}:
-                rows = np.array([x == lang for x in langs])
-                k, n = np.unique(h[np.repeat(rows, w.n)], return_counts=True)
-                acc = held.setdefault(lang, [{}, 0])
-                acc[1] += int(n.sum())
-                top = n * 10000 >= n.sum()
-                for a, b in zip(k[top].tolist(), n[top].tolist(), strict=True):
-                    acc[0][a] = acc[0].get(a, 0) + b
-    out = [(lang, 0, n) for lang, (_, n) in held.items()]
-    out += [(lang, k - (1 << 64) * (k >> 63), n) for lang, (d, total) in held.items() for k, n in d.items() if n * 5000 >= total]
-    yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))], ["lang", "word", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: dict[str, int] = {}
+        held, n = [], 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            lang, h = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((h, lang))
+            lang, h = lang[order], h[order]
+            new = np.flatnonzero(np.concatenate(([True], (lang[1:] != lang[:-1]) | (h[1:] != h[:-1]))))
+            count, total = np.diff(np.append(new, len(h))), np.bincount(lang, minlength=len(names))
+            own, word = lang[new], h[new].view(np.int64)
+            top = count * share >= total[own]
+            known = np.flatnonzero(total)
+            values = pa.array(list(names), pa.string())
+            out = pa.RecordBatch.from_arrays([
+                pa.concat_arrays([values.take(pa.array(own[top])), values.take(pa.array(known))]), pa.concat_arrays([pa.array(word[top]), pa.nulls(len(known), pa.int64())]),
+                pa.array(np.concatenate((count[top], total[known]))), pa.array(np.concatenate((total[own[top]], total[known]))),
+            ], ["lang", "word", "n", "of"])
+            for a in range(0, out.num_rows, 50_000):
+                yield out.slice(a, 50_000)
+
+        for batch in batches:
+            for c in chunks(batch):
+                w, h = _word_keys(column(c, "text"))
+                langs = np.array([-1 if x is None else names.setdefault(x, len(names)) for x in column(c, "lang").to_pylist()], np.int64)
+                of = np.repeat(langs, w.n)
+                held.append((of[of >= 0], h[of >= 0]))
+                n += len(held[-1][0])
+                if n >= size:
+                    yield from rows()
+                    held, n = [], 0
+        if n:
+            yield from rows()
+
+    return run
 
 
 def _pairs(common: dict[str, np.ndarray]):
@@ -195,31 +216,41 @@ def _bin(h: np.ndarray, common: np.ndarray) -> np.ndarray:
 def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each language: its common words' hashes, its histogram of characters and of words.
 
-    `common` words and two histograms of each language with `lang_words` words reach the driver.
+    The common words are the `common` most frequent of those that hold 1/`share` of the language's words. Candidates are those
+    that can be among them by what the segments tell; they are counted exactly in the pass of the histograms. These
+    words and two histograms of each language with `lang_words` words reach the driver.
     """
     arrow_limits(docs.sparkSession)
-    heavy = docs.select("text", "lang").mapInArrow(_heavy_words, "lang string, word long, n long")
-    found = written(heavy.groupBy("lang", "word").agg(F.sum("n").alias("n")), "heavy-words")
-    total = found.filter("word = 0").select("lang", F.col("n").alias("total"))
-    large = total.filter(F.col("total") >= rules.lang_words)
-    top = (
-        found.filter("word != 0")
-        .join(large.select("lang"), "lang")
-        .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word")))
-        .filter(F.col("r") <= rules.common)
-    )
-    rows = top.select("lang", "word").collect()
-    common = {r.lang: [] for r in large.select("lang").collect()}
-    for r in rows:
-        common[r.lang].append(r.word)
-    common = {k: np.sort(np.array(v, np.int64).view(np.uint64)) for k, v in common.items()}
+    heavy = docs.select("text", "lang").mapInArrow(_heavy_words(rules.share), "lang string, word long, n long, of long")
+    found = written(heavy.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("of").alias("of")), "heavy-words")
+    large = found.filter("word IS NULL").select("lang", F.col("n").alias("total")).filter(F.col("total") >= rules.lang_words)
+    # n is what the segments say where a word is heavy; elsewhere it has less than that share of their words
+    most = F.col("n") + (F.col("total") - F.col("of")) / rules.share
+    words = found.filter("word IS NOT NULL").join(large, "lang").select("lang", "word", "n", most.alias("most"))
+    least = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    kth = words.withColumn("r", F.row_number().over(least)).filter(F.col("r") == rules.common).select("lang", F.col("n").alias("kth"))
+    candidates = words.join(F.broadcast(kth), "lang", "left").filter(F.col("kth").isNull() | (F.col("most") >= F.col("kth")))
+    held: dict[str, list[int]] = {r.lang: [] for r in large.collect()}
+    for r in candidates.select("lang", "word").collect():
+        held[r.lang].append(r.word)
+    dropped(found)
+    common = {k: np.sort(np.array(v, np.int64).view(np.uint64)) for k, v in held.items()}
     if not common:
         return {}
     sums = docs.select("text", "lang").mapInArrow(_pairs(common), "lang string, kind int, bin int, n double").groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n"))
-    out = {k: (v, np.zeros(CLASSES), np.zeros(len(v) + 1)) for k, v in common.items()}
+    chars, counts_ = {k: np.zeros(CLASSES) for k in common}, {k: np.zeros(len(v) + 1) for k, v in common.items()}
     for r in sums.collect():
-        out[r.lang][1 + r.kind][r.bin] = r.n
-    return {k: (w, c / max(c.sum(), 1), h / max(h.sum(), 1)) for k, (w, c, h) in out.items() if c.sum() > 0}
+        (counts_ if r.kind else chars)[r.lang][r.bin] = r.n
+    out = {}
+    for k, words_ in common.items():
+        if not chars[k].sum():
+            continue
+        n = counts_[k][1:]  # exact
+        top = np.flatnonzero(n * rules.share >= counts_[k].sum())
+        top = np.sort(top[np.lexsort((words_[top], -n[top]))[: rules.common]])
+        h = np.concatenate(([counts_[k].sum() - n[top].sum()], n[top]))
+        out[k] = words_[top], chars[k] / chars[k].sum(), h / max(h.sum(), 1)
+    return out
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:

@@ -608,6 +608,65 @@ def test_small_languages_are_kept(spark, tmp_path):
     assert {x.doc_id for x in quality.keep_documents(df).collect()} == kept
 
 
+def plain_js(p, q):
+    keys = {*p, *q}
+    half = lambda a, b: sum(x * math.log2(x / ((x + b.get(k, 0)) / 2)) for k, x in a.items() if x)
+    return math.sqrt(max(0.0, (half(p, q) + half(q, p)) / 2)) if keys else 0.0
+
+
+def plain_verdicts(rows, rules=quality.Rules()):
+    """(id, distances, kept) of rows (id, text, lang), by counting words and characters one after the other."""
+    marks = set(".,;:'\"-?()")
+
+    def cls(c):
+        if "a" <= c <= "z":
+            return 0
+        if "A" <= c <= "Z":
+            return 1
+        if "0" <= c <= "9":
+            return 2
+        if c in "\t\x0b\x0c\r ":
+            return 3
+        if c == "\n":
+            return 4
+        return 5 if c in marks else 6 if ord(c) < 128 else 7 if ord(c) < 0x800 else 8
+
+    share = lambda c: {k: v / max(sum(c.values()), 1) for k, v in c.items()}
+    words_of, chars_of = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
+    for _, t, lang in rows:
+        if lang is not None:
+            words_of[lang].update(split(t))
+            chars_of[lang].update(map(cls, t or ""))
+    refs = {}
+    for lang, c in words_of.items():
+        n = sum(c.values())
+        if n >= rules.lang_words:
+            top = {w for w, k in sorted(c.items(), key=lambda x: -x[1])[: rules.common] if k * rules.share >= n}
+            refs[lang] = top, share(chars_of[lang]), share(collections.Counter({**{w: c[w] for w in top}, None: n - sum(c[w] for w in top)}))
+    out = []
+    for i, t, lang in rows:
+        n, _, _, _, repeats = plain_counts(t)
+        near = [(plain_js(share(collections.Counter(map(cls, t or ""))), rc), plain_js(share(collections.Counter(w if w in top else None for w in split(t))), rw)) for top, rc, rw in refs.values()]
+        a, b = min(near, key=sum, default=(0.0, 0.0))
+        failed = n < rules.least_words or 100 * repeats > rules.most_repeat_percent * n
+        far = a > rules.max_char_js or b > rules.max_word_js or a + b > rules.max_sum_js
+        out.append((str(i), round(a, 6), round(b, 6), not failed and (lang not in refs and lang is not None or n < rules.min_words or not far)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_distances_are_those_of_plain_counts(spark, tmp_path, partitions):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    # words of one frequency would leave the choice of common words open
+    extra = spark.createDataFrame([(-1, None, "en"), (-2, "", None), (-3, "чужие слова " * 50, "ru"), (-4, "no language here " * 9, None)], docs.schema)
+    path = str(tmp_path / "d")
+    docs.unionByName(extra).repartition(partitions).write.parquet(path)
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.unionByName(extra).collect()]
+    rules = quality.Rules(common=12)
+    got = sorted((str(r.doc_id), round(r.char_js, 6), round(r.word_js, 6), r.kept) for r in quality.quality_rules(spark.read.parquet(path), rules).collect())
+    assert got == plain_verdicts(rows, rules)
+
+
 # 10. nearest neighbours
 
 
@@ -657,7 +716,7 @@ def test_probes(spark):
     centre = rng.normal(size=(100, 64))
     groups = np.repeat(centre, 30, 0) + 0.35 * rng.normal(size=(3000, 64))  # with neighbours to find, a small share is enough
     given = np.array([r.embedding for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()], float)
-    for x, most in ((given, 0.9), (groups / np.sqrt((groups * groups).sum(1))[:, None], 0.3)):
+    for x, most in ((given, 0.9), (groups / np.sqrt((groups * groups).sum(1))[:, None], 0.5)):
         s = x[::20] @ x.T
         s[np.arange(len(s)), np.arange(0, len(x), 20)] = -9
         top = np.argsort(-s, 1)[:, :20]
