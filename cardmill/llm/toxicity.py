@@ -13,7 +13,7 @@ Inputs of a score are the text's words alone. `sample` bounds what is gathered (
 everything else covers all rows. With no usable label every score is `prior`.
 
 Nulls: a null text is empty and scored like one; a null doc_id is a training row that no label can
-belong to. Labels that are null, or contradict each other for one doc_id, aren't used.
+belong to. Labels that are null, or contradict each other for one doc_id, aren't used; of texts with one doc_id the least is learnt from.
 Repeated rows get equal scores; an empty table gives an empty result; extra columns don't matter.
 """
 
@@ -187,7 +187,9 @@ def train(docs: DataFrame, labels: DataFrame, s: Supervision = Supervision()) ->
     arrow_limits(spark)
     usable = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most").select("doc_id", "toxic")
     some = written(usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.sample), "labelled")
-    rows = written(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic")), "sample")
+    # of rows with one id the least text counts, so the sample bounds the texts too
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").cast("int").alias("toxic"))
+    rows = written(rows.select("text", "toxic"), "sample")
     total = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     t_all, n_all = total.get(1, 0), total.get(0, 0)
     none = Classifier(np.zeros(0, np.uint64), np.zeros(0), float(np.log(s.prior / (1 - s.prior))), np.zeros(0), {})

@@ -384,6 +384,62 @@ def test_label_model_finds_accuracies():
     assert found["weight"][0] < 0.8 * found["weight"][1]
 
 
+def plain_label_model(votes, label, rounds):
+    """Expectation maximisation of the two-class model, one row and one voter after the other."""
+    rows = [[*map(float, v), float(x)] for v, x in zip(votes, label, strict=True)]
+    m, n = len(rows[0]), len(rows)
+    p = [0.95 if x[-1] == 1 else min(0.02 + 0.1 * sum(x[:-1]), 0.3) for x in rows]
+    weight = [1.0] * m
+    for r in range(rounds):
+        prior = (sum(p) + 1) / (n + 2)
+        rate = [[min(max((sum(q * x[j] for q, x in zip(w, rows, strict=True)) + 0.5) / (sum(w) + 1), 1e-5), 1 - 1e-5) for j in range(m)] for w in ([1 - q for q in p], p)]
+        if r % 5 == 0:
+            z = [[(x[j] - q * rate[1][j] - (1 - q) * rate[0][j]) / math.sqrt(q * rate[1][j] * (1 - rate[1][j]) + (1 - q) * rate[0][j] * (1 - rate[0][j])) for j in range(m)] for q, x in zip(p, rows, strict=True)]
+            weight = [1 / (1 + sum(min(max(sum(a[j] * a[k] for a in z) / n, 0), 1) for k in range(m) if k != j)) for j in range(m)]
+            weight[-1] = 1.0
+        after = []
+        for x in rows:
+            f = math.log(prior / (1 - prior))
+            for j in range(m):
+                f += weight[j] * (math.log(rate[1][j] / rate[0][j]) if x[j] else math.log((1 - rate[1][j]) / (1 - rate[0][j])))
+            after.append(1 / (1 + math.exp(-min(max(f, -40), 40))))
+        done = max(abs(a - b) for a, b in zip(after, p, strict=True)) < 1e-4
+        p = after
+        if done:
+            break
+    return p
+
+
+def test_label_model_is_that_of_plain_em():
+    rng = np.random.default_rng(4)
+    y = rng.random(300) < 0.25
+    votes = np.stack([np.where(y, rng.random(300) < a, rng.random(300) < b) for a, b in ((0.7, 0.05), (0.5, 0.1), (0.6, 0.02), (0.3, 0.2))], 1).astype(float)
+    label = np.where(rng.random(300) < 0.1, ~y, y).astype(int)
+    p, _ = toxicity.label_model(votes, label, toxicity.Supervision())
+    assert np.allclose(p, plain_label_model(votes, label, toxicity.Supervision().rounds), atol=1e-9)
+
+
+def test_votes_are_plain_counts():
+    import pyarrow as pa
+
+    from cardmill.llm.words import Words
+
+    s, texts = toxicity.Supervision(), ["Nasty, nastiest (nasty) folk!", "", "other nas words nastyish", None]
+    (key,) = toxicity.features(Words(pa.array(["nasty"], pa.string()), lower=True), s).__next__()[1:]
+    begin = [h for _, h in toxicity.features(Words(pa.array(["nastyx"], pa.string()), lower=True), s)][2]
+    voters = np.sort(np.concatenate((key, begin)))
+    counts, hits = toxicity.vote_counts(Words(pa.array(texts, pa.string()), lower=True), voters, s)
+    whole, start = np.searchsorted(voters, key[0]), np.searchsorted(voters, begin[0])
+    assert counts[:, whole].tolist() == [2, 0, 0, 0] and counts[:, start].tolist() == [0, 0, 1, 0] and hits.tolist() == [2, 0, 1, 0]
+
+
+def test_toxicity_of_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, "bad words here")] * 50 + [(1, "a text")] + [(i, "plain text") for i in range(2, 30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 30)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert len(toxicity.scores(docs, model).collect()) == 79
+
+
 # 5. licenses
 
 
@@ -403,6 +459,44 @@ def test_licenses(spark, hard, empty):
     assert licenses.scan(hard).collect() == [] and licenses.scan(empty).collect() == []
 
 
+def plain_matches(text, templates, s):
+    """The best share of each template in any of its windows of the text, for words of letters."""
+    import re
+
+    clean = lambda x: [w for w in (re.sub(r"^[^a-z]+|[^a-z]+$", "", w) for w in x.lower().split()) if w]
+    grams = lambda w: {tuple(w[i : i + s.shingle]) for i in range(len(w) - s.shingle + 1)}
+    out, own = {}, clean(text)
+    for name, t in templates.items():
+        t = clean(t)
+        stride = max(1, int(len(t) * s.slack))
+        shares = [len(grams(own[a : a + len(t) + stride]) & grams(t)) / len(grams(t)) for a in range(0, max(len(own), 1), stride)]
+        if max(shares) >= s.containment:
+            out[name] = round(max(shares), 9)
+    return out
+
+
+def test_licenses_are_those_of_all_windows(spark):
+    import re
+
+    r = random.Random(12)
+    s, t = licenses.Scan(), {n: re.sub(r"[^A-Za-z ]", "", x) for n, x in licenses.TEMPLATES.items()}
+    t = {n: x for n, x in t.items() if len(x.split()) >= 8}
+    rows = []
+    for i in range(120):
+        w = r.choice(list(t.values())).split()
+        for _ in range(r.randint(0, len(w) // 12)):  # edits around the threshold
+            k = r.randrange(len(w))
+            w[k : k + 1] = r.choice(([], ["edited"], [w[k], "added"]))
+        a, b = r.randint(0, 60), r.randint(0, 60)
+        rows.append((i, " ".join([*words(i, a), *w, *words(500 + i, b), *(r.choice(list(t.values())).split()[:20])])))
+    got = collections.defaultdict(dict)
+    for x in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), t).collect():
+        got[x.doc_id][x.license] = round(x.containment, 9)
+    want = {i: plain_matches(x, t, s) for i, x in rows}
+    assert sum(map(len, want.values())) > 100 and any(v < 1 for m in want.values() for v in m.values())
+    assert dict(got) == {i: m for i, m in want.items() if m}
+
+
 @pytest.mark.parametrize("similarity", [0.3, 0.5, 0.8])
 def test_bands_guarantee(similarity):
     b = licenses.bands_for(similarity, 2, 1e-4)
@@ -751,6 +845,18 @@ def test_nearest_of_repeated_ids(spark):
 # the pipeline
 
 
+def test_pipeline_of_hard_and_empty_tables(spark, hard, empty, tmp_path):
+    import corpus_pipeline as p
+
+    labels = spark.createDataFrame([(1, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    for name, docs in (("hard", hard), ("empty", empty)):
+        path = str(tmp_path / name)
+        docs.withColumn("__rid", F.lit(1)).withColumn("__row", F.lit("x")).write.parquet(f"{path}/documents.parquet")
+        labels.write.parquet(f"{path}/labels.parquet")
+        out = p.run(spark, path)
+        assert out.columns[0] == "doc_id" and (out.count() > 0) == (name == "hard")
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline as p
 
