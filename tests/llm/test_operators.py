@@ -642,12 +642,14 @@ def test_one_of_each_without_ids(spark, tmp_path):
 
 def test_components(spark):
     r = random.Random(6)
-    edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)]
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)] + [(3000 - i, 2000 + i) for i in range(40)] + [(9000, i) for i in range(8000, 8050)]
     a, b = np.array([e[0] for e in edges]), np.array([e[1] for e in edges])
     nodes, label = components.local_components(a, b)
     local = dict(zip(nodes.tolist(), label.tolist(), strict=True))
     got = {x.node: x.label for x in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {n: v for n, v in local.items() if n in got} and all(local[x] == local[y] for x, y in edges) and local[1060] == 1000
+    assert {n for e in edges if e[0] != e[1] for n in e} == set(got)
+    assert components.connected_components(spark.createDataFrame([(1, 1)], "a long, b long")).collect() == []
 
 
 # 9. quality rules
