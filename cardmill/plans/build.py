@@ -10,6 +10,8 @@ from ..functions.udfs import Backend, document_pages, html_unescape
 from ..operators.consolidate import aliases, content_dedup, dedup_counts, output_names
 from ..operators.reconcile import collection_rate, control_equalities
 from ..operators.variants import best_records, status_counts, totals
+from ..schemas import TABLE_COLUMNS
+from ..sources.shared import shared_path
 from ..sources.sinks import manifest, quality_issues
 
 
@@ -30,16 +32,35 @@ def page_text_of(html, mark: str):
     return F.array_join(F.transform(F.split(unescaped, mark), lambda x: page_text(x, lambda y: y)), "\n")
 
 
+def stored_once(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    path = shared_path(spark, "stored")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def year_reports(records: DataFrame, archives: DataFrame, sample: bool = False) -> DataFrame:
+    """K3: the report of each year's build, a row a year. archives: year, archive."""
+    counts = status_counts(records).join(archives, "year", "left")
+    return counts.select(
+        "year", "archive", F.lit(sample).alias("sample_mode"), F.col("archive_unique_doc_ids").alias("rows_written"), "archive_pdf_entries", "archive_unique_doc_ids", "extra_variants",
+        "ok", "warning", "failed", "registration_mismatches", F.lit(len(TABLE_COLUMNS)).alias("csv_columns"),
+    )
+
+
 def build_tables(variants: DataFrame, strict_names: bool = True) -> dict[str, DataFrame]:
-    """The table, the annual figures with their total, the manifest and the issues. One shuffle makes the table."""
-    records = best_records(variants, strict_names)
+    """The table, the annual figures with their total, the manifest and the issues. One shuffle makes the table.
+
+    It is written to the shared folder once, so no document is parsed again for the figures.
+    """
+    records = stored_once(best_records(variants, strict_names))
     annual = status_counts(records)
     return {"records": records, "annual": annual, "totals": totals(annual), "manifest": manifest(annual.withColumn("rows_written", F.col("archive_unique_doc_ids"))), "issues": quality_issues(records)}
 
 
 def consolidate(refs: DataFrame) -> dict[str, DataFrame]:
-    """What goes into the merged archives, under which names, and what was left out."""
-    named = output_names(content_dedup(refs))
+    """What goes into the merged archives, under which names, and what was left out. Contents are hashed once."""
+    named = stored_once(output_names(content_dedup(refs)))
     return {"entries": named, "counts": dedup_counts(named), "aliases": aliases(refs, named)}
 
 

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import consolidate as C
+from ..operators import delivery as Y
 from ..operators import duplicates as D
 from ..operators import reconcile as R
 from ..operators import validate as V
 from ..operators import variants as W
 from ..sources import sinks as K
+from ..sources.shared import shared_path
 from ..streaming import intake as T
 from .build import delivery_checks
 from .queries_text import MEMBER, _card, member_name, s, table
@@ -131,13 +131,13 @@ def quality_issues(spark, sf_dir):
 
 def _refs(spark, sf_dir) -> DataFrame:
     n = F.col("doc_id")
-    member = F.concat(F.lit("2022/"), F.when(n % 4 == 0, "").otherwise(F.concat(F.lit("2022-03-0"), s(n % 4))), F.lit("/card_"), F.md5(F.substring("text", 1, 40)), F.lit(".pdf"))
+    member = F.concat(F.lit("2022/"), F.when(n % 4 == 0, "").otherwise(F.concat(F.lit("2022-03-0"), s(n % 4))), F.lit("/card_"), F.md5(s(F.length("text") % 300)), F.lit(".pdf"))
     d = table(spark, sf_dir, "documents")
     return C.source_refs(d.select(F.lit(2022).alias("year"), F.concat(F.lit("/a/2022-"), s(n % 3), F.lit(".zip")).alias("archive"), (n % 3).alias("archive_rank"), n.alias("member_index"), member.alias("member"), F.encode("text", "UTF-8").alias("content")))
 
 
-_REFS = """(SELECT md5(left(text, 40)) AS doc_id, sha256(text) AS sha256, doc_id % 3 AS rank, doc_id AS place, CASE WHEN doc_id % 4 <> 0 THEN '2022-03-0' || doc_id % 4 END AS date,
-  '2022-' || doc_id % 3 || '.zip!2022/' || CASE WHEN doc_id % 4 = 0 THEN '' ELSE '2022-03-0' || doc_id % 4 END || '/card_' || md5(left(text, 40)) || '.pdf' AS label FROM documents)"""
+_REFS = """(SELECT md5((length(text) % 300)::VARCHAR) AS doc_id, sha256(text) AS sha256, doc_id % 3 AS rank, doc_id AS place, CASE WHEN doc_id % 4 <> 0 THEN '2022-03-0' || doc_id % 4 END AS date,
+  '2022-' || doc_id % 3 || '.zip!2022/' || CASE WHEN doc_id % 4 = 0 THEN '' ELSE '2022-03-0' || doc_id % 4 END || '/card_' || md5((length(text) % 300)::VARCHAR) || '.pdf' AS label FROM documents)"""
 _KEPT = f"(SELECT *, row_number() OVER (PARTITION BY doc_id, sha256 ORDER BY rank, place) AS r, count(*) OVER (PARTITION BY doc_id, sha256) AS copies FROM {_REFS} QUALIFY r = 1)"
 _NAMED = f"(SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY rank, place) AS version FROM {_KEPT})"
 
@@ -192,13 +192,13 @@ def _flags(spark, sf_dir) -> DataFrame:
     o = table(spark, sf_dir, "orders").filter("o_custkey % 7 <> 0").select(year(F.col("o_custkey")), s("o_custkey").alias("doc_id"), F.col("o_custkey").alias("k"))
     extra = o.filter("k % 17 = 0").withColumn("doc_id", F.concat(F.lit("X"), "doc_id"))
     pdf = o.unionByName(extra)
-    return R.flagged_ids(site=c, archive=pdf, no_pdf=c.filter("k % 7 = 0 AND k % 2 = 0"), server500=c.filter("k % 7 = 0 AND k % 4 <> 2"), table=pdf.filter("k % 19 <> 0"))
+    return R.flagged_ids(site=c, archive=pdf, no_pdf=c.filter("k % 7 = 0 AND k % 2 = 0 OR year = 2003 AND k % 23 = 0"), server500=c.filter("k % 7 = 0 AND k % 4 <> 2 AND NOT (year = 2003 AND k % 4 = 3)"), table=pdf.filter("k % 19 <> 0"))
 
 
 _FLAGS = """(SELECT year, doc_id, bool_or(t = 1) AS site, bool_or(t = 2) AS archive, bool_or(t = 3) AS no_pdf, bool_or(t = 4) AS server500, bool_or(t = 5) AS tab FROM (
   SELECT 2000 + c_custkey % 5 AS year, c_custkey::VARCHAR AS doc_id, 1 AS t FROM customer
-  UNION ALL SELECT 2000 + c_custkey % 5, c_custkey::VARCHAR, 3 FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 2 = 0
-  UNION ALL SELECT 2000 + c_custkey % 5, c_custkey::VARCHAR, 4 FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 4 <> 2
+  UNION ALL SELECT 2000 + c_custkey % 5, c_custkey::VARCHAR, 3 FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 2 = 0 OR c_custkey % 5 = 3 AND c_custkey % 23 = 0
+  UNION ALL SELECT 2000 + c_custkey % 5, c_custkey::VARCHAR, 4 FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 4 <> 2 AND NOT (c_custkey % 5 = 3 AND c_custkey % 4 = 3)
   UNION ALL SELECT 2000 + o_custkey % 5, o_custkey::VARCHAR, t FROM orders, (VALUES (2), (5)) v(t) WHERE o_custkey % 7 <> 0 AND (t = 2 OR o_custkey % 19 <> 0)
   UNION ALL SELECT 2000 + o_custkey % 5, 'x' || o_custkey, t FROM orders, (VALUES (2), (5)) v(t) WHERE o_custkey % 7 <> 0 AND o_custkey % 17 = 0 AND (t = 2 OR o_custkey % 19 <> 0)) GROUP BY 1, 2)"""
 
@@ -224,7 +224,14 @@ _set_query("anti_extras", ["archive"], ["site"], "J2, J13.")
 _set_query("anti_missing", ["site"], ["archive"], "J2.")
 _set_query("missing_known", ["site", "no_pdf"], ["archive"], "J3.")
 _set_query("unexplained", ["site"], ["archive", "no_pdf", "server500"], "J4, J9.")
-_set_query("errors_not_missing", ["no_pdf", "archive"], [], "J5.")
+
+
+@query(f"SELECT year::INTEGER AS year, doc_id FROM {_FLAGS} WHERE (no_pdf OR server500) AND NOT (site AND NOT archive)")
+def errors_not_missing(spark, sf_dir):
+    """J5."""
+    return _flags(spark, sf_dir).filter("(no_pdf OR server500) AND NOT (site AND NOT archive)").select("year", "doc_id")
+
+
 _set_query("overlap", ["no_pdf", "server500"], [], "U5.")
 _set_query("not_tabulated", ["archive"], ["table"], "U3, U4.")
 
@@ -485,7 +492,7 @@ def duplicate_audit(spark, sf_dir):
     return g.select("doc_id", F.col("variant_count").cast("long").alias("variant_count"), F.col("readable_count").cast("long").alias("readable_count"), "selected_member", F.col("table_selection_matches_audit").alias("matches"), "normalized_text_equal")
 
 
-@query("SELECT 2022 AS year, count(*) AS physical, 0::BIGINT AS unparsed, count(DISTINCT md5(left(text, 40))) AS doc_ids FROM documents")
+@query("SELECT 2022 AS year, count(*) AS physical, 0::BIGINT AS unparsed, count(DISTINCT md5((length(text) % 300)::VARCHAR)) AS doc_ids FROM documents")
 def inventory(spark, sf_dir):
     """S9."""
     return C.inventory(_refs(spark, sf_dir))
@@ -518,14 +525,130 @@ def annual_check(spark, sf_dir):
     return T.annual_check(days, totals, n.filter("year % 3 = 0").select("year")).select("year", "listed", "whole")
 
 
-@query()
+@query("SELECT event_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS ts, min(event_type) AS event_type FROM events GROUP BY event_id")
 def stream_dedup(spark, sf_dir):
-    """Events as a file stream, each id once, exactly once into Parquet. A demonstration of this engine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp()}"
-    import uuid
-
-    root = f"{folder}/stream-{uuid.uuid4().hex}"
+    """Events as a file stream, each id once, exactly once into Parquet."""
+    root = shared_path(spark, "stream")
     schema = table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet*").parquet(sf_dir).select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
     T.checkpointed(T.stream_dedup(stream, ["event_id"]), f"{root}/out", f"{root}/state").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "event_type")
+
+
+# --- delivery: verification of archives, packages and registers
+
+
+def _found(spark, sf_dir) -> DataFrame:
+    """Orders are members of year archives, two a year and place; every 29th has no id."""
+    k = F.col("o_orderkey")
+    ident = F.when(k % 29 != 0, s("o_custkey"))
+    return table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), F.concat(F.lit("a"), s(k % 3), F.lit(".zip")).alias("archive"), (k % 3).alias("archive_rank"), F.concat(F.lit("m"), s(k)).alias("member"), ident.alias("doc_id"))
+
+
+_FOUND = "(SELECT year(o_orderdate) AS year, 'a' || o_orderkey % 3 || '.zip' AS archive, o_orderkey % 3 AS rank, 'm' || o_orderkey AS member, CASE WHEN o_orderkey % 29 <> 0 THEN o_custkey::VARCHAR END AS doc_id FROM orders)"
+_EXPECTED = "(SELECT y AS year, c_custkey::VARCHAR AS doc_id FROM customer, (SELECT DISTINCT year(o_orderdate) AS y FROM orders) WHERE c_custkey % 4 <> 1)"
+
+
+@query(f"""WITH f AS {_FOUND}, i AS (SELECT DISTINCT year, doc_id FROM f WHERE doc_id IS NOT NULL), e AS {_EXPECTED}, j AS (SELECT coalesce(i.year, e.year) AS year, coalesce(i.doc_id, e.doc_id) AS doc_id, i.doc_id IS NOT NULL AS a, e.doc_id IS NOT NULL AS b FROM i FULL JOIN e ON i.year = e.year AND i.doc_id = e.doc_id),
+  k AS (SELECT *, row_number() OVER (PARTITION BY year, a ORDER BY doc_id) AS r FROM j WHERE a <> b)
+  SELECT c.year::INTEGER AS year, c.ids, c.missing, c.extra, m.members, m.unparsed, (SELECT string_agg(doc_id, ',' ORDER BY doc_id) FROM k WHERE k.year = c.year AND b AND r <= 20) AS first_missing, (SELECT string_agg(doc_id, ',' ORDER BY doc_id) FROM k WHERE k.year = c.year AND a AND r <= 20) AS first_extra,
+    c.missing = 0 AND c.extra = 0 AND m.unparsed = 0 AND m.members = c.ids AS ok
+  FROM (SELECT year, count(*) FILTER (a) AS ids, count(*) FILTER (b AND NOT a) AS missing, count(*) FILTER (a AND NOT b) AS extra FROM j GROUP BY 1) c JOIN (SELECT year, count(*) AS members, count(*) - count(doc_id) AS unparsed FROM f GROUP BY 1) m USING (year)""")
+def archive_verification(spark, sf_dir):
+    """K14, K15, O4."""
+    f = _found(spark, sf_dir)
+    expected = table(spark, sf_dir, "customer").filter("c_custkey % 4 <> 1").select(s("c_custkey").alias("doc_id"), F.explode(F.array(*(F.lit(y) for y in range(1980, 2040)))).alias("year"))
+    expected = expected.join(f.select("year").distinct(), "year", "left_semi")
+    v = Y.archive_verification(f, expected)
+    return v.withColumns({c: F.array_join(c, ",") for c in ("first_missing", "first_extra")})
+
+
+_USABLE = "(SELECT DISTINCT year, archive FROM f WHERE NOT (year % 2 = 0 AND archive = 'a0.zip'))"
+
+
+@query(f"WITH f AS {_FOUND}, u AS {_USABLE}, i AS (SELECT year, count(DISTINCT doc_id) AS ids FROM f SEMI JOIN u USING (year, archive) GROUP BY 1) SELECT year::INTEGER AS year, ids, (SELECT string_agg(archive, ',' ORDER BY archive) FROM u WHERE u.year = i.year) AS archives, (SELECT min(archive) FROM u WHERE u.year = i.year) AS first FROM i")
+def collected_ids(spark, sf_dir):
+    """S12, S13."""
+    f = _found(spark, sf_dir)
+    usable = f.filter("NOT (year % 2 = 0 AND archive = 'a0.zip')").select("year", "archive").distinct()
+    ids, archives = Y.collected_ids(f, usable)
+    first = Y.first_usable(f.select("year", "archive", "archive_rank").distinct(), usable)
+    return ids.groupBy("year").agg(F.count("*").alias("ids")).join(archives, "year").join(first.withColumnRenamed("archive", "first"), "year").withColumn("archives", F.array_join("archives", ","))
+
+
+@query(f"""WITH f AS {_FOUND} SELECT year::INTEGER AS year, archive, count(*) AS physical, count(DISTINCT doc_id) AS ids, count(*) - count(doc_id) AS unparsed,
+  (SELECT string_agg(member, ',' ORDER BY member) FROM (SELECT year AS y, archive AS a, member, row_number() OVER (PARTITION BY year, archive ORDER BY member) AS r FROM f WHERE doc_id IS NULL) WHERE y = f.year AND a = f.archive AND r <= 5) AS first_unparsed FROM f GROUP BY year, archive""")
+def archive_ids(spark, sf_dir):
+    """S22, O4."""
+    return Y.archive_ids(_found(spark, sf_dir)).withColumn("first_unparsed", F.array_join("first_unparsed", ","))
+
+
+def _reports(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """A report and an archive of each nation's year."""
+    n = F.col("n_nationkey")
+    t = table(spark, sf_dir, "nation").withColumn("year", n + 2000)
+    reports = t.filter(n < 20).select("year", (n % 7 == 0).alias("sample_mode"), n.alias("rows_written"), (n + F.when(n % 5 == 0, 1).otherwise(0)).alias("archive_unique_doc_ids"), F.when(n % 6 == 0, 46).otherwise(135).alias("csv_columns"), F.lit("a").alias("archive"))
+    return reports, t.select("year", F.when(n % 8 == 3, "b").otherwise("a").alias("archive"))
+
+
+_WHOLE = "n_nationkey < 20 AND n_nationkey % 7 <> 0 AND n_nationkey % 5 <> 0 AND n_nationkey % 6 <> 0 AND n_nationkey % 8 <> 3"
+
+
+@query(f"SELECT (n_nationkey + 2000)::INTEGER AS year FROM nation WHERE {_WHOLE}")
+def complete_output(spark, sf_dir):
+    """P11."""
+    return V.complete_output(*_reports(spark, sf_dir), 135)
+
+
+@query(f"SELECT (n_nationkey + 2000)::INTEGER AS year, CASE WHEN n_nationkey % 8 = 3 THEN 'b' ELSE 'a' END AS archive FROM nation WHERE NOT ({_WHOLE}) ORDER BY 1 DESC")
+def years_to_build(spark, sf_dir):
+    """T12, O3."""
+    return Y.ordered_years(Y.years_to_build(*_reports(spark, sf_dir), 135), descending=True)
+
+
+@query("SELECT n_nationkey::INTEGER AS year FROM nation WHERE n_nationkey % 3 <> 0 AND n_nationkey % 4 <> 2")
+def verified_reports(spark, sf_dir):
+    """Archives x and y of a year, where y is gone for some."""
+    n = F.col("n_nationkey")
+    name = lambda c: F.concat(F.lit(c), s(n))
+    t = table(spark, sf_dir, "nation")
+    existing = t.select(name("x").alias("archive")).unionByName(t.filter(n % 4 != 2).select(name("y").alias("archive")))
+    return Y.verified_reports(t.select(n.alias("year"), (n % 3 != 0).alias("complete"), F.array(name("x"), name("y")).alias("archives")), existing)
+
+
+@query("""SELECT 'f' || p_partkey AS name, CASE WHEN p_partkey % 11 = 0 THEN 'missing' WHEN p_partkey % 13 = 0 THEN 'unknown' WHEN p_partkey % 17 = 0 THEN 'different' ELSE 'equal' END AS state FROM part WHERE NOT (p_partkey % 11 = 0 AND p_partkey % 13 = 0)""")
+def self_check(spark, sf_dir):
+    """J14."""
+    k = F.col("p_partkey")
+    p = table(spark, sf_dir, "part").select(F.concat(F.lit("f"), s(k)).alias("name"), F.col("p_size").cast("long").alias("bytes"), F.sha2("p_name", 256).alias("sha256"), k)
+    changed = p.withColumn("sha256", F.when(k % 17 == 0, F.sha2(F.concat("sha256", F.lit("x")), 256)).otherwise(F.col("sha256")))
+    return Y.self_check(changed.filter(k % 11 != 0), p.filter(k % 13 != 0))
+
+
+@query("""SELECT 'no_pdf' AS name, count(*) FILTER (c_custkey % 7 = 0) AS found, count(*) FILTER (c_custkey % 7 = 0) AS expected, true AS equal FROM customer
+  UNION ALL SELECT 'http_500', count(*) FILTER (c_custkey % 9 = 0), count(*) FILTER (c_custkey % 9 = 0) + 1, false FROM customer
+  UNION ALL SELECT 'gaps', sum(c_custkey % 5) FILTER (c_custkey % 3 = 0)::BIGINT, sum(c_custkey % 5) FILTER (c_custkey % 3 = 0)::BIGINT, true FROM customer""")
+def register_checks(spark, sf_dir):
+    """A22."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    gaps = c.filter(k % 3 == 0).select((k % 5).alias("gap"))
+    totals = c.agg(F.count_if(k % 7 == 0).alias("a"), (F.count_if(k % 9 == 0) + 1).alias("b"), F.sum(F.when(k % 3 == 0, k % 5)).alias("g")).select(F.inline(F.array(*(F.struct(F.lit(n).alias("name"), F.col(v).alias("expected")) for n, v in (("no_pdf", "a"), ("http_500", "b"), ("gaps", "g"))))))
+    return Y.register_checks({"no_pdf": c.filter(k % 7 == 0), "http_500": c.filter(k % 9 == 0)}, totals, gaps)
+
+
+@query(f"""WITH c AS (SELECT count(*) FILTER (site AND NOT archive AND no_pdf) AS no_pdf, count(*) FILTER (site AND NOT archive AND server500) AS http_500, count(*) FILTER (no_pdf AND server500) AS in_both, count(*) FILTER (site AND NOT archive AND NOT no_pdf AND NOT server500) AS unexplained,
+  count(*) FILTER ((no_pdf OR server500) AND NOT (site AND NOT archive)) AS not_missing, count(*) FILTER (site AND NOT archive) AS missing FROM {_FLAGS})
+  SELECT *, 6::BIGINT AS gap, no_pdf + http_500 + 6 AS unavailable, in_both = 0 AS disjoint, unexplained = 0 AS complete, not_missing = 0 AS only_missing, (SELECT count(*) FROM {_FLAGS} WHERE site AND NOT archive) = no_pdf + http_500 + unexplained - in_both AS adds_up FROM c""")
+def error_groups(spark, sf_dir):
+    """A23."""
+    return Y.error_groups(_flags(spark, sf_dir), F.lit(6))
+
+
+@query("SELECT y::INTEGER AS year, CASE WHEN y % 2 = 0 THEN n END AS annual_total FROM (SELECT year(o_orderdate) AS y, count(*) AS n FROM orders GROUP BY 1)")
+def annual_total(spark, sf_dir):
+    """A year's total counts only where its page echoes the dates."""
+    from ..sources.listing import annual_total as total
+
+    y = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("total"))
+    return total(y.select("year", "total", (F.col("year") % 2 == 0).alias("dates_ok"))).select("year", F.col("annual_site_total").alias("annual_total"))

@@ -63,7 +63,7 @@ def names_parsed(spark, sf_dir):
 
 @query(r"""
 WITH p AS (SELECT page_id, regexp_replace(regexp_replace(url, '^.*/', ''), '[^\w.()\-]+', '_', 'g') AS b, url FROM pages)
-SELECT page_id, CASE WHEN b LIKE '%.pdf' THEN b ELSE b || '.pdf' END AS plain,
+SELECT page_id, CASE WHEN b LIKE '%.pdf' THEN b ELSE b || '.pdf' END AS plain, CASE WHEN b LIKE '%.pdf' THEN b ELSE b || '.pdf' END AS same,
   CASE WHEN b = '' THEN '.pdf' ELSE b END || '_' || md5(url) || '.pdf' AS with_id,
   regexp_replace(regexp_replace(url, '[^\w\-_.]', '_', 'g') || '_' || md5(url) || '.pdf', '_+', '_', 'g') AS file_name
 FROM p""")
@@ -73,7 +73,7 @@ def safe_names(spark, sf_dir):
     ident = F.md5("url")
     plain = F.regexp_replace(X.basename(F.col("url")), r"(?U)[^\w.()\-]+", "_")
     ended = F.when(F.endswith(plain, F.lit(".pdf")), plain).otherwise(F.concat(plain, F.lit(".pdf")))
-    return p.select("page_id", X.safe_basename(F.col("url"), F.lit("")).alias("plain"), ended.alias("same"), X.safe_basename(F.col("url"), ident).alias("with_id"), X.safe_filename(F.col("url"), ident).alias("file_name")).filter("plain = same").drop("same")
+    return p.select("page_id", X.safe_basename(F.col("url"), F.lit("")).alias("plain"), ended.alias("same"), X.safe_basename(F.col("url"), ident).alias("with_id"), X.safe_filename(F.col("url"), ident).alias("file_name"))
 
 
 @query(f"SELECT 2022 AS year, md5(text) AS doc_id, string_agg(m, ';' ORDER BY m) AS members, count(*) AS n FROM (SELECT text, {MEMBER} AS m FROM documents) GROUP BY 2")
@@ -202,12 +202,12 @@ def research_leaders(spark, sf_dir):
 _LANG = "CASE WHEN c + l < 3 THEN 'unknown' WHEN c / (c + l) >= 0.85 THEN 'uk' WHEN c / (c + l) <= 0.15 THEN 'en' ELSE 'mixed' END"
 
 
-@query(f"""SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'empty' ELSE {_LANG} END AS language, CASE WHEN doc_id % 11 = 0 THEN 'unknown' ELSE {_LANG} END AS row_language FROM (
-  SELECT doc_id, (doc_id * 37 % 2000)::DOUBLE AS c, length(regexp_replace(substr(text, 1, (doc_id % 50)::BIGINT * 20), '[^A-Za-z]', '', 'g'))::DOUBLE AS l FROM documents)""")
+@query(f"""SELECT doc_id, CASE WHEN blank THEN 'empty' ELSE {_LANG} END AS language, CASE WHEN blank THEN 'unknown' ELSE {_LANG} END AS row_language FROM (
+  SELECT doc_id, c, l, c = 0 AND trim(text, E' \\t\\r\\n') = '' AS blank FROM (
+  SELECT doc_id, text, (length(text) * (doc_id % 50) // 8)::DOUBLE AS c, length(regexp_replace(text, '[^A-Za-z]', '', 'g'))::DOUBLE AS l FROM documents))""")
 def languages(spark, sf_dir):
-    """Cyrillic of varying length before text of varying length."""
-    n = F.col("doc_id")
-    text = F.when(n % 11 == 0, " \n\t").otherwise(F.concat(F.repeat(F.lit("ж"), (n * 37 % 2000).cast("int")), F.substring("text", F.lit(1), (n % 50 * 20).cast("int"))))
+    """The whole text behind Cyrillic of none to six times its length."""
+    text = F.concat(F.repeat(F.lit("ж"), F.expr("CAST(length(text) * (doc_id % 50) DIV 8 AS INT)")), "text")
     return spread(table(spark, sf_dir, "documents")).withColumn("t", text).select("doc_id", field_language(F.col("t")).alias("language"), row_language([F.col("t"), F.lit(None).cast("string")]).alias("row_language"))
 
 

@@ -5,19 +5,22 @@ Final files appear by a rename of a finished temporary file, so a reader never s
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import shutil
+import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import ISSUE_COLUMNS, MANIFEST_COLUMNS, TABLE_COLUMNS, projected
+from .shared import file_system, shared_path
 
 BOM = b"\xef\xbb\xbf"
 
@@ -31,22 +34,31 @@ def store(records: DataFrame, path: str) -> None:
 def annual_csv(records: DataFrame, year: int, target: str, columns: list[str] = TABLE_COLUMNS, sep: str = ",") -> None:
     """One file of a year's rows in the order of their ids, with a byte order mark.
 
-    One year's rows fit one file by the format's own terms; Spark sorts them and writes a staging folder, whose
-    single part is then published.
+    One year's rows fit one file by the format's own terms; Spark sorts them and writes a staging folder among the shared ones, whose
+    single part comes to the driver through Hadoop's file system. It is published only with as many rows as were selected.
     """
-    staging = f"{target}.staging"
-    one = projected(records.filter(F.col("year") == year), columns).orderBy("doc_id").coalesce(1)
-    one.write.mode("overwrite").options(header=True, quote='"', escape='"', sep=sep, emptyValue="", lineSep="\n").csv(f"file://{os.path.abspath(staging)}")
-    parts = sorted(Path(staging).glob("part-*.csv"))
-    with open(f"{target}.tmp", "wb") as out:
+    spark = records.sparkSession
+    staging, counted = shared_path(spark, "csv"), Observation()
+    rows = projected(records.filter(F.col("year") == year), columns).orderBy("doc_id").coalesce(1).observe(counted, F.count(F.lit(1)).alias("n"))
+    layout = {"header": True, "quote": '"', "escape": '"', "sep": sep, "emptyValue": "", "lineSep": "\n"}
+    rows.write.options(**layout).csv(staging)
+    fs, root = file_system(spark, staging)
+    parts = sorted(str(x.getPath()) for x in fs.listStatus(root) if x.getPath().getName().startswith("part-"))
+    found = spark.read.options(header=True, multiLine=True, quote='"', escape='"', sep=sep).csv(staging).count() if parts else 0
+    if found != counted.get["n"]:
+        raise ValueError(f"the staged table of {year} has {found} rows of {counted.get['n']}")
+    tmp = f"{target}.{uuid.uuid4().hex}.tmp"
+    with open(tmp, "wb") as out:
         out.write(BOM)
         if not parts:
             out.write((sep.join(columns) + "\n").encode())
         for p in parts:
-            with p.open("rb") as f:
+            fs.copyToLocalFile(False, file_system(spark, p)[1], file_system(spark, f"file://{os.path.abspath(tmp)}.part")[1], True)
+            with open(f"{tmp}.part", "rb") as f:
                 shutil.copyfileobj(f, out)
-    os.replace(f"{target}.tmp", target)
-    shutil.rmtree(staging)
+            os.remove(f"{tmp}.part")
+    os.replace(tmp, target)
+    fs.delete(root, True)
 
 
 def atomic_json(value: object, target: str) -> None:
@@ -87,18 +99,22 @@ def archives(entries: DataFrame, folder: str, stored: bool = True) -> DataFrame:
     """One ZIP for each year from (year, arcname, content), ended by a manifest; returns year, path, entries.
 
     A year goes to one task, which writes one member at a time; `folder` must be one that all
-    executors share. Each file's count is verified before it gets its name.
+    executors share. Each attempt writes a file of its own, whose names and checksums are verified before it gets the
+    year's name, so retried and speculative tasks don't meet.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z, at, n = None, None, 0
+        z, at, n, tmp, ids = None, None, 0, "", hashlib.sha256()
 
         def close() -> tuple:
             z.writestr(f"{at}/_manifest.json", json.dumps({"year": at, "pdf_count": n}))
             z.close()
-            tmp, path = f"{folder}/{at}.zip.tmp", f"{folder}/{at}.zip"
+            path, found = f"{folder}/{at}.zip", hashlib.sha256()
             with zipfile.ZipFile(tmp) as check:
-                if len(check.namelist()) != n + 1:
+                names = check.namelist()
+                for name in names[:-1]:
+                    found.update(name.encode() + b"\n")
+                if len(names) != n + 1 or found.digest() != ids.digest() or check.testzip() is not None:
                     raise ValueError(f"{tmp} doesn't hold what was written")
             os.replace(tmp, path)
             return at, path, n
@@ -109,10 +125,12 @@ def archives(entries: DataFrame, folder: str, stored: bool = True) -> DataFrame:
                 if year != at:
                     if z:
                         done.append(close())
-                    z = zipfile.ZipFile(f"{folder}/{year}.zip.tmp", "w", zipfile.ZIP_STORED if stored else zipfile.ZIP_DEFLATED, compresslevel=None if stored else 1)
+                    tmp, ids = f"{folder}/{year}.zip.{uuid.uuid4().hex}.tmp", hashlib.sha256()
+                    z = zipfile.ZipFile(tmp, "w", zipfile.ZIP_STORED if stored else zipfile.ZIP_DEFLATED, compresslevel=None if stored else 1)
                     at, n = year, 0
                 if name is not None:  # an empty year has one row without a name
                     z.writestr(name, content or b"")
+                    ids.update(name.encode() + b"\n")
                     n += 1
         if z:
             done.append(close())

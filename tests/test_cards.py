@@ -115,7 +115,7 @@ def test_best_records(spark):
     assert c.extraction_status == "failed" and c.source_member == f"2022/a_{C}.pdf" and c.extraction_error == f"2022/a_{C}.pdf: Error: a | 2022/b_{C}.pdf: Error: b" and c.language == "unknown" and c.section_count == 0
     assert c.missing_critical_fields.count(";") == 6 and json.loads(c.source_variants) == [f"2022/a_{C}.pdf", f"2022/b_{C}.pdf"]
     assert out["annual"].first().failed == 1 and out["issues"].count() == 3
-    plan = out["records"]._jdf.queryExecution().executedPlan().toString()
+    plan = variants.best_records(spark.createDataFrame(rows, "year int, doc_id string, member string, text string, error string"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
 
 
@@ -250,3 +250,31 @@ def test_control_equalities_raise(spark):
     reconcile.ensure(ok)
     with pytest.raises(ValueError, match="b"):
         reconcile.ensure(ok.withColumn("b", F.lit(False)))
+
+
+def test_languages_of_all_kinds(spark):
+    from cardmill.functions.language import field_language, row_language
+
+    cases = [("ж" * 90 + "a" * 10, "uk"), ("ж" * 50 + "a" * 50, "mixed"), ("ж" * 10 + "a" * 90, "en"), ("ж", "unknown"), (" \n\t", "empty"), ("", "empty"), (None, "empty"), ("ж" * 20000 + "a" * 20000, "mixed"), ("123 456", "unknown")]
+    df = spark.createDataFrame(cases, "t string, want string")
+    for r in df.select("t", "want", field_language(F.col("t")).alias("got"), row_language([F.col("t")]).alias("row")).collect():
+        assert r.got == r.want and r.row == ("unknown" if r.want == "empty" else r.want), r.want
+
+
+def test_archives_are_verified(spark, tmp_path):
+    rows = [(2020, f"2020/{i}.pdf", b"%PDF" + bytes([i])) for i in range(30)] + [(2021, None, None)]
+    done = sinks.archives(spark.createDataFrame(rows, "year int, arcname string, content binary"), str(tmp_path)).collect()
+    assert sorted((r.year, r.entries) for r in done) == [(2020, 30), (2021, 0)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["2020.zip", "2021.zip"]
+    twice = sinks.archives(spark.createDataFrame(rows[:5], "year int, arcname string, content binary"), str(tmp_path)).collect()
+    assert [r.entries for r in twice] == [5] and sorted(p.name for p in tmp_path.iterdir()) == ["2020.zip", "2021.zip"]
+
+
+def test_tables_of_years_without_rows(spark, tmp_path):
+    df = spark.createDataFrame([(2022, "a", 'x "q"\nline')], "year int, doc_id string, title_uk string")
+    for year, lines in ((2022, 3), (2023, 1)):
+        target = str(tmp_path / f"{year}.csv")
+        sinks.annual_csv(df, year, target, ["year", "doc_id", "title_uk"])
+        data = open(target, "rb").read()
+        assert data.startswith(b"\xef\xbb\xbf") and data.count(b"\n") == lines
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["2022.csv", "2023.csv"]
