@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 HEX32 = "[0-9a-f]{32}"
 #: What str.strip() of the cards' tool chain takes off, beyond Unicode white space.
-_SPACE = r"[\s\x1c-\x1f]"
+#: The characters that Unicode and str.strip take for white space.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: the letters that may stand in a registration number.
 _REG_LETTERS = "A-Za-zА-Яа-яІіЇїЄє"
 
@@ -22,11 +23,11 @@ def let(value: Column, body) -> Column:
 
 def strip(c: Column) -> Column:
     """without Unicode white space at both ends."""
-    return F.regexp_replace(c, rf"(?U)^{_SPACE}+|{_SPACE}+\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def lstrip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)^{_SPACE}+", "")
+    return F.ltrim(c, F.lit(SPACES))
 
 
 def basename(path: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_block, strip
+from ..functions.text import clean_block, let, strip
 
 # Labels as the cards print them, in the order of the sections.
 ORGANIZATION = "Повне найменування юридичної особи (або ПІБ фізичної особи)"
@@ -132,7 +132,9 @@ def pattern(label: str, block: bool) -> str:
 
 def field(text: Column, label: str, block: bool = LINE) -> Column:
     """The value of the first occurrence of a label, '' without one."""
-    value = F.regexp_replace(strip(F.regexp_extract(text, pattern(label, block), 1)), r"\n{3,}", "\n\n")
+    value = strip(F.regexp_extract(text, pattern(label, block), 1))
+    if block:
+        value = F.regexp_replace(value, r"\n{3,}", "\n\n")
     # a plain search for the label's first word spares most texts the pattern
     return F.when(F.contains(text, F.lit(label.split()[0])), value).otherwise("")
 
@@ -163,10 +165,9 @@ def co_performers_list(text: Column, strict_names: bool = True) -> Column:
     strict_names: a blank name under the current label stays blank. Without it such a name
     is read by the older label, as the reference does, and gets the rest of the current one.
     """
-    body = strip(text)
     opener = lambda x: rf"(?m)(?=^[ \t]*\Q{x}\E[ \t]*:)"
-    split = F.when(F.contains(body, F.lit(ORGANIZATION)), F.split(body, opener(ORGANIZATION))).when(F.contains(body, F.lit(ORGANIZATION_OLD)), F.split(body, opener(ORGANIZATION_OLD))).otherwise(F.array(body))
-    chunks = F.filter(F.transform(split, strip), lambda c: c != "")
+    split = lambda body: F.when(F.contains(body, F.lit(ORGANIZATION)), F.split(body, opener(ORGANIZATION))).when(F.contains(body, F.lit(ORGANIZATION_OLD)), F.split(body, opener(ORGANIZATION_OLD))).otherwise(F.array(body))
+    chunks = F.filter(F.transform(let(strip(text), split), strip), lambda c: c != "")
     name = organization_name if strict_names else lambda c: first_of(field(c, ORGANIZATION, BLOCK), field(c, ORGANIZATION_OLD, BLOCK))
     keys = {"name": name} | {n: (lambda c, label=label, mode=mode: field(c, label, mode)) for n, mode, label in [*ORGANIZATION_FIELDS, ("contribution", BLOCK, CONTRIBUTION)]}
     return _records(chunks, keys)
@@ -174,8 +175,8 @@ def co_performers_list(text: Column, strict_names: bool = True) -> Column:
 
 def co_performers(text: Column, strict_names: bool = True) -> Column:
     """The list as JSON; the raw text where no label is found; '' where the section has no colon."""
-    body, found = strip(text), co_performers_list(text, strict_names)
-    return F.when(~F.contains(body, F.lit(":")), "").when(F.size(found) > 0, F.to_json(found)).otherwise(body)
+    listed = lambda found: F.when(F.size(found) > 0, F.to_json(found)).otherwise(strip(text))
+    return F.when(~F.contains(text, F.lit(":")), "").otherwise(let(co_performers_list(text, strict_names), listed))
 
 
 def research_leaders_list(text: Column) -> Column:
@@ -192,8 +193,7 @@ def research_leaders_list(text: Column) -> Column:
 
 
 def research_leaders(text: Column) -> Column:
-    found = research_leaders_list(text)
-    return F.when(F.size(found) > 0, F.to_json(found)).otherwise("")
+    return let(research_leaders_list(text), lambda found: F.when(F.size(found) > 0, F.to_json(found)).otherwise(""))
 
 
 # Anchors of the last section, which have no colon.
@@ -206,29 +206,37 @@ _REGISTRAR = r"(?m:^[ \t]*Реєстратор[ \t]*$)"
 
 def _anchor(text: Column, p: str) -> tuple[Column, Column]:
     """Characters before an anchor's first match, and up to its end; null without one."""
-    there = text.rlike(f"(?d){p}")
-    start = F.length(F.regexp_extract(text, rf"(?sd)\A(.*?)(?:{p})", 1))
-    return F.when(there, start), F.when(there, F.length(F.regexp_extract(text, rf"(?sd)\A(.*?(?:{p}))", 1)))
+    at = F.regexp_instr(text, F.lit(f"(?d){p}"))
+    return F.when(at > 0, at - 1), F.when(at > 0, at - 1 + F.length(F.regexp_extract(text, f"(?d)({p})", 1)))
+
+
+def closing_blocks(text: Column) -> Column:
+    """Struct of the blocks between the anchors of the last section; each anchor is searched for once."""
+    found = {"head": _HEAD, "executors": _EXECUTORS, "preparer": _PREPARER, "phone": _PHONE, "registrar": _REGISTRAR}
+    marks = [c.alias(f"{n}{k}") for n, p in found.items() for k, c in zip(("_at", ""), _anchor(text, p), strict=True)]
+
+    def blocks(m: Column) -> Column:
+        behind = lambda at, mark: F.when(at > mark, at)
+        cut = lambda a, b: F.when(a.isNull(), "").otherwise(clean_block(F.substr(text, a + 1, F.greatest(b - a, F.lit(0)))))
+        end, preparer, phone = F.length(text), m["preparer"], m["phone"]
+        return F.struct(
+            cut(m["head"], F.coalesce(m["executors_at"], m["preparer_at"], end)).alias("org_head"),
+            cut(m["executors"], F.coalesce(m["preparer_at"], end)).alias("executors"),
+            cut(preparer, F.coalesce(behind(m["phone_at"], preparer), behind(m["registrar_at"], preparer), end)).alias("document_preparer"),
+            cut(phone, F.coalesce(behind(m["registrar_at"], phone), end)).alias("document_preparer_phone"),
+            cut(m["registrar"], end).alias("registrar"),
+        )
+
+    return let(F.struct(*marks), blocks)
 
 
 def closing(text: Column) -> dict[str, Column]:
-    """The blocks between the anchors of the last section."""
-    end = F.length(text)
-    (_, head), (executors_at, executors), (preparer_at, preparer) = (_anchor(text, p) for p in (_HEAD, _EXECUTORS, _PREPARER))
-    (phone_at, phone), (registrar_at, registrar) = (_anchor(text, p) for p in (_PHONE, _REGISTRAR))
-    behind = lambda at, mark: F.when(at > mark, at)
-    cut = lambda a, b: F.when(a.isNull(), "").otherwise(clean_block(F.substr(text, a + 1, F.greatest(b - a, F.lit(0)))))
-    return {
-        "org_head": cut(head, F.coalesce(executors_at, preparer_at, end)),
-        "executors": cut(executors, F.coalesce(preparer_at, end)),
-        "document_preparer": cut(preparer, F.coalesce(behind(phone_at, preparer), behind(registrar_at, preparer), end)),
-        "document_preparer_phone": cut(phone, F.coalesce(behind(registrar_at, phone), end)),
-        "registrar": cut(registrar, end),
-    }
+    found = closing_blocks(text)
+    return {n: found[n] for n in SECTION_X}
 
 
-def data_fields(sections: dict[str, Column], strict_names: bool = True) -> dict[str, Column]:
-    """The 73 data columns, from a column for each section."""
+def data_fields(sections: dict[str, Column], strict_names: bool = True, last: Column | None = None) -> dict[str, Column]:
+    """The 73 data columns, from a column for each section; last holds closing_blocks() of the last one."""
     plain = lambda text, spec: {n: field(text, label, mode) for n, mode, label in spec}
     s = sections
     out = (
@@ -236,7 +244,7 @@ def data_fields(sections: dict[str, Column], strict_names: bool = True) -> dict[
         | {"co_performers": co_performers(s["IV"], strict_names)} | organization(s["V"], "customer")
         | plain(s["VI"], SECTION_VI) | plain(s["VII"], SECTION_VII)
         | {"pi_orcid": first_of(field(s["VII"], ORCID), field(s["VII"], ORCID_OTHER)), "research_leaders": research_leaders(s["VII"])}
-        | plain(s["VIII"], SECTION_VIII) | {"bibliography": strip(s["IX"])} | closing(s["X"])
+        | plain(s["VIII"], SECTION_VIII) | {"bibliography": strip(s["IX"])} | (closing(s["X"]) if last is None else {n: last[n] for n in SECTION_X})
     )
     return {n: out[n] for n in DATA_COLUMNS}
 
@@ -248,5 +256,5 @@ def with_data_fields(df: DataFrame, sections: str = "sections", strict_names: bo
     # Over a hundred patterns make a method that the JVM would never compile; below this size Spark splits them instead.
     df.sparkSession.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     names = {n: f"_section_{n}" for n in NUMERALS}
-    own = df.withColumns({c: F.col(sections)[n] for n, c in names.items()})
-    return own.withColumns(data_fields({n: F.col(c) for n, c in names.items()}, strict_names)).drop(sections, *names.values())
+    own = df.withColumns({c: F.col(sections)[n] for n, c in names.items()}).withColumn("_closing", closing_blocks(F.col(names["X"])))
+    return own.withColumns(data_fields({n: F.col(c) for n, c in names.items()}, strict_names, F.col("_closing"))).drop(sections, "_closing", *names.values())

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import days, page_count, valid_pdf
@@ -66,17 +66,19 @@ def day_pages(pages: DataFrame, cap: int = 100) -> DataFrame:
     pages are still due; a refused page is an error; so is the page cap while pages are due.
     """
     ids = F.transform("cards", lambda c: c["doc_id"])
-    p = pages.select("year", "day", "page", "total", "accepted", F.size("cards").alias("n"), ids.alias("ids"))
-    first = distinct_items(pages).groupBy("year", "day", "page").agg(F.count("*").alias("new"))
-    p = p.join(first, ["year", "day", "page"], "left").na.fill(0, ["new"])
+    p = pages.select("year", "day", "page", "total", "accepted", F.size("cards").alias("n"), F.posexplode_outer(ids).alias("place", "doc_id"))
+    # one shuffle by day serves the first sight of each id and the sums of the day
+    seen = F.row_number().over(Window.partitionBy("year", "day", "doc_id").orderBy("page", "place"))
+    p = p.repartition("year", "day").withColumn("new", F.col("doc_id").isNotNull() & (seen == 1))
+    later = (F.col("page") > 1) & (F.col("n") > 0)
     d = p.groupBy("year", "day").agg(
         F.max(F.when(F.col("page") == 1, F.col("total"))).alias("announced"), F.max(F.when(F.col("page") == 1, F.greatest(F.col("n"), F.lit(0)))).alias("size"),
-        F.max("page").alias("last_page"), F.count_if(~F.col("accepted")).alias("page_fail"),
-        F.min(F.when((F.col("page") > 1) & (F.col("n") > 0) & (F.col("new") == 0), F.col("page"))).alias("repeat"), F.sum("new").alias("listed"),
+        F.max("page").alias("last_page"), F.bool_or(~F.col("accepted")).alias("page_fail"), F.count_if("new").alias("listed"),
+        F.array_min(F.array_except(F.collect_set(F.when(later, F.col("page"))), F.collect_set(F.when(F.col("new"), F.col("page"))))).alias("repeat"),
     )
     due = page_count(F.col("announced"), F.when(F.col("size") > 0, F.col("size")).otherwise(10))
     d = d.withColumn("total_pages", due)
-    wrong = {"page_fail": F.col("page_fail") > 0, "page_repeat": F.coalesce(F.col("repeat") <= F.col("total_pages"), F.lit(False)), "page_limit": F.coalesce((F.col("last_page") >= cap) & (F.col("total_pages") > cap), F.lit(False))}
+    wrong = {"page_fail": F.col("page_fail"), "page_repeat": F.coalesce(F.col("repeat") <= F.col("total_pages"), F.lit(False)), "page_limit": F.coalesce((F.col("last_page") >= cap) & (F.col("total_pages") > cap), F.lit(False))}
     return d.withColumn("errors", F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in wrong.items())), lambda x: x.isNotNull())).drop("page_fail", "size", "repeat")
 
 
@@ -95,8 +97,6 @@ def day_completion(pages: DataFrame, outcomes: DataFrame, cap: int = 100) -> Dat
 def year_policy(years: DataFrame, repair: bool) -> DataFrame:
     """Which years run. (year, complete, annual_total) in order: a year announced as empty is complete; without repair
     everything after the first incomplete year waits. One row a year."""
-    from pyspark.sql import Window
-
     done = F.col("complete") | F.coalesce(F.col("annual_total") == 0, F.lit(False))
     before = F.min(done.cast("int")).over(Window.orderBy("year").rowsBetween(Window.unboundedPreceding, -1))
     return years.withColumn("complete", done).withColumn("runs", F.lit(True) if repair else F.coalesce(before == 1, F.lit(True)))
