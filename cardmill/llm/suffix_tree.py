@@ -21,7 +21,7 @@ sequences it was given to own (each has one owner) say of their divergence; the
 seen all repeated sequences of a context itself. With all answers a
 segment scores its texts where they lie. Nothing is collected, broadcast or kept by one task for the whole: a question comes once
 from each segment, so no word or context is hot, and a task's memory is a segment or `part` questions. Question files go after each
-pass; what stays is the segments and the answers, some bits for each token.
+pass; what stays is the segments and the answers, some bits for each token, in buckets by segment.
 
 Hashes. Words are told apart by 80 bits, which the base counts rest on: among m distinct words two meet with a probability of
 m * m / 2**81. Sequences are told apart by 64 bits; a false meeting changes one count of the tree.
@@ -35,14 +35,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import arrow_limits, bucketed, documents, dropped, dropped_buckets, written
+from .store import arrow_limits, bucketed, documents, dropped_buckets, written
 from .words import U, Words, chunks, column, mix, release
 
 CLASSES = 6
@@ -58,7 +57,7 @@ class Tree:
     depth: int = 3
     discount: float = 0.5  # of state counts
     word_discount: float = 0.75  # of words at the root
-    segment: int = 1 << 19  # tokens
+    segment: int = 400_000  # tokens
     part: int = 1 << 21  # questions that one task answers together, about
 
 
@@ -403,7 +402,7 @@ def _answers(t: Tree, tokens: int):
             if level == 0:
                 cls = z[order][first].astype(np.int64)
                 n, types = np.bincount(cls, total, CLASSES + 1), np.bincount(cls, total > 0, CLASSES + 1)
-                out += [(-1, c, part, None, None, int(n[c]), int(types[c])) for c in range(CLASSES + 1)]
+                out += [(-1 - part, c, part, None, None, int(n[c]), int(types[c])) for c in range(CLASSES + 1)]
             for i, r in enumerate(rows):
                 own = slice(ends[i], ends[i + 1])
                 out.append((r[0], level, part, *(None if v is None else pack(v[own][asked[own]]) for v in (a, b)), None, None))
@@ -451,26 +450,31 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
     count, least = size // (6 * t.segment) + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))  # about six bytes a token
     parts = max(least, count * t.segment // t.part)
     tasks = lambda n: max(least, min(n, 20_000 + n // 8))
-    # The segments lie in buckets, so that answers come to them and they needn't move again.
-    segs = bucketed(rows.mapInArrow(_segments(t), "seg long, words binary, texts binary, more binary"), "segments", "seg", tasks(count))
+    # Segments and answers lie in the same buckets, so they meet without moving again.
+    buckets = tasks(count)
+    segs = bucketed(rows.mapInArrow(_segments(t), "seg long, words binary, texts binary, more binary"), "segments", "seg", buckets)
     answers: list[DataFrame] = []
 
     def known() -> DataFrame:
-        got = reduce(DataFrame.unionByName, (a.filter("seg >= 0") for a in answers))
-        got = got.groupBy("seg").agg(F.collect_list(F.struct("level", "part", "a", "b")).alias("answers"))
-        return segs.drop("more").hint("merge").join(got, "seg", "left")
+        out, names = segs.drop("more"), [f"answers{i}" for i in range(len(answers))]
+        for name, table in zip(names, answers, strict=True):
+            got = table.filter("seg >= 0").groupBy("seg").agg(F.collect_list(F.struct("level", "part", "a", "b")).alias(name))
+            out = out.hint("merge").join(got, "seg", "left")
+        none = F.array().cast("array<struct<level:int,part:int,a:binary,b:binary>>")
+        return out.select("seg", "words", "texts", F.concat(*(F.coalesce(n, none) for n in names)).alias("answers"))
 
     tokens, types = 0, np.zeros(CLASSES + 1, np.int64)
     for levels in [[0], [1], list(range(2, t.depth + 1)), [t.depth + 1]]:
         if levels and levels[0] <= t.depth + 1:
             asked = known().mapInArrow(_questions(t, levels, parts, tokens), _ASK) if answers else segs.select("seg", "words", "more").mapInArrow(_word_questions(parts), _ASK)
-            answers.append(written(asked.repartition(tasks(parts), "part").sortWithinPartitions("part", "level", "seg").mapInArrow(_answers(t, tokens), _ROW), f"answers{levels[0]}"))
+            told = asked.repartition(tasks(parts), "part").sortWithinPartitions("part", "level", "seg").mapInArrow(_answers(t, tokens), _ROW)
+            answers.append(bucketed(told, f"answers{levels[0]}", "seg", buckets))
         if levels == [0]:
             for r in answers[0].filter("seg < 0").groupBy("level").agg(F.sum("n").alias("n"), F.sum("types").alias("types")).collect():  # a row for each spelling
                 tokens, types[r.level] = tokens + r.n, r.types
     out = written(known().mapInArrow(_scored(t, tokens, types), _SCORES), "scores")
-    dropped(*answers)
-    dropped_buckets(segs)
+    for x in (segs, *answers):
+        dropped_buckets(x)
     return out
 
 
