@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .ann import op10_multiprobe_ann
+from .fill_middle import op12_fill_middle
+from .importance import op11_importance_resampling
 from .lattice import op7_piece_sampling
 from .licenses import op5_license_scan
 from .ngram_join import op8_ngram_jaccard_join
@@ -31,4 +33,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_multiprobe_ann": op10_multiprobe_ann,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_fill_middle": op12_fill_middle,
 }
