@@ -70,4 +70,13 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) EN
 FROM c
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op6_warc_index_merge": OP6, "op8_ngram_jaccard_join": OP8, "op11_importance_resampling": OP11, "op12_fill_middle": OP12}
+# Each page of the tables has its main text in one article element, where only p and h1 begin or end a block.
+OP13 = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS h FROM pages),
+  b AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(h, '</?(p|h1)>', chr(1), 'g'), '<br>', ' ', 'g'), '<[^>]+>', '', 'g') AS t FROM a),
+  d AS (SELECT *, regexp_replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;?', '&', 'g') AS u FROM b),
+  l AS (SELECT *, list_filter(list_transform(string_split(u, chr(1)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS lines FROM d)
+SELECT page_id, url, array_to_string(lines, chr(10)) AS text, length(array_to_string(lines, chr(10)))::BIGINT AS n_chars FROM l
+"""
+
+ORACLES = {"op2_substring_dedup": OP2, "op6_warc_index_merge": OP6, "op8_ngram_jaccard_join": OP8, "op11_importance_resampling": OP11, "op12_fill_middle": OP12, "op13_consensus_main_text": OP13}

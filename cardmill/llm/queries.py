@@ -11,6 +11,7 @@ from .fill_middle import op12_fill_middle
 from .importance import op11_importance_resampling
 from .lattice import op7_piece_sampling
 from .licenses import op5_license_scan
+from .main_text import op13_consensus_main_text
 from .ngram_join import op8_ngram_jaccard_join
 from .oracles import ORACLES
 from .packing import op3_vector_packing
@@ -35,4 +36,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_multiprobe_ann": op10_multiprobe_ann,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_fill_middle": op12_fill_middle,
+    "op13_consensus_main_text": op13_consensus_main_text,
 }
