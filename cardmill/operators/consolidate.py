@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from bisect import bisect_right
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import basename, date_from_name, digest, doc_id_from_name, safe_basename, valid_pdf
 
@@ -14,7 +20,7 @@ def source_refs(members: DataFrame, files: DataFrame | None = None) -> DataFrame
     members: year, archive, archive_rank, member_index, member (and content); files: year, path, root_rank (and content).
     Members of archives come before files; members keep their place in the archive, files are sorted by path.
     """
-    extra = [c for c in ("content", "sha256") if c in members.columns]
+    extra = [c for c in ("content", "sha256", "bytes", "packed_bytes", "method", "crc", "header_offset") if c in members.columns and (files is None or c in files.columns)]
     zipped = members.select(
         "year", F.lit("zip").alias("kind"), F.col("archive").alias("source_path"), "member",
         F.concat(basename(F.col("archive")), F.lit("!"), F.col("member")).alias("label"), basename(F.col("member")).alias("basename"),
@@ -86,8 +92,38 @@ def aliases(refs: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def id_digest(ids: DataFrame, by: list[str], column: str = "doc_id") -> DataFrame:
-    """SHA-256 of a group's sorted distinct ids, one a line; one row a group, whose ids meet in one array as the digest needs them."""
-    return ids.groupBy(*by).agg(F.sha2(F.array_join(F.array_sort(F.collect_set(column)), "\n"), 256).alias("id_digest"))
+    """SHA-256 of a group's sorted distinct ids, one a line; one row a group. A group without ids has the digest of nothing.
+
+    Ids are made distinct where they lie, sorted inside their group by Spark (which spills), and a running hash takes them in
+    batches; a group of any size costs a batch.
+    """
+    rows = ids.select(*by, F.col(column).cast("string").alias("_id")).distinct().repartition(*by).sortWithinPartitions(*by, "_id")
+    schema = T.StructType([*(rows.schema[c] for c in by), T.StructField("id_digest", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, head, digest, begun = None, None, None, False
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*head, pa.array([digest.hexdigest()])], schema.names)
+
+        for b in batches:
+            keys = list(zip(*(b.column(i).to_pylist() for i in range(len(by))), strict=True))
+            at = 0
+            while at < len(keys):
+                if keys[at] != key:
+                    if key is not None:
+                        yield row()
+                    key, head, digest, begun = keys[at], [b.column(i).slice(at, 1) for i in range(len(by))], hashlib.sha256(), False
+                end = bisect_right(keys, False, at, key=lambda k: k != key)
+                values = [v for v in b.column(len(by)).slice(at, end - at).to_pylist() if v is not None]
+                if values:
+                    digest.update((("\n" if begun else "") + "\n".join(values)).encode())
+                    begun = True
+                at = end
+        if key is not None:
+            yield row()
+
+    return rows.mapInArrow(run, schema)
 
 
 def bad_documents(refs: DataFrame) -> DataFrame:

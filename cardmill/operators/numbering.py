@@ -15,7 +15,7 @@ def numbered(df: DataFrame, order: list[Column], name: str = "number") -> DataFr
 
     Ranges of the order are written as a table in the shared folder (`written_path`), each row with its range; the
     ranges' counts, one for each, are summed up to offsets, and a window inside each range does the rest. df is read twice, once for
-    the bounds, so it should be a table or cheap. Rows that the order doesn't tell apart share a range: end it with what does.
+    the bounds, so it should be a table or cheap; the result's `rows` tells how many there are. Rows that the order doesn't tell apart share a range: end it with what does.
     """
     spark = df.sparkSession
     path = shared_path(spark, "numbered")
@@ -29,5 +29,5 @@ def numbered(df: DataFrame, order: list[Column], name: str = "number") -> DataFr
     offsets = spark.createDataFrame(list(before.items()), f"{part} int, {name} long")
     place = F.row_number().over(Window.partitionBy(part).orderBy(*order)) + F.col(name)
     out = stored.join(F.broadcast(offsets), part).withColumn(name, place).drop(part)
-    out.written_path = path
+    out.written_path, out.rows = path, sum(counts.values())
     return out

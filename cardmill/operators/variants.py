@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.language import with_languages
 from ..functions.text import basename, registration_from_name, strip
 from .fields import CRITICAL_FIELDS, DATA_COLUMNS, with_data_fields
+from .numbering import numbered
 from .sections import section_count, split_sections
 
 LEAST_SECTIONS = 6
@@ -119,14 +120,19 @@ def single_records(variants: DataFrame) -> DataFrame:
 
 
 def even_sample(df: DataFrame, k: int, order: str, by: list[str] | None = None) -> DataFrame:
-    """Every step-th row in order, step = max(1, n / k), the first k of them.
+    """Every step-th row in order, step = max(1, n / k), the first k of them, of each group of `by`.
 
-    Without `by` the order is global: the rows should be ids only. k of 0 keeps all.
+    Without `by` the order is global and its numbers come from ranges (`numbered`), so no task sees all rows; df is then read
+    twice and should hold ids only. k of 0 keeps all.
     """
     if k <= 0:
         return df
-    w = Window.partitionBy(*(by or [F.lit(0)]))
-    df = df.withColumns({"_i": F.row_number().over(w.orderBy(order)) - 1, "_n": F.count("*").over(w)})
+    if by:
+        w = Window.partitionBy(*by)
+        df = df.withColumns({"_i": F.row_number().over(w.orderBy(order)) - 1, "_n": F.count("*").over(w)})
+    else:
+        df = numbered(df, [F.col(order)], "_i")
+        df = df.withColumns({"_i": F.col("_i") - 1, "_n": F.lit(df.rows)})
     step = F.greatest(F.lit(1), F.floor(F.col("_n") / k))
     return df.filter((F.col("_i") % step == 0) & (F.col("_i") < k * step)).drop("_i", "_n")
 

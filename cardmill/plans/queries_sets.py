@@ -62,6 +62,12 @@ def even_sample(spark, sf_dir):
     return W.even_sample(table(spark, sf_dir, "documents").select("source", "doc_id"), 7, "doc_id", ["source"])
 
 
+@query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS n FROM documents) WHERE i % greatest(1, n // 70) = 0 AND i < 70 * greatest(1, n // 70)")
+def even_sample_all(spark, sf_dir):
+    """W6 over all rows."""
+    return W.even_sample(table(spark, sf_dir, "documents").select("source", "doc_id"), 70, "doc_id")
+
+
 _QUALITY = """(SELECT doc_id, lang, quality, CASE WHEN doc_id % 4 = 0 THEN '' ELSE '0222U' || doc_id END AS registration_number, CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 5 = 1 THEN 'other' ELSE '0222U' || doc_id END AS from_name,
   CASE WHEN doc_id % 6 = 0 THEN NULL ELSE lang END AS title_uk, doc_id % 11 AS sections FROM documents JOIN labels USING (doc_id))"""
 _MATCH = "CASE WHEN registration_number = '' OR from_name = '' THEN 'unknown' WHEN registration_number = from_name THEN 'yes' ELSE 'no' END"

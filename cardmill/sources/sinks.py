@@ -5,22 +5,19 @@ Final files appear by a rename of a finished temporary file, so a reader never s
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
 import shutil
 import uuid
-import zipfile
-from collections.abc import Iterator
 from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import ISSUE_COLUMNS, MANIFEST_COLUMNS, TABLE_COLUMNS, projected
 from .shared import file_system, shared_path
+from .yearzip import archives as archives  # noqa: PLC0414 - the sink of archives is one of these
 
 BOM = b"\xef\xbb\xbf"
 
@@ -95,51 +92,6 @@ def tsv(df: DataFrame, target: str, header: list[str], order: list[str]) -> None
     os.replace(tmp, target)
 
 
-def archives(entries: DataFrame, folder: str, stored: bool = True) -> DataFrame:
-    """One ZIP for each year from (year, arcname, content), ended by a manifest; returns year, path, entries.
-
-    A year goes to one task, which writes one member at a time; `folder` must be one that all
-    executors share. Each attempt writes a file of its own, whose names and checksums are verified before it gets the
-    year's name, so retried and speculative tasks don't meet.
-    """
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z, at, n, tmp, ids = None, None, 0, "", hashlib.sha256()
-
-        def close() -> tuple:
-            z.writestr(f"{at}/_manifest.json", json.dumps({"year": at, "pdf_count": n}))
-            z.close()
-            path, found = f"{folder}/{at}.zip", hashlib.sha256()
-            with zipfile.ZipFile(tmp) as check:
-                names = check.namelist()
-                for name in names[:-1]:
-                    found.update(name.encode() + b"\n")
-                if len(names) != n + 1 or found.digest() != ids.digest() or check.testzip() is not None:
-                    raise ValueError(f"{tmp} doesn't hold what was written")
-            os.replace(tmp, path)
-            return at, path, n
-
-        done = []
-        for b in batches:
-            for year, name, content in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if year != at:
-                    if z:
-                        done.append(close())
-                    tmp, ids = f"{folder}/{year}.zip.{uuid.uuid4().hex}.tmp", hashlib.sha256()
-                    z = zipfile.ZipFile(tmp, "w", zipfile.ZIP_STORED if stored else zipfile.ZIP_DEFLATED, compresslevel=None if stored else 1)
-                    at, n = year, 0
-                if name is not None:  # an empty year has one row without a name
-                    z.writestr(name, content or b"")
-                    ids.update(name.encode() + b"\n")
-                    n += 1
-        if z:
-            done.append(close())
-        yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], t) for i, t in enumerate((pa.int32(), pa.string(), pa.int32()))], ["year", "path", "entries"])
-
-    rows = entries.select("year", "arcname", "content").repartition("year").sortWithinPartitions("year", "arcname")
-    return rows.mapInArrow(write, "year int, path string, entries int")
-
-
 def patch_entries(staged: DataFrame, site: DataFrame, held: DataFrame) -> DataFrame:
     """Staged rows whose id is announced and not held yet."""
     keys = ["year", "doc_id"]
