@@ -9,14 +9,17 @@ import json
 import os
 import shutil
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import ISSUE_COLUMNS, MANIFEST_COLUMNS, TABLE_COLUMNS, projected
 from .shared import file_system, shared_path
+from .storage import child, replaced
 from .yearzip import archives as archives  # noqa: PLC0414 - the sink of archives is one of these
 
 BOM = b"\xef\xbb\xbf"
@@ -60,7 +63,7 @@ def annual_csv(records: DataFrame, year: int, target: str, columns: list[str] =
 
 def atomic_json(value: object, target: str) -> None:
     """K3, K6 to K8, K17."""
-    tmp = f"{target}.tmp"
+    tmp = f"{target}.{uuid.uuid4().hex}.tmp"
     Path(tmp).write_text(json.dumps(value, ensure_ascii=False, indent=2, default=str), encoding="utf-8")
     os.replace(tmp, target)
 
@@ -84,7 +87,7 @@ def tsv(df: DataFrame, target: str, header: list[str], order: list[str]) -> None
     """A register without quotes; tabs and line breaks in values become blanks."""
     clean = df.orderBy(*order).select(*(F.translate(F.col(c).cast("string"), "\t\r\n", "   ").alias(c) for c in df.columns))
     lines = clean.select(F.concat_ws("\t", *(F.coalesce(c, F.lit("")) for c in clean.columns)).alias("value"))
-    tmp = f"{target}.tmp"
+    tmp = f"{target}.{uuid.uuid4().hex}.tmp"
     with open(tmp, "w", encoding="utf-8") as out:
         out.write("\t".join(header) + "\n")
         for r in lines.toLocalIterator():  # one partition at a time
@@ -140,6 +143,21 @@ def markdown(df: DataFrame, title: str, most: int = 1000) -> str:
     return "\n".join([f"# {title}", "", line(df.columns), line(["---"] * len(df.columns)), *(line(r) for r in rows), ""])
 
 
-def incomplete_dates(days: DataFrame) -> DataFrame:
-    """Days that a repair has left open, as lines with their statuses."""
-    return days.select(F.concat_ws(" | ", F.col("year").cast("string"), "day", F.array_join("statuses", ",")).alias("value"))
+def save_state(state: DataFrame, folder: str, name: str = "repair_state_{}.json") -> DataFrame:
+    """The day records of each year as one stamped JSON file, by a rename; returns year, path, days.
+
+    state: year, day and the fields of files.repair_state. A year is one task's: at most 366 days, with the ids that a site lists in them.
+    """
+    record = F.struct(*(c for c in state.columns if c not in ("year", "day")))
+    days = state.groupBy("year").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("day", record.alias("r"))))).alias("days"), F.count("*").alias("n"))
+    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    text = F.to_json(F.struct(F.lit(1).alias("version"), "year", stamp.alias("updated_at_utc"), "days"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            paths = [child(folder, name.format(year)) for year in b.column(0).to_pylist()]
+            for path, value in zip(paths, b.column(2).to_pylist(), strict=True):
+                replaced(path, value.encode())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(paths, pa.string()), b.column(1)], ["year", "path", "days"])
+
+    return days.select("year", F.col("n").alias("days"), text.alias("text")).mapInArrow(write, "year int, path string, days long")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from pathlib import PurePosixPath
 
 from pyarrow import fs
@@ -29,6 +30,16 @@ def deleted(folder: str) -> None:
         system.delete_dir(root)
 
 
+def replaced(path: str, data: bytes) -> None:
+    """A file's content by a rename, so a reader finds the old one or the new one whole."""
+    system, inside = located(path)
+    system.create_dir(inside.rpartition("/")[0])
+    tmp = f"{inside}.{uuid.uuid4().hex}.tmp"
+    with system.open_output_stream(tmp) as out:
+        out.write(data)
+    system.move(tmp, inside)
+
+
 def child(folder: str, *names: str) -> str:
     return "/".join([folder.rstrip("/"), *names])
 

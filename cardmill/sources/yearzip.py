@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from .shared import shared_path
-from .storage import child, deleted, located
+from .storage import child, deleted, located, replaced
 from .ziparchive import LOCATION, with_content
 
 _ATTEMPTS = "_attempts"
@@ -90,10 +90,10 @@ class Writer(DataSourceArrowWriter):
             raise ValueError("several tasks wrote one archive: " + ", ".join(sorted({n for n in names if names.count(n) > 1})))
         finish(self.folder)
         if files:
-            _write_json(child(self._attempts(), "commit.json"), [[source.rpartition("/")[2], name] for _, name, source, _ in files])
+            replaced(child(self._attempts(), "commit.json"), json.dumps([[source.rpartition("/")[2], name] for _, name, source, _ in files]).encode())
             finish(self.folder)
         if self.report:
-            _write_json(self.report, [[year, child(self.folder, name), n] for year, name, _, n in files])
+            replaced(self.report, json.dumps([[year, child(self.folder, name), n] for year, name, _, n in files]).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
         deleted(self._attempts())
@@ -130,15 +130,6 @@ class _Archive:
         return self.year, self.name, self.path, n
 
 
-def _write_json(path: str, value: object) -> None:
-    """By a rename, so the file is whole or not there."""
-    system, inside = located(path)
-    system.create_dir(inside.rpartition("/")[0])
-    with system.open_output_stream(inside + ".tmp") as out:
-        out.write(json.dumps(value).encode())
-    system.move(inside + ".tmp", inside)
-
-
 def finish(folder: str) -> None:
     """Publish what committed jobs have listed: renames that were done are skipped, then the job's folder goes."""
     system, root = located(folder)
@@ -168,10 +159,13 @@ def archives(entries: DataFrame, folder: str, stored: bool = True, manifest: str
     key = ["year", "part"] if parts > 1 else ["year"]
     if parts > 1:
         entries = entries.withColumn("part", F.pmod(F.crc32(F.coalesce("arcname", F.lit(""))), F.lit(parts)).cast("int"))
-    some = [c for c in ("content", *LOCATION) if c in entries.columns]
+    lies = set(LOCATION) <= set(entries.columns)
+    some = [c for c in ("content", *LOCATION) if c == "content" or lies]
+    if "content" not in entries.columns:
+        entries = entries.withColumn("content", F.lit(None).cast("binary"))
     rows = entries.select(*key, "arcname", *some).repartition(*key).sortWithinPartitions(*key, "arcname")
-    if "header_offset" in some:
-        rows = with_content(rows, "_read").withColumn("content", F.coalesce("content", "_read") if "content" in some else F.col("_read"))
+    if lies:
+        rows = with_content(rows, "_read").withColumn("content", F.coalesce("content", "_read"))
     report = child(shared_path(spark, "archives"), "report.json")
     spark.dataSource.register(YearZip)
     out = rows.select(*key, "arcname", "content").write.format("yearzip").mode("append")

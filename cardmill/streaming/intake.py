@@ -7,16 +7,19 @@ were seen, what was announced, and how each fetch ended.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.text import days, page_count, valid_pdf
 
 #: Ends of a fetch that no later run repeats.
 TERMINAL = ("ok", "skip", "notpdf", "server500")
+#: What is wrong with a page.
+FAILURES = ("page_fail", "page_repeat", "page_limit")
 
 
 def calendar(years: DataFrame) -> DataFrame:
@@ -111,31 +114,85 @@ def annual_check(days_: DataFrame, totals: DataFrame, unresolved: DataFrame) ->
 
 # --- the same as streams: an extension of this engine
 
-_STATE = "announced long, ids array<string>, failed int"
-_OUT = "year int, day string, announced long, listed long, failed long, complete boolean"
+DAY_FIGURES = "year int, day string, announced long, listed long, failed long, complete boolean, final boolean"
 
 
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
-    announced, ids, failed = state.get if state.exists else (None, [], 0)
-    seen = set(ids)
-    for b in batches:
-        for total, doc_id, status in zip(b["announced"], b["doc_id"], b["status"], strict=True):
-            if not pd.isna(total):
-                announced = int(total)
-            if doc_id is not None and status in TERMINAL:
-                seen.add(doc_id)
-            elif status in ("page_fail", "page_repeat", "page_limit"):
-                failed += 1
-    state.update((announced, sorted(seen), failed))
-    yield pd.DataFrame([(key[0], key[1], announced, len(seen), failed, failed == 0 and announced == len(seen))], columns=["year", "day", "announced", "listed", "failed", "complete"])
+class DayProcessor(StatefulProcessor):
+    """A day's ids as a map, an entry each, and its figures as one value, so a batch writes what it brings and no more.
 
+    A timer `quiet` seconds of event time behind a day's last row closes it: its row comes out once more as final, and its state goes.
+    Rows that come later open the day anew.
+    """
 
-def stream_days(observations: DataFrame) -> DataFrame:
-    """T1, T2, T4 as a stream of (year, day, announced, doc_id, status): after each batch the state of the days it touched.
-
-    A day's ids are its state; days are bounded by what a site lists in one.
+    def __init__(self, quiet: int | None):
+        self.quiet = quiet
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.ids = handle.getMapState("ids", "doc_id string", "place int")
+        self.figures = handle.getValueState("figures", "announced long, listed long, failed long, closes long")
+
+    def _row(self, key: tuple, v: tuple, final: bool) -> pd.DataFrame:
+        announced, listed, failed = v[:3]
+        return pd.DataFrame([(key[0], key[1], announced, listed, failed, failed == 0 and announced == listed, final)], columns=[x.split()[0] for x in DAY_FIGURES.split(", ")]).astype({"announced": "Int64"})
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        announced, listed, failed, closes = self.figures.get() if self.figures.exists() else (None, 0, 0, None)
+        last = None
+        for b in rows:
+            totals = b["announced"].dropna()
+            if len(totals):
+                announced = int(totals.max()) if announced is None else max(announced, int(totals.max()))
+            for doc_id in b.loc[b["status"].isin(TERMINAL), "doc_id"].dropna().unique():
+                if not self.ids.containsKey((doc_id,)):
+                    self.ids.updateValue((doc_id,), (listed,))
+                    listed += 1
+            failed += int(b["status"].isin(FAILURES).sum())
+            if self.quiet is not None:
+                newest = int(b["ts"].max().timestamp() * 1000)
+                last = newest if last is None else max(last, newest)
+        if last is not None:
+            due = max(last + self.quiet * 1000, closes or 0)
+            if due != closes:
+                if closes is not None:
+                    self.handle.deleteTimer(closes)
+                self.handle.registerTimer(due)
+                closes = due
+        self.figures.update((announced, listed, failed, closes))
+        yield self._row(key, (announced, listed, failed), False)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        v = self.figures.get()
+        self.ids.clear()
+        self.figures.clear()
+        yield self._row(key, v, True)
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """State stores of queries that start inside: RocksDB, which keeps state on disk and writes what changed."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def stream_days(observations: DataFrame, quiet: int | None = None) -> DataFrame:
+    """T1, T2, T4 as a stream of (year, day, announced, doc_id, status): after each batch the figures of the days it touched.
+
+    The largest announced total counts, so pages may come in any order. With `quiet`, observations have ts with a watermark and
+    a day is closed that many seconds behind its last row. Start the query inside state_in_rocksdb.
     """
-    return observations.groupBy("year", "day").applyInPandasWithState(_advance, _OUT, _STATE, "update", "NoTimeout")
+    mode = "None" if quiet is None else "EventTime"
+    return observations.groupBy("year", "day").transformWithStateInPandas(DayProcessor(quiet), DAY_FIGURES, "Update", mode)
 
 
 def stream_dedup(events: DataFrame, keys: list[str], time: str = "ts", late: str = "1 day") -> DataFrame:

@@ -232,16 +232,30 @@ def test_documents_through_a_backend(spark):
 def test_days_as_a_stream_state():
     import pandas as pd
 
-    class State:
-        exists, get = False, None
+    class Value:
+        v = None
+
+        def exists(self):
+            return self.v is not None
+
+        def get(self):
+            return self.v
 
         def update(self, v):
-            self.exists, self.get = True, v
+            self.v = v
+
+    class Map(dict):
+        containsKey = dict.__contains__  # noqa: N815
+        updateValue = dict.__setitem__  # noqa: N815
+
+    class Handle:
+        getMapState = staticmethod(lambda *_: Map())  # noqa: N815
+        getValueState = staticmethod(lambda *_: Value())  # noqa: N815
 
-    state = State()
-    first = next(intake._advance((2022, "d"), iter([pd.DataFrame({"announced": [2], "doc_id": [A], "status": ["ok"]})]), state))
-    again = next(intake._advance((2022, "d"), iter([pd.DataFrame({"announced": [None], "doc_id": [A], "status": ["skip"]})]), state))
-    last = next(intake._advance((2022, "d"), iter([pd.DataFrame({"announced": [None, None], "doc_id": [B, C], "status": ["server500", "fail"]})]), state))
+    day = intake.DayProcessor(None)
+    day.init(Handle())
+    rows = lambda announced, ids, status: next(day.handleInputRows((2022, "d"), iter([pd.DataFrame({"announced": announced, "doc_id": ids, "status": status})]), None))
+    first, again, last = rows([2], [A], ["ok"]), rows([None], [A], ["skip"]), rows([None, None], [B, C], ["server500", "fail"])
     assert [bool(x.complete[0]) for x in (first, again, last)] == [False, False, True] and last.listed[0] == 2
 
 
