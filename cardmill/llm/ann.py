@@ -7,7 +7,12 @@ point of the sphere is the one of largest inner product. Each of `tables` tables
 bucket and perturbed ones in the order of estimated success (the squared distances of its
 projections to the slots), the first `probes` of them in each table. How many that are is fitted: a sample of `sample` queries is
 compared with all vectors, and the least number that finds `recall` of their true neighbours is taken, so the share of
-the vectors that is visited follows from how clear the neighbours are.
+the vectors that is visited follows from how clear the neighbours are. Where `probes` don't find so many, all queries are compared with
+all blocks instead.
+
+M holds for a range of norms, from itself down to a half of it, so a few long vectors don't press all others to one pole. A query visits its
+buckets in each range that has vectors; ranges come from a count of norms by powers of two. Norms are taken of scaled components, so squares
+don't overflow.
 
 Both sides travel as blocks of at most `block` vectors of one bucket, joined on the bucket
 key, so a bucket of any size is many rows and AQE can split it; the product of two blocks
@@ -44,7 +49,7 @@ class Index:
     tables: int = 4
     hashes: int = 0  # 0: by the number of vectors, so that buckets keep their size
     width: float = 2.5
-    probes: int = 256  # at most
+    probes: int = 256  # at most; beyond that the search is exact
     recall: float = 0.94  # that `probes` is fitted to, on a sample
     sample: int = 50  # queries
     block: int = 2048
@@ -70,14 +75,40 @@ def vectors(batch: pa.RecordBatch, id_col: str, vec_col: str) -> Iterator[tuple[
             yield ids[rows[good]], x[good]
 
 
+def norm_of(x: np.ndarray) -> np.ndarray:
+    scale = np.abs(x).max(1)
+    with np.errstate(over="ignore"):
+        return np.minimum(scale * np.sqrt(((x / scale[:, None]) ** 2).sum(1)), np.finfo(float).max)
+
+
+#: Ranges of norms of vectors of one length: (the least binary exponent in it, its largest norm), the largest first.
+Ranges = list[tuple[int, float]]
+
+
+def ranges_of(counts: list[tuple[int, float, float]]) -> Ranges:
+    """From (binary exponent, least norm, largest norm): ranges that end above a half of their largest norm, except inside one exponent."""
+    out: Ranges = []
+    for e, least, most in sorted(counts, reverse=True):
+        if out and least >= out[-1][1] / 2:
+            out[-1] = (e, out[-1][1])
+        else:
+            out.append((e, most))
+    return out
+
+
 def _norms(id_col: str, vec_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        most: dict[int, tuple[float, int]] = {}
+        seen: dict[tuple[int, int], tuple[float, float, int]] = {}
         for b in batches:
             for _, x in vectors(b, id_col, vec_col):
-                norm, n = most.get(x.shape[1], (0.0, 0))
-                most[x.shape[1]] = max(norm, float(np.sqrt((x * x).sum(1)).max())), n + len(x)
-        yield pa.RecordBatch.from_pydict({"dim": pa.array(list(most), pa.int64()), "norm": pa.array([x for x, _ in most.values()], pa.float64()), "n": pa.array([n for _, n in most.values()], pa.int64())})
+                norm = norm_of(x)
+                exponent = np.frexp(norm)[1]
+                for e in np.unique(exponent):
+                    some = norm[exponent == e]
+                    least, most, n = seen.get((x.shape[1], int(e)), (np.inf, 0.0, 0))
+                    seen[x.shape[1], int(e)] = min(least, float(some.min())), max(most, float(some.max())), n + len(some)
+        rows = [(*k, *v) for k, v in seen.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()))], ["dim", "exponent", "least", "norm", "n"])
 
     return run
 
@@ -87,9 +118,9 @@ def _projections(dim: int, index: Index) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(rng.normal(size=(dim + 1, index.hashes)), rng.uniform(0, index.width, index.hashes)) for _ in range(index.tables)]
 
 
-def _keys(slots: np.ndarray, dim: int, table: int) -> np.ndarray:
-    """One value for each row of slot numbers."""
-    h = np.full(slots.shape[:-1], U(dim * 1000 + table))
+def _keys(slots: np.ndarray, dim: int, table: int, place: np.ndarray) -> np.ndarray:
+    """One value for each row of slot numbers in a range of norms."""
+    h = np.full(slots.shape[:-1], U(dim * 1000 + table)) + place.reshape(-1, *[1] * (slots.ndim - 2)).astype(np.uint64) * U(0xD1B54A32D192ED03)
     for j in range(slots.shape[-1]):
         h = mix(h * U(0x9E3779B97F4A7C15) + slots[..., j].astype(np.int64).view(np.uint64))
     return h.view(np.int64)
@@ -179,27 +210,31 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 4 << 20) -> I
 _BLOCK_SCHEMA = pa.schema([("key", pa.int64()), ("dim", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("vecs", pa.binary())])
 
 
-def _buckets(index: Index, x: np.ndarray, most: float, order: np.ndarray | None) -> Iterator[np.ndarray]:
-    """For each table: the bucket of each vector of base (one column), or those that each query visits, in that order."""
-    norm, dim = np.sqrt((x * x).sum(1)), x.shape[1]
+def _buckets(index: Index, x: np.ndarray, ranges: Ranges, order: np.ndarray | None) -> Iterator[np.ndarray]:
+    """For each table: the bucket of each vector of base (one column), or, for each range, those that each query visits, in that order."""
+    norm, dim = norm_of(x), x.shape[1]
     if order is None:
-        y = np.concatenate((x / most, np.sqrt(np.maximum(1 - (norm / most) ** 2, 0))[:, None]), 1)
+        place = (np.frexp(norm)[1][:, None] < np.array([e for e, _ in ranges[:-1]])[None, :]).sum(1)
+        most = np.array([m for _, m in ranges])[place]
+        y = np.concatenate((x / most[:, None], np.sqrt(np.maximum(1 - (norm / most) ** 2, 0))[:, None]), 1)
     else:
         y = np.concatenate((x / norm[:, None], np.zeros((len(x), 1))), 1)
     for t, (a, shift) in enumerate(_projections(dim, index)):
         p = (y @ a + shift) / index.width
         slots = np.floor(p).astype(np.int64)
         if order is None:
-            yield _keys(slots, dim, t)[:, None]
+            yield _keys(slots, dim, t, place)[:, None]
             continue
         f = p - slots
         near = np.argsort(np.concatenate((f, 1 - f), 1), axis=1, kind="stable")  # moves down and up, the nearest slot first
         step = np.zeros((*near.shape, index.hashes), np.int64)
         np.put_along_axis(step, (near % index.hashes)[..., None], np.where(near < index.hashes, -1, 1)[..., None], 2)
-        yield _keys(slots[:, None, :] + np.einsum("pm,qmh->qph", order, step), dim, t)
+        all_slots = slots[:, None, :] + np.einsum("pm,qmh->qph", order, step)
+        for i in range(len(ranges)):
+            yield _keys(all_slots, dim, t, np.array([i]))
 
 
-def _blocks(index: Index, norms: dict[int, float], queries: bool, id_col: str, vec_col: str, shards: int = 0):
+def _blocks(index: Index, norms: dict[int, Ranges], queries: bool, id_col: str, vec_col: str, shards: int = 0):
     """Blocks of the vectors of a bucket; with shards, of any vectors, dealt to the shards, each of which all queries visit."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -217,7 +252,7 @@ def _blocks(index: Index, norms: dict[int, float], queries: bool, id_col: str, v
                     continue
                 for a in range(0, len(ids), 256):
                     own, part = ids[a : a + 256], x[a : a + 256]
-                    for keys in _buckets(index, part, norms[dim], order if queries else None):
+                    for keys in _buckets(index, part, norms.get(dim, []), order if queries else None):
                         yield from pack.add(keys.ravel(), np.repeat(own, keys.shape[1]), np.repeat(part, keys.shape[1], 0))
         yield from pack.rest()
 
@@ -325,13 +360,14 @@ def _ranked(k: int):
 
 def visited(queries: np.ndarray, base: np.ndarray, index: Index = Index()) -> tuple[float, float]:
     """The share of base that the probes of a query reach in any table, and the sum of the shares of all tables, which is the work."""
-    norm, most = np.sqrt((base * base).sum(1)), np.sqrt((base * base).sum(1)).max()
+    norm = norm_of(base)
+    most = ranges_of([(int(e), float(norm[np.frexp(norm)[1] == e].min()), float(norm[np.frexp(norm)[1] == e].max())) for e in np.unique(np.frexp(norm)[1])])
     schema = pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float64()))])
     keys = []
     for x, is_query in ((queries, True), (base, False)):
         batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(x))), pa.array(x.tolist(), pa.list_(pa.float64()))], schema=schema)
         own: dict[int, list] = {}
-        for out in _blocks(index, {base.shape[1]: float(most)}, is_query, "vec_id", "embedding")(iter([batch])):
+        for out in _blocks(index, {base.shape[1]: most}, is_query, "vec_id", "embedding")(iter([batch])):
             for key, ids in zip(column(out, "key").to_pylist(), column(out, "ids").to_pylist(), strict=True):
                 own.setdefault(key, []).append(np.frombuffer(ids, np.int64))
         keys.append({k: np.concatenate(v) for k, v in own.items()})
@@ -348,10 +384,11 @@ def search(queries: DataFrame, base: DataFrame, index: Index = Index(), id_col:
     spark = base.sparkSession
     arrow_limits(spark)
     base, queries = base.select(id_col, vec_col), queries.select(id_col, vec_col)
-    lengths = base.mapInArrow(_norms(id_col, vec_col), "dim long, norm double, n long").groupBy("dim").agg(F.max("norm").alias("norm"), F.sum("n").alias("n")).collect()  # a row for each length
-    norms = {r.dim: r.norm for r in lengths}
+    lengths = base.mapInArrow(_norms(id_col, vec_col), "dim long, exponent long, least double, norm double, n long").groupBy("dim", "exponent")
+    lengths = lengths.agg(F.min("least").alias("least"), F.max("norm").alias("norm"), F.sum("n").alias("n")).collect()  # a row for each length and power of two
+    norms = {d: ranges_of([(r.exponent, r.least, r.norm) for r in lengths if r.dim == d]) for d in {r.dim for r in lengths}}
     if not index.hashes:
-        index = replace(index, hashes=hashes_for(max((r.n for r in lengths), default=1)))
+        index = replace(index, hashes=hashes_for(max((sum(r.n for r in lengths if r.dim == d) for d in norms), default=1)))
 
     def found(q: DataFrame, x: DataFrame) -> DataFrame:
         both = q.select("key", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs")).join(x.select("key", "dim", "ids", "vecs"), "key")
@@ -366,8 +403,11 @@ def search(queries: DataFrame, base: DataFrame, index: Index = Index(), id_col:
     some = written(queries.orderBy(F.xxhash64(id_col), id_col).limit(index.sample), "ann-sample")
     pairs = written(exact(some), "ann-sample-pairs")
     theirs = base.join(F.broadcast(pairs.select(F.col("vec_id").alias(id_col)).distinct()), id_col, "left_semi").dropDuplicates([id_col])
-    index = replace(index, probes=fitted_probes(index, norms, [(r.query_id, r.vec_id) for r in pairs.select("query_id", "vec_id").collect()], *({r[0]: r[1] for r in t.collect()} for t in (some, theirs))))
+    fitted = fitted_probes(index, norms, [(r.query_id, r.vec_id) for r in pairs.select("query_id", "vec_id").collect()], *({r[0]: r[1] for r in t.collect()} for t in (some, theirs)))
     dropped(some, pairs)
+    if fitted is None:
+        return exact(queries)
+    index = replace(index, probes=fitted)
 
     x = base.mapInArrow(_blocks(index, norms, False, id_col, vec_col), _BLOCK)
     near = written(found(queries.mapInArrow(_blocks(index, norms, True, id_col, vec_col), _BLOCK), x), "ann")
@@ -383,16 +423,20 @@ def hashes_for(n: int) -> int:
     return max(3, round(np.log2(max(n, 1)) / 2.2))
 
 
-def fitted_probes(index: Index, norms: dict[int, float], pairs: list[tuple[int, int]], queries: dict[int, list], base: dict[int, list]) -> int:
-    """The least number of probes that reaches `recall` of the given (query, neighbour) pairs, `probes` at most."""
+def fitted_probes(index: Index, norms: dict[int, Ranges], pairs: list[tuple[int, int]], queries: dict[int, list], base: dict[int, list]) -> int | None:
+    """The least number of probes that reaches `recall` of the given (query, neighbour) pairs; None where `probes` of them don't."""
     order, ranks = probe_order(index.hashes, index.probes), []
     for q, v in pairs:
         x, y = np.array([queries[q]], float), np.array([base[v]], float)
-        hits = [np.flatnonzero(a[0] == b[0, 0]) for a, b in zip(_buckets(index, x, 1.0, order), _buckets(index, y, norms[y.shape[1]], None), strict=True)]
+        ranges = norms[y.shape[1]]
+        ranges = ranges if isinstance(ranges, list) else [(0, ranges)]  # one M for all
+        asked = list(_buckets(index, x, ranges, order))
+        hits = [np.flatnonzero(a[0] == b[0, 0]) for t, b in enumerate(_buckets(index, y, ranges, None)) for a in asked[t * len(ranges) : (t + 1) * len(ranges)]]
         ranks.append(min((int(h[0]) for h in hits if len(h)), default=len(order)))
     if not ranks:
         return 1
-    return min(int(np.sort(ranks)[int(np.ceil(index.recall * len(ranks))) - 1]) + 1, len(order))
+    needed = int(np.sort(ranks)[int(np.ceil(index.recall * len(ranks))) - 1]) + 1
+    return needed if needed <= len(order) else None
 
 
 def op10_multiprobe_ann(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators.numbering import numbered
 from .fill_middle import hash_group
-from .store import arrow_limits, documents, free_names, written
+from .store import arrow_limits, documents, dropped, free_names, written
 from .words import column, release
 
 SLICE = 1 << 18
@@ -145,7 +145,10 @@ def drawn(weights: DataFrame, s: Sampling = Sampling()) -> DataFrame:
 def resampled(docs: DataFrame, target: DataFrame, s: Sampling = Sampling()) -> DataFrame:
     """doc_id, n_words, n_features, weight, score and rank of all documents."""
     gain = gains(bucket_counts(docs, s), bucket_counts(target, s), s)
-    return drawn(written(weighed(docs, gain, s), "weighed"), s)
+    table = written(weighed(docs, gain, s), "weighed")
+    out = drawn(table, s)
+    dropped(table)  # its rows are in ranges now
+    return out
 
 
 def op11_importance_resampling(spark, sf_dir: str) -> DataFrame:

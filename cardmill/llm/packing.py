@@ -4,9 +4,9 @@ An example asks for three things at once: tokens, one of a sequence's segments,
 loss-bearing tokens. A task keeps up to `pending` examples and one open sequence; the
 next piece is the pending example whose demand has the largest dot product with what
 the sequence has left (each in units of its limit) among those that fit. Where none
-fits, the largest is cut so that the sequence fills. Only the last sequence of a task can stay
-short; it is dealt out in powers of two, which need no padding. A sequence that
-its segment limit closes early is padded.
+fits, the largest is cut so that the sequence fills. A sequence that stays short, the last one of a task or
+one that the limit of segments or of loss closes, is dealt out in powers of two, which need no padding, unless it
+lacks a 1/`slack` of the tokens at most, which is padded.
 
 Each partition packs on its own and holds `pending` examples and one sequence's pieces,
 whatever its size, so nothing is shuffled. `sequence_id` has the partition in its upper bits; it is
@@ -23,6 +23,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ class Limits:
     segments: int = 64
     loss: int = 2048
     pending: int = 128
+    slack: int = 64
 
 
 @lru_cache(maxsize=2)
@@ -149,22 +151,13 @@ class Packer:
             yield from self._close()
 
     def _close(self) -> Iterator[tuple]:
-        at = 0
-        for example, ids, start, to, sums in self.open:
-            yield self._piece(example, ids, start, to, sums, self.next, at)
-            at += to - start
-        if self.open:
-            self.next += 1
-        self.open, self.left = [], self.cap.copy()
-
-    def finish(self) -> Iterator[tuple]:
-        while self.items:
-            yield from self._step()
-        # the last sequence, in powers of two
+        """End the open sequence: as it is if it is full or nearly, else in powers of two."""
         rest, self.open = self.open, []
         total = sum(to - start for _, _, start, to, _ in rest)
+        nearly = total >= self.limits.tokens - self.limits.tokens // self.limits.slack
+        self.left = self.cap.copy()
         while total:
-            room = 1 << (total.bit_length() - 1)
+            room = total if nearly else 1 << (total.bit_length() - 1)
             total -= room
             at = 0
             while room:
@@ -178,6 +171,11 @@ class Packer:
                     rest.pop(0)
             self.next += 1
 
+    def finish(self) -> Iterator[tuple]:
+        while self.items:
+            yield from self._step()
+        yield from self._close()
+
 
 def pack_documents(docs: DataFrame, encode: Callable[[str], np.ndarray] | None = None, limits: Limits = Limits()) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens."""
@@ -213,7 +211,8 @@ def pack_documents(docs: DataFrame, encode: Callable[[str], np.ndarray] | None =
 def pack_conversations(turns: DataFrame, encode: Callable[[str], np.ndarray] | None = None, limits: Limits = Limits(loss=1536)) -> DataFrame:
     """Instruction data: each row (doc_id, roles, texts) is an example; only ids of the assistant bear loss.
 
-    Null texts or roles are empty; returns the columns of pack_documents.
+    A null list is empty; where one list is longer, or has nulls, a text is empty and a role isn't the assistant's. An example without any turn has
+    no pieces. Returns the columns of pack_documents.
     """
     encode = encode or byte_bpe()
     arrow_limits(turns.sparkSession)
@@ -231,7 +230,7 @@ def pack_conversations(turns: DataFrame, encode: Callable[[str], np.ndarray] | N
         for b in batches:
             pieces: list[tuple] = []
             for doc_id, roles, texts in zip(*(column(b, n).to_pylist() for n in ("doc_id", "roles", "texts")), strict=True):
-                parts = [(r == "assistant", encode(t or "")) for r, t in zip(roles or [], texts or [], strict=True)]
+                parts = [(r == "assistant", encode(t or "")) for r, t in zip_longest(roles or [], texts or [])]
                 if parts:
                     ids = np.concatenate([x for _, x in parts])
                     pieces += packer.add((doc_id, len(ids)), ids, np.concatenate([np.full(len(x), r) for r, x in parts]))

@@ -41,8 +41,12 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def capture_time(page_id: Column) -> Column:
-    """The pages have no time of capture; their order gives one, a second apart."""
-    return F.date_format(F.timestamp_seconds(F.coalesce(page_id, F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """The pages have no time of capture; their order gives one, a second apart, between the first and the last second of four-digit years.
+
+    Ids beyond share these times, and the index puts equal times in the order of ids.
+    """
+    second = F.greatest(F.least(F.coalesce(page_id, F.lit(0)), F.lit(253402300799)), F.lit(-62135596800))
+    return F.date_format(F.timestamp_seconds(second), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def records(pages: DataFrame, least_revisit: int = 0) -> DataFrame:
