@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.text import doc_id_from_name
 from ..operators import delivery as Y
 from ..sources.shared import shared_path
-from ..sources.storage import child, deleted
+from ..sources.storage import child, deleted, removed
 from ..sources.yearzip import archives
+from ..sources import archiveindex
 from ..sources.ziparchive import usable_archives, with_content, year_archives, zip_members
 from .consolidation import consolidate_archives
 from .queries_text import s, spread, table
@@ -88,3 +89,53 @@ def written_archives(spark, sf_dir):
     done = spark.createDataFrame(out.collect(), out.schema)  # a row a year
     deleted(folder)
     return done
+
+
+@query(f"""WITH r AS (SELECT *, CASE WHEN year = 2020 THEN 0 WHEN year = 2021 THEN 1 ELSE 2 END AS run FROM {_ROWS})
+  SELECT 0::INTEGER AS run, 2::BIGINT AS opened, 0::BIGINT AS gone, year::INTEGER AS year, count(*) + 1 AS members, count(DISTINCT id) AS ids FROM r WHERE year < 2022 GROUP BY year
+  UNION ALL SELECT 1, 1, 0, year, CASE WHEN year = 2021 THEN count(*) FILTER (doc_id % 2 = 0) ELSE count(*) END + 1, CASE WHEN year = 2021 THEN count(DISTINCT CASE WHEN doc_id % 2 = 0 THEN id END) ELSE count(DISTINCT id) END FROM r WHERE year < 2022 GROUP BY year
+  UNION ALL SELECT 2, 1, 1, year, CASE WHEN year = 2021 THEN count(*) FILTER (doc_id % 2 = 0) ELSE count(*) END + 1, CASE WHEN year = 2021 THEN count(DISTINCT CASE WHEN doc_id % 2 = 0 THEN id END) ELSE count(DISTINCT id) END FROM r WHERE year > 2020 GROUP BY year
+  UNION ALL SELECT 3, 0, 0, year, CASE WHEN year = 2021 THEN count(*) FILTER (doc_id % 2 = 0) ELSE count(*) END + 1, CASE WHEN year = 2021 THEN count(DISTINCT CASE WHEN doc_id % 2 = 0 THEN id END) ELSE count(DISTINCT id) END FROM r WHERE year > 2020 GROUP BY year""")
+def index_by_change(spark, sf_dir):
+    """The index after four refreshes: two years are written; one is replaced; one goes and one comes; nothing happens."""
+    folder, table_ = shared_path(spark, "changing"), shared_path(spark, "index")
+    rows = _members(spark, sf_dir)
+    even = F.regexp_extract("arcname", r"/n(\d+)b?_", 1).cast("long") % 2 == 0
+    out = None
+    for run, put in enumerate((rows.filter("year < 2022"), rows.filter((F.col("year") == 2021) & even), rows.filter("year = 2022"), None)):
+        if put is not None:
+            archives(put, folder).collect()
+        if run == 2:
+            removed(child(folder, "2020.zip"))
+        changed = archiveindex.refresh(spark, folder, table_)
+        now = archiveindex.indexed(spark, table_).withColumn("doc_id", doc_id_from_name(F.col("member")))
+        now = now.groupBy("year").agg(F.count("*").alias("members"), F.count_distinct("doc_id").alias("ids"))
+        now = now.select(F.lit(run).alias("run"), F.lit(len(changed["opened"])).cast("long").alias("opened"), F.lit(len(changed["gone"])).cast("long").alias("gone"), "*")
+        got = spark.createDataFrame(now.collect(), now.schema)  # a row a year
+        out = got if out is None else out.unionByName(got)
+    deleted(folder)
+    deleted(table_)
+    return out
+
+
+@query("""SELECT run::INTEGER AS run, (2000 + c_custkey % 3)::INTEGER AS year, (run = 0 AND c_custkey % 3 < 2) OR (run = 1 AND c_custkey % 3 = 2) AS built, count(*) AS rows_written, count(*) * 2 AS entries,
+  sha256(string_agg(md5(c_custkey::VARCHAR), chr(10) ORDER BY md5(c_custkey::VARCHAR))) AS id_digest FROM customer, range(3) t(run) WHERE run > 0 OR c_custkey % 3 < 2 GROUP BY 1, 2, 3""")
+def incremental_build(spark, sf_dir):
+    """Two years are due, then one more, then none; tables as their published builds have them."""
+    from ..operators.consolidate import id_digest
+    from . import incremental as B
+
+    k = F.col("c_custkey")
+    card = F.concat(F.lit("I. Name\n"), F.col("c_name"), F.lit("\nII. Segment\n"), F.col("c_mktsegment"))
+    c = table(spark, sf_dir, "customer").select((F.lit(2000) + k % 3).cast("int").alias("year"), F.md5(s(k)).alias("doc_id"), F.explode(F.array(F.lit(""), F.lit("(1)"))).alias("copy"), card.alias("text"))
+    variants = spread(c).select("year", "doc_id", F.concat(s("year"), F.lit("/x_"), "doc_id", "copy", F.lit(".pdf")).alias("member"), "text", F.lit(None).cast("string").alias("error"))
+    root, out = shared_path(spark, "builds"), None
+    for run, last in enumerate((2001, 2002, 2002)):
+        due = spark.createDataFrame([(y, f"{y}.zip") for y in range(2000, last + 1)], "year int, archive string")
+        built = B.build_due(spark, variants, due, root)
+        told = B.reports(spark, root).select("year", "rows_written", F.col("archive_pdf_entries").alias("entries")).join(id_digest(B.records(spark, root), ["year"]), "year")
+        told = told.select(F.lit(run).alias("run"), F.col("year").isin(built).alias("built"), "*") if built else told.select(F.lit(run).alias("run"), F.lit(False).alias("built"), "*")
+        got = spark.createDataFrame(told.collect(), told.schema)  # a row a year
+        out = got if out is None else out.unionByName(got)
+    deleted(root)
+    return out

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..schemas import ISSUE_COLUMNS, MANIFEST_COLUMNS, TABLE_COLUMNS, projected
 from .shared import file_system, shared_path
-from .storage import child, replaced
+from .storage import child, located, replaced
 from .yearzip import archives as archives  # noqa: PLC0414 - the sink of archives is one of these
 
 BOM = b"\xef\xbb\xbf"
@@ -35,7 +35,7 @@ def annual_csv(records: DataFrame, year: int, target: str, columns: list[str] =
     """One file of a year's rows in the order of their ids, with a byte order mark.
 
     One year's rows fit one file by the format's own terms; Spark sorts them and writes a staging folder among the shared ones, whose
-    single part comes to the driver through Hadoop's file system. It is published only with as many rows as were selected.
+    single part is copied on in blocks, to any storage. It is published only with as many rows as were selected.
     """
     spark = records.sparkSession
     staging, counted = shared_path(spark, "csv"), Observation()
@@ -47,17 +47,19 @@ def annual_csv(records: DataFrame, year: int, target: str, columns: list[str] =
     found = spark.read.options(header=True, multiLine=True, quote='"', escape='"', sep=sep).csv(staging).count() if parts else 0
     if found != counted.get["n"]:
         raise ValueError(f"the staged table of {year} has {found} rows of {counted.get['n']}")
-    tmp = f"{target}.{uuid.uuid4().hex}.tmp"
-    with open(tmp, "wb") as out:
+    system, inside = located(target)
+    system.create_dir(inside.rpartition("/")[0] or ".")
+    tmp = f"{inside}.{uuid.uuid4().hex}.tmp"
+    with system.open_output_stream(tmp) as out:
         out.write(BOM)
         if not parts:
             out.write((sep.join(columns) + "\n").encode())
         for p in parts:
-            fs.copyToLocalFile(False, file_system(spark, p)[1], file_system(spark, f"file://{os.path.abspath(tmp)}.part")[1], True)
-            with open(f"{tmp}.part", "rb") as f:
-                shutil.copyfileobj(f, out)
-            os.remove(f"{tmp}.part")
-    os.replace(tmp, target)
+            own, path = located(p)
+            with own.open_input_stream(path) as f:
+                while data := f.read(1 << 20):
+                    out.write(data)
+    system.move(tmp, inside)
     fs.delete(root, True)
 
 

@@ -30,6 +30,11 @@ def deleted(folder: str) -> None:
         system.delete_dir(root)
 
 
+def removed(path: str) -> None:
+    system, inside = located(path)
+    system.delete_file(inside)
+
+
 def replaced(path: str, data: bytes) -> None:
     """A file's content by a rename, so a reader finds the old one or the new one whole."""
     system, inside = located(path)
