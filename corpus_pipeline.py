@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cardmill.llm import ngram_join, packing, quality, substring, toxicity
-from cardmill.llm.store import written
+from cardmill.llm.store import dropped, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            dropped(before)  # nothing reads the stage before any more
+        before = docs
     return docs
