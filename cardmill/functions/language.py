@@ -30,8 +30,8 @@ ROW_FIELDS = "title_uk abstract_uk stage_title performer_name customer_name ntp_
 def field_language(text: Column, short: Callable[[Column], Column] | None = None) -> Column:
     """Uk, en, mixed, empty or unknown.
 
-    short decides texts of 3 to 39 letters of both scripts: a function to a language code, null where it finds none. Without it they are
-    mixed (the reference asks a statistical detector there, which this engine leaves pluggable).
+    short decides texts of 3 to 39 letters of both scripts: a function to a language code, null where it finds none, such as
+    `profiles.detector`. It sees null for all other texts. Without it they are mixed.
     """
     text = F.coalesce(text, F.lit(""))
 
@@ -43,7 +43,9 @@ def field_language(text: Column, short: Callable[[Column], Column] | None = None
             asked = F.when(found.isNull(), "unknown").when(found.isin("uk", "en"), found).otherwise("mixed")
         return F.when(letters < 3, "unknown").when(share >= 0.85, "uk").when(share <= 0.15, "en").when(letters >= 40, "mixed").otherwise(asked)
 
-    asks = [short(text).alias("short")] if short else []
+    both = cyrillic(text) + latin(text)
+    part = F.try_divide(cyrillic(text), both)
+    asks = [short(F.when(both.between(3, 39) & (part > 0.15) & (part < 0.85), text)).alias("short")] if short else []
     counted = let(F.struct(cyrillic(text).alias("cyr"), latin(text).alias("lat"), *asks), decided)
     return F.when(text == "", "empty").when(strip(text) == "", "empty").otherwise(counted)
 

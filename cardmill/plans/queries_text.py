@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.language import field_language, row_language
+from ..functions.profiles import detector, profiles, words
 from ..functions.udfs import html_unescape, normalized, parse_listing
 from ..operators import fields as L
 from ..operators.sections import headers, longest_rising, section_count, split_sections
@@ -211,6 +212,43 @@ def languages(spark, sf_dir):
     return spread(table(spark, sf_dir, "documents")).withColumn("t", text).select("doc_id", field_language(F.col("t")).alias("language"), row_language([F.col("t"), F.lit(None).cast("string")]).alias("row_language"))
 
 
+# Letters of either script, place by place: Spanish documents stand for Ukrainian ones.
+_ASCII, _CYRILLIC = "abcdefghijklmnopqrstuvwxyz", "абцдефгхійклмнопярстувжшию"
+_ACCENTS, _SOFT = "áéíóúñü", "ґєїощьч"
+_MARKED = f"""marked AS (SELECT doc_id, CASE WHEN lang = 'es' THEN 'uk' ELSE lang END AS lang, CASE WHEN lang = 'es' THEN translate(lower(text), '{_ASCII}{_ACCENTS}', '{_CYRILLIC}{_SOFT}') ELSE lower(text) END AS text FROM documents)"""
+
+
+@query(rf"""WITH {_MARKED},
+  spoken AS (SELECT lang, word, count(*) AS c FROM (SELECT lang, unnest(string_split_regex(text, '[^\p{{L}}]+')) AS word FROM marked WHERE doc_id % 5 <> 0) WHERE word <> '' GROUP BY ALL),
+  cut AS (SELECT lang, n, substring(w, i, n) AS run, sum(c) AS c FROM (SELECT lang, ' ' || word || ' ' AS w, c, n, unnest(range(1, length(word) + 4 - n)) AS i FROM spoken, (VALUES (1), (2), (3)) AS v(n)) WHERE substring(w, i, n) <> ' ' GROUP BY ALL),
+  kept AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang ORDER BY c DESC, n, run) <= 20000),
+  total AS (SELECT lang, n, sum(c) AS total FROM kept GROUP BY ALL),
+  known AS (SELECT DISTINCT n, run FROM kept),
+  sizes AS (SELECT lang, n, total, 1 + (SELECT count(*) FROM known k WHERE k.n = total.n) AS v FROM total),
+  weights AS (SELECT lang, run, floor(1000 * ln((coalesce(c, 0) + 1.0::DOUBLE) / (total + v)))::BIGINT AS weight FROM known JOIN sizes USING (n) LEFT JOIN kept USING (lang, n, run)),
+  piece AS (SELECT doc_id, lang, list_filter(string_split_regex(p, '[^\p{{L}}]+'), lambda x: x <> '') AS ws FROM (SELECT doc_id, lang, unnest(string_split_regex(text, '[.!?|\n]+')) AS p FROM marked)),
+  told AS (SELECT doc_id, lang, array_to_string(ws[:-2], ' ') || ' ' || translate(ws[-1], '{_ASCII}{_CYRILLIC}', '{_CYRILLIC}{_ASCII}') AS t FROM piece WHERE len(ws) > 1),
+  letters AS (SELECT doc_id, lang, t, length(regexp_replace(t, '[^Ѐ-ӿ]', '', 'g')) AS c, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS l FROM told),
+  asked AS (SELECT DISTINCT t FROM letters WHERE c + l BETWEEN 3 AND 39 AND c / (c + l) < 0.85 AND c / (c + l) > 0.15),
+  split AS (SELECT t, ' ' || unnest(string_split(t, ' ')) || ' ' AS w FROM asked),
+  parts AS (SELECT t, substring(w, i, n) AS run FROM (SELECT t, w, n, unnest(range(1, length(w) + 2 - n)) AS i FROM split, (VALUES (1), (2), (3)) AS v(n))),
+  scores AS (SELECT t, weights.lang, sum(weight) AS score FROM parts JOIN weights USING (run) GROUP BY ALL),
+  best AS (SELECT t, lang AS found FROM scores QUALIFY row_number() OVER (PARTITION BY t ORDER BY score DESC, lang) = 1),
+  judged AS (SELECT doc_id, lang, CASE WHEN c + l < 3 THEN 'unknown' WHEN c / (c + l) >= 0.85 THEN 'uk' WHEN c / (c + l) <= 0.15 THEN 'en' WHEN c + l >= 40 THEN 'mixed' WHEN found IS NULL THEN 'unknown' WHEN found IN ('uk', 'en') THEN found ELSE 'mixed' END AS said FROM letters LEFT JOIN best USING (t))
+  SELECT doc_id, lang, count(*) AS pieces, count(*) FILTER (said = 'uk') AS uk, count(*) FILTER (said = 'en') AS en, count(*) FILTER (said = 'mixed') AS mixed, count(*) FILTER (said = 'unknown') AS unknown FROM judged GROUP BY ALL""")
+def short_languages(spark, sf_dir):
+    """X15 with profiles of four fifths of the documents: every sentence of two words or more, its last word in the other script."""
+    spanish = F.col("lang") == "es"
+    lower = F.lower("text")
+    marked = spread(table(spark, sf_dir, "documents")).select("doc_id", F.when(spanish, "uk").otherwise(F.col("lang")).alias("lang"), F.when(spanish, F.translate(lower, _ASCII + _ACCENTS, _CYRILLIC + _SOFT)).otherwise(lower).alias("text"))
+    short = detector(profiles(marked.filter("doc_id % 5 <> 0")))
+    piece = marked.select("doc_id", "lang", F.explode(F.transform(F.split("text", r"[.!?|\n]+"), words)).alias("ws")).filter(F.size("ws") > 1)
+    last = F.translate(F.element_at("ws", -1), _ASCII + _CYRILLIC, _CYRILLIC + _ASCII)
+    told = piece.select("doc_id", "lang", F.concat(F.array_join(F.slice("ws", 1, F.size("ws") - 1), " "), F.lit(" "), last).alias("t"))
+    said = told.select("doc_id", "lang", field_language(F.col("t"), short).alias("said"))
+    return said.groupBy("doc_id", "lang").agg(F.count("*").alias("pieces"), *(F.count_if(F.col("said") == x).alias(x) for x in ("uk", "en", "mixed", "unknown")))
+
+
 @query("""SELECT event_id, json_type(try_cast(props AS JSON)) = 'ARRAY' AS object_is_list, true AS list_is_list, false AS text_is_list FROM events""")
 def json_lists(spark, sf_dir):
     """P16, F18."""
