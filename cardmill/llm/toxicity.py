@@ -3,9 +3,10 @@
 1. Voters. From a bounded sample of labelled training rows: words (a lexicon) and beginnings of words of 4 to 9
    bytes (patterns) that are far more frequent in texts labelled toxic. Each votes where a text
    has it. The label of a sampled row is one more voter, with an accuracy to be estimated like the others'.
-2. Label model. A two-class generative model of the votes, fitted by expectation maximisation: each voter's rates in either
-   class, and the correlations of voters within the classes, by which voters that repeat each
-   other weigh less. Its posterior is the training label.
+2. Label model. A two-class generative model of the votes, fitted by expectation maximisation. Its correlations are factors of
+   pairs: within the classes voters form a forest (the spanning forest of what they tell of each other beyond the cost of two more
+   parameters), and a voter's rates are given for either vote of its parent, so voters that repeat each other add
+   nothing twice. The annotator depends on the class alone. The posterior is the training label.
 3. Classifier. Logistic regression on how often each voter occurs in a text and on the share of its words that do,
    fitted to the posteriors. It scores all rows in one pass.
 
@@ -109,33 +110,60 @@ def _design(counts: np.ndarray, hits: np.ndarray, words: np.ndarray) -> np.ndarr
     return np.column_stack((np.log1p(counts), np.log1p(hits), np.minimum(20 * share, 3), np.minimum(hits, 3), hits > 0))
 
 
+def dependence(x: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """For each pair of voters, the likelihood (ln) that joint rates within the classes gain over independent ones; 0 where it doesn't pay
+    for a parameter more in each class."""
+    gain = np.zeros((x.shape[1], x.shape[1]))
+    for q in (1 - p, p):
+        n, one = q.sum(), q @ x
+        both = (x * q[:, None]).T @ x
+        for own, other, joint in ((one, one, both), (one, n - one, one[:, None] - both), (n - one, one, one[None, :] - both), (n - one, n - one, n - one[:, None] - one[None, :] + both)):
+            joint = np.maximum(joint, 0)
+            expected = np.maximum(np.outer(own, other) / max(n, 1e-9), 1e-12)
+            gain += joint * np.log(np.maximum(joint, 1e-12) / expected)
+    gain = (gain + gain.T) / 2
+    np.fill_diagonal(gain, 0)
+    return np.where(gain > np.log(max(len(p), 2)), gain, 0)
+
+
+def forest(gain: np.ndarray) -> np.ndarray:
+    """Parents of the maximum spanning forest, -1 for roots; pairs without gain aren't edges."""
+    m = len(gain)
+    parent, done, best, link = np.full(m, -1), np.zeros(m, bool), np.zeros(m), np.full(m, -1)
+    for _ in range(m):
+        at = int(np.where(done, -1, best).argmax())
+        parent[at], done[at] = link[at], True
+        nearer = ~done & (gain[at] > best)
+        best[nearer], link[nearer] = gain[at][nearer], at
+    return parent
+
+
 def label_model(votes: np.ndarray, label: np.ndarray, s: Supervision) -> tuple[np.ndarray, dict]:
-    """Posteriors of the rows, and the estimated rates, weights and prior.
+    """Posteriors of the rows, and what was estimated: prior, rates (class, voter), parents of voters (-1: none), and given (class, vote
+    of the parent, voter), the rates under either vote of the parent. The annotator is the last voter.
 
     votes: rows by voters, 0 or 1. label: 0 or 1, the annotator's vote.
     """
     x = np.column_stack((votes, label)).astype(float)
     p = np.where(label == 1, 0.95, np.minimum(0.02 + 0.1 * votes.sum(1), 0.3))
-    weight = np.ones(x.shape[1])
-    rates, prior = None, None
+    parents = above = prior = rates = given = None
     for r in range(s.rounds):
-        prior = (p.sum() + 1) / (len(p) + 2)
-        rates = np.stack([((q[:, None] * x).sum(0) + 0.5) / (q.sum() + 1) for q in (1 - p, p)])
-        rates = np.clip(rates, 1e-5, 1 - 1e-5)
         if r % 5 == 0:
-            # correlations of voters within the classes; the annotator keeps its weight
-            z = (x - (p[:, None] * rates[1] + (1 - p)[:, None] * rates[0])) / np.sqrt(p[:, None] * (rates[1] * (1 - rates[1])) + (1 - p)[:, None] * (rates[0] * (1 - rates[0])))
-            corr = np.clip(z.T @ z / len(p), 0, 1)
-            np.fill_diagonal(corr, 0)
-            weight = 1 / (1 + corr.sum(1))
-            weight[-1] = 1
-        logit = np.log(prior / (1 - prior)) + x @ (weight * np.log(rates[1] / rates[0])) + (1 - x) @ (weight * np.log((1 - rates[1]) / (1 - rates[0])))
+            parents = np.append(forest(dependence(x[:, :-1], p)), -1)
+            above = np.where(parents >= 0, x[:, parents], 0)
+        prior = (p.sum() + 1) / (len(p) + 2)
+        rates = np.stack([(q @ x + 0.5) / (q.sum() + 1) for q in (1 - p, p)])
+        # a parent's rare vote says little, so its rates lean on those of the class by one row's weight
+        given = np.stack([[(q @ (x * a) + rate) / (q @ a + 1) for a in (1 - above, above)] for q, rate in zip((1 - p, p), rates, strict=True)])
+        given = np.clip(given, 1e-5, 1 - 1e-5)
+        yes, no = np.log(given[1] / given[0]), np.log((1 - given[1]) / (1 - given[0]))
+        logit = np.log(prior / (1 - prior)) + no[0].sum() + above @ (no[1] - no[0]) + x @ (yes[0] - no[0]) + (x * above) @ (yes[1] - no[1] - yes[0] + no[0])
         after = 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
-        if np.abs(after - p).max() < 1e-4:
+        if np.abs(after - p).max(initial=0) < 1e-4:
             p = after
             break
         p = after
-    return p, {"prior": prior, "rates": rates, "weight": weight}
+    return p, {"prior": prior, "rates": rates, "parents": parents, "given": given}
 
 
 def fit(x: np.ndarray, p: np.ndarray, s: Supervision) -> tuple[np.ndarray, float, np.ndarray]:
