@@ -43,9 +43,9 @@ def field_language(text: Column, short: Callable[[Column], Column] | None = None
             asked = F.when(found.isNull(), "unknown").when(found.isin("uk", "en"), found).otherwise("mixed")
         return F.when(letters < 3, "unknown").when(share >= 0.85, "uk").when(share <= 0.15, "en").when(letters >= 40, "mixed").otherwise(asked)
 
-    both = cyrillic(text) + latin(text)
-    part = F.try_divide(cyrillic(text), both)
-    asks = [short(F.when(both.between(3, 39) & (part > 0.15) & (part < 0.85), text)).alias("short")] if short else []
+    part = lambda n: F.try_divide(n["cyr"], n["cyr"] + n["lat"])
+    asked = let(F.struct(cyrillic(text).alias("cyr"), latin(text).alias("lat")), lambda n: (n["cyr"] + n["lat"]).between(3, 39) & (part(n) > 0.15) & (part(n) < 0.85))
+    asks = [short(F.when(asked, text)).alias("short")] if short else []
     counted = let(F.struct(cyrillic(text).alias("cyr"), latin(text).alias("lat"), *asks), decided)
     return F.when(text == "", "empty").when(strip(text) == "", "empty").otherwise(counted)
 

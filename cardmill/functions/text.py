@@ -123,7 +123,7 @@ def is_json_list(value: Column) -> Column:
 
 def cyrillic(text: Column) -> Column:
     """how many of U+0400 to U+04FF."""
-    return F.length(F.regexp_replace(text, r"[^\u0400-\u04FF]", ""))
+    return F.length(F.regexp_replace(text, r"[^\u0400-\u04FF]+", ""))
 
 
 def latin(text: Column) -> Column:

@@ -240,7 +240,7 @@ def short_languages(spark, sf_dir):
     """X15 with profiles of four fifths of the documents: every sentence of two words or more, its last word in the other script."""
     spanish = F.col("lang") == "es"
     lower = F.lower("text")
-    marked = spread(table(spark, sf_dir, "documents")).select("doc_id", F.when(spanish, "uk").otherwise(F.col("lang")).alias("lang"), F.when(spanish, F.translate(lower, _ASCII + _ACCENTS, _CYRILLIC + _SOFT)).otherwise(lower).alias("text"))
+    marked = table(spark, sf_dir, "documents").select("doc_id", F.when(spanish, "uk").otherwise(F.col("lang")).alias("lang"), F.when(spanish, F.translate(lower, _ASCII + _ACCENTS, _CYRILLIC + _SOFT)).otherwise(lower).alias("text"))
     short = detector(profiles(marked.filter("doc_id % 5 <> 0")))
     piece = marked.select("doc_id", "lang", F.explode(F.transform(F.split("text", r"[.!?|\n]+"), words)).alias("ws")).filter(F.size("ws") > 1)
     last = F.translate(F.element_at("ws", -1), _ASCII + _CYRILLIC, _CYRILLIC + _ASCII)
