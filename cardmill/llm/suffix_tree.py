@@ -3,10 +3,15 @@
 Alphabet. Every word of the training texts is a symbol of its own, and so is the end of a text; a word that no training text
 has is one of six symbols by its spelling. The alphabet grows with the corpus.
 
-Tree. A state is a context of up to `depth` symbols. Contexts and next-symbol counts are candidates from `context_count` and
+Tree. A state is a context of any length. Contexts and next-symbol counts are candidates from `context_count` and
 `pair_count` occurrences on, which are absolute, and all counts are exact. A state is retained where its next symbols diverge from
 those of the context one symbol shorter: the log-likelihood gain of its counts must exceed half the logarithm of the token number for
-each of them. Nothing else bounds the tree, so it grows with the corpus.
+each of them. The tree grows a length at a time until `barren` lengths in a row retain no state; there is no limit of length, unless
+`depth` is given.
+
+Candidates. A context seen T times whose shorter one is seen P times gains T * ln(P / T) at most, and what is longer T / e at most, so
+where neither exceeds the penalty of one next symbol its sequences aren't asked for. Where the shorter context always has one successor,
+or the longer is seen as often as the shorter, the counts follow from those at hand. Both lose no state.
 
 Smoothing. Counts are discounted by a constant, and the state's rest goes to the distribution of the next shorter state.
 A text starts behind an end; contexts don't reach further back. At the root each word is discounted; what that
@@ -14,9 +19,9 @@ frees, and half a count, is the probability of an unseen word of its spelling. S
 and the end sum to 1 in each state, and a token is scored in the longest suffix state of what precedes it.
 
 Passes. Texts are packed once into segments of about `segment` tokens: numbers of words, words by hash, no strings. For one
-symbol, for two, and for the longer sequences a segment asks for the training counts of its distinct ones (sorted hashes, so eight bytes of shuffle or less each), and
-the tasks that own a range of the hashes add up and answer each segment in the order of its question. A sequence is asked
-for only if it can occur twice by what the shorter ones say. Then each segment asks for its contexts, adding what the
+symbol, for two, and so on a segment asks for the training counts of its distinct sequences (sorted hashes, so eight bytes of shuffle or less each), and
+the tasks that own a range of the hashes add up and answer each segment in the order of its question. With the sequences of a length a
+segment asks for its contexts of which these counts are known by then, adding what the
 sequences it was given to own (each has one owner) say of their divergence; the answer is the retained states. It doesn't ask where it has
 seen all repeated sequences of a context itself. With all answers a
 segment scores its texts where they lie. Nothing is collected, broadcast or kept by one task for the whole: a question comes once
@@ -33,6 +38,7 @@ matter. A text of any length lies in one segment.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -45,7 +51,7 @@ from .store import arrow_limits, bucketed, documents, dropped_buckets, written
 from .words import U, Words, chunks, column, mix, release
 
 CLASSES = 6
-_END, _BEFORE = U(0xA24BAED4963EE407), U(0x9FB21C651E98DF25)
+_END = U(0xA24BAED4963EE407)
 _STEP = U(0x9E3779B97F4A7C15)
 _SURE = 1e30
 
@@ -54,7 +60,8 @@ _SURE = 1e30
 class Tree:
     context_count: int = 2
     pair_count: int = 2
-    depth: int = 3
+    depth: int | None = None  # of contexts; None: any
+    barren: int = 1  # so many lengths in a row without a state end the tree
     discount: float = 0.5  # of state counts
     word_discount: float = 0.75  # of words at the root
     segment: int = 1 << 19  # tokens
@@ -159,11 +166,29 @@ def _segments(t: Tree):
     return run
 
 
-class Segment:
-    """Some texts as numbers of words, and what is known of their sequences.
+@dataclass
+class Level:
+    """The sequences of a length in a segment, d symbols of context and a token: some tokens, and what is known of each."""
+
+    at: np.ndarray  # the tokens, rising
+    total: np.ndarray  # count of the context
+    above: np.ndarray  # count of the sequence without its first symbol
+    shorter: np.ndarray  # count of the context without its first symbol
+    context: np.ndarray  # number of the context
+    code: np.ndarray  # hash of the context
+    known: np.ndarray  # count of the sequence, where that follows from the others; else -1
+    one: np.ndarray  # a place of each distinct sequence, in the order of their hashes
+    number: np.ndarray  # of the sequence
+    keys: np.ndarray  # hashes of the distinct sequences
+    n: np.ndarray | None = None  # count of the sequence
+    owned: np.ndarray | None = None  # a place of each distinct sequence over both limits that this segment owns
+
+    def asked(self) -> np.ndarray:
+        return self.known[self.one] < 0
 
-    n[d]: training count of each token behind its context of d symbols (0 where under both limits); total[d]: of that context.
-    """
+
+class Segment:
+    """Some texts as numbers of words, and what is known of their sequences. All counts are those of training."""
 
     def __init__(self, t: Tree, words: bytes, texts: bytes):
         self.t = t
@@ -175,125 +200,133 @@ class Segment:
         self.pos = np.arange(len(tok)) - self.offs[self.row]
         self.learn = self.learns[self.row].astype(bool)
         self.sym = self.h[self.tok]
-        # each text behind an end, and what lies before that
-        place = np.arange(len(tok)) + (self.row + 1) * t.depth
-        line = np.full(len(tok) + len(n) * t.depth, _BEFORE)
-        line[place] = self.sym
-        line[self.offs[:-1] + np.arange(1, len(n) + 1) * t.depth - 1] = _END
-        self.code, code = [np.zeros(0, U)], np.zeros(len(line), U)
-        for d in range(1, t.depth + 1):
-            code[d:] = mix(code[d:] * _STEP + line[:-d])
-            self.code.append(code[place])
-        self.n: list[np.ndarray] = []
-        self.total = [np.zeros(0, np.int64)]
-        self.behind = [np.zeros(0, np.int64)]  # number of the context of each token, which is the sequence that the token before ends
-        self.one: list[np.ndarray] = [self.h]  # a token of each distinct sequence; the words themselves at first
-        self.owned: list[np.ndarray] = []  # a token of each distinct sequence over both limits that this segment owns
-
-    def sequences(self, d: int) -> tuple[np.ndarray, ...]:
-        """The question of a length: (tokens asked for, distinct keys, a token of each, number of the key of each token)."""
-        if d == 0:
-            return np.zeros(0, int), self.h, self.h, self.tok
-        least = min(self.t.context_count, self.t.pair_count)
+        self.tokens, self.words = 0, np.zeros(0, np.int64)
+        self.levels: list[Level | None] = [None]
+        self.states: list[tuple[np.ndarray, np.ndarray]] = []  # answers about the open contexts of each length
+
+    def before(self) -> np.ndarray:
+        """The word before each token; a text starts behind an end."""
+        out = np.empty(len(self.tok), np.int64)
+        out[1:], out[self.offs[:-1]] = self.tok[:-1], self.tok[-1]
+        return out
+
+    def extended(self, d: int) -> Level:
+        """The sequences of a length that may be of use, without their counts."""
+        t = self.t
         if d == 1:
-            may = (self.n[0] >= least) & (self.total[1] >= least)
-        else:  # every two successive symbols of it must be found that often
-            two = self.n[1] >= least
-            may = two & (self.pos >= d - 1)
-            for k in range(1, d):
-                may[k:] &= two[:-k]
-        ask = np.flatnonzero(may)
-        keys = mix(self.code[d][ask] * _STEP + self.sym[ask])
-        one, at = distinct(keys)
-        return ask, keys[one], ask[one], at
-
-    def learn_counts(self, asked: tuple[np.ndarray, ...]) -> np.ndarray:
-        ask, keys, _, at = asked
-        return np.bincount(at, self.learn[ask], len(keys)).astype(U)
-
-    def answered(self, asked: tuple[np.ndarray, ...], value: np.ndarray) -> None:
-        ask, _, one, at = asked
-        d, n = len(self.n), (value >> U(1)).astype(np.int64)
-        if d:
-            self.n.append(np.zeros(len(self.tok), np.int64))
-            self.n[d][ask] = n[at]
+            n, context = self.words[self.tok], self.before()
+            total, least = self.words[context], min(t.context_count, t.pair_count)
+            at = np.flatnonzero((n >= least) & (total >= least))
+            total, above, context = total[at], n[at], context[at]
+            shorter, known, code = np.full(len(at), self.tokens), np.full(len(at), -1), mix(self.h[context])
         else:
-            self.words, self.n = n, [n[at]]
-        number = self.tok
-        if d:
-            number = np.full(len(self.tok), -1)
-            number[ask] = at
-        first = self.offs[:-1]
-        for held, x, end in ((self.total, self.n[d], 0 if d else self.n[0][-1]), (self.behind, number, -1 if d else self.tok[-1])):
-            held.append(np.empty(len(x), np.int64))
-            held[-1][1:], held[-1][first] = x[:-1], end
-        if d:
-            self.one.append(one)
-            own = one[((value & U(1)) > 0) & (n >= self.t.pair_count)]
-            self.owned.append(own[self.total[d][own] >= self.t.context_count])
-
-    def contexts(self) -> list[tuple[np.ndarray, ...]]:
-        """For each length of contexts: (tokens, number of the context of each, hashes, totals, which are open).
+            last = self.levels[d - 1]
+            place = np.full(len(self.tok), -1)
+            place[last.at] = np.arange(len(last.at))
+            back = place[last.at - 1]
+            to = np.flatnonzero((self.pos[last.at] >= d - 1) & (back >= 0))
+            back = back[to]
+            total, shorter, above = last.n[back], last.total[to], last.n[to]
+            limit, most = penalty(self.tokens), np.minimum(total, above)
+            use = (above >= t.pair_count) & (total >= t.context_count) & (diverges(total, shorter, limit) | (total > 2.7 * limit))
+            use |= (most >= t.context_count) & diverges(np.minimum(most, above / np.e), above, limit)  # it is a context itself
+            to, back, total, shorter, above = (x[use] for x in (to, back, total, shorter, above))
+            at, context = last.at[to], last.number[back]
+            first = np.where(self.pos[at] >= d, self.sym[at - d], _END)
+            code = mix(last.code[to] * _STEP + first)
+            known = np.where(total == shorter, above, np.where(above == shorter, total, -1))
+        keys = mix(code * _STEP + self.sym[at])
+        one, number = distinct(keys)
+        return Level(at, total, above, shorter, context, code, known, one, number, keys[one])
+
+    def question(self, d: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the sequences of a length to ask for, and how many of each are in training here."""
+        x = self.extended(d)
+        asked = x.asked()
+        return x.keys[asked], np.bincount(x.number, self.learn[x.at], len(x.one))[asked].astype(U)
+
+    def answered(self, d: int, value: np.ndarray) -> None:
+        n, own = (value >> U(1)).astype(np.int64), (value & U(1)) > 0
+        if d == 0:
+            self.words = n
+            return
+        x = self.extended(d)
+        asked, counts = x.asked(), x.known[x.one]
+        counts[asked] = n
+        x.n = counts[x.number]
+        x.owned = x.one[asked][own]
+        x.owned = x.owned[(x.n[x.owned] >= self.t.pair_count) & (x.total[x.owned] >= self.t.context_count)]
+        self.levels.append(x)
+
+    def contexts(self, d: int) -> tuple[np.ndarray, ...]:
+        """(hashes, counts, which may be states, which are open) of the contexts of a length by their numbers.
 
         Open are those that may have pairs which this segment hasn't seen; the others need no question.
         """
-        out = []
-        for d in range(1, self.t.depth + 1):
-            ask = np.flatnonzero(self.total[d] >= self.t.context_count)
-            at = self.behind[d][ask]
-            place, total = np.zeros(len(self.one[d - 1]), np.int64), np.zeros(len(self.one[d - 1]), np.int64)
-            place[at], total[at] = ask, self.total[d][ask]
-            one = self.one[d][self.total[d][self.one[d]] >= self.t.context_count]
-            seen = np.bincount(self.behind[d][one], self.n[d][one], len(total))
-            out.append((ask, at, self.code[d][place], total, total - seen >= max(self.t.pair_count, 1)))
-        return out
-
-    def divergence(self, d: int, tokens: int, pairs: np.ndarray) -> tuple[np.ndarray, ...]:
-        """What some sequences (a token of each) say of their contexts of d symbols: how many they are, their counts and their gain."""
-        size, at = len(self.one[d - 1]), self.behind[d][pairs]
-        n, above = self.n[d][pairs], self.n[d - 1][pairs] / (tokens if d == 1 else self.total[d - 1][pairs])
-        gain = np.bincount(at, n * np.log(n / self.total[d][pairs] / above), size)
+        t, pairs = self.t, self.levels[d]
+        if d == 1:
+            keys, total, shorter, inner = self.h, self.words, np.full(len(self.words), self.tokens), True
+        else:
+            x = self.levels[d - 1]
+            keys, total, shorter, inner = x.keys, x.n[x.one], x.above[x.one], self.sym[x.at[x.one]] != _END
+        may = (total >= t.context_count) & diverges(total, shorter, penalty(self.tokens)) & inner
+        seen = np.bincount(pairs.context[pairs.one], pairs.n[pairs.one], len(total))
+        return keys, total, may, may & (total - seen >= max(t.pair_count, 1))
+
+    def divergence(self, d: int, pairs: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+        """What some sequences say of their contexts: how many they are, their counts and their gain."""
+        x = self.levels[d]
+        n, at = x.n[pairs], x.context[pairs]
+        gain = np.bincount(at, n * np.log(n / x.total[pairs] * (x.shorter[pairs] / x.above[pairs])), size)
         return np.bincount(at, minlength=size), np.bincount(at, n, size).astype(np.int64), gain
 
-    def open_contexts(self, tokens: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    def open_contexts(self, d: int) -> tuple[np.ndarray, list[np.ndarray]]:
         """The question of contexts: those to ask for, and others of which this segment owns sequences, in the order of their
         hashes; with what the owned sequences say."""
-        contexts = self.contexts()
-        keys, total, open_ = (np.concatenate([x[i] for x in contexts]) for i in (2, 3, 4))
-        kinds, paired, gain = (np.concatenate(c) for c in zip(*(self.divergence(d, tokens, own) for d, own in enumerate(self.owned, 1)), strict=True))
+        keys, total, may, open_ = self.contexts(d)
+        kinds, paired, gain = self.divergence(d, self.levels[d].owned, len(keys))
         # whose sequences are all owned here is judged here: it is sent as a state beyond doubt, or not at all
         whole = (kinds > 0) & (total - paired < self.t.pair_count)
-        state = gain > penalty(tokens) * kinds
-        kinds[whole & ~state] = paired[whole & ~state] = 0
-        gain[whole] = np.where(state[whole], _SURE, 0)
+        state = gain > penalty(self.tokens) * kinds
+        none = ~may | (whole & ~state)
+        kinds[none] = paired[none] = 0
+        gain[whole | none] = np.where(state & whole & may, _SURE, 0)[whole | none]
         send = np.flatnonzero(open_ | (kinds > 0))
         send = send[np.argsort(keys[send])]
         return keys[send], [kinds[send].astype(U) << U(1) | open_[send].astype(U), paired[send].astype(U), gain[send].astype("<f4").view("<u4").astype(U)]
 
-    def probabilities(self, roots: Callable, tokens: int, kinds: np.ndarray, paired: np.ndarray) -> np.ndarray:
-        """Of each token; kinds and paired answer the open contexts in the order of their hashes."""
+    def probabilities(self, roots: Callable) -> np.ndarray:
+        """Of each token in the longest state before it."""
         t, p = self.t, roots(self.cls.astype(np.int64), self.words)[self.tok]
-        contexts = self.contexts()
-        keys, open_ = (np.concatenate([x[i] for x in contexts]) for i in (2, 4))
-        order = np.flatnonzero(open_)
-        order = order[np.argsort(keys[order])]
-        answered = np.zeros((2, len(keys)), np.int64)
-        answered[:, order] = kinds, paired
-        ends = np.cumsum([0, *(len(x[2]) for x in contexts)])
-        for d, (ask, at, _, total, own) in enumerate(contexts, 1):
-            one = self.one[d]
-            one = one[(self.n[d][one] >= t.pair_count) & (self.total[d][one] >= t.context_count)]
-            k, c, gain = self.divergence(d, tokens, one)
-            kept = gain > penalty(tokens) * k
-            k, c = (np.where(own, a[ends[d - 1] : ends[d]], np.where(kept, x, 0)) for a, x in zip(answered, (k, c), strict=True))
-            state = k[at] > 0
-            ask, at = ask[state], at[state]
-            n = self.n[d][ask]
+        for d, (kinds, paired) in enumerate(self.states, 1):
+            x = self.levels[d]
+            keys, total, may, open_ = self.contexts(d)
+            k, c, gain = self.divergence(d, x.one[(x.n[x.one] >= t.pair_count) & (x.total[x.one] >= t.context_count)], len(keys))
+            k[~may | (gain <= penalty(self.tokens) * k)] = 0
+            order = np.flatnonzero(open_)
+            order = order[np.argsort(keys[order])]
+            k[order], c[order] = kinds, paired
+            if d == 1:
+                at = self.before()
+                token = np.flatnonzero(k[at] > 0)
+                at = at[token]
+            else:
+                last = self.levels[d - 1]
+                state = k[last.number] > 0
+                token, at = last.at[state] + 1, last.number[state]
+            n = np.zeros(len(self.tok), np.int64)
+            n[x.at] = x.n
+            n = n[token]
             rest = 1 - (c[at] - t.discount * k[at]) / total[at]
-            p[ask] = np.where(n >= t.pair_count, (n - t.discount) / total[at], 0.0) + rest * p[ask]
+            p[token] = np.where(n >= t.pair_count, (n - t.discount) / total[at], 0.0) + rest * p[token]
         return p
 
 
+def diverges(total: np.ndarray, shorter: np.ndarray, limit: float) -> np.ndarray:
+    """Whether contexts may gain more than the limit over those one symbol shorter, whatever follows them."""
+    return total * np.log(np.maximum(shorter, 1) / np.maximum(total, 1)) > limit * (1 - 1e-6)
+
+
 def penalty(tokens: int) -> float:
     return 0.5 * float(np.log(max(tokens, 2)))
 
@@ -323,22 +356,24 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list
         yield *now, held
 
 
-def _read(t: Tree, batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[tuple[int, Segment, list[np.ndarray]]]:
-    """Each segment with the answers to the first questions, and both columns of that about its contexts."""
+def _read(t: Tree, batches: Iterator[pa.RecordBatch], tokens: int, lengths: int, states: int) -> Iterator[tuple[int, Segment]]:
+    """Each segment with the answers about the sequences of some lengths and the contexts of some."""
     for batch in batches:
         for seg, words, texts, answers in zip(*(column(batch, c).to_pylist() for c in ("seg", "words", "texts", "answers")), strict=True):
-            yield seg, *_informed(Segment(t, words, texts), answers or [], levels)
+            yield seg, _informed(Segment(t, words, texts), answers or [], tokens, lengths, states)
 
 
-def _informed(segment: Segment, answers: list[dict], levels: int) -> tuple[Segment, list[np.ndarray]]:
+def _informed(segment: Segment, answers: list[dict], tokens: int, lengths: int, states: int) -> Segment:
     out: dict[int, list] = {}
     for x in sorted(answers, key=lambda x: (x["level"], x["part"])):
         out.setdefault(x["level"], []).append((unpack(x["a"]), unpack(x["b"] or b"")))
-    t = segment.t
-    both = [[np.concatenate(x) for x in zip(*out[i], strict=True)] if i in out else [np.zeros(0, U)] * 2 for i in range(t.depth + 2)]
-    for level in range(min(levels, t.depth + 1)):
-        segment.answered(segment.sequences(level), both[level][0])
-    return segment, both[-1]
+    both = {level: [np.concatenate(x) for x in zip(*rows, strict=True)] for level, rows in out.items()}
+    none = [np.zeros(0, U)] * 2
+    segment.tokens = tokens
+    for d in range(lengths):
+        segment.answered(d, both.get(d, none)[0])
+    segment.states = [tuple(x.view(np.int64) for x in both.get(-d, none)) for d in range(1, states + 1)]
+    return segment
 
 
 def _asked(level: int, seg: int, parts: int, keys: np.ndarray, *fields: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -360,24 +395,23 @@ def _word_questions(parts: int):
     return run
 
 
-def _questions(t: Tree, levels: list[int], parts: int, tokens: int):
-    """Of lengths of sequences, and beyond the last of them of the contexts."""
+def _questions(t: Tree, levels: list[int], parts: int, tokens: int, lengths: int):
+    """Of sequences of a length, and of contexts: their lengths are negative."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for seg, s, _ in _read(t, batches, levels[0]):
+        for seg, s in _read(t, batches, tokens, lengths, 0):
             for level in levels:
-                if level <= t.depth:
-                    asked = s.sequences(level)
-                    yield from _asked(level, seg, parts, asked[1], s.learn_counts(asked))
+                if level > 0:
+                    yield from _asked(level, seg, parts, *s.question(level))
                 else:
-                    keys, fields = s.open_contexts(tokens)
+                    keys, fields = s.open_contexts(-level)
                     yield from _asked(level, seg, parts, keys, *fields)
         release()
 
     return run
 
 
-def _answers(t: Tree, tokens: int):
+def _answers(tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, level, rows in _grouped(batches):
             fields = [[unpack(r[i] or b"") for r in rows] for i in range(1, 5)]
@@ -390,7 +424,7 @@ def _answers(t: Tree, tokens: int):
                 new[1:] |= y[order][1:] != y[order][:-1]
             first, group = np.flatnonzero(new), np.cumsum(new) - 1
             out, a, b, asked = [], np.empty(len(keys), U), None, np.ones(len(keys), bool)
-            if level <= t.depth:
+            if level >= 0:
                 total = np.add.reduceat(x[order], first)
                 a[order] = (total[group] << U(1)) | new.astype(U)  # one of those that ask owns it
             else:
@@ -399,6 +433,8 @@ def _answers(t: Tree, tokens: int):
                 gain = np.add.reduceat(z.astype("<u4").view("<f4").astype(float)[order], first)
                 kept = gain > penalty(tokens) * kinds  # without pairs neither is over the other
                 a[order], b[order] = np.where(kept, kinds, 0)[group], np.where(kept, paired, 0)[group]
+            if level:  # how many sequences were asked for, or contexts retained
+                out.append((-1 - part, level, part, None, None, int(len(first) if level > 0 else kept.sum()), 0))
             if level == 0:
                 cls = z[order][first].astype(np.int64)
                 n, types = np.bincount(cls, total, CLASSES + 1), np.bincount(cls, total > 0, CLASSES + 1)
@@ -415,7 +451,7 @@ def _answers(t: Tree, tokens: int):
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _scored(t: Tree, tokens: int, types: np.ndarray):
+def _scored(t: Tree, tokens: int, types: np.ndarray, states: int):
     """types: how many words of each spelling training has, and 1 for the end."""
     unseen = np.append(t.word_discount * types[:CLASSES] + 0.5, 0.5)
     mass, words = tokens + 0.5 * (CLASSES + 1), int(types.sum())
@@ -424,12 +460,12 @@ def _scored(t: Tree, tokens: int, types: np.ndarray):
         return np.where(cls == CLASSES, n + 0.5, np.where(n > 0, n - t.word_discount, unseen[cls])) / mass
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, s, answers in _read(t, batches, t.depth + 2):
-            p = s.probabilities(roots, tokens, *(x.view(np.int64) for x in answers))
+        for _, s in _read(t, batches, tokens, states + 1, states):
+            p = s.probabilities(roots)
             by_row = lambda x: np.bincount(s.row, x, len(s.ids))
             n = np.diff(s.offs)
             base = by_row(np.log10(s.words + 1.0)[s.tok]) - n * np.log10(tokens + words + 1)
-            cols = [pa.array(s.ids, mask=s.has == 0), pa.array(s.learns == 0), pa.array(n), pa.array(by_row(s.n[0] > 0).astype(np.int64)), pa.array(np.full(len(n), tokens)), pa.array(base), pa.array(by_row(np.log10(p)))]
+            cols = [pa.array(s.ids, mask=s.has == 0), pa.array(s.learns == 0), pa.array(n), pa.array(by_row(s.words[s.tok] > 0).astype(np.int64)), pa.array(np.full(len(n), tokens)), pa.array(base), pa.array(by_row(np.log10(p)))]
             out = pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in _SCORES.split(", ")])
             for a in range(0, out.num_rows, 50_000):
                 yield out.slice(a, 50_000)
@@ -463,16 +499,25 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
         none = F.array().cast("array<struct<level:int,part:int,a:binary,b:binary>>")
         return out.select("seg", "words", "texts", F.concat(*(F.coalesce(n, none) for n in names)).alias("answers"))
 
-    tokens, types = 0, np.zeros(CLASSES + 1, np.int64)
-    for levels in [[0], [1], list(range(2, t.depth + 1)), [t.depth + 1]]:
-        if levels and levels[0] <= t.depth + 1:
-            asked = known().mapInArrow(_questions(t, levels, parts, tokens), _ASK) if answers else segs.select("seg", "words", "more").mapInArrow(_word_questions(parts), _ASK)
-            told = asked.repartition(tasks(parts), "part").sortWithinPartitions("part", "level", "seg").mapInArrow(_answers(t, tokens), _ROW)
-            answers.append(bucketed(told, f"answers{levels[0]}", "seg", buckets))
-        if levels == [0]:
-            for r in answers[0].filter("seg < 0").groupBy("level").agg(F.sum("n").alias("n"), F.sum("types").alias("types")).collect():  # a row for each spelling
-                tokens, types[r.level] = tokens + r.n, r.types
-    out = written(known().mapInArrow(_scored(t, tokens, types), _SCORES), "scores")
+    def ask(levels: list[int]) -> dict[int, tuple[int, int]]:
+        asked = known().mapInArrow(_questions(t, levels, parts, tokens, len(answers)), _ASK) if answers else segs.select("seg", "words", "more").mapInArrow(_word_questions(parts), _ASK)
+        told = asked.repartition(tasks(parts), "part").sortWithinPartitions("part", "level", "seg").mapInArrow(_answers(tokens), _ROW)
+        answers.append(bucketed(told, f"answers{len(answers)}", "seg", buckets))
+        sums = answers[-1].filter("seg < 0").groupBy("level").agg(F.sum("n").alias("n"), F.sum("types").alias("types"))
+        return {r.level: (r.n, r.types) for r in sums.collect()}  # a row for each spelling, or for each question
+
+    tokens, types, states = 0, np.zeros(CLASSES + 1, np.int64), 0
+    for c, (n, kinds) in ask([0]).items():
+        tokens, types[c] = tokens + n, kinds
+    if tokens and t.depth != 0:
+        ask([1])
+        for d in itertools.count(2):
+            more = t.depth is None or d <= t.depth
+            if ask([d, 1 - d] if more else [1 - d]).get(1 - d, (0, 0))[0]:
+                states = d - 1
+            if not more or d - 1 - states >= t.barren:
+                break
+    out = written(known().mapInArrow(_scored(t, tokens, types, states), _SCORES), "scores")
     for x in (segs, *answers):
         dropped_buckets(x)
     return out

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import collections
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -59,20 +60,18 @@ class PlainTree:
     def __init__(self, texts, t):
         self.t, self.words = t, [[*split(x), b" "] for x in texts]
         seqs = [[b" ", *w] for w in self.words]
-        self.n = [collections.Counter() for _ in range(t.depth + 1)]
-        for w in seqs:
-            for i in range(1, len(w)):
-                for d in range(t.depth + 1):
-                    if d <= i:
-                        self.n[d][tuple(w[i - d : i + 1])] += 1
-        self.total, self.next = collections.Counter(), collections.defaultdict(list)
-        for d in range(t.depth + 1):
+        self.n, self.total, self.next, self.states = [], collections.Counter(), collections.defaultdict(list), set()
+        for d in itertools.count():
+            self.n.append(collections.Counter(tuple(w[i - d : i + 1]) for w in seqs for i in range(max(d, 1), len(w))))
             for s, n in self.n[d].items():
                 self.total[s[:-1]] += n
                 if n >= t.pair_count:
                     self.next[s[:-1]].append((s[-1], n))
-        self.tokens, self.types = self.total[()], collections.Counter(self.spelling(w) for (w,) in self.n[0])
-        self.states = {c for c in self.next if c and self.total[c] >= t.context_count and self.gain(c) > 0.5 * math.log(max(self.tokens, 2)) * len(self.next[c])}
+            self.tokens = self.total[()]
+            self.states |= {c for c in self.next if 0 < len(c) == d and self.total[c] >= t.context_count and self.gain(c) > 0.5 * math.log(max(self.tokens, 2)) * len(self.next[c])}
+            if d == t.depth or d - max(map(len, self.states), default=0) >= t.barren:
+                break
+        self.types = collections.Counter(self.spelling(w) for (w,) in self.n[0])
 
     @staticmethod
     def spelling(w):
@@ -100,7 +99,7 @@ class PlainTree:
 
     def score(self, text):
         w = [b" ", *split(text), b" "]
-        return sum(math.log10(self.p(w[max(0, i - self.t.depth) : i], w[i])) for i in range(1, len(w)))
+        return sum(math.log10(self.p(w[max(0, i - len(self.n)) : i], w[i])) for i in range(1, len(w)))
 
 
 def test_scores_are_those_of_a_plain_tree(spark, small, hard):
@@ -116,6 +115,21 @@ def test_scores_are_those_of_a_plain_tree(spark, small, hard):
             assert abs(sum(plain.p(c, s) for s in [w for (w,) in plain.n[0]] + unseen) - 1) < 1e-9
 
 
+def test_contexts_of_any_length(spark, tmp_path):
+    """What follows a phrase hangs on a word five words back, then on one nine words back."""
+    r, rows, own = random.Random(6), [], suffix_tree.Tree(barren=4, segment=4000, part=500)
+    for i in range(900):
+        far, near = r.choice(["red", "blue"]), r.choice(["cat", "dog"])
+        rows.append((i, f"{far} one two three {near} a b c d " + {"cat": "purrs", "dog": "barks"}[near] + {"red": " x", "blue": " y"}[far] + " " + " ".join(r.choices(words(9, 50), k=20))))
+    path = str(tmp_path / "d")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    plain = PlainTree([x for i, x in rows if zlib.crc32(str(i).encode()) % 7 != 2], own)
+    assert tuple(b"cat a b c d".split()) in plain.states and tuple(b"blue one two three dog a b c d barks".split()) in plain.states
+    got = sorted((r.doc_id, r.score) for r in suffix_tree.score_documents(docs, learn(), own).collect())
+    assert np.allclose([s for _, s in got], [plain.score(x) for _, x in rows], rtol=1e-9)
+
+
 def thue_morse(n: int) -> tuple[str, str]:
     x = "a"
     for _ in range(n):
