@@ -54,6 +54,8 @@ CLASSES = 6
 _END = U(0xA24BAED4963EE407)
 _STEP = U(0x9E3779B97F4A7C15)
 _SURE = 1e30
+_STATE = 1 << 20  # in place of a length
+_SPARSE = 4  # from this length on a segment's state is small beside its answers and travels with the questions
 
 
 @dataclass(frozen=True)
@@ -176,7 +178,7 @@ class Level:
     shorter: np.ndarray  # count of the context without its first symbol
     context: np.ndarray  # number of the context
     code: np.ndarray  # hash of the context
-    known: np.ndarray  # count of the sequence, where that follows from the others; else -1
+    known: np.ndarray  # count of the sequence, where that follows from the others; else 0
     one: np.ndarray  # a place of each distinct sequence, in the order of their hashes
     number: np.ndarray  # of the sequence
     keys: np.ndarray  # hashes of the distinct sequences
@@ -184,7 +186,10 @@ class Level:
     owned: np.ndarray | None = None  # a place of each distinct sequence over both limits that this segment owns
 
     def asked(self) -> np.ndarray:
-        return self.known[self.one] < 0
+        return self.known[self.one] == 0
+
+    def fields(self) -> tuple[np.ndarray, ...]:
+        return self.at, self.total, self.above, self.shorter, self.context, self.code, self.known
 
 
 class Segment:
@@ -218,7 +223,7 @@ class Segment:
             total, least = self.words[context], min(t.context_count, t.pair_count)
             at = np.flatnonzero((n >= least) & (total >= least))
             total, above, context = total[at], n[at], context[at]
-            shorter, known, code = np.full(len(at), self.tokens), np.full(len(at), -1), mix(self.h[context])
+            shorter, known, code = np.full(len(at), self.tokens), np.zeros(len(at), np.int64), mix(self.h[context])
         else:
             last = self.levels[d - 1]
             place = np.full(len(self.tok), -1)
@@ -234,23 +239,37 @@ class Segment:
             at, context = last.at[to], last.number[back]
             first = np.where(self.pos[at] >= d, self.sym[at - d], _END)
             code = mix(last.code[to] * _STEP + first)
-            known = np.where(total == shorter, above, np.where(above == shorter, total, -1))
-        keys = mix(code * _STEP + self.sym[at])
+            known = np.where(total == shorter, above, np.where(above == shorter, total, 0))
+        return self.level(at, total, above, shorter, context, code, known)
+
+    def level(self, at: np.ndarray, *fields: np.ndarray) -> Level:
+        keys = mix(fields[4] * _STEP + self.sym[at])
         one, number = distinct(keys)
-        return Level(at, total, above, shorter, context, code, known, one, number, keys[one])
+        return Level(at, *fields, one, number, keys[one])
 
-    def question(self, d: int) -> tuple[np.ndarray, np.ndarray]:
+    def question(self, x: Level) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the sequences of a length to ask for, and how many of each are in training here."""
-        x = self.extended(d)
         asked = x.asked()
         return x.keys[asked], np.bincount(x.number, self.learn[x.at], len(x.one))[asked].astype(U)
 
-    def answered(self, d: int, value: np.ndarray) -> None:
+    def carried(self, x: Level) -> bytes:
+        """What the next question of a segment rests on: the sequences asked for, and those one symbol shorter."""
+        return _bundle(*(a.astype(np.int64).view(U) if a.dtype != U else a for y in (self.levels[-1], x) for a in y.fields()), self.levels[-1].n.view(U))
+
+    def resumed(self, d: int, data: bytes, value: np.ndarray) -> None:
+        """The state of carried() before sequences of d + 1 symbols of context are asked for, with the answer about those of d."""
+        fields = [a if i % 7 == 5 and i < 14 else a.view(np.int64) for i, a in enumerate(_unbundle(data, 15))]
+        last = self.level(*fields[:7])
+        last.n = fields[14]
+        self.levels = [None] * (d - 1) + [last]
+        self.answered(d, value, self.level(*fields[7:14]))
+
+    def answered(self, d: int, value: np.ndarray, x: Level | None = None) -> None:
         n, own = (value >> U(1)).astype(np.int64), (value & U(1)) > 0
         if d == 0:
             self.words = n
             return
-        x = self.extended(d)
+        x = x or self.extended(d)
         asked, counts = x.asked(), x.known[x.one]
         counts[asked] = n
         x.n = counts[x.number]
@@ -365,13 +384,16 @@ def _read(t: Tree, batches: Iterator[pa.RecordBatch], tokens: int, lengths: int,
 
 def _informed(segment: Segment, answers: list[dict], tokens: int, lengths: int, states: int) -> Segment:
     out: dict[int, list] = {}
-    for x in sorted(answers, key=lambda x: (x["level"], x["part"])):
+    for x in sorted((x for x in answers if x["level"] != _STATE), key=lambda x: (x["level"], x["part"])):
         out.setdefault(x["level"], []).append((unpack(x["a"]), unpack(x["b"] or b"")))
     both = {level: [np.concatenate(x) for x in zip(*rows, strict=True)] for level, rows in out.items()}
     none = [np.zeros(0, U)] * 2
     segment.tokens = tokens
-    for d in range(lengths):
-        segment.answered(d, both.get(d, none)[0])
+    if data := [x["a"] for x in answers if x["level"] == _STATE]:
+        segment.resumed(lengths - 1, data[0], both.get(lengths - 1, none)[0])
+    else:
+        for d in range(lengths):
+            segment.answered(d, both.get(d, none)[0])
     segment.states = [tuple(x.view(np.int64) for x in both.get(-d, none)) for d in range(1, states + 1)]
     return segment
 
@@ -402,7 +424,10 @@ def _questions(t: Tree, levels: list[int], parts: int, tokens: int, lengths: int
         for seg, s in _read(t, batches, tokens, lengths, 0):
             for level in levels:
                 if level > 0:
-                    yield from _asked(level, seg, parts, *s.question(level))
+                    x = s.extended(level)
+                    yield from _asked(level, seg, parts, *s.question(x))
+                    if level >= _SPARSE:  # its state comes back with the answers
+                        yield from _batch([((seg + (seg >> 33)) % parts, _STATE, seg, s.carried(x), None, None, None)], _ASK_SCHEMA)
                 else:
                     keys, fields = s.open_contexts(-level)
                     yield from _asked(level, seg, parts, keys, *fields)
@@ -414,6 +439,9 @@ def _questions(t: Tree, levels: list[int], parts: int, tokens: int, lengths: int
 def _answers(tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, level, rows in _grouped(batches):
+            if level == _STATE:
+                yield from _batch([(seg, level, part, data, None, None, None) for seg, data, *_ in rows], _ROW_SCHEMA)
+                continue
             fields = [[unpack(r[i] or b"") for r in rows] for i in range(1, 5)]
             ends = np.cumsum([0, *(len(k) for k in fields[0])])
             keys, x, y, z = (np.concatenate(f) for f in fields)
@@ -491,16 +519,21 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
     segs = bucketed(rows.mapInArrow(_segments(t), "seg long, words binary, texts binary, more binary"), "segments", "seg", buckets)
     answers: list[DataFrame] = []
 
-    def known() -> DataFrame:
-        out, names = segs.drop("more"), [f"answers{i}" for i in range(len(answers))]
-        for name, table in zip(names, answers, strict=True):
-            got = table.filter("seg >= 0").groupBy("seg").agg(F.collect_list(F.struct("level", "part", "a", "b")).alias(name))
+    def known(tables: list[DataFrame]) -> DataFrame:
+        out, names = segs.drop("more"), [f"answers{i}" for i in range(len(tables))]
+        for name, table in zip(names, tables, strict=True):
+            got = table.groupBy("seg").agg(F.collect_list(F.struct("level", "part", "a", "b")).alias(name))
             out = out.hint("merge").join(got, "seg", "left")
         none = F.array().cast("array<struct<level:int,part:int,a:binary,b:binary>>")
         return out.select("seg", "words", "texts", F.concat(*(F.coalesce(n, none) for n in names)).alias("answers"))
 
     def ask(levels: list[int]) -> dict[int, tuple[int, int]]:
-        asked = known().mapInArrow(_questions(t, levels, parts, tokens, len(answers)), _ASK) if answers else segs.select("seg", "words", "more").mapInArrow(_word_questions(parts), _ASK)
+        tables = [x.filter("seg >= 0") for x in answers]
+        if len(tables) > _SPARSE:
+            tables = tables[-1:]
+        else:
+            tables = [x.filter(F.col("level") != _STATE) for x in tables]
+        asked = known(tables).mapInArrow(_questions(t, levels, parts, tokens, len(answers)), _ASK) if answers else segs.select("seg", "words", "more").mapInArrow(_word_questions(parts), _ASK)
         told = asked.repartition(tasks(parts), "part").sortWithinPartitions("part", "level", "seg").mapInArrow(_answers(tokens), _ROW)
         answers.append(bucketed(told, f"answers{len(answers)}", "seg", buckets))
         sums = answers[-1].filter("seg < 0").groupBy("level").agg(F.sum("n").alias("n"), F.sum("types").alias("types"))
@@ -517,7 +550,7 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
                 states = d - 1
             if not more or d - 1 - states >= t.barren:
                 break
-    out = written(known().mapInArrow(_scored(t, tokens, types, states), _SCORES), "scores")
+    out = written(known([x.filter((F.col("seg") >= 0) & (F.col("level") != _STATE)) for x in answers]).mapInArrow(_scored(t, tokens, types, states), _SCORES), "scores")
     for x in (segs, *answers):
         dropped_buckets(x)
     return out
