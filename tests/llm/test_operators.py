@@ -116,8 +116,8 @@ def test_scores_are_those_of_a_plain_tree(spark, small, hard):
 
 
 def test_contexts_of_any_length(spark, tmp_path):
-    """What follows a phrase hangs on a word five words back, then on one nine words back."""
-    r, rows, own = random.Random(6), [], suffix_tree.Tree(barren=4, segment=4000, part=500)
+    """What follows a phrase hangs on a word five words back, then on one ten words back."""
+    r, rows, own = random.Random(6), [], suffix_tree.Tree(barren=6, segment=4000, part=500)
     for i in range(900):
         far, near = r.choice(["red", "blue"]), r.choice(["cat", "dog"])
         rows.append((i, f"{far} one two three {near} a b c d " + {"cat": "purrs", "dog": "barks"}[near] + {"red": " x", "blue": " y"}[far] + " " + " ".join(r.choices(words(9, 50), k=20))))
