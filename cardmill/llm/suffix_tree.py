@@ -6,8 +6,8 @@ has is one of six symbols by its spelling. The alphabet grows with the corpus.
 Tree. A state is a context of any length. Contexts and next-symbol counts are candidates from `context_count` and
 `pair_count` occurrences on, which are absolute, and all counts are exact. A state is retained where its next symbols diverge from
 those of the context one symbol shorter: the log-likelihood gain of its counts must exceed half the logarithm of the token number for
-each of them. The tree grows a length at a time until `barren` lengths in a row retain no state; there is no limit of length, unless
-`depth` is given.
+each of them. The tree grows a length at a time until `barren` lengths in a row add less than `share` of its states (0: none at all), a question
+round each; there is no limit of length, unless `depth` is given.
 
 Candidates. A context seen T times whose shorter one is seen P times gains T * ln(P / T) at most, and what is longer T / e at most, so
 where neither exceeds the penalty of one next symbol its sequences aren't asked for. Where the shorter context always has one successor,
@@ -63,7 +63,8 @@ class Tree:
     context_count: int = 2
     pair_count: int = 2
     depth: int | None = None  # of contexts; None: any
-    barren: int = 1  # so many lengths in a row without a state end the tree
+    share: float = 1 / 256  # a length with fewer of the states up to it is barren, as is one without any
+    barren: int = 1  # so many barren lengths in a row end the tree
     discount: float = 0.5  # of state counts
     word_discount: float = 0.75  # of words at the root
     segment: int = 1 << 19  # tokens
@@ -544,11 +545,16 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
         tokens, types[c] = tokens + n, kinds
     if tokens and t.depth != 0:
         ask([1])
+        fruitful = size = 0
         for d in itertools.count(2):
             more = t.depth is None or d <= t.depth
-            if ask([d, 1 - d] if more else [1 - d]).get(1 - d, (0, 0))[0]:
+            found = ask([d, 1 - d] if more else [1 - d]).get(1 - d, (0, 0))[0]
+            size += found
+            if found:
                 states = d - 1
-            if not more or d - 1 - states >= t.barren:
+            if found and found >= t.share * size:
+                fruitful = d - 1
+            if not more or d - 1 - fruitful >= t.barren:
                 break
     out = written(known([x.filter((F.col("seg") >= 0) & (F.col("level") != _STATE)) for x in answers]).mapInArrow(_scored(t, tokens, types, states), _SCORES), "scores")
     for x in (segs, *answers):

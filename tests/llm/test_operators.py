@@ -68,8 +68,10 @@ class PlainTree:
                 if n >= t.pair_count:
                     self.next[s[:-1]].append((s[-1], n))
             self.tokens = self.total[()]
-            self.states |= {c for c in self.next if 0 < len(c) == d and self.total[c] >= t.context_count and self.gain(c) > 0.5 * math.log(max(self.tokens, 2)) * len(self.next[c])}
-            if d == t.depth or d - max(map(len, self.states), default=0) >= t.barren:
+            found = {c for c in self.next if 0 < len(c) == d and self.total[c] >= t.context_count and self.gain(c) > 0.5 * math.log(max(self.tokens, 2)) * len(self.next[c])}
+            self.states |= found
+            fruitful = d if d == 0 or len(found) >= max(1, t.share * len(self.states)) else fruitful
+            if d == t.depth or d - fruitful >= t.barren:
                 break
         self.types = collections.Counter(self.spelling(w) for (w,) in self.n[0])
 
@@ -117,7 +119,7 @@ def test_scores_are_those_of_a_plain_tree(spark, small, hard):
 
 def test_contexts_of_any_length(spark, tmp_path):
     """What follows a phrase hangs on a word five words back, then on one ten words back."""
-    r, rows, own = random.Random(6), [], suffix_tree.Tree(barren=6, segment=4000, part=500)
+    r, rows, own = random.Random(6), [], suffix_tree.Tree(share=0, barren=6, segment=4000, part=500)
     for i in range(900):
         far, near = r.choice(["red", "blue"]), r.choice(["cat", "dog"])
         rows.append((i, f"{far} one two three {near} a b c d " + {"cat": "purrs", "dog": "barks"}[near] + {"red": " x", "blue": " y"}[far] + " " + " ".join(r.choices(words(9, 50), k=20))))
