@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import html
+import html.entities
+import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
@@ -14,10 +16,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def html_unescape(c: Column) -> Column:
+def html_unescape(c: Column, closed: bool = False) -> Column:
+    """Character references decoded; with closed only those that end in a semicolon, so a cut &amp stays."""
+    reference = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
+
+    def one(x: str) -> str:
+        return reference.sub(lambda m: html.unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html.entities.html5 else m[0], x)
+
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
-        return s.map(html.unescape, na_action="ignore")
+        return s.map(one if closed else html.unescape, na_action="ignore")
 
     return run(c)
 
@@ -112,8 +120,6 @@ def parse_listing(base_url: str, pdf_base_url: str, host_pattern: str, css_class
     A card's link is the first whose address matches host_pattern; its document id is the last part of that link's
     path, its registration number the first one in its text (else the link's text, else "unknown").
     """
-    import re
-
     host, number = re.compile(host_pattern), re.compile(r"\b\d{4}U\d{6}\b", re.IGNORECASE)
 
     def card(texts: list[str], links: list) -> tuple | None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cardmill import schemas
 from cardmill.functions import text as X
+from cardmill.functions import udfs
 from cardmill.operators import consolidate, duplicates, fields, reconcile, sections, variants
 from cardmill.plans import build
 from cardmill.sources import files, sinks, ziparchive
@@ -30,6 +31,13 @@ def test_schemas_have_their_sizes():
     assert len(set(schemas.TABLE_COLUMNS)) == 135
 
 
+def test_page_text_keeps_references_that_lack_their_semicolon_when_asked(spark):
+    html = "<p>a&amp;b &lt;i&gt; &#1110;&#x456; &nope; les&&amp<i>&amp;nbsp; x&copy 5&nbsp;</p>"
+    closed = X.page_text(F.col("h"), lambda c: udfs.html_unescape(c, closed=True))
+    assert value(spark, closed, h=html) == "a&b <i> іі &nope; les&&amp &nbsp; x&copy 5"
+    assert value(spark, X.page_text(F.col("h"), udfs.html_unescape), h="les&&amp</p>") == "les&&"
+
+
 @pytest.mark.parametrize("name, expected", [(f"0222U001232_{A}.pdf", A), (f"x/0222U001232_{A}(1).pdf", A), (f"2_0224U031550_{B.upper()}.pdf", B), ("none.pdf", None), (f"{A}_{B}.pdf", B), (f"{A}/x.pdf", None)])
 def test_doc_id(spark, name, expected):
     assert value(spark, X.doc_id_from_name(F.col("n")), n=name) == expected
