@@ -11,8 +11,11 @@ sizes give. Texts of equal sets are one row of the matrix (its node). Then:
    there. Rows with too few filled blocks to be sure of agreeing in a filled one are dealt again with all their
    columns, under other seeds, and at last emit the prefix of their n-grams, so no pair is lost.
 2. Row blocks. Rows that share signatures, directly or through others, and whose sizes allow a link form clusters (connected
-   components of chains by size; no pairs within a group are written). A cluster of more than `rows`
-   rows or `entries` entries is dealt into blocks, and each two blocks meet in one task.
+   components of chains by size; no pairs within a group are written). Where up to `apart` rows share one, each two are compared by
+   parities of their n-grams in 64 classes (rows of `parity` n-grams at most): these differ in no more classes than the sets in n-grams, so
+   texts that merely share a phrase don't chain up to a cluster that grows faster than the table. A cluster of more than `rows`
+   rows or `entries` entries is dealt into blocks, and each two blocks meet in one task. They meet in rounds, so that at once
+   about `moved` bytes lie on disk, or two copies of the large clusters.
 3. Product. A task multiplies the incidence of its rows, posting list by posting list, accumulating the
    overlaps of one row with all others at a time, and drops those below the size-derived
    bound. Only a spanning set of its links leaves the task; components of these give the classes.
@@ -26,6 +29,7 @@ false one, and among m different sets two are taken for one with a probability o
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,6 +54,9 @@ class Join:
     seeds: int = 6
     rows: int = 3000
     entries: int = 2_000_000
+    parity: int = 128
+    apart: int = 64
+    moved: int = 1 << 30  # bytes of text that large clusters move in one round, about
 
 
 class Sets:
@@ -76,6 +83,15 @@ class Sets:
         np.add.at(total, self.doc, mix(self.h ^ U(0xA0761D6478BD642F)))
         self.node = signed(mix(total + self.n.astype(U)))
 
+    def parities(self, most: int) -> np.ndarray:
+        """64 bits of each text: of how many n-grams of a class it has, the parity; 0 beyond `most` n-grams."""
+        out, some = np.zeros(len(self.n), U), np.flatnonzero((self.n > 0) & (self.n <= most))
+        pos, at = _entries(self, some)
+        bits = U(1) << (mix(self.h[pos] ^ U(0x8EBC6AF09C88C6E3)) >> U(58))
+        if len(some):
+            out[some] = np.bitwise_xor.reduceat(bits, np.cumsum(self.n[some]) - self.n[some])
+        return out
+
 
 class Classes:
     """Size classes, and for each the number of n-grams in which a pair at the threshold may differ."""
@@ -107,10 +123,10 @@ class Common:
         return out
 
 
-def signatures(sets: Sets, join: Join, common: Common | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(signature, node, size) of every column block that may decide a pair."""
+def signatures(sets: Sets, join: Join, common: Common | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, node, size, parities) of every column block that may decide a pair."""
     if not len(sets.h):
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.int64),) * 4
     classes = Classes(join, int(sets.n.max()))
     own = np.searchsorted(classes.up, np.maximum(sets.n, 1))
     _, rep = np.unique(sets.node, return_index=True)
@@ -126,7 +142,7 @@ def signatures(sets: Sets, join: Join, common: Common | None = None) -> tuple[np
         out += _dealt(sets, rep, c, classes, join, rare)
         down += 1
     rows = np.concatenate([r for _, r in out])
-    return np.concatenate([s for s, _ in out]), sets.node[rows], sets.n[rows]
+    return np.concatenate([s for s, _ in out]), sets.node[rows], sets.n[rows], signed(sets.parities(join.parity)[rows])
 
 
 def _entries(sets: Sets, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,50 +237,94 @@ def _signature_rows(join: Join, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for c in chunks(b):
-                sig, node, n = signatures(Sets(column(c, "text"), join.words), join, common.value)
-                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node), pa.array(n.astype(np.int32))], ["sig", "node", "n"])
+                sig, node, n, odd = signatures(Sets(column(c, "text"), join.words), join, common.value)
+                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node), pa.array(n.astype(np.int32)), pa.array(odd)], ["sig", "node", "n", "odd"])
 
     return run
 
 
-def _chains(percent: int, chunk: int = 1_000_000, together: int = 16):
+def related(sig: np.ndarray, node: np.ndarray, n: np.ndarray, odd: np.ndarray, join: Join, torn: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of rows that chain the nodes of each signature, in the order of signature, size and node: no linked pair is left apart.
+
+    torn: a signature of which other rows came before.
+    """
+    percent, n = join.percent, n.astype(np.int64)
+    near = lambda i, j: (100 * n[i] >= percent * n[j]) & (node[i] != node[j])
+    new = np.ones(len(sig), bool)
+    new[1:] = sig[1:] != sig[:-1]
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(sig)))
+    large = size > join.apart
+    if torn is not None:
+        large |= sig[first] == torn
+    i = np.flatnonzero(np.repeat(large, size) & ~np.append(new[1:], True))  # by size alone: no pair lies across a gap of sizes
+    i = i[near(i, i + 1)]
+    yield i, i + 1
+    i, end = np.flatnonzero(np.repeat(~large & (size > 1), size)), np.repeat(first + size, size)
+    for lag in range(1, join.apart):
+        i = i[i + lag < end[i]]
+        if not len(i):
+            break
+        j = i + lag
+        differ = np.where(n[j] <= join.parity, np.bitwise_count(odd[i] ^ odd[j]), 0).astype(np.int64)
+        pair = near(i, j) & (differ * (100 + percent) <= (100 - percent) * (n[i] + n[j]))
+        yield i[pair], j[pair]
+
+
+def _chains(join: Join, chunk: int = 1_000_000, together: int = 16):
     """Edges that connect the nodes of each signature of a task, as one star per local component; packed, with the group of
     `together` tasks in which they are to be merged.
 
-    Rows come in the order of signature, size and node. Nodes of a signature are chained by size where two neighbours' sizes
-    allow a link: where they don't, no pair across them does. A chunk hands on its last row, so a task holds a chunk.
+    Rows come in the order of signature, size and node. A chunk ends with its last whole signature; where one fills a chunk, the
+    last row is handed on, so a task holds a chunk or two.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        last = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
-
-        def edges(held: list) -> pa.RecordBatch:
-            nonlocal last
-            sig, node, n = (np.concatenate([last[i], *(h[i] for h in held)]) for i in range(3))
-            link = (sig[1:] == sig[:-1]) & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64)) & (node[1:] != node[:-1])
-            last = [x[-1:].copy() for x in (sig, node, n)]
-            a, b = local_components(node[1:][link], node[:-1][link])
+        last, torn = [], None
+
+        def edges(held: list, more: bool) -> pa.RecordBatch:
+            nonlocal last, torn
+            cols = [np.concatenate([*last[i : i + 1], *(h[i] for h in held)]) for i in range(4)]
+            other = np.ones(len(cols[0]), bool)  # copies count once
+            other[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])
+            cols = [c[other] for c in cols]
+            sig = cols[0]
+            cut = keep = int(np.searchsorted(sig, sig[-1])) if more else len(sig)
+            if more and not cut:
+                cut, keep, torn = len(sig), len(sig) - 1, int(sig[-1])
+            last = [c[keep:].copy() for c in cols]
+            a = b = np.zeros(0, np.int64)
+            for i, j in related(*(c[:cut] for c in cols), join, torn):
+                a, b = np.concatenate((a, cols[1][j])), np.concatenate((b, cols[1][i]))
+                if len(a) > 2 * chunk:
+                    a, b = _star(a, b)
+            a, b = _star(a, b)
             group = TaskContext.get().partitionId() // together
-            return pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), *(pa.array([x[a != b].tobytes()], pa.binary()) for x in (a, b))], ["part", "a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (a, b))], ["part", "a", "b"])
 
         held, size = [], 0
         for b in batches:
             if not b.num_rows:
                 continue
-            held.append([column(b, c).to_numpy() for c in ("sig", "node", "n")])
+            held.append([column(b, c).to_numpy() for c in ("sig", "node", "n", "odd")])
             size += b.num_rows
             if size >= chunk:
-                yield edges(held)
+                yield edges(held, True)
                 held, size = [], 0
-        if held:
-            yield edges(held)
+        if held or last:
+            yield edges(held, False)
         release()
 
     return run
 
 
+def _star(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    a, b = local_components(a, b)
+    return a[a != b], b[a != b]
+
+
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed edges of several tasks as one star per component of them."""
     a = b = np.zeros(0, np.int64)
@@ -354,6 +414,15 @@ def _row_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
 
 
+def _meetings(rows: DataFrame, begin: int, step: int) -> DataFrame:
+    """Rows at each meeting of their block with those that lie begin, begin + 1, ... of `step` blocks on, round the blocks of their cluster."""
+    on = F.filter(F.sequence(F.lit(begin), F.lit(begin + step - 1)), lambda d: 2 * d <= F.col("blocks"))
+    pair = lambda x, y: F.struct(F.least(x, y).alias("one"), F.greatest(x, y).alias("two"))
+    both = lambda d: F.array(pair(F.col("block"), F.pmod(F.col("block") + d, "blocks")), pair(F.col("block"), F.pmod(F.col("block") - d, "blocks")))
+    dealt = rows.withColumn("m", F.explode(F.array_distinct(F.flatten(F.transform(on, both)))))
+    return dealt.select("cluster", "m.one", "m.two", F.col("block").alias("side"), "text").repartition("cluster", "one", "two").sortWithinPartitions("cluster", "one", "two")
+
+
 def _classes(docs: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
     """(doc_id, row (its key), n_shingles, node (null without words)) of each row of docs, and (node, class) of nodes that have links."""
     spark = docs.sparkSession
@@ -361,8 +430,8 @@ def _classes(docs: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row"), "text")
     sets = written(text.mapInArrow(_set_rows(join), "doc_id long, row long, n_shingles long, node long"), "sets")
     common = spark.sparkContext.broadcast(common_columns(text, join))
-    sigs = text.select("text").mapInArrow(_signature_rows(join, common), "sig long, node long, n int")
-    packed = sigs.repartition("sig").sortWithinPartitions("sig", "n", "node").mapInArrow(_chains(join.percent), "part int, a binary, b binary")
+    sigs = text.select("text").mapInArrow(_signature_rows(join, common), "sig long, node long, n int, odd long")
+    packed = sigs.repartition("sig").sortWithinPartitions("sig", "n", "node").mapInArrow(_chains(join), "part int, a binary, b binary")
     edges = packed.repartition("part").mapInArrow(_merged, "a long, b long")
     cluster = connected_components(edges)
 
@@ -371,13 +440,19 @@ def _classes(docs: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
     node = node.join(cluster, "node").withColumnRenamed("label", "cluster")
     size = node.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / join.rows, F.sum("n") / join.entries)).cast("int").alias("blocks"))
     node = node.join(size, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, "block").alias("one"), F.greatest(i, "block").alias("two")))
-    node = node.select("row", "cluster", F.col("block").alias("side"), F.explode(meet).alias("m")).select("row", "cluster", "side", "m.one", "m.two")
+    node = written(node.select("row", "cluster", "block", "blocks", "n"), "dealt")
     rows = text.select("row", "text").join(node, "row")
-    rows = rows.select("cluster", "one", "two", "side", "text").repartition("cluster", "one", "two").sortWithinPartitions("cluster", "one", "two")
-    found = written(rows.mapInArrow(_products(join), "a long, b long"), "links")
-    label = connected_components(found)
-    dropped(found)
+    found = [written(_meetings(rows.filter("blocks = 1"), 0, 1).mapInArrow(_products(join), "a long, b long"), "links")]
+    size = node.filter("blocks > 1").agg(F.max("blocks").alias("blocks"), F.sum("n").alias("n")).first()
+    if size.blocks:
+        large = written(rows.filter("blocks > 1"), "large")
+        step = min(max(1, join.moved // (16 * size.n + 1)), size.blocks)  # about eight bytes of text an n-gram, two copies for each distance of blocks
+        for begin in range(0, size.blocks // 2 + 1, step):
+            found.append(written(_meetings(large, begin, step).mapInArrow(_products(join), "a long, b long"), "links"))
+        dropped(large)
+    dropped(node)
+    label = connected_components(functools.reduce(DataFrame.unionByName, found))
+    dropped(*found)
     return sets, label.withColumnRenamed("label", "class")
 
 

@@ -11,6 +11,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -726,6 +727,39 @@ def test_jaccard_of_many_near_copies(spark):
     assert got == plain_classes(rows, 4, 85)
 
 
+def test_phrases_shared_by_short_texts_make_no_cluster(spark):
+    """Signatures that unrelated short texts share chain only those whose parities allow a link; one of many rows stays chained."""
+    r, join = random.Random(5), ngram_join.Join(words=1, percent=80)
+    texts = [" ".join(f"w{r.randrange(10**6)}" for _ in range(40)) for _ in range(30)]
+    texts += [x.replace(" ", " one ", 1) for x in texts[:10]]
+    sets = ngram_join.Sets(pa.array(texts), join.words)
+    order = np.lexsort((sets.node, sets.n))
+    node, n, odd = sets.node[order], sets.n[order], sets.parities(join.parity).view(np.int64)[order]
+    one = np.zeros(len(node), np.int64)
+    found = {frozenset((int(node[a]), int(node[b]))) for x in ngram_join.related(one, node, n, odd, join) for a, b in zip(*x, strict=True)}
+    assert {frozenset((int(sets.node[i]), int(sets.node[30 + i]))) for i in range(10)} <= found and len(found) < 15
+    for own, torn in ((ngram_join.Join(words=1, percent=80, apart=20), None), (join, 0)):
+        assert sum(len(x) for x, _ in ngram_join.related(one, node, n, odd, own, torn)) == len(node) - 1
+
+
+def test_chains_of_small_chunks_lose_no_pair(spark):
+    r, base, rows = random.Random(9), words(78, 50), []
+    for i in range(120):
+        w = list(base)
+        for _ in range(r.randint(0, 4)):
+            w[r.randrange(50)] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    join = ngram_join.Join(rows=15, apart=4, moved=1)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    whole = ngram_join._chains
+    try:
+        ngram_join._chains = lambda j: whole(j, 7)
+        got = sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in ngram_join.jaccard_classes(df, join).collect())
+    finally:
+        ngram_join._chains = whole
+    assert got == plain_classes(rows, 4, 85)
+
+
 def test_one_of_each(spark, hard):
     kept = ngram_join.one_of_each(hard)
     ids = [r.doc_id for r in kept.collect()]
