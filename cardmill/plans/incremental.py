@@ -62,7 +62,7 @@ def build_due(spark: SparkSession, variants: DataFrame, archives: DataFrame, roo
     """Build and publish the years whose published report isn't complete for their archive; returns them in order.
 
     variants: the input of best_records; archives: year, archive. All due years are one job, in which a document's variants meet in one
-    shuffle; then each is published on its own.
+    shuffle; then each is published on its own. Tables are written by ranges of year and id, so a large year isn't one task's.
     """
     due = {r.year: r.archive for r in years_to_build(reports(spark, root), archives, len(TABLE_COLUMNS), force).collect()}  # a row a year
     if not due:
@@ -71,7 +71,7 @@ def build_due(spark: SparkSession, variants: DataFrame, archives: DataFrame, roo
     table = child(root, "builds", build, "table")
     rows = best_records(variants.filter(F.col("year").isin(list(due))))
     extra = [c for c in ("year", *TABLE_COLUMNS, "pdf_variant_count", "extraction_status", "registration_number_matches_filename") if c in rows.columns]
-    rows.select(*dict.fromkeys(extra)).repartition("year").sortWithinPartitions("year", "doc_id").write.partitionBy("year").parquet(table)
+    rows.select(*dict.fromkeys(extra)).repartitionByRange("year", "doc_id").sortWithinPartitions("year", "doc_id").write.partitionBy("year").parquet(table)
     whole = spark.read.parquet(table)
     none = spark.createDataFrame([(y, a) for y, a in due.items()], "year int, archive string")
     made = {r.year: r.asDict() for r in year_reports(whole, none).collect()}

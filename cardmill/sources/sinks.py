@@ -26,25 +26,25 @@ BOM = b"\xef\xbb\xbf"
 
 
 def store(records: DataFrame, path: str) -> None:
-    """The canonical table: Parquet, a folder for each year, sorted by id inside; finished years are replaced, others stay."""
-    rows = projected(records, TABLE_COLUMNS).repartition("year").sortWithinPartitions("year", "doc_id")
+    """The canonical table: Parquet, a folder for each year, in ranges of ids, sorted by id inside; finished years are replaced, others stay."""
+    rows = projected(records, TABLE_COLUMNS).repartitionByRange("year", "doc_id").sortWithinPartitions("year", "doc_id")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
 
 
 def annual_csv(records: DataFrame, year: int, target: str, columns: list[str] = TABLE_COLUMNS, sep: str = ",") -> None:
     """One file of a year's rows in the order of their ids, with a byte order mark.
 
-    One year's rows fit one file by the format's own terms; Spark sorts them and writes a staging folder among the shared ones, whose
-    single part is copied on in blocks, to any storage. It is published only with as many rows as were selected.
+    One year's rows fit one file by the format's own terms; Spark sorts them by ranges and writes a part for each to a staging folder among the
+    shared ones; the parts are copied on in blocks, one behind the other, to any storage. It is published only with as many rows as were selected.
     """
     spark = records.sparkSession
     staging, counted = shared_path(spark, "csv"), Observation()
-    rows = projected(records.filter(F.col("year") == year), columns).orderBy("doc_id").coalesce(1).observe(counted, F.count(F.lit(1)).alias("n"))
-    layout = {"header": True, "quote": '"', "escape": '"', "sep": sep, "emptyValue": "", "lineSep": "\n"}
+    rows = projected(records.filter(F.col("year") == year), columns).orderBy("doc_id").observe(counted, F.count(F.lit(1)).alias("n"))
+    layout = {"header": False, "quote": '"', "escape": '"', "sep": sep, "emptyValue": "", "lineSep": "\n"}
     rows.write.options(**layout).csv(staging)
     fs, root = file_system(spark, staging)
     parts = sorted(str(x.getPath()) for x in fs.listStatus(root) if x.getPath().getName().startswith("part-"))
-    found = spark.read.options(header=True, multiLine=True, quote='"', escape='"', sep=sep).csv(staging).count() if parts else 0
+    found = spark.read.options(header=False, multiLine=True, quote='"', escape='"', sep=sep).schema(", ".join(f"`{c}` string" for c in columns)).csv(staging).count() if parts else 0
     if found != counted.get["n"]:
         raise ValueError(f"the staged table of {year} has {found} rows of {counted.get['n']}")
     system, inside = located(target)
@@ -52,8 +52,7 @@ def annual_csv(records: DataFrame, year: int, target: str, columns: list[str] =
     tmp = f"{inside}.{uuid.uuid4().hex}.tmp"
     with system.open_output_stream(tmp) as out:
         out.write(BOM)
-        if not parts:
-            out.write((sep.join(columns) + "\n").encode())
+        out.write((sep.join(columns) + "\n").encode())
         for p in parts:
             own, path = located(p)
             with own.open_input_stream(path) as f:

@@ -14,7 +14,7 @@ from cardmill import schemas
 from cardmill.functions import text as X
 from cardmill.functions import udfs
 from cardmill.operators import consolidate, duplicates, fields, reconcile, sections, variants
-from cardmill.plans import build
+from cardmill.plans import build, queries_text
 from cardmill.sources import files, sinks, ziparchive
 from cardmill.streaming import intake
 
@@ -300,3 +300,25 @@ def test_tables_of_years_without_rows(spark, tmp_path):
         data = open(target, "rb").read()
         assert data.startswith(b"\xef\xbb\xbf") and data.count(b"\n") == lines
     assert sorted(p.name for p in tmp_path.iterdir()) == ["2022.csv", "2023.csv"]
+
+
+def test_a_large_year_is_not_one_tasks(spark, tmp_path):
+    """Its table and the staged parts of its CSV are dealt by ranges of ids; the file has one header and its rows in order."""
+    rows = [(2022, f"{(7 * i) % 400:032x}", f"t{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "year int, doc_id string, title_uk string").repartition(3)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # so few rows are put together again
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        sinks.store(df, str(tmp_path / "store"))
+        sinks.annual_csv(df, 2022, str(tmp_path / "2022.csv"), ["year", "doc_id", "title_uk"])
+    finally:
+        spark.conf.set(key, before)
+    assert len(list((tmp_path / "store" / "year=2022").glob("*.parquet"))) > 1
+    lines = (tmp_path / "2022.csv").read_text("utf-8-sig").splitlines()
+    assert lines == ["year,doc_id,title_uk", *(f"{y},{i},{t}" for y, i, t in sorted(rows))]
+
+
+def test_rows_are_dealt_by_their_number(spark):
+    assert queries_text.spread(spark.range(50), rows=5).rdd.getNumPartitions() == 10
+    assert queries_text.spread(spark.range(50)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
