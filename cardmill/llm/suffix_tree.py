@@ -55,7 +55,7 @@ _END = U(0xA24BAED4963EE407)
 _STEP = U(0x9E3779B97F4A7C15)
 _SURE = 1e30
 _STATE = 1 << 20  # in place of a length
-_SPARSE = 4  # from this length on a segment's state is small beside its answers and travels with the questions
+_SPARSE = 3  # from this length on a segment's state is small beside its texts and travels with the questions
 
 
 @dataclass(frozen=True)
@@ -111,9 +111,27 @@ def _unbundle(data: bytes, n: int) -> list[np.ndarray]:
     return [unpack(data[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
+def sorting(h: np.ndarray) -> np.ndarray:
+    """argsort of unsigned values, stable. Their leading bits and their places are sorted as one number, which takes a fraction of the time;
+    hashes that these bits confuse are rare and sorted by themselves."""
+    if len(h) < 2:
+        return np.arange(len(h))
+    low, bits = h.min(), (len(h) - 1).bit_length()
+    shift = max(0, int(h.max() - low).bit_length() + bits - 64)
+    both = h - low
+    both >>= U(shift)
+    both <<= U(bits)
+    both |= np.arange(len(h), dtype=U)
+    both.sort()
+    both &= U((1 << bits) - 1)
+    order = both.view(np.int64)
+    x = h[order]
+    return order if (x[1:] >= x[:-1]).all() else np.argsort(h, kind="stable")
+
+
 def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(a place of each distinct value in their order, number of the value at each place)."""
-    order = np.argsort(h)
+    order = sorting(h)
     x = h[order]
     new = np.ones(len(h), bool)
     new[1:] = x[1:] != x[:-1]
@@ -130,8 +148,6 @@ def distinct_words(h: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return one, at.ravel()
 
 
-
-
 def _segments(t: Tree):
     """(seg, words, texts: see Segment for both, more: 16 more bits of the words' hashes and their training counts) of all texts."""
 
@@ -189,9 +205,6 @@ class Level:
     def asked(self) -> np.ndarray:
         return self.known[self.one] == 0
 
-    def fields(self) -> tuple[np.ndarray, ...]:
-        return self.at, self.total, self.above, self.shorter, self.context, self.code, self.known
-
 
 class Segment:
     """Some texts as numbers of words, and what is known of their sequences. All counts are those of training."""
@@ -230,7 +243,9 @@ class Segment:
             place = np.full(len(self.tok), -1)
             place[last.at] = np.arange(len(last.at))
             back = place[last.at - 1]
-            to = np.flatnonzero((self.pos[last.at] >= d - 1) & (back >= 0))
+            least = min(t.context_count, t.pair_count)
+            to = np.flatnonzero((self.pos[last.at] >= d - 1) & (back >= 0) & (last.n >= least))
+            to = to[last.n[back[to]] >= least]
             back = back[to]
             total, shorter, above = last.n[back], last.total[to], last.n[to]
             limit, most = penalty(self.tokens), np.minimum(total, above)
@@ -238,11 +253,14 @@ class Segment:
             use |= (most >= t.context_count) & diverges(np.minimum(most, above / np.e), above, limit)  # it is a context itself
             to, back, total, shorter, above = (x[use] for x in (to, back, total, shorter, above))
             at, context = last.at[to], last.number[back]
-            first = np.where(self.pos[at] >= d, self.sym[at - d], _END)
-            code = mix(last.code[to] * _STEP + first)
+            code = mix(last.code[to] * _STEP + self.symbols(at, d))
             known = np.where(total == shorter, above, np.where(above == shorter, total, 0))
         return self.level(at, total, above, shorter, context, code, known)
 
+    def symbols(self, at: np.ndarray, back: int) -> np.ndarray:
+        """So many places before some tokens; a text starts behind an end."""
+        return np.where(self.pos[at] >= back, self.sym[at - back], _END)
+
     def level(self, at: np.ndarray, *fields: np.ndarray) -> Level:
         keys = mix(fields[4] * _STEP + self.sym[at])
         one, number = distinct(keys)
@@ -253,24 +271,33 @@ class Segment:
         asked = x.asked()
         return x.keys[asked], np.bincount(x.number, self.learn[x.at], len(x.one))[asked].astype(U)
 
-    def carried(self, x: Level) -> bytes:
-        """What the next question of a segment rests on: the sequences asked for, and those one symbol shorter."""
-        return _bundle(*(a.astype(np.int64).view(U) if a.dtype != U else a for y in (self.levels[-1], x) for a in y.fields()), self.levels[-1].n.view(U))
+    def carried(self, longer: Level) -> bytes:
+        """What the questions behind the next one, about `longer`, rest on: of the sequences one symbol shorter those that are in these or may be
+        states, with their counts."""
+        x, used = self.levels[-1], np.zeros(len(self.tok), bool)
+        used[longer.at] = used[longer.at - 1] = True
+        some = used[x.at] | ((x.n >= self.t.context_count) & diverges(x.n, x.above, penalty(self.tokens)))
+        at, *counts = (a[some] for a in (x.at, x.total, x.above, x.shorter, x.n))
+        return _bundle(np.diff(at, prepend=0), *counts)
 
     def resumed(self, d: int, data: bytes, value: np.ndarray) -> None:
         """The state of carried() before sequences of d + 1 symbols of context are asked for, with the answer about those of d."""
-        fields = [a if i % 7 == 5 and i < 14 else a.view(np.int64) for i, a in enumerate(_unbundle(data, 15))]
-        last = self.level(*fields[:7])
-        last.n = fields[14]
+        steps, total, above, shorter, n = (a.view(np.int64) for a in _unbundle(data, 5))
+        at, none = np.cumsum(steps), np.zeros(len(steps), np.int64)
+        code = mix(self.symbols(at, 1))
+        for i in range(2, d):
+            code = mix(code * _STEP + self.symbols(at, i))
+        last = self.level(at, total, above, shorter, none, code, none)  # contexts and known counts were of use before the answer
+        last.n = n
         self.levels = [None] * (d - 1) + [last]
-        self.answered(d, value, self.level(*fields[7:14]))
+        self.answered(d, value)
 
-    def answered(self, d: int, value: np.ndarray, x: Level | None = None) -> None:
+    def answered(self, d: int, value: np.ndarray) -> None:
         n, own = (value >> U(1)).astype(np.int64), (value & U(1)) > 0
         if d == 0:
             self.words = n
             return
-        x = x or self.extended(d)
+        x = self.extended(d)
         asked, counts = x.asked(), x.known[x.one]
         counts[asked] = n
         x.n = counts[x.number]
@@ -312,7 +339,7 @@ class Segment:
         kinds[none] = paired[none] = 0
         gain[whole | none] = np.where(state & whole & may, _SURE, 0)[whole | none]
         send = np.flatnonzero(open_ | (kinds > 0))
-        send = send[np.argsort(keys[send])]
+        send = send[sorting(keys[send])]
         return keys[send], [kinds[send].astype(U) << U(1) | open_[send].astype(U), paired[send].astype(U), gain[send].astype("<f4").view("<u4").astype(U)]
 
     def probabilities(self, roots: Callable) -> np.ndarray:
@@ -324,7 +351,7 @@ class Segment:
             k, c, gain = self.divergence(d, x.one[(x.n[x.one] >= t.pair_count) & (x.total[x.one] >= t.context_count)], len(keys))
             k[~may | (gain <= penalty(self.tokens) * k)] = 0
             order = np.flatnonzero(open_)
-            order = order[np.argsort(keys[order])]
+            order = order[sorting(keys[order])]
             k[order], c[order] = kinds, paired
             if d == 1:
                 at = self.before()
@@ -446,11 +473,12 @@ def _answers(tokens: int):
             fields = [[unpack(r[i] or b"") for r in rows] for i in range(1, 5)]
             ends = np.cumsum([0, *(len(k) for k in fields[0])])
             keys, x, y, z = (np.concatenate(f) for f in fields)
-            order = np.lexsort((y, keys)) if level == 0 else np.argsort(keys)
+            order = sorting(keys)
             new = np.ones(len(keys), bool)
             new[1:] = keys[order][1:] != keys[order][:-1]
-            if level == 0:
-                new[1:] |= y[order][1:] != y[order][:-1]
+            if level == 0 and (~new[1:] & (y[order][1:] != y[order][:-1])).any():  # two words of one hash
+                order = np.lexsort((y, keys))
+                new[1:] = (keys[order][1:] != keys[order][:-1]) | (y[order][1:] != y[order][:-1])
             first, group = np.flatnonzero(new), np.cumsum(new) - 1
             out, a, b, asked = [], np.empty(len(keys), U), None, np.ones(len(keys), bool)
             if level >= 0:

@@ -183,6 +183,36 @@ def test_rare_contexts_are_states(spark, tmp_path):
     assert got[0] - got[1] > 2  # zig is seen 6 times in 124000 tokens
 
 
+def test_sorting_of_hashes_that_share_leading_bits():
+    r = np.random.default_rng(3)
+    h = np.concatenate([r.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2)] * 2)
+    for x in (h, np.concatenate((h, h[:9] + np.uint64(1))), h[:1], h[:0], np.repeat(h[:3], 5)):
+        assert (suffix_tree.sorting(x) == np.argsort(x, kind="stable")).all()
+
+
+def test_carried_states_are_small_and_lose_nothing(spark):
+    t, r, one = suffix_tree.Tree(), random.Random(8), np.uint64(1)
+    base = [f"w{r.randrange(400)}" for _ in range(3000)]
+    texts = [" ".join("x" if r.random() < 0.02 else w for w in base[a : a + 300]) for a in (r.randrange(2700) for _ in range(120))]
+    rows = spark.createDataFrame([(k, x, True) for k, x in enumerate(texts)], "doc_id long, text string, learn boolean").coalesce(1)
+    (row,) = rows.mapInArrow(suffix_tree._segments(t), "seg long, words binary, texts binary, more binary").collect()
+    whole, late = (suffix_tree.Segment(t, row.words, row.texts) for _ in range(2))
+    counts = suffix_tree._unbundle(row.more, 2)[1]
+    whole.tokens = late.tokens = int(counts.sum())
+    whole.answered(0, counts << one | one)
+    for d in range(1, 9):
+        x = whole.extended(d)
+        value = whole.question(x)[1] << one | one
+        if d >= suffix_tree._SPARSE:
+            data = whole.carried(x)
+            assert len(data) < 8 * len(x.at)  # no hash of a context travels
+            late.resumed(d, data, value)
+        whole.answered(d, value)
+        if d >= suffix_tree._SPARSE:
+            both = [(*s.question(s.extended(d + 1)), s.open_contexts(d)[0], *s.open_contexts(d)[1]) for s in (whole, late)]
+            assert len(both[0][0]) and all((a == b).all() for a, b in zip(*both, strict=True))
+
+
 def test_scores_do_not_depend_on_segments(spark, tmp_path):
     r = random.Random(5)
     phrases = [" ".join(words(100 + i, 3)) for i in range(400)]
