@@ -57,6 +57,7 @@ class Join:
     parity: int = 128
     apart: int = 64
     moved: int = 1 << 30  # bytes of text that large clusters move in one round, about
+    bits: int = 1 << 26  # of the filter of rows at most
 
 
 class Sets:
@@ -414,6 +415,19 @@ def _row_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
 
 
+def _few(text: DataFrame, wanted: DataFrame, most: int) -> DataFrame:
+    """The rows of text whose row is in a written table, and a few others, where they lie.
+
+    The table is broadcast as a field of 64 bits a row of it, `most` bits at most (in words of 64), so what it lets pass by chance is a 64th of the rows or the
+    share of its rows in `most`. A join on row then moves these texts alone.
+    """
+    bits = min(most, 1 << max(6, (64 * wanted.count()).bit_length()))
+    place = F.pmod("row", F.lit(bits))
+    word, bit = F.shiftright(place, 6).alias("word"), F.expr(f"int(pmod(row, {bits}) % 64)")
+    field = wanted.select(word, F.expr(f"shiftleft(1L, int(pmod(row, {bits}) % 64))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("field"))
+    return text.withColumn("word", word).join(F.broadcast(field), "word").filter(F.getbit("field", bit) == 1).drop("word", "field")
+
+
 def _meetings(rows: DataFrame, begin: int, step: int) -> DataFrame:
     """Rows at each meeting of their block with those that lie begin, begin + 1, ... of `step` blocks on, round the blocks of their cluster."""
     on = F.filter(F.sequence(F.lit(begin), F.lit(begin + step - 1)), lambda d: 2 * d <= F.col("blocks"))
@@ -441,7 +455,7 @@ def _classes(docs: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
     size = node.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / join.rows, F.sum("n") / join.entries)).cast("int").alias("blocks"))
     node = node.join(size, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     node = written(node.select("row", "cluster", "block", "blocks", "n"), "dealt")
-    rows = text.select("row", "text").join(node, "row")
+    rows = _few(text.select("row", "text"), node, join.bits).join(node, "row")
     found = [written(_meetings(rows.filter("blocks = 1"), 0, 1).mapInArrow(_products(join), "a long, b long"), "links")]
     size = node.filter("blocks > 1").agg(F.max("blocks").alias("blocks"), F.sum("n").alias("n")).first()
     if size.blocks:

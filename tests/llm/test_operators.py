@@ -772,6 +772,17 @@ def test_phrases_shared_by_short_texts_make_no_cluster(spark):
         assert sum(len(x) for x, _ in ngram_join.related(one, node, n, odd, own, torn)) == len(node) - 1
 
 
+@pytest.mark.parametrize("most", [1 << 6, 1 << 26])
+def test_texts_without_a_cluster_stay_where_they_lie(spark, tmp_path, most):
+    text = spark.range(20_000).select(F.xxhash64("id").alias("row"), F.col("id").cast("string").alias("text"))
+    text.filter("text % 100 = 7").select("row").write.parquet(str(tmp_path / "wanted"))
+    few = ngram_join._few(text, spark.read.parquet(str(tmp_path / "wanted")), most)
+    got = {int(r.text) for r in few.collect()}
+    assert few.columns == ["row", "text"] and {x for x in range(20_000) if x % 100 == 7} <= got
+    assert most == 1 << 6 or len(got) < 700
+    assert "Exchange hashpartitioning(row" not in few._jdf.queryExecution().executedPlan().toString()
+
+
 def test_chains_of_small_chunks_lose_no_pair(spark):
     r, base, rows = random.Random(9), words(78, 50), []
     for i in range(120):
