@@ -243,3 +243,74 @@ def test_even_sample_of_all(spark, n, k):
     assert sorted(r.id for r in got.collect()) == (list(range(n))[::step][:k] if k else list(range(n)))
     plan = got._jdf.queryExecution().toString()
     assert "SinglePartition" not in plan
+
+
+# archives of runs
+
+
+def test_one_archive_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """No task takes a whole archive, which is one file all the same, in the order of its names."""
+    text = lambda y, i: f"%PDF-{y}-{i}".encode() * (i % 50)
+    rows = [(y, f"{y}/{i:04}é.pdf", text(y, i)) for y in (2020, 2021) for i in range(2000)] + [(2022, None, None)]
+    made, joined, most = spark.createDataFrame(rows, ROWS).repartition(5), yearzip.joined, []
+    monkeypatch.setattr(yearzip, "joined", lambda spark, job, runs, *a: most.append(max(r.n for r in runs)) or joined(spark, job, runs, *a))
+    for stored in (True, False):
+        out = tmp_path / str(stored)
+        done = yearzip.archives(made, str(out), stored=stored, run_bytes=1 << 17).collect()
+        assert [(r.year, r.entries) for r in done] == [(2020, 2000), (2021, 2000), (2022, 0)] and names(out) == ["2020.zip", "2021.zip", "2022.zip"]
+        for y in (2020, 2021):
+            with zipfile.ZipFile(out / f"{y}.zip") as z:
+                assert z.testzip() is None and z.namelist() == [*(f"{y}/{i:04}é.pdf" for i in range(2000)), f"{y}/_manifest.json"]
+                assert all(z.read(f"{y}/{i:04}é.pdf") == text(y, i) for i in range(0, 2000, 37)) and json.loads(z.read(f"{y}/_manifest.json")) == {"year": y, "pdf_count": 2000}
+        assert zipfile.ZipFile(out / "2022.zip").namelist() == ["2022/_manifest.json"]
+    assert max(most) < 1000
+
+
+def runs_of(folder, *groups):
+    w = yearzip.Writer({"path": str(folder), "runs": "true"}, ["year", "arcname", "content"])
+    return w, [yearzip.Run(*r) for g in groups for r in w.write(batch(*g)).runs]
+
+
+@pytest.mark.parametrize("inside_files", [True, False])
+def test_runs_are_joined(spark, tmp_path, inside_files):
+    """By places in one file and, where the storage has none, one behind the other."""
+    w, runs = runs_of(tmp_path, [(2020, "c", b"3" * 99), (2020, "d", b"")], [(2020, "a", b"1"), (2020, "b", b"2")], [(2021, "x", b"4")])
+    files = yearzip.joined(spark, w._attempts(), runs, "_m.json", True, inside_files)
+    yearzip.published(str(tmp_path), w._attempts(), files)
+    assert names(tmp_path) == ["2020.zip", "2021.zip"]
+    z = zipfile.ZipFile(tmp_path / "2020.zip")
+    assert z.testzip() is None and z.namelist() == ["a", "b", "c", "d", "2020/_m.json"] and z.read("c") == b"3" * 99
+
+
+def test_runs_that_overlap_are_errors(tmp_path):
+    _, runs = runs_of(tmp_path, [(2020, "a", b""), (2020, "c", b"")], [(2020, "b", b"")])
+    with pytest.raises(ValueError, match="several tasks"):
+        yearzip.ordered(runs)
+
+
+def test_places_beyond_four_bytes(tmp_path):
+    """With a limit of 300 bytes for one of 4 GB: the second run's entries and the end record are wide."""
+    _, runs = runs_of(tmp_path, [(2020, "a", b"1" * 200)], [(2020, "b", b"2" * 200), (2020, "c", b"3")])
+    runs = yearzip.ordered(runs)
+    end = yearzip.placed(runs, 300)
+    assert [r.wide for r in runs] == [False, True]
+    with open(tmp_path / "whole.zip", "wb") as out:
+        for r in runs:
+            yearzip._members(r, out)
+        for r in runs:
+            assert out.tell() == r.entries_at and out.write(yearzip._moved(r)) == r.entries
+        out.write(end)
+    z = zipfile.ZipFile(tmp_path / "whole.zip")
+    assert z.testzip() is None and z.namelist() == ["a", "b", "c"] and z.read("b") == b"2" * 200
+    with ziparchive.located(str(tmp_path / "whole.zip"))[0].open_input_file(str(tmp_path / "whole.zip")) as f:
+        for r in runs:
+            yearzip._verify(r, f)
+
+
+def test_a_damaged_run_publishes_nothing(spark, tmp_path):
+    w, runs = runs_of(tmp_path, [(2020, "a", b"content")])
+    data = Path(runs[0].path).read_bytes()
+    Path(runs[0].path).write_bytes(data.replace(b"content", b"CONTENT"))
+    with pytest.raises(Exception, match="bad CRC"):
+        yearzip.joined(spark, w._attempts(), runs, "_m.json", True)
+    assert names(tmp_path) and not any(n.startswith("2020") for n in names(tmp_path))
