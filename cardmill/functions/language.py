@@ -27,26 +27,37 @@ TEXT_FIELDS = """
 ROW_FIELDS = "title_uk abstract_uk stage_title performer_name customer_name ntp_description".split()
 
 
-def field_language(text: Column, short: Callable[[Column], Column] | None = None) -> Column:
+def _letters(text: Column) -> list[Column]:
+    return [cyrillic(text).alias("cyr"), latin(text).alias("lat")]
+
+
+def letters_of(text: Column) -> Column:
+    """How many Cyrillic and Latin letters a text has."""
+    return F.struct(*_letters(text))
+
+
+def field_language(text: Column, short: Callable[[Column], Column] | None = None, letters: Column | None = None) -> Column:
     """Uk, en, mixed, empty or unknown.
 
     short decides texts of 3 to 39 letters of both scripts: a function to a language code, null where it finds none, such as
-    `profiles.detector`. It sees null for all other texts. Without it they are mixed.
+    `profiles.detector`. It sees null for all other texts. Without it they are mixed. With it letters are counted on both sides of the function,
+    unless `letters` is a column that holds what letters_of finds in the text.
     """
     text = F.coalesce(text, F.lit(""))
+    own = _letters(text) if letters is None else [letters["cyr"].alias("cyr"), letters["lat"].alias("lat")]
 
     def decided(n: Column) -> Column:
-        letters, share = n["cyr"] + n["lat"], n["cyr"] / (n["cyr"] + n["lat"])
+        all_, share = n["cyr"] + n["lat"], n["cyr"] / (n["cyr"] + n["lat"])
         asked = F.lit("mixed")
         if short:
             found = n["short"]
             asked = F.when(found.isNull(), "unknown").when(found.isin("uk", "en"), found).otherwise("mixed")
-        return F.when(letters < 3, "unknown").when(share >= 0.85, "uk").when(share <= 0.15, "en").when(letters >= 40, "mixed").otherwise(asked)
+        return F.when(all_ < 3, "unknown").when(share >= 0.85, "uk").when(share <= 0.15, "en").when(all_ >= 40, "mixed").otherwise(asked)
 
     part = lambda n: F.try_divide(n["cyr"], n["cyr"] + n["lat"])
-    asked = let(F.struct(cyrillic(text).alias("cyr"), latin(text).alias("lat")), lambda n: (n["cyr"] + n["lat"]).between(3, 39) & (part(n) > 0.15) & (part(n) < 0.85))
+    asked = let(F.struct(*own), lambda n: (n["cyr"] + n["lat"]).between(3, 39) & (part(n) > 0.15) & (part(n) < 0.85))
     asks = [short(F.when(asked, text)).alias("short")] if short else []
-    counted = let(F.struct(cyrillic(text).alias("cyr"), latin(text).alias("lat"), *asks), decided)
+    counted = let(F.struct(*own, *asks), decided)
     return F.when(text == "", "empty").when(strip(text) == "", "empty").otherwise(counted)
 
 

@@ -76,3 +76,21 @@ def test_held_out_lines(spark):
     r = lines.withColumn("said", short(F.col("line"))).agg(F.count("*"), F.count_if(F.coalesce("said", F.lit("")) != F.col("lang")))
     n, wrong = r.first()
     assert n > 500 and wrong <= 0.05 * n, (n, wrong)
+
+
+def test_scores_of_words_are_held(spark):
+    texts = [("uk", "звіт про роботу"), ("en", "the report on results"), ("de", "bericht der ergebnisse")]
+    s = scorer(profiles(spark.createDataFrame(texts, "lang string, text string")))
+    asked, known = [["звіт", "report"], ["qq"], ["report", "der", "report"], [], ["der", "звіт", "qq"]], {}
+    want = [None if not w else plain_language(texts, " ".join(w)) for w in asked]
+    assert [s.language(w, known, 2) for w in asked] == [s.language(w) for w in asked] == want
+    assert len(known) == 2
+
+
+def test_short_languages_deals_texts_and_counts_letters_once(spark):
+    """Texts are dealt to tasks before they are cut, whatever the files' row groups; letters are counted on one side of the detector."""
+    from cardmill.plans.queries_text import short_languages
+
+    plan = short_languages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("RoundRobinPartitioning")
+    assert plan.count("[^A-Za-z]+") == 1
