@@ -20,7 +20,7 @@ Repeated rows get equal scores; an empty table gives an empty result; extra colu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -105,9 +105,22 @@ def vote_counts(w: Words, voters: np.ndarray, s: Supervision) -> tuple[np.ndarra
     return out.reshape(w.rows, m), np.bincount(doc[hit], minlength=w.rows)
 
 
+_LN = np.log1p(np.arange(1 << 16))
+
+
+def _runs(n: int) -> Iterator[slice]:
+    """Runs of rows: what the driver makes of the sample beside its counts and votes is as large as a run."""
+    return (slice(a, a + 1024) for a in range(0, n, 1024))
+
+
+def _sums(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """q @ x, run by run."""
+    return sum((q[i] @ x[i] for i in _runs(len(q))), np.zeros(x.shape[1]))
+
+
 def _design(counts: np.ndarray, hits: np.ndarray, words: np.ndarray) -> np.ndarray:
     share = hits / np.maximum(words, 1)
-    return np.column_stack((np.log1p(counts), np.log1p(hits), np.minimum(20 * share, 3), np.minimum(hits, 3), hits > 0))
+    return np.column_stack((_LN[counts] if counts.dtype == np.uint16 else np.log1p(counts), np.log1p(hits), np.minimum(20 * share, 3), np.minimum(hits, 3), hits > 0))
 
 
 def dependence(x: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -115,8 +128,8 @@ def dependence(x: np.ndarray, p: np.ndarray) -> np.ndarray:
     for a parameter more in each class."""
     gain = np.zeros((x.shape[1], x.shape[1]))
     for q in (1 - p, p):
-        n, one = q.sum(), q @ x
-        both = (x * q[:, None]).T @ x
+        n, one = q.sum(), _sums(x, q)
+        both = sum(((x[i] * q[i, None]).T @ x[i].astype(float) for i in _runs(len(p))), np.zeros(gain.shape))
         for own, other, joint in ((one, one, both), (one, n - one, one[:, None] - both), (n - one, one, one[None, :] - both), (n - one, n - one, n - one[:, None] - one[None, :] + both)):
             joint = np.maximum(joint, 0)
             expected = np.maximum(np.outer(own, other) / max(n, 1e-9), 1e-12)
@@ -144,20 +157,31 @@ def label_model(votes: np.ndarray, label: np.ndarray, s: Supervision) -> tuple[n
 
     votes: rows by voters, 0 or 1. label: 0 or 1, the annotator's vote.
     """
-    x = np.column_stack((votes, label)).astype(float)
+    x = np.column_stack((votes, label)).astype(np.uint8)
     p = np.where(label == 1, 0.95, np.minimum(0.02 + 0.1 * votes.sum(1), 0.3))
-    parents = above = prior = rates = given = None
+    parents = prior = rates = given = None
+
+    def with_parents() -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        for i in _runs(len(p)):
+            yield i, x[i].astype(float), np.where(parents >= 0, x[i][:, parents], 0.0)
+
     for r in range(s.rounds):
         if r % 5 == 0:
             parents = np.append(forest(dependence(x[:, :-1], p)), -1)
-            above = np.where(parents >= 0, x[:, parents], 0)
         prior = (p.sum() + 1) / (len(p) + 2)
-        rates = np.stack([(q @ x + 0.5) / (q.sum() + 1) for q in (1 - p, p)])
+        rates = np.stack([(_sums(x, q) + 0.5) / (q.sum() + 1) for q in (1 - p, p)])
+        both, of_parent = np.zeros((2, 2, 2, x.shape[1]))
+        for i, own, above in with_parents():
+            for k, q in enumerate((1 - p[i], p[i])):
+                for vote, a in enumerate((1 - above, above)):
+                    both[k, vote] += q @ (own * a)
+                    of_parent[k, vote] += q @ a
         # a parent's rare vote says little, so its rates lean on those of the class by one row's weight
-        given = np.stack([[(q @ (x * a) + rate) / (q @ a + 1) for a in (1 - above, above)] for q, rate in zip((1 - p, p), rates, strict=True)])
-        given = np.clip(given, 1e-5, 1 - 1e-5)
+        given = np.clip((both + rates[:, None]) / (of_parent + 1), 1e-5, 1 - 1e-5)
         yes, no = np.log(given[1] / given[0]), np.log((1 - given[1]) / (1 - given[0]))
-        logit = np.log(prior / (1 - prior)) + no[0].sum() + above @ (no[1] - no[0]) + x @ (yes[0] - no[0]) + (x * above) @ (yes[1] - no[1] - yes[0] + no[0])
+        logit = np.full(len(p), np.log(prior / (1 - prior)) + no[0].sum())
+        for i, own, above in with_parents():
+            logit[i] += above @ (no[1] - no[0]) + own @ (yes[0] - no[0]) + (own * above) @ (yes[1] - no[1] - yes[0] + no[0])
         after = 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
         if np.abs(after - p).max(initial=0) < 1e-4:
             p = after
@@ -166,22 +190,33 @@ def label_model(votes: np.ndarray, label: np.ndarray, s: Supervision) -> tuple[n
     return p, {"prior": prior, "rates": rates, "parents": parents, "given": given}
 
 
-def fit(x: np.ndarray, p: np.ndarray, s: Supervision) -> tuple[np.ndarray, float, np.ndarray]:
-    """Weights, intercept and scales of a ridge logistic regression on soft labels, by Newton steps."""
-    scale = np.maximum(np.sqrt((x * x).mean(0)), 1e-6)
-    z = np.column_stack((x / scale, np.ones(len(x))))
-    ridge = np.append(np.full(x.shape[1], s.ridge * len(x) / 100), 1e-6)
-    beta = np.zeros(z.shape[1])
+def fit(x: Callable[[slice], np.ndarray], p: np.ndarray, s: Supervision) -> tuple[np.ndarray, float, np.ndarray]:
+    """Weights, intercept and scales of a ridge logistic regression on soft labels, by Newton steps. x: makes the features of a run of rows."""
+    squares = sum((x(i) ** 2).sum(0) for i in _runs(len(p)))
+    scale = np.maximum(np.sqrt(squares / len(p)), 1e-6)
+    ridge = np.append(np.full(len(scale), s.ridge * len(p) / 100), 1e-6)
+    beta = np.zeros(len(ridge))
+
+    def scaled() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for i in _runs(len(p)):
+            f = x(i)
+            yield np.column_stack((f / scale, np.ones(len(f)))), p[i]
 
     def loss(b: np.ndarray) -> float:
-        f = z @ b
-        return float((np.logaddexp(0, f) - p * f).sum() + 0.5 * (ridge * b * b).sum())
+        total = 0.0
+        for z, y in scaled():
+            f = z @ b
+            total += float((np.logaddexp(0, f) - y * f).sum())
+        return total + 0.5 * float((ridge * b * b).sum())
 
     now = loss(beta)
     for _ in range(50):
-        q = 1 / (1 + np.exp(-np.clip(z @ beta, -40, 40)))
-        grad = z.T @ (q - p) + ridge * beta
-        step = np.linalg.solve((z * (q * (1 - q))[:, None]).T @ z + np.diag(ridge + 1e-9), grad)
+        grad, bend = ridge * beta, np.diag(ridge + 1e-9)
+        for z, y in scaled():
+            q = 1 / (1 + np.exp(-np.clip(z @ beta, -40, 40)))
+            grad += z.T @ (q - y)
+            bend += (z * (q * (1 - q))[:, None]).T @ z
+        step = np.linalg.solve(bend, grad)
         size = 1.0
         while (after := loss(beta - size * step)) > now and size > 1e-4:
             size /= 2
@@ -240,13 +275,13 @@ def train(docs: DataFrame, labels: DataFrame, s: Supervision = Supervision()) ->
                 yield pa.RecordBatch.from_arrays([column(c, "toxic"), pa.array(w.n), pa.array(hits), pa.array([x.astype(np.uint16).tobytes() for x in np.minimum(counts, 65535)], pa.binary())], ["toxic", "words", "hits", "counts"])
 
     table = rows.mapInArrow(votes, "toxic int, words long, hits long, counts binary").toArrow()  # s.sample rows of s.voters counts
-    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint16).reshape(-1, len(voters)).astype(float)
+    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint16).reshape(-1, len(voters))
     label, words, hits = (table.column(c).to_numpy() for c in ("toxic", "words", "hits"))
     # an order of the rows that doesn't depend on how they came
     order = np.lexsort((*counts.T[:8], words, hits, label))
     counts, label, words, hits = counts[order], label[order], words[order], hits[order]
-    p, estimated = label_model(np.minimum(counts, 1), label, s)
-    beta, intercept, scale = fit(_design(counts, hits, words), p, s)
+    p, estimated = label_model((counts > 0).astype(np.uint8), label, s)
+    beta, intercept, scale = fit(lambda i: _design(counts[i], hits[i], words[i]), p, s)
     return Classifier(voters, beta, intercept, scale, estimated)
 
 

@@ -8,6 +8,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -545,6 +546,20 @@ def test_label_model_is_that_of_plain_em():
     assert np.allclose(p, plain, atol=1e-9)
 
 
+def test_training_holds_runs_of_the_sample():
+    """What the driver makes of a sample is smaller than one table of its counts in doubles."""
+    rng, n, m = np.random.default_rng(5), 6000, 400
+    y = rng.random(n) < 0.1
+    counts = (rng.random((n, m)) < np.where(y[:, None], 0.05, 0.004)).astype(np.uint16)
+    votes, hits, n_words = (counts > 0).astype(np.uint8), counts.sum(1).astype(np.int64), np.full(n, 100)
+    tracemalloc.start()
+    p, _ = toxicity.label_model(votes, y.astype(int), toxicity.Supervision(rounds=2))
+    toxicity.fit(lambda i: toxicity._design(counts[i], hits[i], n_words[i]), p, toxicity.Supervision())
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 8 * n * m + 20e6, most
+
+
 def test_held_out_toxicity(spark):
     """At least nine tenths of the held-out toxic texts are caught, and one clean text of a hundred at most is flagged."""
     sf = "/root/testdata/sf0.1"
