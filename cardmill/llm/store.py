@@ -57,12 +57,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    """df written in buckets of key under the shared folder, a file for each; joins on key don't move it."""
+    """df, whose values come packed, written in buckets of key under the shared folder, a file for each; joins on key don't move it."""
     spark = df.sparkSession
     path = new_path(spark, name)
     table = "cardmill_" + path.rpartition("-")[2]
     with shuffles_removed(spark):
-        df.repartition(buckets, key).write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(table)
+        df.repartition(buckets, key).write.option("compression", "uncompressed").option("path", path).bucketBy(buckets, key).saveAsTable(table)
     out = spark.table(table)
     out.written_path, out.written_table = path, table
     return out

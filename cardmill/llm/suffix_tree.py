@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import arrow_limits, bucketed, documents, dropped_buckets, written
-from .words import U, Words, chunks, column, mix, release
+from .words import U, Words, chunks, column, mix, release, retain
 
 CLASSES = 6
 _END = U(0xA24BAED4963EE407)
@@ -94,11 +94,13 @@ def unpack(data: bytes) -> np.ndarray:
         return np.zeros(0, U)
     size, n = data[0], int.from_bytes(data[1:9], "little")
     planes = np.frombuffer(pa.decompress(memoryview(data)[9:], size * n, "zstd"), np.uint8)
-    out = np.zeros(n, U)
-    cells = out.view(np.uint8).reshape(n, 8)
+    if size == 1:
+        return planes.astype(U)
+    out = np.empty(n, f"<u{size}")
+    cells = out.view(np.uint8).reshape(n, size)
     for i in range(size):
         cells[:, i] = planes[i * n : (i + 1) * n]
-    return out
+    return out.astype(U, copy=False)
 
 
 def _bundle(*arrays: np.ndarray) -> bytes:
@@ -112,10 +114,14 @@ def _unbundle(data: bytes, n: int) -> list[np.ndarray]:
 
 
 def sorting(h: np.ndarray) -> np.ndarray:
-    """argsort of unsigned values, stable. Their leading bits and their places are sorted as one number, which takes a fraction of the time;
+    return ordered(h)[0]
+
+
+def ordered(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """argsort of unsigned values, stable, and the values in that order. Their leading bits and their places are sorted as one number, which takes a fraction of the time;
     hashes that these bits confuse are rare and sorted by themselves."""
     if len(h) < 2:
-        return np.arange(len(h))
+        return np.arange(len(h)), h
     low, bits = h.min(), (len(h) - 1).bit_length()
     shift = max(0, int(h.max() - low).bit_length() + bits - 64)
     both = h - low
@@ -126,13 +132,15 @@ def sorting(h: np.ndarray) -> np.ndarray:
     both &= U((1 << bits) - 1)
     order = both.view(np.int64)
     x = h[order]
-    return order if (x[1:] >= x[:-1]).all() else np.argsort(h, kind="stable")
+    if (x[1:] < x[:-1]).any():
+        order = np.argsort(h, kind="stable")
+        x = h[order]
+    return order, x
 
 
 def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(a place of each distinct value in their order, number of the value at each place)."""
-    order = sorting(h)
-    x = h[order]
+    order, x = ordered(h)
     new = np.ones(len(h), bool)
     new[1:] = x[1:] != x[:-1]
     at = np.empty(len(h), np.int64)
@@ -163,6 +171,7 @@ def _segments(t: Tree):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        retain()
         seg, held, size = TaskContext.get().partitionId() << 33, [], 0
         row = lambda: pa.RecordBatch.from_arrays([pa.array([seg], pa.int64()), *(pa.array([x], pa.binary()) for x in bundles(held))], ["seg", "words", "texts", "more"])
         for b in batches:
@@ -249,8 +258,11 @@ class Segment:
             back = back[to]
             total, shorter, above = last.n[back], last.total[to], last.n[to]
             limit, most = penalty(self.tokens), np.minimum(total, above)
-            use = (above >= t.pair_count) & (total >= t.context_count) & (diverges(total, shorter, limit) | (total > 2.7 * limit))
-            use |= (most >= t.context_count) & diverges(np.minimum(most, above / np.e), above, limit)  # it is a context itself
+            use = (above >= t.pair_count) & (total >= t.context_count)
+            ask = np.flatnonzero(use & (total <= 2.7 * limit))
+            use[ask] = diverges(total[ask], shorter[ask], limit)
+            ask = np.flatnonzero(~use & (most >= t.context_count))
+            use[ask] = diverges(np.minimum(most[ask], above[ask] / np.e), above[ask], limit)  # it is a context itself
             to, back, total, shorter, above = (x[use] for x in (to, back, total, shorter, above))
             at, context = last.at[to], last.number[back]
             code = mix(last.code[to] * _STEP + self.symbols(at, d))
@@ -303,6 +315,8 @@ class Segment:
         x.n = counts[x.number]
         x.owned = x.one[asked][own]
         x.owned = x.owned[(x.n[x.owned] >= self.t.pair_count) & (x.total[x.owned] >= self.t.context_count)]
+        if last := self.levels[-1]:
+            last.total = last.shorter = last.context = last.code = last.known = None  # only the longest has use for these
         self.levels.append(x)
 
     def contexts(self, d: int) -> tuple[np.ndarray, ...]:
@@ -316,7 +330,9 @@ class Segment:
         else:
             x = self.levels[d - 1]
             keys, total, shorter, inner = x.keys, x.n[x.one], x.above[x.one], self.sym[x.at[x.one]] != _END
-        may = (total >= t.context_count) & diverges(total, shorter, penalty(self.tokens)) & inner
+        may = (total >= t.context_count) & inner
+        ask = np.flatnonzero(may)
+        may[ask] = diverges(total[ask], shorter[ask], penalty(self.tokens))
         seen = np.bincount(pairs.context[pairs.one], pairs.n[pairs.one], len(total))
         return keys, total, may, may & (total - seen >= max(t.pair_count, 1))
 
@@ -342,11 +358,13 @@ class Segment:
         send = send[sorting(keys[send])]
         return keys[send], [kinds[send].astype(U) << U(1) | open_[send].astype(U), paired[send].astype(U), gain[send].astype("<f4").view("<u4").astype(U)]
 
-    def probabilities(self, roots: Callable) -> np.ndarray:
-        """Of each token in the longest state before it."""
+    def probabilities(self, roots: Callable, values: list[np.ndarray]) -> np.ndarray:
+        """Of each token in the longest state before it. values: the answers about sequences of one word, of two and so on, which are taken here, so that
+        no more than two lengths are held."""
         t, p = self.t, roots(self.cls.astype(np.int64), self.words)[self.tok]
         for d, (kinds, paired) in enumerate(self.states, 1):
-            x = self.levels[d]
+            self.answered(d, values[d])
+            x, self.levels[: d - 1] = self.levels[d], [None] * (d - 1)
             keys, total, may, open_ = self.contexts(d)
             k, c, gain = self.divergence(d, x.one[(x.n[x.one] >= t.pair_count) & (x.total[x.one] >= t.context_count)], len(keys))
             k[~may | (gain <= penalty(self.tokens) * k)] = 0
@@ -403,14 +421,15 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list
         yield *now, held
 
 
-def _read(t: Tree, batches: Iterator[pa.RecordBatch], tokens: int, lengths: int, states: int) -> Iterator[tuple[int, Segment]]:
-    """Each segment with the answers about the sequences of some lengths and the contexts of some."""
+def _read(t: Tree, batches: Iterator[pa.RecordBatch], tokens: int, lengths: int, states: int, taken: int | None = None) -> Iterator[tuple[int, Segment, list[np.ndarray]]]:
+    """Each segment with the answers about the sequences of some lengths, of which it has taken all or the first, and the contexts of some."""
+    retain()
     for batch in batches:
         for seg, words, texts, answers in zip(*(column(batch, c).to_pylist() for c in ("seg", "words", "texts", "answers")), strict=True):
-            yield seg, _informed(Segment(t, words, texts), answers or [], tokens, lengths, states)
+            yield seg, *_informed(Segment(t, words, texts), answers or [], tokens, lengths, states, lengths if taken is None else taken)
 
 
-def _informed(segment: Segment, answers: list[dict], tokens: int, lengths: int, states: int) -> Segment:
+def _informed(segment: Segment, answers: list[dict], tokens: int, lengths: int, states: int, taken: int) -> tuple[Segment, list[np.ndarray]]:
     out: dict[int, list] = {}
     for x in sorted((x for x in answers if x["level"] != _STATE), key=lambda x: (x["level"], x["part"])):
         out.setdefault(x["level"], []).append((unpack(x["a"]), unpack(x["b"] or b"")))
@@ -420,10 +439,10 @@ def _informed(segment: Segment, answers: list[dict], tokens: int, lengths: int,
     if data := [x["a"] for x in answers if x["level"] == _STATE]:
         segment.resumed(lengths - 1, data[0], both.get(lengths - 1, none)[0])
     else:
-        for d in range(lengths):
+        for d in range(taken):
             segment.answered(d, both.get(d, none)[0])
     segment.states = [tuple(x.view(np.int64) for x in both.get(-d, none)) for d in range(1, states + 1)]
-    return segment
+    return segment, [both.get(d, none)[0] for d in range(lengths)]
 
 
 def _asked(level: int, seg: int, parts: int, keys: np.ndarray, *fields: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -449,7 +468,7 @@ def _questions(t: Tree, levels: list[int], parts: int, tokens: int, lengths: int
     """Of sequences of a length, and of contexts: their lengths are negative."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for seg, s in _read(t, batches, tokens, lengths, 0):
+        for seg, s, _ in _read(t, batches, tokens, lengths, 0):
             for level in levels:
                 if level > 0:
                     x = s.extended(level)
@@ -466,6 +485,7 @@ def _questions(t: Tree, levels: list[int], parts: int, tokens: int, lengths: int
 
 def _answers(tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        retain()
         for part, level, rows in _grouped(batches):
             if level == _STATE:
                 yield from _batch([(seg, level, part, data, None, None, None) for seg, data, *_ in rows], _ROW_SCHEMA)
@@ -517,8 +537,8 @@ def _scored(t: Tree, tokens: int, types: np.ndarray, states: int):
         return np.where(cls == CLASSES, n + 0.5, np.where(n > 0, n - t.word_discount, unseen[cls])) / mass
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, s in _read(t, batches, tokens, states + 1, states):
-            p = s.probabilities(roots)
+        for _, s, values in _read(t, batches, tokens, states + 1, states, 1):
+            p = s.probabilities(roots, values)
             by_row = lambda x: np.bincount(s.row, x, len(s.ids))
             n = np.diff(s.offs)
             base = by_row(np.log10(s.words + 1.0)[s.tok]) - n * np.log10(tokens + words + 1)
@@ -543,8 +563,8 @@ def score_documents(docs: DataFrame, learn, t: Tree = Tree()) -> DataFrame:
     count, least = size // (6 * t.segment) + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))  # about six bytes a token
     parts = max(least, count * t.segment // t.part)
     tasks = lambda n: max(least, min(n, 20_000 + n // 8))
-    # Segments and answers lie in the same buckets, so they meet without moving again.
-    buckets = tasks(count)
+    # Segments and answers lie in the same buckets, about four segments in each, so they meet without moving again.
+    buckets = tasks(-(-count // 4))
     segs = bucketed(rows.mapInArrow(_segments(t), "seg long, words binary, texts binary, more binary"), "segments", "seg", buckets)
     answers: list[DataFrame] = []
 

@@ -31,10 +31,11 @@ _LANE = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     h = h ^ (h >> U(30))
-    h = h * U(0xBF58476D1CE4E5B9)
-    h = h ^ (h >> U(27))
-    h = h * U(0x94D049BB133111EB)
-    return h ^ (h >> U(31))
+    h *= U(0xBF58476D1CE4E5B9)
+    h ^= h >> U(27)
+    h *= U(0x94D049BB133111EB)
+    h ^= h >> U(31)
+    return h
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -54,6 +55,15 @@ def _bytes_of(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offs - offs[0]
 
 
+def retain() -> None:
+    """Keep freed arrays of up to 32 MB for the next ones until release(), 128 MB of them at most: fresh pages cost as much as a pass over them."""
+    if sys.platform == "linux":
+        set_ = getattr(ctypes.CDLL(None), "mallopt", None)
+        if set_:
+            set_(-3, 32 << 20)  # M_MMAP_THRESHOLD, as far as glibc raises it by itself
+            set_(-1, 128 << 20)  # M_TRIM_THRESHOLD
+
+
 def release() -> None:
     """Give freed memory back to the system: a worker lives on between tasks, and its peak would stay with it."""
     pa.default_memory_pool().release_unused()

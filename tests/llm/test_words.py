@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -41,3 +44,22 @@ def test_chunks_keep_all_rows():
     b = pa.record_batch({"text": pa.array(["a" * 10, None, "b" * 3000, "", "c"], pa.string()), "k": pa.array(range(5))})
     parts = list(chunks(b, limit=100))
     assert sum((column(p, "k").to_pylist() for p in parts), []) == list(range(5)) and len(parts) > 1
+
+
+def test_freed_arrays_keep_their_pages_until_release():
+    """Without retain() each of the arrays would fault its 1500 pages in again."""
+    code = """if True:
+        import resource, numpy as np
+        from cardmill.llm.words import release, retain
+        faults = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+        retain()
+        x = np.ones(3_100_000, np.int8), np.ones(3_100_000, np.int8)
+        del x
+        before = faults()
+        for _ in range(50):
+            x = np.ones(3_100_000, np.int8), np.ones(3_100_000, np.int8)
+            del x
+        assert faults() - before < 5000, faults() - before
+        release()
+    """
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=60)
